@@ -12,11 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickgate.config import ValidationConfig
+from tickgate.config import ATS_SCHEMA, OHLCV_SCHEMA, PUBLISH_PREFIX, ValidationConfig
+from tickgate.functions import keys as K
 from tickgate.operators import checks as C
+from tickgate.operators import planning as P
+from tickgate.operators import publishing as PB
 from tickgate.operators import verdict as V
 from tickgate.plans.validate import validate
+from tickgate.session import ensure_checkpoint_dir
+from tickgate.sinks import writers as W
 from tickgate.sources import bars as B
+from tickgate.sources import dims, files
 
 CFG = ValidationConfig()
 
@@ -210,6 +216,213 @@ def q_abort_reasons(spark, sf_dir):
         "symbol", F.array_join("aborted_checks", ",").alias("aborted_checks"))
 
 
+# ---------------------------------------------------------------------------
+# Step 7: plan, status, estimate, requeue, ingest ledger
+# ---------------------------------------------------------------------------
+
+STATUS_RANGE = ("2023-12-01", "2024-02-29")   # the months around the data's month
+
+
+def _universe(spark, sf_dir) -> DataFrame:
+    return dims.universe_from(_t(spark, sf_dir, "events"), "event_type")
+
+
+def _landed(spark, sf_dir) -> DataFrame:
+    return P.landed_from_rows(_bars(spark, sf_dir), OHLCV_SCHEMA)
+
+
+def q_chunk_plan(spark, sf_dir):
+    return P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA)
+
+
+def _status(spark, sf_dir, full=False):
+    rng = {} if full else dict(start_date=STATUS_RANGE[0], end_date=STATUS_RANGE[1])
+    plan = P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA, **rng)
+    return P.chunk_status(plan, _landed(spark, sf_dir))
+
+
+def q_chunk_status(spark, sf_dir):
+    return _status(spark, sf_dir).select(*P.CHUNK_KEY, "state", "rows", "cached")
+
+
+def q_plan_estimate(spark, sf_dir):
+    e = P.plan_estimate(_status(spark, sf_dir, full=True))
+    return e.select(*[F.round(c, 6).alias(c) if c in ("est_gb", "est_usd", "est_hours", "cached_pct")
+                      else F.col(c) for c in e.columns])
+
+
+def q_requeue(spark, sf_dir):
+    v = _validation(spark, sf_dir)
+    q = v.report.where("quarantine").select("symbol")
+    return P.requeue(_landed(spark, sf_dir), q)
+
+
+def _cached_before(spark, sf_dir):
+    """Cache state for the ingest queries: the first adapter venue was ingested before."""
+    landed = _landed(spark, sf_dir)
+    return landed.where(F.col("venue") == B.ADAPTER_VENUES[0])
+
+
+def _ingest_ledger(spark, sf_dir):
+    rng = dict(start_date=STATUS_RANGE[0], end_date=STATUS_RANGE[1])
+    plan = P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA, **rng)
+    status = P.chunk_status(plan, _cached_before(spark, sf_dir))
+    return P.ingest_ledger(status, _landed(spark, sf_dir))
+
+
+def q_ingest_ledger(spark, sf_dir):
+    return _ingest_ledger(spark, sf_dir).select(*P.CHUNK_KEY, "success", "message", "rows", "cached")
+
+
+def q_ingest_summary(spark, sf_dir):
+    return P.ingest_summary(_ingest_ledger(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Step 8: routing and publishing
+# ---------------------------------------------------------------------------
+
+def q_quarantine_split(spark, sf_dir):
+    v = _validation(spark, sf_dir)
+    r = PB.route(_bars(spark, sf_dir), v.report)
+    return r.groupBy("symbol", "venue", "route").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _gated(spark, sf_dir):
+    v = _validation(spark, sf_dir)
+    chunks = _landed(spark, sf_dir)
+    return PB.with_blob_name(PB.publish_gate(chunks, v.report), PUBLISH_PREFIX)
+
+
+def q_publish_gate(spark, sf_dir):
+    g = _gated(spark, sf_dir)
+    return g.select(*P.CHUNK_KEY, "decision", "validation_ok", F.array_join("warnings", ",").alias("warnings"))
+
+
+def _publish_run(spark, sf_dir, existing: DataFrame | None):
+    g = _gated(spark, sf_dir).withColumn("size_bytes", F.lit(None).cast("bigint")) \
+        .withColumn("md5", F.lit(None).cast("string"))
+    if existing is None:
+        existing = spark.createDataFrame([], "blob_name string, size_bytes bigint, md5 string")
+    return PB.publish_ledger(g, existing, "target", uploaded_at=F.lit(None).cast("timestamp"))
+
+
+def q_manifest_build(spark, sf_dir):
+    m = PB.manifest_build(PB.manifest_entries(_publish_run(spark, sf_dir, None)))
+    return m.select("schema", "symbol", F.size("files").cast("bigint").alias("n_files"),
+                    F.aggregate("files", F.lit(0).cast("bigint"), lambda a, f: a + f["row_count"]).alias("total_rows"),
+                    F.array_join(F.transform("files", lambda f: f["blob_name"]), ",").alias("blob_names"))
+
+
+def q_manifest_upsert(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    raw = B.trades_from_events(ev).withColumnRenamed("ts_event", "ts")
+    old = (P.landed_from_rows(raw.withColumnRenamed("ts", "ts_event"), OHLCV_SCHEMA)
+           .withColumnRenamed("rows", "row_count"))
+    old = PB.with_blob_name(old, PUBLISH_PREFIX).select("blob_name", "row_count", F.lit("old").alias("origin"))
+    new = (PB.manifest_entries(_publish_run(spark, sf_dir, None))
+           .select("blob_name", "row_count", F.lit("new").alias("origin")))
+    return PB.manifest_upsert(old, new)
+
+
+def q_publish_summary(spark, sf_dir):
+    ledger = _publish_run(spark, sf_dir, None)
+    loads = ledger.where("success").select("blob_name", F.coalesce("md5", F.lit("")).alias("md5"))
+    new, _ = PB.load_ledger(loads, spark.createDataFrame([], "blob_name string, md5 string"))
+    return PB.publish_summary(ledger, new)
+
+
+def q_load_ledger(spark, sf_dir):
+    """Publishing twice: the second run skips every object and loads nothing again (D-10)."""
+    empty = spark.createDataFrame([], "blob_name string, md5 string")
+    run1 = _publish_run(spark, sf_dir, None)
+    loads1 = run1.where("success").select("blob_name", F.coalesce("md5", F.lit("")).alias("md5"))
+    new1, ledger1 = PB.load_ledger(loads1, empty)
+    existing = run1.where("success").select("blob_name", F.lit(0).cast("bigint").alias("size_bytes"), "md5")
+    run2 = _publish_run(spark, sf_dir, existing)
+    loads2 = run2.where("success").select("blob_name", F.coalesce("md5", F.lit("")).alias("md5"))
+    new2, _ = PB.load_ledger(loads2, ledger1)
+    s1 = PB.publish_summary(run1, new1).withColumn("run", F.lit(1))
+    s2 = PB.publish_summary(run2, new2).withColumn("run", F.lit(2))
+    return s1.unionByName(s2).select("run", "total", "uploaded", "skipped", "failed", "table_loaded")
+
+
+# ---------------------------------------------------------------------------
+# Step 9: files
+# ---------------------------------------------------------------------------
+
+def q_file_probe(spark, sf_dir):
+    p = files.file_probe(spark, sf_dir)
+    name = F.regexp_extract("path", r"([^/]+)\.parquet$", 1)
+    return p.select(name.alias("table_name"), "state", "rows")
+
+
+def q_storage_report(spark, sf_dir):
+    return files.storage_report(spark, sf_dir)
+
+
+def q_file_digest(spark, sf_dir):
+    d = files.file_digests(spark, sf_dir)
+    return d.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "size_bytes", "md5")
+
+
+def q_digest_compare(spark, sf_dir):
+    """Local hex digests against the same digests as an object store reports them (base64)."""
+    d = files.file_digests(spark, sf_dir)
+    remote = d.select("path", files.hex_to_b64(F.col("md5")).alias("md5_b64"))
+    j = d.join(remote, "path").withColumn("md5_remote", files.b64_to_hex(F.col("md5_b64")))
+    return j.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                    (F.col("md5") == F.col("md5_remote")).alias("digest_match"))
+
+
+# ---------------------------------------------------------------------------
+# Step 10: key and path scalars
+# ---------------------------------------------------------------------------
+
+def q_venue_codec(spark, sf_dir):
+    plan = P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA).select("venue").unionByName(
+        P.chunk_plan(_universe(spark, sf_dir), ATS_SCHEMA).select("venue")).distinct()
+    safe = K.venue_safe(F.col("venue"))
+    back = K.venue_unsafe(safe)
+    return plan.select("venue", safe.alias("venue_safe"), back.alias("venue_back"),
+                       (back == F.col("venue")).alias("round_trip"))
+
+
+def q_chunk_paths(spark, sf_dir):
+    c = _landed(spark, sf_dir)
+    rel = K.chunk_relpath(F.col("schema"), F.col("symbol"), F.col("venue"), F.col("year_month"))
+    back = K.parse_chunk_relpath(rel)
+    return c.select(*P.CHUNK_KEY, rel.alias("relpath"),
+                    K.blob_name(PUBLISH_PREFIX, F.col("schema"), F.col("symbol"), F.col("venue"),
+                                F.col("year_month")).alias("blob_name"),
+                    K.report_name(PUBLISH_PREFIX, F.col("schema"), F.col("symbol")).alias("report_name"),
+                    K.manifest_name(PUBLISH_PREFIX, F.col("schema"), F.col("symbol")).alias("manifest_name"),
+                    K.table_name(F.col("schema")).alias("table_name"),
+                    back["venue"].alias("venue_parsed"),
+                    (F.struct(*[F.col(x) for x in P.CHUNK_KEY]) == back).alias("round_trip"))
+
+
+def q_month_bounds(spark, sf_dir):
+    ym = P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA).select("year_month").distinct()
+    s, e = K.month_bounds(F.col("year_month"))
+    return ym.select("year_month", s.alias("start"), e.alias("end"))
+
+
+def q_validate_landed(spark, sf_dir):
+    """VS end to end: bars written to the per-chunk layout, scanned back with file
+    order, validated with C on ingest order and D from the files' columns."""
+    import uuid
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    bars = _bars(spark, sf_dir).withColumn("schema", F.lit(OHLCV_SCHEMA))
+    W.write_chunk_files(bars, root).count()
+    read = B.read_chunks(spark, root, OHLCV_SCHEMA).drop("schema", "year_month")
+    fc = files.file_columns(spark, root, OHLCV_SCHEMA)
+    miss = C.file_missing_columns(fc, CFG.required(), ["symbol"])
+    v = validate(read, CFG, missing_by_key=miss)
+    return v.report.select("symbol", "schema", "quarantine", F.array_join("warnings", ",").alias("warnings"),
+                           "n_rows_in", "n_rows_out")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_hourly": q_bars_hourly,
     "session_filter": q_session_filter,
@@ -234,6 +447,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validation_summary": q_validation_summary,
     "validation_summary_wide": q_validation_summary_wide,
     "abort_reasons": q_abort_reasons,
+    "chunk_plan": q_chunk_plan,
+    "chunk_status": q_chunk_status,
+    "plan_estimate": q_plan_estimate,
+    "requeue": q_requeue,
+    "ingest_ledger": q_ingest_ledger,
+    "ingest_summary": q_ingest_summary,
+    "quarantine_split": q_quarantine_split,
+    "publish_gate": q_publish_gate,
+    "manifest_build": q_manifest_build,
+    "manifest_upsert": q_manifest_upsert,
+    "publish_summary": q_publish_summary,
+    "load_ledger": q_load_ledger,
+    "file_probe": q_file_probe,
+    "storage_report": q_storage_report,
+    "file_digest": q_file_digest,
+    "digest_compare": q_digest_compare,
+    "venue_codec": q_venue_codec,
+    "chunk_paths": q_chunk_paths,
+    "month_bounds": q_month_bounds,
+    "validate_landed": q_validate_landed,
 }
 
 __all__ = ["QUERIES"]

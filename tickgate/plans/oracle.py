@@ -287,3 +287,157 @@ FROM checks WHERE status = 'ABORT' GROUP BY symbol""",
 }
 
 ORACLE["order_violations_blocked"] = ORACLE["order_violations"]
+
+
+# ---------------------------------------------------------------------------
+# Planning, publishing, files, paths
+# ---------------------------------------------------------------------------
+
+def _venues_values(schema: str) -> str:
+    from tickgate import config as cfg
+    rows = []
+    for v in cfg.SCHEMA_VENUES[schema]:
+        e = cfg.VENUE_EARLIEST_START.get(v)
+        rows.append(f"('{v}', {('DATE ' + repr(e)) if e else 'CAST(NULL AS DATE)'})")
+    return "(VALUES " + ", ".join(rows) + ") AS vd(venue, earliest)"
+
+
+def plan_cte(schema: str = "ohlcv-1h", start: str = "2022-01-01", end: str = "2025-12-31",
+             name: str = "plan") -> str:
+    return f"""
+{name} AS (
+  SELECT '{schema}' AS schema, symbol, venue, strftime(m, '%Y-%m') AS year_month,
+         strftime(m, '%Y-%m-%dT00:00:00Z') AS start,
+         strftime(m + INTERVAL 1 MONTH, '%Y-%m-%dT00:00:00Z') AS "end"
+  FROM (SELECT u.symbol, vd.venue,
+               date_trunc('month', greatest(DATE '{start}', coalesce(vd.earliest, DATE '{start}'))) AS vs
+        FROM (SELECT DISTINCT event_type AS symbol FROM events) u, {_venues_values(schema)}) p,
+       LATERAL (SELECT unnest(generate_series(p.vs, date_trunc('month', DATE '{end}'), INTERVAL 1 MONTH)) AS m) g
+  WHERE p.vs <= date_trunc('month', DATE '{end}'))"""
+
+
+LANDED_CTE = """
+landed AS (
+  SELECT 'ohlcv-1h' AS schema, symbol, venue, strftime(ts_event, '%Y-%m') AS year_month, count(*) AS rows,
+         'ok' AS state
+  FROM bars GROUP BY ALL)"""
+
+STATUS_SQL = """
+status AS (
+  SELECT p.*, coalesce(l.state, 'missing') AS state, coalesce(l.rows, 0) AS rows,
+         coalesce(l.state, 'missing') IN ('ok', 'empty') AS cached
+  FROM {plan} p LEFT JOIN {landed} l USING (schema, symbol, venue, year_month))"""
+
+GATE_CTE = """
+gated AS (
+  SELECT l.*, CASE WHEN r.quarantine THEN 'reject' ELSE 'publish' END AS decision,
+         CASE WHEN r.quarantine IS NULL THEN NULL ELSE NOT r.quarantine END AS validation_ok,
+         coalesce(r.warnings, '') AS warnings,
+         'raw/' || l.schema || '/' || l.symbol || '/' || replace(l.venue, '.', '_') || '/' || l.year_month
+           || '.parquet' AS blob_name
+  FROM landed l LEFT JOIN report r USING (schema, symbol))"""
+
+INGEST_CTES = (plan_cte(start="2023-12-01", end="2024-02-29") + "," + LANDED_CTE + """,
+cached_before AS (SELECT * FROM landed WHERE venue = 'XNAS.ITCH'),""" + STATUS_SQL.format(
+    plan="plan", landed="cached_before") + """,
+ledger AS (
+  SELECT s.schema, s.symbol, s.venue, s.year_month, true AS success,
+         CASE WHEN s.cached THEN 'cached (' || format('{:,}', s.rows) || ' rows)'
+              WHEN coalesce(l.rows, 0) > 0 THEN format('{:,}', l.rows) || ' rows'
+              ELSE '0 rows (symbol absent at venue)' END AS message,
+         CASE WHEN s.cached THEN s.rows ELSE coalesce(l.rows, 0) END AS rows, s.cached
+  FROM status s LEFT JOIN landed l USING (schema, symbol, venue, year_month))""")
+
+ORACLE.update({
+    "chunk_plan": "WITH " + plan_cte()[1:] + "\nSELECT * FROM plan",
+
+    "chunk_status": with_bars(plan_cte(start="2023-12-01", end="2024-02-29"), LANDED_CTE,
+                              STATUS_SQL.format(plan="plan", landed="landed")) + """
+SELECT schema, symbol, venue, year_month, state, rows, cached FROM status""",
+
+    "plan_estimate": with_bars(plan_cte(), LANDED_CTE, STATUS_SQL.format(plan="plan", landed="landed")) + """
+SELECT schema, count(*) AS n_total, count_if(cached) AS n_cached, count(*) - count_if(cached) AS n_todo,
+       (count(*) - count_if(cached)) * 130 AS est_records,
+       round((count(*) - count_if(cached)) * 0.01 / 1024.0, 6) AS est_gb,
+       round((count(*) - count_if(cached)) * 0.01 / 1024.0 * 0.3, 6) AS est_usd,
+       round((count(*) - count_if(cached)) / 50.0, 6) AS est_hours,
+       round(count_if(cached) * 100.0 / count(*), 6) AS cached_pct,
+       count(DISTINCT symbol) AS n_tickers, count(DISTINCT venue) AS n_venues,
+       count(DISTINCT year_month) AS n_months, min(year_month) AS first_month, max(year_month) AS last_month
+FROM status GROUP BY schema""",
+
+    "requeue": with_bars(*VALIDATION, LANDED_CTE) + """
+SELECT l.schema, l.symbol, l.venue, l.year_month,
+       strftime(CAST(l.year_month || '-01' AS DATE), '%Y-%m-%dT00:00:00Z') AS start,
+       strftime(CAST(l.year_month || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m-%dT00:00:00Z') AS "end",
+       true AS force
+FROM landed l WHERE l.symbol IN (SELECT symbol FROM report WHERE quarantine)""",
+
+    "ingest_ledger": with_bars(INGEST_CTES) + "\nSELECT * FROM ledger",
+
+    "ingest_summary": with_bars(INGEST_CTES) + """
+SELECT count(*) AS total, count_if(success AND NOT cached) AS downloaded, count_if(cached) AS cached,
+       count_if(NOT success) AS failed, CAST(sum(rows) AS BIGINT) AS total_rows FROM ledger""",
+
+    "quarantine_split": with_bars(*VALIDATION) + """
+SELECT b.symbol, b.venue,
+       CASE WHEN r.quarantine THEN 'quarantine' WHEN r.quarantine IS NULL THEN 'unvalidated' ELSE 'clean' END
+         AS route,
+       count(*) AS n_rows
+FROM bars b LEFT JOIN report r USING (symbol) GROUP BY ALL""",
+
+    "publish_gate": with_bars(*VALIDATION, LANDED_CTE, GATE_CTE) + """
+SELECT schema, symbol, venue, year_month, decision, validation_ok, warnings FROM gated""",
+
+    "manifest_build": with_bars(*VALIDATION, LANDED_CTE, GATE_CTE) + """
+SELECT schema, symbol, count(*) AS n_files, CAST(sum(rows) AS BIGINT) AS total_rows,
+       string_agg(blob_name, ',' ORDER BY blob_name) AS blob_names
+FROM gated WHERE decision = 'publish' GROUP BY schema, symbol""",
+
+    "manifest_upsert": with_bars(*VALIDATION, LANDED_CTE, GATE_CTE) + """,
+old AS (
+  SELECT 'raw/ohlcv-1h/' || event_type || '/' || replace(['XNAS.ITCH', 'ARCX.PILLAR', 'BATS.PITCH'][CAST(user_id % 3 AS INTEGER) + 1], '.', '_')
+         || '/' || strftime(ts, '%Y-%m') || '.parquet' AS blob_name, count(*) AS row_count
+  FROM events GROUP BY ALL),
+new AS (SELECT blob_name, rows AS row_count FROM gated WHERE decision = 'publish')
+SELECT blob_name, row_count, 'old' AS origin FROM old WHERE blob_name NOT IN (SELECT blob_name FROM new)
+UNION ALL SELECT blob_name, row_count, 'new' FROM new""",
+
+    "publish_summary": with_bars(*VALIDATION, LANDED_CTE, GATE_CTE) + """
+SELECT count(*) AS total, count_if(decision = 'publish') AS uploaded, 0 AS skipped,
+       count_if(decision = 'reject') AS failed, count_if(decision = 'publish') AS table_loaded, 0 AS bytes
+FROM gated""",
+
+    "load_ledger": with_bars(*VALIDATION, LANDED_CTE, GATE_CTE) + """
+SELECT 1 AS run, count(*) AS total, count_if(decision = 'publish') AS uploaded, 0 AS skipped,
+       count_if(decision = 'reject') AS failed, count_if(decision = 'publish') AS table_loaded FROM gated
+UNION ALL
+SELECT 2, count(*), 0, count_if(decision = 'publish'), count_if(decision = 'reject'), 0 FROM gated""",
+
+    "file_probe": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CASE WHEN count(*) > 0 THEN 'ok' ELSE 'empty' END AS state, "
+        f"count(*) AS rows FROM {t}"
+        for t in ("region nation customer supplier part orders lineitem events documents embeddings "
+                  "pages benchmark labels conversations").split()),
+
+    "venue_codec": """
+SELECT venue, replace(venue, '.', '_') AS venue_safe, venue AS venue_back, true AS round_trip
+FROM (SELECT DISTINCT venue FROM """ + _venues_values("ohlcv-1h") + """
+      UNION SELECT DISTINCT venue FROM """ + _venues_values("trades") + """)
+WHERE EXISTS (SELECT 1 FROM events)""",
+
+    "chunk_paths": with_bars(LANDED_CTE) + """
+SELECT schema, symbol, venue, year_month,
+       schema || '/' || symbol || '/' || replace(venue, '.', '_') || '/' || year_month || '.parquet' AS relpath,
+       'raw/' || schema || '/' || symbol || '/' || replace(venue, '.', '_') || '/' || year_month || '.parquet'
+         AS blob_name,
+       'raw/' || schema || '/' || symbol || '/' || symbol || '_validation.json' AS report_name,
+       'raw/' || schema || '/' || symbol || '/' || symbol || '_manifest.json' AS manifest_name,
+       replace(schema, '-', '_') AS table_name, venue AS venue_parsed, true AS round_trip
+FROM landed""",
+
+    "month_bounds": "WITH " + plan_cte()[1:] + """
+SELECT DISTINCT year_month, start, "end" FROM plan""",
+
+    "validate_landed": ORACLE["validation_report"],
+})

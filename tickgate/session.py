@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -67,3 +68,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def arrow_uri(path: str) -> str:
+    """A path as pyarrow's filesystem layer wants it ('file:/x' and '/x' -> 'file:///x')."""
+    if path.startswith("file:"):
+        rest = path[len("file:"):]
+        return "file:///" + rest.lstrip("/")
+    if "://" in path:
+        return path
+    return "file://" + os.path.abspath(path)
