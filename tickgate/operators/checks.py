@@ -160,6 +160,58 @@ def gaps_and_duplicates(norm: DataFrame, daily: DataFrame,
             .drop("filled"))
 
 
+def day_table(daily: DataFrame, per_day: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
+    """One row per (key, ET date) with everything the per-key roll-up needs.
+
+    Both inputs are aggregates on (key, date), so the join needs no further
+    shuffle. The VWAP of a day and the previous day *that has one* come from a
+    lag that skips NULLs, over the key's days (a few thousand rows per key at
+    most: the calendar bounds it, not the data).
+    """
+    keys = _k(cfg)
+    pd_cols = per_day.select(*keys, "et_date", "n_dups", "n_missing", "missing_slots")
+    d = daily.join(pd_cols, keys + ["et_date"], "left")
+    vv = F.coalesce(F.col("v"), F.lit(0.0))
+    dd = F.coalesce(F.col("dv"), F.lit(0.0))
+    vwap = F.when((F.col("n_kept") > 0) & (vv > 0), dd / F.greatest(vv, F.lit(1.0)))
+    w = Window.partitionBy(*keys).orderBy("et_date")
+    d = d.withColumn("vwap", vwap).withColumn("prev_vwap", F.expr("lag(vwap, 1) IGNORE NULLS").over(w))
+    change = F.abs(F.try_divide(F.col("vwap"), F.col("prev_vwap")) - 1)
+    zero_base = (F.col("prev_vwap") == 0) & (F.col("vwap") != 0)
+    flagged = F.col("vwap").isNotNull() & F.coalesce(zero_base | (change > F.lit(cfg.corp_event_thresh)),
+                                                     F.lit(False))
+    hours = F.transform(
+        F.slice("missing_slots", 1, cfg.i_sample_hours),
+        lambda k: timez.iso_local(timez.plus_seconds(F.col("t_first"), k * cfg.grid_seconds), cfg.tz))
+    sample = F.when(F.col("n_missing") > 0, F.concat(
+        F.date_format("et_date", "yyyy-MM-dd"), F.lit(": "),
+        F.concat(F.lit("["), F.array_join(F.transform(hours, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "),
+                 F.lit("]"))))
+    return d.withColumn("flagged", flagged).withColumn("gap_sample", sample)
+
+
+def key_table(day: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
+    """Per-key roll-up of the day table: B, J, E counts, F, H, I numbers and their samples.
+
+    Lists are bounded: corp-event dates by the key's calendar days, gap samples
+    by ``i_sample_days``.
+    """
+    names = ["n_rows", "n_null_ts", "n_close", "n_bad_ohlc", "n_neg_volume", "n_zero_volume",
+             "n_bad_high", "n_bad_low", "n_bad_high_low", "n_kept"]
+    gappy = F.col("n_missing") > 0
+    return day.groupBy(*_k(cfg)).agg(
+        *[F.sum(x).cast("bigint").alias(x) for x in names],
+        F.coalesce(F.sum("n_dups"), F.lit(0)).cast("bigint").alias("n_dups"),
+        F.coalesce(F.sum("n_missing"), F.lit(0)).cast("bigint").alias("n_missing_bars"),
+        F.count_if(gappy).cast("bigint").alias("n_days_gappy"),
+        F.count("vwap").cast("bigint").alias("n_vwap_days"),
+        F.count_if("flagged").cast("bigint").alias("n_corp_event_days"),
+        F.array_sort(F.collect_list(F.when(F.col("flagged"), F.date_format("et_date", "yyyy-MM-dd"))))
+        .alias("corp_event_dates"),
+        F.transform(F.slice(F.array_sort(F.collect_list(F.when(gappy, F.struct("et_date", "gap_sample")))),
+                            1, cfg.i_sample_days), lambda x: x["gap_sample"]).alias("sample_gaps"))
+
+
 def duplicate_copies(norm: DataFrame, cfg: ValidationConfig = ValidationConfig(),
                      order: list[str] | None = None) -> DataFrame:
     """Row-level form of F (W4): each row with its copy number per (key, ts); > 1 is a later copy."""

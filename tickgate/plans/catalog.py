@@ -19,7 +19,7 @@ from tickgate.operators import planning as P
 from tickgate.operators import publishing as PB
 from tickgate.operators import verdict as V
 from tickgate.plans.validate import validate
-from tickgate.session import ensure_checkpoint_dir
+from tickgate.session import cut_lineage, ensure_checkpoint_dir
 from tickgate.sinks import writers as W
 from tickgate.sources import bars as B
 from tickgate.sources import dims, files
@@ -35,8 +35,18 @@ def _bars(spark, sf_dir, wide=False) -> DataFrame:
     return B.bars_from_events(_t(spark, sf_dir, "events"), wide=wide)
 
 
-def _validation(spark, sf_dir, wide=False):
-    return validate(_bars(spark, sf_dir, wide), CFG)
+def _bars_table(spark, sf_dir, wide=False) -> DataFrame:
+    """The derived bars, written once to the shared checkpoint folder.
+
+    Validation scans its input more than once (daily table, per-timestamp
+    table, price histogram); cutting the lineage here means the adapter's
+    aggregation runs once, as it would for a bar table on storage.
+    """
+    return cut_lineage(_bars(spark, sf_dir, wide))
+
+
+def _validation(spark, sf_dir, wide=False, bars: DataFrame | None = None):
+    return validate(bars if bars is not None else _bars_table(spark, sf_dir, wide), CFG)
 
 
 # ---------------------------------------------------------------------------
@@ -227,8 +237,8 @@ def _universe(spark, sf_dir) -> DataFrame:
     return dims.universe_from(_t(spark, sf_dir, "events"), "event_type")
 
 
-def _landed(spark, sf_dir) -> DataFrame:
-    return P.landed_from_rows(_bars(spark, sf_dir), OHLCV_SCHEMA)
+def _landed(spark, sf_dir, bars: DataFrame | None = None) -> DataFrame:
+    return P.landed_from_rows(bars if bars is not None else _bars(spark, sf_dir), OHLCV_SCHEMA)
 
 
 def q_chunk_plan(spark, sf_dir):
@@ -252,9 +262,10 @@ def q_plan_estimate(spark, sf_dir):
 
 
 def q_requeue(spark, sf_dir):
-    v = _validation(spark, sf_dir)
+    b = _bars_table(spark, sf_dir)
+    v = _validation(spark, sf_dir, bars=b)
     q = v.report.where("quarantine").select("symbol")
-    return P.requeue(_landed(spark, sf_dir), q)
+    return P.requeue(_landed(spark, sf_dir, b), q)
 
 
 def _cached_before(spark, sf_dir):
@@ -283,14 +294,16 @@ def q_ingest_summary(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def q_quarantine_split(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    r = PB.route(_bars(spark, sf_dir), v.report)
+    b = _bars_table(spark, sf_dir)
+    v = _validation(spark, sf_dir, bars=b)
+    r = PB.route(b, v.report)
     return r.groupBy("symbol", "venue", "route").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def _gated(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    chunks = _landed(spark, sf_dir)
+    b = _bars_table(spark, sf_dir)
+    v = _validation(spark, sf_dir, bars=b)
+    chunks = _landed(spark, sf_dir, b)
     return PB.with_blob_name(PB.publish_gate(chunks, v.report), PUBLISH_PREFIX)
 
 
@@ -299,9 +312,9 @@ def q_publish_gate(spark, sf_dir):
     return g.select(*P.CHUNK_KEY, "decision", "validation_ok", F.array_join("warnings", ",").alias("warnings"))
 
 
-def _publish_run(spark, sf_dir, existing: DataFrame | None):
-    g = _gated(spark, sf_dir).withColumn("size_bytes", F.lit(None).cast("bigint")) \
-        .withColumn("md5", F.lit(None).cast("string"))
+def _publish_run(spark, sf_dir, existing: DataFrame | None, gated: DataFrame | None = None):
+    g = (gated if gated is not None else _gated(spark, sf_dir)) \
+        .withColumn("size_bytes", F.lit(None).cast("bigint")).withColumn("md5", F.lit(None).cast("string"))
     if existing is None:
         existing = spark.createDataFrame([], "blob_name string, size_bytes bigint, md5 string")
     return PB.publish_ledger(g, existing, "target", uploaded_at=F.lit(None).cast("timestamp"))
@@ -335,11 +348,12 @@ def q_publish_summary(spark, sf_dir):
 def q_load_ledger(spark, sf_dir):
     """Publishing twice: the second run skips every object and loads nothing again (D-10)."""
     empty = spark.createDataFrame([], "blob_name string, md5 string")
-    run1 = _publish_run(spark, sf_dir, None)
+    gated = cut_lineage(_gated(spark, sf_dir))
+    run1 = _publish_run(spark, sf_dir, None, gated)
     loads1 = run1.where("success").select("blob_name", F.coalesce("md5", F.lit("")).alias("md5"))
     new1, ledger1 = PB.load_ledger(loads1, empty)
     existing = run1.where("success").select("blob_name", F.lit(0).cast("bigint").alias("size_bytes"), "md5")
-    run2 = _publish_run(spark, sf_dir, existing)
+    run2 = _publish_run(spark, sf_dir, existing, gated)
     loads2 = run2.where("success").select("blob_name", F.coalesce("md5", F.lit("")).alias("md5"))
     new2, _ = PB.load_ledger(loads2, ledger1)
     s1 = PB.publish_summary(run1, new1).withColumn("run", F.lit(1))

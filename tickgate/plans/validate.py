@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickgate.config import ABORT, CHECK_ORDER, PASS, WARNING, ValidationConfig
-from tickgate.functions.fmt import quoted_list
 from tickgate.operators import checks as C
 from tickgate.operators import verdict as V
 from tickgate.operators.normalize import Normalized, normalize_bars
@@ -59,28 +58,15 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     has_axis = norm.time_axis is not None
 
     daily = C.daily_table(norm.df, cfg)
-    counts = C.key_counts(daily, cfg)
+    per_day = C.gaps_and_duplicates(norm.df, daily, cfg)
+    day = C.day_table(daily, per_day, cfg)
+    wide = C.key_table(day, cfg)
     if expected_keys is not None:
-        counts = expected_keys.select(*keys).distinct().join(counts, keys, "left").na.fill(0)
+        wide = expected_keys.select(*keys).distinct().join(wide, keys, "left").na.fill(0)
     med = C.median_close(norm.df, cfg)
-    per_day = C.gaps_and_duplicates(norm.df, daily, cfg)
-    fi = per_day.groupBy(*keys).agg(
-        F.sum("n_dups").cast("bigint").alias("n_dups"),
-        F.sum("n_missing").cast("bigint").alias("n_missing_bars"),
-        F.count_if(F.col("n_missing") > 0).cast("bigint").alias("n_days_gappy"))
-    samples = (C.gap_samples(per_day, cfg)
-               .groupBy(*keys)
-               .agg(F.array_sort(F.collect_list(F.struct(
-                   "day_no",
-                   F.concat(F.date_format("et_date", "yyyy-MM-dd"), F.lit(": "),
-                            quoted_list(F.col("missing_hours"))).alias("s")))).alias("_g"))
-               .select(*keys, F.transform("_g", lambda x: x["s"]).alias("sample_gaps")))
-    vwap_days = C.daily_vwap(daily.where(F.col("n_kept") > 0), keys)
-    shift = C.vwap_shift(C.vwap_shift_days(vwap_days, keys, thresh=cfg.corp_event_thresh), keys)
-
-    wide = counts
-    for t in (med, fi, samples, shift):
-        wide = wide.join(t, keys, "left")
+    wide = wide.join(med, keys, "left")
+    vwap_days = day.where(F.col("vwap").isNotNull()).select(
+        *keys, "et_date", F.coalesce("dv", F.lit(0.0)).alias("dv"), F.coalesce("v", F.lit(0.0)).alias("v"), "vwap")
     if cfg.c_order == "file" and norm.has_file_order:
         viol = C.order_violations(norm.df, keys, block_rows=cfg.c_block_rows)
         wide = wide.join(viol, keys, "left")
