@@ -19,6 +19,7 @@ from tickgate.config import ABORT, CHECK_ORDER, PASS, WARNING, ValidationConfig
 from tickgate.operators import checks as C
 from tickgate.operators import verdict as V
 from tickgate.operators.normalize import Normalized, normalize_bars
+from tickgate.session import cut_lineage
 
 
 @dataclass
@@ -45,7 +46,7 @@ def _lit_str_array(items: list[str]) -> Column:
 
 def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
              missing_by_key: DataFrame | None = None,
-             expected_keys: DataFrame | None = None) -> Validation:
+             expected_keys: DataFrame | None = None, materialize: bool = True) -> Validation:
     """Run the checks on ``df`` (raw bars; see ``normalize_bars`` for accepted shapes).
 
     ``missing_by_key``: (keys..., missing array<string>) from the files' footers
@@ -58,6 +59,11 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     has_axis = norm.time_axis is not None
 
     daily = C.daily_table(norm.df, cfg)
+    if materialize:
+        # written once to the shared checkpoint folder: the per-timestamp join
+        # and the day table both read it (a second aggregation would be a
+        # second full scan of the bars)
+        daily = cut_lineage(daily)
     per_day = C.gaps_and_duplicates(norm.df, daily, cfg)
     day = C.day_table(daily, per_day, cfg)
     wide = C.key_table(day, cfg)
