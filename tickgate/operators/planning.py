@@ -15,8 +15,8 @@ from tickgate.sources import dims
 CHUNK_KEY = ["schema", "symbol", "venue", "year_month"]
 
 
-def chunk_plan(universe: DataFrame, schema: str, venues=None,
-               start_date: str = cfg.START_DATE, end_date: str = cfg.END_DATE) -> DataFrame:
+def chunk_plan(universe: DataFrame, schema: str, start_date: str = cfg.START_DATE,
+               end_date: str = cfg.END_DATE, venues=None) -> DataFrame:
     """Every (symbol, venue, month) from ``max(start, venue earliest start)`` to ``end``.
 
     Each symbol row is expanded by a literal venue array (fixed config, at most

@@ -29,7 +29,7 @@ class IngestResult:
 def plan_ingest(universe: DataFrame, schema: str, venues=None, start_date: str = cfg.START_DATE,
                 end_date: str = cfg.END_DATE, landed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Plan and status. ``landed``: a chunk probe (``sources.files.chunk_probe``) or row counts."""
-    plan = P.chunk_plan(universe, schema, venues, start_date, end_date)
+    plan = P.chunk_plan(universe, schema, start_date, end_date, venues=venues)
     if landed is None:
         landed = plan.sparkSession.createDataFrame([], "schema string, symbol string, venue string, "
                                                        "year_month string, rows bigint, state string")

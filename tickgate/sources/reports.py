@@ -18,16 +18,14 @@ MANIFEST_SCHEMA = f"symbol string, schema string, updated_at timestamp, files ar
 
 def read_reports(spark: SparkSession, root: str) -> DataFrame:
     """Validation reports written by ``sinks.writers.write_reports`` (JSON lines, one per key)."""
-    return (spark.read.schema(REPORT_SCHEMA + ", _corrupt_record string")
-            .option("mode", "PERMISSIVE").option("recursiveFileLookup", "true")
-            .json(root).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record"))
+    return (spark.read.schema(REPORT_SCHEMA).option("mode", "DROPMALFORMED")
+            .option("recursiveFileLookup", "true").json(root))
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """Manifests; a corrupt file is dropped (the upsert then starts it fresh)."""
-    return (spark.read.schema(MANIFEST_SCHEMA + ", _corrupt_record string")
-            .option("mode", "PERMISSIVE").option("recursiveFileLookup", "true")
-            .json(root).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record"))
+    return (spark.read.schema(MANIFEST_SCHEMA).option("mode", "DROPMALFORMED")
+            .option("recursiveFileLookup", "true").json(root))
 
 
 def manifest_entries(manifests: DataFrame) -> DataFrame:
