@@ -70,7 +70,8 @@ def publish(spark: SparkSession, cache_root: str, schema: str, chunks: DataFrame
     # reliable checkpoint: the outcome is fixed before any object is written
     ledger = cut_lineage(ledger)
     to_copy = ledger.where(F.col("success") & ~F.col("skipped"))
-    to_copy.select("path", "blob_name").mapInPandas(_copier(target_root), "blob_name string").count()
+    to_copy.select("path", "blob_name").repartition(files.io_tasks(spark), "blob_name") \
+        .mapInPandas(_copier(target_root), "blob_name string").count()
     after = existing_objects(spark, target_root).select("blob_name", F.col("md5").alias("_remote"))
     verified = (ledger.join(after, "blob_name", "left")
                 .withColumn("digest_match", F.when(F.col("success"), F.col("md5") == F.col("_remote")))

@@ -7,7 +7,7 @@
   Zero-row files are kept (a plain ``groupBy(file_path).count()`` over a scan
   would drop them), and unreadable files come back as ``corrupt`` instead of
   failing the job.
-* Digests read the bytes through ``binaryFile``, one file per row.
+* Digests stream each file through MD5 inside a task (no whole-file rows).
 """
 from __future__ import annotations
 
@@ -58,7 +58,8 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def parquet_footers(files: DataFrame) -> DataFrame:
     """(path, ok, reason, num_rows, columns) for each listed path."""
-    return files.select("path").mapInPandas(_read_footers, FOOTER_SCHEMA)
+    return files.select("path").repartition(io_tasks(files.sparkSession), "path") \
+        .mapInPandas(_read_footers, FOOTER_SCHEMA)
 
 
 def file_probe(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
@@ -80,11 +81,43 @@ def chunk_probe(spark: SparkSession, cache_root: str, schema: str) -> DataFrame:
             .select("_k.*", "rows", "size_bytes", "path", "state", "columns"))
 
 
+def _md5_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import hashlib
+
+    import pyarrow.fs as pafs
+
+    for pdf in batches:
+        out = []
+        for p, n in zip(pdf["path"], pdf["size_bytes"]):
+            fs, rel = pafs.FileSystem.from_uri(arrow_uri(p))
+            h = hashlib.md5()
+            with fs.open_input_stream(rel) as fh:
+                while True:
+                    block = fh.read(1 << 20)
+                    if not block:
+                        break
+                    h.update(block)
+            out.append((p, int(n), h.hexdigest()))
+        yield pd.DataFrame(out, columns=["path", "size_bytes", "md5"])
+
+
+def io_tasks(spark: SparkSession) -> int:
+    """Task count for per-file I/O work (footers, digests, copies)."""
+    return max(1, spark.sparkContext.defaultParallelism * 4)
+
+
 def file_digests(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """md5 (hex) and size of every file; reads the bytes, one file per row."""
-    r = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-         .option("recursiveFileLookup", "true").load(root))
-    return r.select("path", F.col("length").alias("size_bytes"), F.md5("content").alias("md5"))
+    """md5 (hex) and size of every file under ``root``.
+
+    Each file is streamed through MD5 in 1 MiB blocks inside a task, so a file
+    never has to fit in one row (the ``binaryFile`` content column is capped
+    at 2 GiB and held in memory). The listing is spread over an explicit
+    number of tasks: a list of paths is tiny, and adaptive coalescing would
+    otherwise fold it into one serial task.
+    """
+    listing = list_files(spark, root, glob).select("path", "size_bytes")
+    return listing.repartition(io_tasks(spark), "path").mapInPandas(
+        _md5_files, "path string, size_bytes bigint, md5 string")
 
 
 def b64_to_hex(b64: Column) -> Column:
