@@ -185,3 +185,39 @@ def test_run_log_append(spark, tmp_path):
     W.append_run_log(W.log_rows(spark, "INFO", "ingest", msg="started"), str(tmp_path / "logs"))
     W.append_run_log(W.log_rows(spark, "INFO", "ingest", msg="done"), str(tmp_path / "logs"))
     assert spark.read.json(str(tmp_path / "logs")).count() == 2
+
+
+def test_flat_layout_workflow(spark, landing, tmp_path):
+    import pandas as pd
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    for sym in ("click", "signup"):
+        pdf = landing.where(F.col("symbol") == sym).drop("symbol").orderBy("ts_event").toPandas()
+        pdf.to_parquet(flat / f"{sym}.parquet", index=False, coerce_timestamps="us")
+    (flat / "click_validation.json").write_text("{}")
+    from tickgate.plans.validate import validate_layout
+    v = validate_layout(spark, str(flat), layout="flat", reports_root=str(tmp_path / "r"),
+                        quarantine_root=str(tmp_path / "q"))
+    got = {r["symbol"]: r["quarantine"] for r in v.report.collect()}
+    assert got == {"click": False, "signup": True}
+    assert reports.read_reports(spark, str(tmp_path / "r")).count() == 2
+    q = spark.read.parquet(str(tmp_path / "q"))
+    assert {r["symbol"] for r in q.select("symbol").distinct().collect()} == {"signup"}
+    one = validate_layout(spark, str(flat), layout="flat", symbol="click")
+    assert [r["symbol"] for r in one.report.collect()] == ["click"]
+
+
+def test_fix_quarantine_reingests_chunks(spark, landing, cache):
+    root, res = cache
+    rep = validate(landing).report
+    req = P.requeue(files.chunk_probe(spark, root, OHLCV_SCHEMA), rep.where("quarantine"))
+    led = I.reingest(landing, req, OHLCV_SCHEMA, root)
+    assert led.count() == req.count() == 9
+    assert led.where("rows > 0").count() == 9
+    marked = P.landed_with_empties(files.chunk_probe(spark, root, OHLCV_SCHEMA), res.ledger)
+    assert marked.where("state = 'empty'").count() == 60
+
+
+def test_empty_universe_is_refused(spark):
+    with pytest.raises(ValueError):
+        I.check_universe(spark.createDataFrame([], "symbol string"))

@@ -55,6 +55,15 @@ def chunk_status(plan: DataFrame, landed: DataFrame) -> DataFrame:
     return out
 
 
+def landed_with_empties(probe: DataFrame, ledger: DataFrame) -> DataFrame:
+    """K2: a chunk that came back empty leaves no file in Spark's layout; its
+    ledger row (rows = 0) stands in as the 'empty' marker so it is not fetched again."""
+    empties = (ledger.where(F.col("success") & (F.col("rows") == 0))
+               .select(*CHUNK_KEY, F.lit(0).cast("bigint").alias("rows"), F.lit("empty").alias("state")))
+    files_ = probe.select(*CHUNK_KEY, F.col("rows").cast("bigint"), "state")
+    return files_.unionByName(empties.join(files_.select(*CHUNK_KEY), CHUNK_KEY, "left_anti"))
+
+
 def to_fetch(status: DataFrame, force: bool = False) -> DataFrame:
     """F8: chunks to (re)ingest: everything when ``force``, else those not cached."""
     return status if force else status.where(~F.col("cached"))

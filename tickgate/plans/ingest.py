@@ -86,3 +86,26 @@ def probe_landed(spark, cache_root: str, schema: str, layout: str = "chunk") ->
 def resolve_mode(mode: str) -> list[tuple[str, tuple[str, ...]]]:
     """mode -> [(schema, venues)]."""
     return [(s, cfg.SCHEMA_VENUES[s]) for s in dims.mode_schemas(mode)]
+
+
+def check_universe(universe: DataFrame) -> DataFrame:
+    """refuse to plan over an empty universe (the reference exits when no tickers are found)."""
+    if universe.isEmpty():
+        raise ValueError("no symbols in the universe")
+    return universe
+
+
+def reingest(landing: DataFrame, requeued: DataFrame, schema: str, cache_root: str,
+             layout: str = "chunk", ts: str = "ts_event") -> DataFrame:
+    """J11 + C4 ``--fix-quarantine``: rewrite the requeued chunks from landing (force).
+
+    Returns the ingest ledger of those chunks (rows per chunk; 0 when landing has none).
+    """
+    rows = landing_rows(landing, requeued, schema, ts)
+    if layout == "chunk":
+        W.write_chunk_files(rows, cache_root, ts).count()
+    else:
+        W.write_chunks(rows, cache_root, ts=ts)
+    counts = rows.groupBy(*P.CHUNK_KEY).agg(F.count(F.lit(1)).alias("rows"))
+    st = requeued.select(*P.CHUNK_KEY).withColumn("cached", F.lit(False)).withColumn("rows", F.lit(0).cast("bigint"))
+    return P.ingest_ledger(st, counts, force=True)

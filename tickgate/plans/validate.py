@@ -220,3 +220,50 @@ def _check_structs(cfg: ValidationConfig, present: set[str], has_axis: bool) ->
             "coalesce(sample_gaps, CAST(array() AS ARRAY<STRING>))")),
         otherwise=st("I", PASS, _q("no intra-day hourly gaps")))
     return [a, b, c, d, j, e, f, h, i]
+
+
+# ---------------------------------------------------------------------------
+# Layout workflows (VA: flat per-symbol files; VS: the chunk layout)
+# ---------------------------------------------------------------------------
+
+def validate_layout(spark, root: str, cfg: ValidationConfig = ValidationConfig(), *, layout: str = "chunk",
+                    symbol: str | None = None, reports_root: str | None = None,
+                    quarantine_root: str | None = None) -> Validation:
+    """VS / VA: scan a layout with file order, validate per key, persist verdicts, route quarantine.
+
+    * ``layout='chunk'``: ``{root}/{schema}/{symbol}/{venue_safe}/{YYYY-MM}.parquet``;
+      D is judged on each key's file columns (footers).
+    * ``layout='flat'``: ``{root}/{SYMBOL}.parquet``.
+    * ``layout='hive'``: the partitioned layout written by ``sinks.writers.write_chunks``.
+
+    ``reports_root``: one JSON report per key (K4). ``quarantine_root``: the rows of
+    quarantined keys are copied there, partitioned by key (K5); the source is
+    left untouched (a move would lose data if the job failed half-way).
+    """
+    from tickgate.operators import checks as C_
+    from tickgate.sinks import writers as W
+    from tickgate.sources import bars as B
+    from tickgate.sources import files
+
+    keys = list(cfg.keys)
+    missing = None
+    if layout == "flat":
+        df = B.read_flat(spark, root, symbol)
+    else:
+        df = B.read_chunks(spark, root, cfg.schema, symbol=symbol, layout=layout)
+        if layout == "chunk":
+            fc = files.file_columns(spark, root, cfg.schema)
+            if symbol:
+                fc = fc.where(F.col("symbol") == symbol)
+            missing = C_.file_missing_columns(fc, cfg.required(), keys)
+    drop = [c for c in ("schema", "year_month") if c in df.columns and c not in keys]
+    v = validate(df.drop(*drop), cfg, missing_by_key=missing)
+    if reports_root:
+        W.write_reports(v.report, reports_root)
+    if quarantine_root:
+        from tickgate.operators.publishing import quarantine_split
+        _, bad = quarantine_split(df, v.report, keys)
+        (bad.drop(*[c for c in ("file_path", "row_index") if c in bad.columns])
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*keys).parquet(quarantine_root))
+    return v

@@ -29,7 +29,8 @@ def read_flat(spark: SparkSession, data_dir: str, symbol: str | None = None,
     Report files (``*_validation*``) are excluded by the glob on ``.parquet``.
     """
     glob = f"{symbol}.parquet" if symbol else "*.parquet"
-    df = spark.read.option("pathGlobFilter", glob).parquet(data_dir)
+    # Columns are unioned across files (a column absent from one file is NULL there)
+    df = spark.read.option("pathGlobFilter", glob).option("mergeSchema", "true").parquet(data_dir)
     df = with_file_order(df) if file_order else df.withColumn("file_path", F.col("_metadata.file_path"))
     name = F.regexp_extract(F.col("file_path"), r"([^/]+)\.parquet$", 1)
     out = df.withColumn("symbol", name)
@@ -50,13 +51,14 @@ def read_chunks(spark: SparkSession, root: str, schema: str = OHLCV_SCHEMA,
     year_month)`` tree instead, with partition pruning on the same filters.
     """
     if layout == "hive":
-        df = spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/schema={schema}")
+        df = (spark.read.option("basePath", root).option("mergeSchema", "true")
+              .parquet(f"{root.rstrip('/')}/schema={schema}"))
         df = with_file_order(df) if file_order else df
         df = df.withColumn("venue", K.venue_unsafe(F.col("venue_safe"))).drop("venue_safe")
         return df.where(F.col("symbol") == symbol) if symbol else df
     base = f"{root.rstrip('/')}/{schema}"
     pattern = f"{base}/{symbol}" if symbol else base
-    df = (spark.read.option("recursiveFileLookup", "true")
+    df = (spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
           .option("pathGlobFilter", "*.parquet").parquet(pattern))
     df = with_file_order(df) if file_order else df.withColumn("file_path", F.col("_metadata.file_path"))
     rel = K.relpath_under(F.col("file_path"), root)
