@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,11 +56,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+
+    Used on aggregate or join outputs only: the checkpoint's write job then
+    reuses the shuffle files of the first pass (the map stage is skipped), so
+    the input is scanned once. For a plan without a shuffle use
+    ``write_table``, which computes it exactly once.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def write_table(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once as Parquet in the shared checkpoint folder and read it back."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only when a count proves it small; otherwise leave the
     join to the planner (sort-merge, with AQE skew splitting).
