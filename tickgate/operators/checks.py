@@ -175,7 +175,7 @@ def day_table(daily: DataFrame, per_day: DataFrame, cfg: ValidationConfig = Vali
     dd = F.coalesce(F.col("dv"), F.lit(0.0))
     vwap = F.when((F.col("n_kept") > 0) & (vv > 0), dd / F.greatest(vv, F.lit(1.0)))
     w = Window.partitionBy(*keys).orderBy("et_date")
-    d = d.withColumn("vwap", vwap).withColumn("prev_vwap", F.expr("lag(vwap, 1) IGNORE NULLS").over(w))
+    prev = F.expr("lag(vwap, 1) IGNORE NULLS").over(w)
     change = F.abs(F.try_divide(F.col("vwap"), F.col("prev_vwap")) - 1)
     zero_base = (F.col("prev_vwap") == 0) & (F.col("vwap") != 0)
     flagged = F.col("vwap").isNotNull() & F.coalesce(zero_base | (change > F.lit(cfg.corp_event_thresh)),
@@ -187,7 +187,9 @@ def day_table(daily: DataFrame, per_day: DataFrame, cfg: ValidationConfig = Vali
         F.date_format("et_date", "yyyy-MM-dd"), F.lit(": "),
         F.concat(F.lit("["), F.array_join(F.transform(hours, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "),
                  F.lit("]"))))
-    return d.withColumn("flagged", flagged).withColumn("gap_sample", sample)
+    # two projections: the lag needs the day's VWAP as a column
+    d = d.select("*", vwap.alias("vwap")).select("*", prev.alias("prev_vwap"))
+    return d.select("*", flagged.alias("flagged"), sample.alias("gap_sample"))
 
 
 def key_table(day: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:

@@ -58,14 +58,13 @@ def normalize_bars(df: DataFrame, cfg: ValidationConfig = ValidationConfig()) ->
     has_order = all(c in cols for c in ORDER_COLUMNS)
     if has_order:
         out += [F.col("file_path"), F.col("row_index")]
-    base = df.select(*out)
-    et = timez.utc_to_local(F.col("ts_event"), cfg.tz)
-    sod = timez.seconds_of_day(F.col("et"))
-    norm = (base.withColumn("et", et)
-            .withColumn("et_date", F.to_date("et"))
-            .withColumn("in_session",
-                        F.coalesce((sod >= cfg.session_start_s) & (sod < cfg.session_end_s),
-                                   F.lit(False))))
+    # one projection: the local view, its date and the session flag are derived
+    # from the same expression (Catalyst evaluates the common part once)
+    et = timez.utc_to_local(ts, cfg.tz)
+    sod = timez.seconds_of_day(et)
+    norm = df.select(*out, et.alias("et"), F.to_date(et).alias("et_date"),
+                     F.coalesce((sod >= cfg.session_start_s) & (sod < cfg.session_end_s),
+                                F.lit(False)).alias("in_session"))
     return Normalized(norm, tuple(cols), axis, has_order)
 
 

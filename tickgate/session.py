@@ -42,7 +42,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's setting always wins. Only when it is unset (tests, local runs)
     a scratch folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            conf_dir = tempfile.mkdtemp(prefix="tickgate-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current

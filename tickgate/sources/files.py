@@ -103,7 +103,11 @@ def _md5_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def io_tasks(spark: SparkSession) -> int:
     """Task count for per-file I/O work (footers, digests, copies)."""
-    return max(1, spark.sparkContext.defaultParallelism * 4)
+    try:
+        par = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        par = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, par * 4)
 
 
 def file_digests(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
