@@ -281,6 +281,17 @@ def missing_columns(present: tuple[str, ...], required: tuple[str, ...]) -> list
     return [c for c in required if c not in have]
 
 
+def frame_missing_columns(df: DataFrame, required: tuple[str, ...], keys: list[str]) -> DataFrame:
+    """D per key of one frame: every key of ``df`` with the required columns the frame lacks.
+
+    A DataFrame has one schema for all rows, so the list is the same for each
+    key; per-file differences come from ``file_missing_columns``.
+    """
+    miss = missing_columns(tuple(df.columns), required)
+    arr = F.array(*[F.lit(c) for c in miss]).cast("array<string>") if miss else F.array().cast("array<string>")
+    return df.select(*keys).distinct().select(*keys, arr.alias("missing"))
+
+
 def file_missing_columns(file_columns: DataFrame, required: tuple[str, ...],
                          keys: list[str]) -> DataFrame:
     """Per key, the required columns found in none of the key's files.

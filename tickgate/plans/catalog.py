@@ -180,20 +180,23 @@ def q_gap_samples(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def q_required_columns(spark, sf_dir):
+    """D for each symbol of the data against each schema's catalogue.
+
+    The bar frame is checked against ``ohlcv-1h``; the trade-shaped frame against
+    ``trades`` and ``mbp-10`` (which it fails: it has no book columns).
+    """
     ev = _t(spark, sf_dir, "events")
-    frames = {
-        "ohlcv-1h": B.bars_from_events(ev).columns,
-        "trades": B.trades_from_events(ev).columns,
-        "mbp-10": B.trades_from_events(ev).columns,
-    }
-    rows = []
-    for schema, cols in frames.items():
+    frames = [("ohlcv-1h", B.bars_from_events(ev)), ("trades", B.trades_from_events(ev)),
+              ("mbp-10", B.trades_from_events(ev))]
+    out = None
+    for schema, frame in frames:
         req = ValidationConfig(schema=schema).required()
-        miss = C.missing_columns(tuple(cols), req)
-        rows.append((schema, len(req), len(miss), ",".join(miss), "ABORT" if miss else "PASS"))
-    # one row per schema catalogue; the per-file form is C.file_missing_columns
-    return spark.createDataFrame(rows, "schema string, n_required bigint, n_missing bigint, "
-                                       "missing string, status string")
+        m = C.frame_missing_columns(frame, req, ["symbol"]).select(
+            F.lit(schema).alias("schema"), "symbol", F.lit(len(req)).cast("bigint").alias("n_required"),
+            F.size("missing").cast("bigint").alias("n_missing"), F.array_join("missing", ",").alias("missing"),
+            F.when(F.size("missing") > 0, "ABORT").otherwise("PASS").alias("status"))
+        out = m if out is None else out.unionByName(m)
+    return out
 
 
 # ---------------------------------------------------------------------------

@@ -260,11 +260,12 @@ SELECT g.symbol, g.et_date, g.day_no, g.n_missing,
 FROM gappy g WHERE g.day_no <= 5""",
 
     "required_columns": """
-SELECT * FROM (VALUES
-  ('ohlcv-1h', 5, 0, '', 'PASS'),
-  ('trades', 5, 0, '', 'PASS'),
-  ('mbp-10', 11, 6, 'bid_px_00,ask_px_00,bid_sz_00,ask_sz_00,bid_px_01,ask_px_01', 'ABORT'))
-  AS t(schema, n_required, n_missing, missing, status)""",
+SELECT c.schema, s.symbol, c.n_required, c.n_missing, c.missing, c.status
+FROM (SELECT DISTINCT event_type AS symbol FROM events) s,
+     (VALUES ('ohlcv-1h', 5, 0, '', 'PASS'),
+             ('trades', 5, 0, '', 'PASS'),
+             ('mbp-10', 11, 6, 'bid_px_00,ask_px_00,bid_sz_00,ask_sz_00,bid_px_01,ask_px_01', 'ABORT'))
+       AS c(schema, n_required, n_missing, missing, status)""",
 
     "check_results": with_bars(*VALIDATION) + """
 SELECT symbol, "check", severity_rank, status, detail FROM checks""",
