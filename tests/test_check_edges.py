@@ -278,3 +278,26 @@ def test_clean_frame_excludes_quarantined(spark):
     v = validate(bars(spark, rows))
     assert [r["symbol"] for r in v.clean.collect()] == ["OK"]
     assert v.report.where(F.col("quarantine")).count() == 1
+
+
+def test_median_buckets_agree_with_pandas(spark):
+    import random
+
+    import pandas as pd
+
+    from tickgate.operators import checks as C
+    from tickgate.operators.normalize import normalize_bars
+    rnd = random.Random(7)
+    rows = []
+    for sym, n in (("X", 1001), ("Y", 1000), ("Z", 1), ("W", 2)):
+        for i in range(n):
+            price = round(rnd.choice([rnd.uniform(1, 5), rnd.uniform(100, 101), 3.25]), 2)
+            rows.append(bar(f"2024-01-03 15:{i % 60:02d}:00", c=price, symbol=sym))
+    df = bars(spark, rows)
+    want = pd.DataFrame([(r[0], r[6]) for r in rows], columns=["s", "c"]).groupby("s")["c"].median().to_dict()
+    norm = normalize_bars(df).df
+    for nb in (1, 2, 7, 1024):
+        got = {r["symbol"]: r["median_close"] for r in C.median_close(norm, buckets=nb).collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert math.isclose(got[k], want[k], rel_tol=0, abs_tol=1e-12), (nb, k)

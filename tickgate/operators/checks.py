@@ -7,7 +7,8 @@ large share of all rows never lands whole in one task:
 * B, J, E and the daily sums of H are partial (map-side) aggregates by
   (key, ET date); the per-key numbers roll up from that small daily table.
 * A's exact median first collapses the rows to a (key, close) histogram,
-  shuffled on (key, close), then walks the histogram's cumulative counts.
+  shuffled on (key, close), then walks cumulative counts of fixed value
+  buckets and, inside the one or two buckets holding the middle, the values.
 * F and I group by (key, date, ts) first (spreads a hot key over its
   timestamps), then by (key, date) with bounded state: check I only keeps the
   set of filled grid slots, at most 25 per ET day.
@@ -65,23 +66,39 @@ def key_counts(daily: DataFrame, cfg: ValidationConfig = ValidationConfig()) ->
 # ---------------------------------------------------------------------------
 
 def median_close(norm: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                 value: str = "close") -> DataFrame:
-    """Exact median (pandas semantics: NULL skipped, mean of the two middle values).
+                 value: str = "close", buckets: int = 1024) -> DataFrame:
+    """Exact median per key (pandas semantics: NULL skipped, mean of the two middle values).
 
-    Rows are first collapsed to a (key, value) -> count histogram; the walk over
-    cumulative counts then only sees distinct values per key, which is bounded
-    by the price grid, not by the row count.
+    1. rows collapse to a (key, value) -> count histogram, shuffled on (key, value);
+    2. each key's value range is cut into ``buckets`` equal-width buckets and
+       the bucket counts are accumulated (``buckets`` rows per key at most);
+    3. only the one or two buckets holding the middle ranks are walked value by
+       value, partitioned by (key, bucket).
+
+    No step puts all rows, or all distinct values, of one key into one task.
     """
     keys = _k(cfg)
     hist = (norm.where(F.col(value).isNotNull())
             .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt")))
-    w_all = Window.partitionBy(*keys)
-    w_cum = w_all.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (hist.withColumn("n", F.sum("cnt").over(w_all))
-              .withColumn("cum", F.sum("cnt").over(w_cum))
-              .withColumn("lo_rank", F.floor((F.col("n") - 1) / 2) + 1)     # 1-based
-              .withColumn("hi_rank", F.floor(F.col("n") / 2) + 1))
-    # a value covers ranks (cum - cnt, cum]
+    stats = hist.groupBy(*keys).agg(F.sum("cnt").alias("n"), F.min(value).alias("_lo"),
+                                    F.max(value).alias("_hi"))
+    span = F.col("_hi") - F.col("_lo")
+    bucket = F.when(span > 0, F.least(F.floor((F.col(value) - F.col("_lo")) / span * buckets),
+                                      F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+    hb = hist.join(stats, keys).withColumn("bucket", bucket)
+    lo_rank = F.floor((F.col("n") - 1) / 2) + 1          # 1-based ranks of the middle values
+    hi_rank = F.floor(F.col("n") / 2) + 1
+    per_bucket = hb.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("bcnt"), F.first("n").alias("n"))
+    w_b = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum_b = per_bucket.withColumn("bcum", F.sum("bcnt").over(w_b))
+    inside = lambda r: (F.col("bcum") - F.col("bcnt") < r) & (F.col("bcum") >= r)
+    targets = (cum_b.where(inside(lo_rank) | inside(hi_rank))
+               .select(*keys, "bucket", (F.col("bcum") - F.col("bcnt")).alias("before"),
+                       lo_rank.alias("lo_rank"), hi_rank.alias("hi_rank")))
+    cand = hb.select(*keys, "bucket", value, "cnt").join(targets, keys + ["bucket"])
+    w_v = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding,
+                                                                          Window.currentRow)
+    ranked = cand.withColumn("cum", F.col("before") + F.sum("cnt").over(w_v))
     covers = lambda r: (F.col("cum") - F.col("cnt") < r) & (F.col("cum") >= r)
     picked = ranked.where(covers(F.col("lo_rank")) | covers(F.col("hi_rank")))
     return picked.groupBy(*keys).agg(
