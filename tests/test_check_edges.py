@@ -301,3 +301,15 @@ def test_median_buckets_agree_with_pandas(spark):
         assert got.keys() == want.keys()
         for k in want:
             assert math.isclose(got[k], want[k], rel_tol=0, abs_tol=1e-12), (nb, k)
+
+
+def test_quarantine_preview_first_20_and_remainder(spark):
+    from tickgate.operators import verdict as V
+    rows = [bar(utc(JAN, "15:00:00"), symbol=f"S{i:02d}", lo=-1.0) for i in range(25)]
+    rows.append(bar(utc(JAN, "15:00:00"), symbol="OK"))
+    rep = validate(bars(spark, rows)).report
+    p = V.quarantine_preview(rep, ["symbol"]).orderBy("rank").collect()
+    assert [r["symbol"] for r in p] == [f"S{i:02d}" for i in range(20)]
+    assert {(r["n_quarantined"], r["n_more"]) for r in p} == {(25, 5)}
+    s = V.validation_summary(rep).first()
+    assert (s["total"], s["quarantined"], s["passed"] + s["warned"]) == (26, 25, 1)
