@@ -36,17 +36,15 @@ def _bars(spark, sf_dir, wide=False) -> DataFrame:
 
 
 def _bars_table(spark, sf_dir, wide=False) -> DataFrame:
-    """The derived bars, written once to the shared checkpoint folder.
-
-    Validation scans its input more than once (daily table, per-timestamp
-    table, price histogram); cutting the lineage here means the adapter's
-    aggregation runs once, as it would for a bar table on storage.
-    """
+    """The derived bars, written once to the shared checkpoint folder, for
+    queries that both validate and route/publish them (two consumers)."""
     return cut_lineage(_bars(spark, sf_dir, wide))
 
 
 def _validation(spark, sf_dir, wide=False, bars: DataFrame | None = None):
-    return validate(bars if bars is not None else _bars_table(spark, sf_dir, wide), CFG)
+    # validation scans its input once (grouping-sets aggregate), so the adapter
+    # runs inside that scan; queries that also route the bars pass a table
+    return validate(bars if bars is not None else _bars(spark, sf_dir, wide), CFG)
 
 
 # ---------------------------------------------------------------------------

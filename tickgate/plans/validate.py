@@ -58,18 +58,18 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     present = set(norm.present_columns)
     has_axis = norm.time_axis is not None
 
-    daily = C.daily_table(norm.df, cfg)
+    # one scan + one shuffle for the daily table, the per-timestamp counts and
+    # the price histogram; written once to the shared checkpoint folder
+    base = C.base_aggregates(norm.df, cfg)
     if materialize:
-        # written once to the shared checkpoint folder: the per-timestamp join
-        # and the day table both read it (a second aggregation would be a
-        # second full scan of the bars)
-        daily = cut_lineage(daily)
-    per_day = C.gaps_and_duplicates(norm.df, daily, cfg)
+        base = cut_lineage(base)
+    daily, per_ts, hist = C.split_base(base, cfg)
+    per_day = C.gaps_and_duplicates(None, daily, cfg, per_ts=per_ts)
     day = C.day_table(daily, per_day, cfg)
     wide = C.key_table(day, cfg)
     if expected_keys is not None:
         wide = expected_keys.select(*keys).distinct().join(wide, keys, "left").na.fill(0)
-    med = C.median_close(norm.df, cfg)
+    med = C.median_close(None, cfg, hist=hist)
     wide = wide.join(med, keys, "left")
     vwap_days = day.where(F.col("vwap").isNotNull()).select(
         *keys, "et_date", F.coalesce("dv", F.lit(0.0)).alias("dv"), F.coalesce("v", F.lit(0.0)).alias("v"), "vwap")
