@@ -18,6 +18,7 @@ from tickgate.operators import checks as C
 from tickgate.operators import planning as P
 from tickgate.operators import publishing as PB
 from tickgate.operators import verdict as V
+from tickgate.operators.normalize import normalize_bars
 from tickgate.plans.validate import validate
 from tickgate.session import cut_lineage, ensure_checkpoint_dir
 from tickgate.sinks import writers as W
@@ -55,16 +56,24 @@ def q_bars_hourly(spark, sf_dir):
     return _bars(spark, sf_dir)
 
 
+def _norm(spark, sf_dir, wide=False) -> DataFrame:
+    return normalize_bars(_bars(spark, sf_dir, wide), CFG).df
+
+
 def q_session_filter(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    return v.wide.select("symbol", "n_rows_in", F.col("n_kept"),
-                         (F.col("n_rows") - F.col("n_kept")).alias("n_dropped"))
+    k = C.key_counts(C.daily_table(_norm(spark, sf_dir), CFG), CFG)
+    return k.select("symbol", F.col("n_rows").alias("n_rows_in"), "n_kept",
+                    (F.col("n_rows") - F.col("n_kept")).alias("n_dropped"))
+
+
+def _vwap_days(spark, sf_dir) -> DataFrame:
+    daily = C.daily_table(_norm(spark, sf_dir), CFG)
+    return C.daily_vwap(daily.where(F.col("n_kept") > 0), ["symbol"])
 
 
 def q_daily_vwap(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    return v.vwap_days.select("symbol", "et_date", F.round("dv", 4).alias("dv"),
-                              F.round("v", 4).alias("v"), F.round("vwap", 4).alias("vwap"))
+    return _vwap_days(spark, sf_dir).select("symbol", "et_date", F.round("dv", 4).alias("dv"),
+                                            F.round("v", 4).alias("v"), F.round("vwap", 4).alias("vwap"))
 
 
 def _shift_summary(shift: DataFrame, keys) -> DataFrame:
@@ -72,15 +81,18 @@ def _shift_summary(shift: DataFrame, keys) -> DataFrame:
                         F.array_join("corp_event_dates", ",").alias("corp_event_dates"))
 
 
+def _shift(spark, sf_dir) -> DataFrame:
+    days = _vwap_days(spark, sf_dir)
+    return C.vwap_shift(C.vwap_shift_days(days, ["symbol"], thresh=CFG.corp_event_thresh), ["symbol"])
+
+
 def q_vwap_shift(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    shift = C.vwap_shift(C.vwap_shift_days(v.vwap_days, ["symbol"], thresh=CFG.corp_event_thresh), ["symbol"])
-    return _shift_summary(shift, ["symbol"])
+    return _shift_summary(_shift(spark, sf_dir), ["symbol"])
 
 
 def q_corp_event_symbols(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    return V.corp_event_keys(v.check_results, ["symbol"])
+    """Symbols whose check H warns (one row each)."""
+    return _shift(spark, sf_dir).where(F.col("n_corp_event_days") > 0).select("symbol")
 
 
 def q_vwap_shift_lineitem(spark, sf_dir):
@@ -91,18 +103,23 @@ def q_vwap_shift_lineitem(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Step 3: aggregate checks
+# Step 3: aggregate checks (each query runs only its own operator)
 # ---------------------------------------------------------------------------
 
-def _check(v, name: str, *metric_cols: str) -> DataFrame:
-    return (v.check_results.where(F.col("check") == name)
-            .select("symbol", "status", *[F.col("metrics")[m].cast("bigint").alias(m) for m in metric_cols]))
+def _grade(abort: F.Column, warn: F.Column | None = None) -> F.Column:
+    st = F.when(abort, F.lit("ABORT"))
+    if warn is not None:
+        st = st.when(warn, F.lit("WARNING"))
+    return st.otherwise(F.lit("PASS"))
 
 
 def q_price_scale_guard(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    return (v.check_results.where(F.col("check") == "A")
-            .select("symbol", "status", F.round(F.col("metrics")["median_close"], 4).alias("median_close")))
+    norm = _norm(spark, sf_dir)
+    med = C.median_close(norm, CFG)
+    keys = norm.select("symbol").distinct()
+    m = F.col("median_close")
+    return keys.join(med, "symbol", "left").select(
+        "symbol", _grade(m > CFG.price_median_max).alias("status"), F.round(m, 4).alias("median_close"))
 
 
 def q_price_scale_guard_orders(spark, sf_dir):
@@ -110,31 +127,40 @@ def q_price_scale_guard_orders(spark, sf_dir):
     cfg = ValidationConfig(keys=("o_orderpriority",))
     med = C.median_close(o.withColumnRenamed("o_totalprice", "close"), cfg)
     return med.select("o_orderpriority", F.round("median_close", 4).alias("median_price"),
-                      F.when(F.col("median_close") > cfg.price_median_max, "ABORT").otherwise("PASS")
-                      .alias("status"))
+                      _grade(F.col("median_close") > cfg.price_median_max).alias("status"))
+
+
+def _counts(spark, sf_dir) -> DataFrame:
+    return C.key_counts(C.daily_table(_norm(spark, sf_dir), CFG), CFG)
 
 
 def q_nonpositive_prices(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    return v.wide.select("symbol", "n_bad_ohlc", "n_neg_volume", "n_zero_volume",
-                         F.when((F.col("n_bad_ohlc") > 0) | (F.col("n_neg_volume") > 0), "ABORT")
-                         .otherwise("PASS").alias("status"))
+    return _counts(spark, sf_dir).select(
+        "symbol", "n_bad_ohlc", "n_neg_volume", "n_zero_volume",
+        _grade((F.col("n_bad_ohlc") > 0) | (F.col("n_neg_volume") > 0)).alias("status"))
 
 
 def q_ohlc_sanity(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    return _check(v, "J").join(
-        v.wide.select("symbol", "n_bad_high", "n_bad_low", "n_bad_high_low"), "symbol")
+    bad = F.col("n_bad_high") + F.col("n_bad_low") + F.col("n_bad_high_low")
+    return _counts(spark, sf_dir).select("symbol", _grade(bad > 0).alias("status"),
+                                         "n_bad_high", "n_bad_low", "n_bad_high_low")
+
+
+def _per_day(spark, sf_dir, wide=False) -> tuple[DataFrame, DataFrame]:
+    norm = _norm(spark, sf_dir, wide)
+    daily = C.daily_table(norm, CFG)
+    return C.gaps_and_duplicates(norm, daily, CFG), norm.select("symbol").distinct()
 
 
 def q_duplicate_bars(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    return _check(v, "F").join(v.wide.select("symbol", F.coalesce("n_dups", F.lit(0)).alias("n_dups")), "symbol")
+    per_day, keys = _per_day(spark, sf_dir)
+    d = per_day.groupBy("symbol").agg(F.sum("n_dups").cast("bigint").alias("n_dups"))
+    j = keys.join(d, "symbol", "left").select("symbol", F.coalesce("n_dups", F.lit(0)).cast("bigint").alias("n_dups"))
+    return j.select("symbol", _grade(F.lit(False), F.col("n_dups") > 0).alias("status"), "n_dups")
 
 
 def q_duplicate_rows(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    d = C.duplicate_copies(v.norm.df.where("in_session"), CFG, order=["venue"])
+    d = C.duplicate_copies(_norm(spark, sf_dir).where("in_session"), CFG, order=["venue"])
     return d.select("symbol", "ts_event", "venue", d["copy_no"].cast("bigint").alias("copy_no"))
 
 
@@ -153,22 +179,26 @@ def q_order_violations_blocked(spark, sf_dir):
     return C.order_violations(o, ["o_orderpriority"], ts="o_orderdate", block_rows=97)
 
 
-def _gaps(v) -> DataFrame:
-    return v.wide.select("symbol", F.coalesce("n_missing_bars", F.lit(0)).alias("n_missing_bars"),
-                         F.coalesce("n_days_gappy", F.lit(0)).alias("n_days_gappy"))
+def _gaps(spark, sf_dir, wide=False) -> DataFrame:
+    per_day, keys = _per_day(spark, sf_dir, wide)
+    g = per_day.groupBy("symbol").agg(F.sum("n_missing").cast("bigint").alias("n_missing_bars"),
+                                      F.count_if(F.col("n_missing") > 0).cast("bigint").alias("n_days_gappy"))
+    return keys.join(g, "symbol", "left").select(
+        "symbol", F.coalesce("n_missing_bars", F.lit(0)).cast("bigint").alias("n_missing_bars"),
+        F.coalesce("n_days_gappy", F.lit(0)).cast("bigint").alias("n_days_gappy"))
 
 
 def q_hourly_gaps(spark, sf_dir):
-    return _gaps(_validation(spark, sf_dir))
+    return _gaps(spark, sf_dir)
 
 
 def q_hourly_gaps_wide(spark, sf_dir):
-    return _gaps(_validation(spark, sf_dir, wide=True))
+    return _gaps(spark, sf_dir, wide=True)
 
 
 def q_gap_samples(spark, sf_dir):
-    v = _validation(spark, sf_dir)
-    s = C.gap_samples(v.per_day, CFG)
+    per_day, _ = _per_day(spark, sf_dir)
+    s = C.gap_samples(per_day, CFG)
     return s.select("symbol", "et_date", s["day_no"].cast("bigint").alias("day_no"), "n_missing",
                     F.array_join("missing_hours", ",").alias("missing_hours"))
 
