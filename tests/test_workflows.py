@@ -221,3 +221,18 @@ def test_fix_quarantine_reingests_chunks(spark, landing, cache):
 def test_empty_universe_is_refused(spark):
     with pytest.raises(ValueError):
         I.check_universe(spark.createDataFrame([], "symbol string"))
+
+
+def test_hive_partition_values_stay_strings(spark, tmp_path):
+    import datetime as dt
+    rows = [("00", "XNAS.ITCH", dt.datetime(2024, 1, 3, 15), 1.0, 1.0, 1.0, 1.0, 1.0, "ohlcv-1h")]
+    df = spark.createDataFrame(rows, "symbol string, venue string, ts_event timestamp_ntz, open double, "
+                                     "high double, low double, close double, volume double, schema string")
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
+    try:
+        W.write_chunks(df, str(tmp_path / "h"))
+        back = B.read_chunks(spark, str(tmp_path / "h"), OHLCV_SCHEMA, layout="hive", file_order=False)
+        assert [r["symbol"] for r in back.collect()] == ["00"]
+        assert dict(back.dtypes)["symbol"] == "string"
+    finally:
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickgate.config import LIT_VENUES, OHLCV_SCHEMA, QUARANTINE_PART
 from tickgate.functions import keys as K
 
+HIVE_PARTS = ("schema", "symbol", "venue_safe", "year_month")
+
 # Test-adapter venues: user_id % 3 picks one of the first three lit venues.
 ADAPTER_VENUES = LIT_VENUES[:3]
 
@@ -51,8 +54,14 @@ def read_chunks(spark: SparkSession, root: str, schema: str = OHLCV_SCHEMA,
     year_month)`` tree instead, with partition pruning on the same filters.
     """
     if layout == "hive":
-        df = (spark.read.option("basePath", root).option("mergeSchema", "true")
-              .parquet(f"{root.rstrip('/')}/schema={schema}"))
+        base = f"{root.rstrip('/')}/schema={schema}"
+        # data columns from the footers (no partition discovery), then the
+        # partition columns typed as strings: with type inference a symbol such
+        # as '00' would come back as the integer 0
+        data = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(base).schema
+        full = T.StructType([f for f in data.fields if f.name not in HIVE_PARTS]
+                            + [T.StructField(c, T.StringType()) for c in HIVE_PARTS])
+        df = spark.read.schema(full).option("basePath", root).parquet(base)
         df = with_file_order(df) if file_order else df
         df = df.withColumn("venue", K.venue_unsafe(F.col("venue_safe"))).drop("venue_safe")
         return df.where(F.col("symbol") == symbol) if symbol else df
