@@ -29,14 +29,16 @@ def write_chunks(df: DataFrame, root: str, mode: str = "overwrite", ts: str = "t
     """K1/K3: Hive-partitioned chunk layout ``schema=/symbol=/venue_safe=/year_month=``.
 
     Rows are clustered by chunk and sorted by time inside each file. Only the
-    chunks present in ``df`` are replaced.
+    chunks present in ``df`` are replaced. The ``rebalance`` hint clusters by
+    chunk while letting AQE split an oversized chunk over several tasks (and
+    files) and merge tiny ones, so a hot chunk is never written by one task.
     """
     out = df
     if "year_month" not in out.columns:
         out = out.withColumn("year_month", K.year_month_of(F.col(ts)))
     out = out.withColumn("venue_safe", K.venue_safe(F.col("venue"))).drop("venue")
     parts = ["schema", "symbol", "venue_safe", "year_month"]
-    out = out.repartition(*parts).sortWithinPartitions(*parts, ts)
+    out = out.hint("rebalance", *parts).sortWithinPartitions(*parts, ts)
     w = (out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*parts))
     _parquet(w).parquet(root)
 
@@ -88,7 +90,9 @@ def write_chunk_files(df: DataFrame, root: str, ts: str = "ts_event",
 
     Each chunk is hashed to one task, sorted by time and streamed to its own
     file (``.tmp`` then rename). Returns the lazy ledger (chunk key, path,
-    rows, size_bytes); the files are written when it is evaluated.
+    rows, size_bytes); the files are written when it is evaluated. One file
+    per chunk means one writer per chunk; for very large chunks prefer
+    ``write_chunks`` (Hive layout), which splits them.
     """
     out = df if "year_month" in df.columns else df.withColumn("year_month", K.year_month_of(F.col(ts)))
     key = ["schema", "symbol", "venue", "year_month"]
@@ -123,7 +127,8 @@ def write_warehouse(df: DataFrame, root: str, schema: str) -> str:
     rows clustered by (symbol, venue) inside each day. Callers pass only rows
     not yet in the load ledger (``operators.publishing.load_ledger``)."""
     path = f"{root.rstrip('/')}/{schema.replace('-', '_')}"
-    out = warehouse_frame(df).repartition("dt").sortWithinPartitions("dt", "symbol", "venue")
+    # rebalance: clustered by day, but a heavy day is split over several tasks
+    out = warehouse_frame(df).hint("rebalance", "dt").sortWithinPartitions("dt", "symbol", "venue")
     _parquet(out.write.mode("append").partitionBy("dt")).parquet(path)
     return path
 
