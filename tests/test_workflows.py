@@ -138,8 +138,9 @@ def test_publish_twice_is_idempotent(spark, landing, cache, tmp_path):
     wh_rows = spark.read.parquet(f"{wh}/ohlcv_1h").count()
     assert wh_rows == landing.join(rep.where("NOT quarantine"), "symbol", "left_semi").count()
     before = sorted(tuple(r) for r in files.file_digests(spark, target).select("path", "md5").collect())
-    r2 = publish(spark, root, OHLCV_SCHEMA, chunks, rep, target, wh, load_ledger=r1.loaded)
+    r2 = publish(spark, root, OHLCV_SCHEMA, chunks, rep, target, wh, load_ledger=r1.loaded, verify_existing=True)
     s2 = r2.summary.first()
+    assert {r["digest_match"] for r in r2.ledger.where("skipped").collect()} == {True}
     assert (s2["uploaded"], s2["skipped"], s2["table_loaded"]) == (0, n_ok, 0)
     assert spark.read.parquet(f"{wh}/ohlcv_1h").count() == wh_rows
     after = sorted(tuple(r) for r in files.file_digests(spark, target).select("path", "md5").collect())

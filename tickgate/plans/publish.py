@@ -44,37 +44,62 @@ def _copier(target_root: str):
     return copy
 
 
-def existing_objects(spark: SparkSession, target_root: str) -> DataFrame:
-    """(blob_name, size_bytes, md5) of objects already under the target."""
+def _target_uri(target_root: str, blob: F.Column) -> F.Column:
+    return F.concat(F.lit(target_root.rstrip("/") + "/"), blob)
+
+
+def existing_objects(spark: SparkSession, target_root: str, digests: bool = False,
+                     only: DataFrame | None = None) -> DataFrame:
+    """(blob_name, size_bytes, md5) of objects already under the target.
+
+    A listing reads no bytes; ``digests=True`` also hashes the objects, and
+    ``only`` (a frame with ``blob_name``) limits that to the objects of interest.
+    """
     import os
     local = target_root.replace("file://", "")
     if "://" not in target_root and not os.path.isdir(local):
         return spark.createDataFrame([], "blob_name string, size_bytes bigint, md5 string")
-    d = files.file_digests(spark, target_root)
     root = local.rstrip("/") + "/"
+    listing = files.list_files(spark, target_root)
     rel = F.regexp_replace(F.regexp_replace("path", r"^file:(//)?", ""), "^" + root, "")
-    return d.select(rel.alias("blob_name"), "size_bytes", "md5")
+    objs = listing.select("path", rel.alias("blob_name"), "size_bytes")
+    if only is not None:
+        objs = objs.join(only.select("blob_name").distinct(), "blob_name", "left_semi")
+    if not digests:
+        return objs.select("blob_name", "size_bytes", F.lit(None).cast("string").alias("md5"))
+    d = files.digests_of(objs.select("path"))
+    return objs.join(d.select("path", "md5"), "path", "left").select("blob_name", "size_bytes", "md5")
 
 
 def publish(spark: SparkSession, cache_root: str, schema: str, chunks: DataFrame, report: DataFrame,
             target_root: str,
             warehouse_root: str | None = None, load_ledger: DataFrame | None = None,
-            overwrite: bool = False, require_report: bool = False,
+            overwrite: bool = False, require_report: bool = False, verify_existing: bool = False,
             prefix: str = PUBLISH_PREFIX) -> PublishResult:
-    """C5 for one schema. ``chunks``: its chunk probe (key, path, rows, size_bytes)."""
-    local = files.file_digests(spark, f"{cache_root.rstrip('/')}/{schema}").select("path", "md5")
+    """C5 for one schema. ``chunks``: its chunk probe (key, path, rows, size_bytes).
+
+    Only the chunks being published are hashed; the target is listed (no bytes
+    read) to find existing objects, and only the objects copied in this run are
+    re-read to verify them. ``verify_existing`` also hashes the existing
+    objects that would be skipped (D-09); otherwise their ``digest_match`` is NULL.
+    """
     gated = PB.with_blob_name(PB.publish_gate(chunks.drop("md5"), report, require_report=require_report), prefix)
-    gated = gated.join(local, "path", "left")
-    ledger = PB.publish_ledger(gated, existing_objects(spark, target_root), target_root, overwrite)
+    local = files.digests_of(gated.where(F.col("decision") == "publish").select("path"))
+    gated = gated.join(local.select("path", "md5"), "path", "left")
+    existing = existing_objects(spark, target_root, digests=verify_existing, only=gated)
+    ledger = PB.publish_ledger(gated, existing, target_root, overwrite)
     ledger = ledger.join(gated.select("blob_name", "path"), "blob_name", "left")
     # reliable checkpoint: the outcome is fixed before any object is written
     ledger = cut_lineage(ledger)
     to_copy = ledger.where(F.col("success") & ~F.col("skipped"))
     to_copy.select("path", "blob_name").repartition(files.io_tasks(spark), "blob_name") \
         .mapInPandas(_copier(target_root), "blob_name string").count()
-    after = existing_objects(spark, target_root).select("blob_name", F.col("md5").alias("_remote"))
+    copied = files.digests_of(to_copy.select(_target_uri(target_root, F.col("blob_name")).alias("path")))
+    after = (to_copy.select("blob_name", _target_uri(target_root, F.col("blob_name")).alias("path"))
+             .join(copied.select("path", F.col("md5").alias("_remote")), "path", "left").drop("path"))
     verified = (ledger.join(after, "blob_name", "left")
-                .withColumn("digest_match", F.when(F.col("success"), F.col("md5") == F.col("_remote")))
+                .withColumn("digest_match", F.when(F.col("success") & ~F.col("skipped"), F.col("md5") == F.col("_remote"))
+                            .otherwise(F.col("digest_match")))
                 .withColumn("success", F.col("success") & F.coalesce(F.col("digest_match"), F.lit(True)))
                 .drop("_remote"))
     manifest = PB.manifest_build(PB.manifest_entries(verified))

@@ -88,19 +88,30 @@ def _md5_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for pdf in batches:
         out = []
-        for p, n in zip(pdf["path"], pdf["size_bytes"]):
+        for p in pdf["path"]:
             fs, rel = pafs.FileSystem.from_uri(arrow_uri(p))
             h = hashlib.md5()
-            with fs.open_input_stream(rel) as fh:
-                while True:
-                    block = fh.read(1 << 20)
-                    if not block:
-                        break
-                    h.update(block)
-            out.append((p, int(n), h.hexdigest()))
+            n = 0
+            try:
+                with fs.open_input_stream(rel) as fh:
+                    while True:
+                        block = fh.read(1 << 20)
+                        if not block:
+                            break
+                        n += len(block)
+                        h.update(block)
+                out.append((p, n, h.hexdigest()))
+            except FileNotFoundError:
+                out.append((p, None, None))
         yield pd.DataFrame(out, columns=["path", "size_bytes", "md5"])
 
 
+def digests_of(paths: DataFrame) -> DataFrame:
+    """(path, size_bytes, md5) for the listed ``path`` values only (missing files give NULLs)."""
+    return (paths.select("path").distinct().repartition(io_tasks(paths.sparkSession), "path")
+            .mapInPandas(_md5_files, "path string, size_bytes bigint, md5 string"))
+
+
 def io_tasks(spark: SparkSession) -> int:
     """Task count for per-file I/O work (footers, digests, copies)."""
     try:
@@ -119,9 +130,7 @@ def file_digests(spark: SparkSession, root: str, glob: str = "*.parquet") -> Dat
     number of tasks: a list of paths is tiny, and adaptive coalescing would
     otherwise fold it into one serial task.
     """
-    listing = list_files(spark, root, glob).select("path", "size_bytes")
-    return listing.repartition(io_tasks(spark), "path").mapInPandas(
-        _md5_files, "path string, size_bytes bigint, md5 string")
+    return digests_of(list_files(spark, root, glob))
 
 
 def b64_to_hex(b64: Column) -> Column:
