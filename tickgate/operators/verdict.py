@@ -101,8 +101,10 @@ def abort_reasons(check_long: DataFrame, keys: list[str]) -> DataFrame:
 
 def quarantine_preview(report_df: DataFrame, keys: list[str], n: int = 20) -> DataFrame:
     """The first ``n`` quarantined keys (by key order) and how many more there are."""
-    q = report_df.where(F.col("quarantine")).select(*keys)
-    # top-n is a take-ordered (each task keeps n rows); the total is a scalar subquery
+    from tickgate.session import cut_lineage
+    # one row per quarantined key, written once: the top-n (a take-ordered, each
+    # task keeps n rows) and the total (a scalar subquery) both read it
+    q = cut_lineage(report_df.where(F.col("quarantine")).select(*keys))
     top = q.orderBy(*keys).limit(n)
     n_q = q.agg(F.count(F.lit(1))).scalar()
     return (top.withColumn("rank", F.row_number().over(Window.orderBy(*keys)))

@@ -468,6 +468,20 @@ def q_validate_landed(spark, sf_dir):
                            "n_rows_in", "n_rows_out")
 
 
+def q_quarantine_preview(spark, sf_dir):
+    """The first 20 quarantined symbols in symbol order, with the count of the rest."""
+    v = _validation(spark, sf_dir)
+    p = V.quarantine_preview(v.report, ["symbol"], n=20)
+    return p.select("symbol", p["rank"].cast("bigint").alias("rank"), "n_quarantined",
+                    p["n_more"].cast("bigint").alias("n_more"))
+
+
+def q_stream_row_checks(spark, sf_dir):
+    """The streaming module's per-(symbol, ET day) row checks, run over the whole bar table."""
+    from tickgate.streaming.landing import row_checks
+    return row_checks(_bars(spark, sf_dir), CFG)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_hourly": q_bars_hourly,
     "session_filter": q_session_filter,
@@ -512,6 +526,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_paths": q_chunk_paths,
     "month_bounds": q_month_bounds,
     "validate_landed": q_validate_landed,
+    "quarantine_preview": q_quarantine_preview,
+    "stream_row_checks": q_stream_row_checks,
 }
 
 __all__ = ["QUERIES"]

@@ -442,3 +442,21 @@ SELECT DISTINCT year_month, start, "end" FROM plan""",
 
     "validate_landed": ORACLE["validation_report"],
 })
+
+
+ORACLE["quarantine_preview"] = with_bars(*VALIDATION) + """
+SELECT symbol, row_number() OVER (ORDER BY symbol) AS rank,
+       (SELECT count(*) FROM report WHERE quarantine) AS n_quarantined,
+       greatest((SELECT count(*) FROM report WHERE quarantine) - 20, 0) AS n_more
+FROM report WHERE quarantine
+ORDER BY symbol LIMIT 20"""
+
+ORACLE["stream_row_checks"] = with_bars() + """
+SELECT symbol, et_date, count(*) AS n_rows,
+       count_if(open <= 0) + count_if(high <= 0) + count_if(low <= 0) + count_if(close <= 0) AS n_bad_ohlc,
+       count_if(volume < 0) AS n_neg_volume,
+       count_if(high < open OR high < close) AS n_bad_high,
+       count_if(low > open OR low > close) AS n_bad_low,
+       count_if(high < low) AS n_bad_high_low,
+       count_if(in_session) AS n_kept
+FROM nb GROUP BY symbol, et_date"""
