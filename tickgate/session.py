@@ -56,6 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is invisible to executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) "
+                               "for lineage cuts on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="tickgate-ckpt-")
         os.makedirs(conf_dir, exist_ok=True)
     sc.setCheckpointDir(conf_dir)
