@@ -135,35 +135,37 @@ def median_close(norm: DataFrame | None, cfg: ValidationConfig = ValidationConfi
        value, partitioned by (key, bucket).
 
     No step puts all rows, or all distinct values, of one key into one task.
+    Written as one SQL statement over the histogram (one analysis of the plan).
     """
     keys = _k(cfg)
     if hist is None:
         hist = (norm.where(F.col(value).isNotNull())
                 .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt")))
-    stats = hist.groupBy(*keys).agg(F.sum("cnt").alias("n"), F.min(value).alias("_lo"),
-                                    F.max(value).alias("_hi"))
-    span = F.col("_hi") - F.col("_lo")
-    bucket = F.when(span > 0, F.least(F.floor((F.col(value) - F.col("_lo")) / span * buckets),
-                                      F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    hb = hist.join(stats, keys).withColumn("bucket", bucket)
-    lo_rank = F.floor((F.col("n") - 1) / 2) + 1          # 1-based ranks of the middle values
-    hi_rank = F.floor(F.col("n") / 2) + 1
-    per_bucket = hb.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("bcnt"), F.first("n").alias("n"))
-    w_b = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum_b = per_bucket.withColumn("bcum", F.sum("bcnt").over(w_b))
-    inside = lambda r: (F.col("bcum") - F.col("bcnt") < r) & (F.col("bcum") >= r)
-    targets = (cum_b.where(inside(lo_rank) | inside(hi_rank))
-               .select(*keys, "bucket", (F.col("bcum") - F.col("bcnt")).alias("before"),
-                       lo_rank.alias("lo_rank"), hi_rank.alias("hi_rank")))
-    cand = hb.select(*keys, "bucket", value, "cnt").join(targets, keys + ["bucket"])
-    w_v = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding,
-                                                                          Window.currentRow)
-    ranked = cand.withColumn("cum", F.col("before") + F.sum("cnt").over(w_v))
-    covers = lambda r: (F.col("cum") - F.col("cnt") < r) & (F.col("cum") >= r)
-    picked = ranked.where(covers(F.col("lo_rank")) | covers(F.col("hi_rank")))
-    return picked.groupBy(*keys).agg(
-        ((F.max(F.when(covers(F.col("lo_rank")), F.col(value)))
-          + F.max(F.when(covers(F.col("hi_rank")), F.col(value)))) / 2).alias("median_close"))
+    k = ", ".join(f"`{c}`" for c in keys)
+    nb = int(buckets)
+    covers = "({c} - {n} < {r} AND {c} >= {r})"
+    lo_b, hi_b = covers.format(c="bcum", n="bcnt", r="lo_rank"), covers.format(c="bcum", n="bcnt", r="hi_rank")
+    lo_v, hi_v = covers.format(c="cum", n="cnt", r="lo_rank"), covers.format(c="cum", n="cnt", r="hi_rank")
+    sql = f"""
+    WITH h AS (SELECT {k}, `{value}` AS v, cnt FROM {{hist}}),
+    s AS (SELECT {k}, sum(cnt) AS n, min(v) AS lo, max(v) AS hi FROM h GROUP BY {k}),
+    hb AS (SELECT {k}, v, cnt,
+                  CAST(CASE WHEN hi > lo THEN least(floor((v - lo) / (hi - lo) * {nb}), {nb - 1}) ELSE 0 END AS INT)
+                    AS bucket
+           FROM h JOIN s USING ({k})),
+    pb AS (SELECT {k}, bucket, sum(cnt) AS bcnt FROM hb GROUP BY {k}, bucket),
+    cb AS (SELECT pb.*, floor((s.n - 1) / 2) + 1 AS lo_rank, floor(s.n / 2) + 1 AS hi_rank,
+                  sum(bcnt) OVER (PARTITION BY {', '.join(f'pb.`{c}`' for c in keys)} ORDER BY bucket
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bcum
+           FROM pb JOIN s USING ({k})),
+    tg AS (SELECT {k}, bucket, bcum - bcnt AS before, lo_rank, hi_rank FROM cb WHERE {lo_b} OR {hi_b}),
+    rk AS (SELECT {k}, bucket, v, cnt, lo_rank, hi_rank,
+                  before + sum(cnt) OVER (PARTITION BY {k}, bucket ORDER BY v
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+           FROM hb JOIN tg USING ({k}, bucket))
+    SELECT {k}, (max(CASE WHEN {lo_v} THEN v END) + max(CASE WHEN {hi_v} THEN v END)) / 2 AS median_close
+    FROM rk WHERE {lo_v} OR {hi_v} GROUP BY {k}"""
+    return hist.sparkSession.sql(sql, hist=hist)
 
 
 def median_close_approx(norm: DataFrame, cfg: ValidationConfig = ValidationConfig(),
@@ -238,6 +240,15 @@ def gaps_and_duplicates(norm: DataFrame | None, daily: DataFrame,
             .drop("filled"))
 
 
+def _iso_local_sql(utc: str, tz: str) -> str:
+    """SQL text of ``functions.timez.iso_local``: local wall clock plus '+hh:mm' offset."""
+    loc = f"convert_timezone('UTC', '{tz}', {utc})"
+    m = f"timestampdiff(MINUTE, {utc}, {loc})"
+    return (f"concat(date_format({loc}, 'yyyy-MM-dd HH:mm:ss'), "
+            f"format_string('%s%02d:%02d', IF({m} < 0, '-', '+'), CAST(abs({m}) DIV 60 AS INT), "
+            f"CAST(abs({m}) % 60 AS INT)))")
+
+
 def day_table(daily: DataFrame, per_day: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
     """One row per (key, ET date) with everything the per-key roll-up needs.
 
@@ -247,27 +258,28 @@ def day_table(daily: DataFrame, per_day: DataFrame, cfg: ValidationConfig = Vali
     most: the calendar bounds it, not the data).
     """
     keys = _k(cfg)
-    pd_cols = per_day.select(*keys, "et_date", "n_dups", "n_missing", "missing_slots")
-    d = daily.join(pd_cols, keys + ["et_date"], "left")
-    vv = F.coalesce(F.col("v"), F.lit(0.0))
-    dd = F.coalesce(F.col("dv"), F.lit(0.0))
-    vwap = F.when((F.col("n_kept") > 0) & (vv > 0), dd / F.greatest(vv, F.lit(1.0)))
-    w = Window.partitionBy(*keys).orderBy("et_date")
-    prev = F.expr("lag(vwap, 1) IGNORE NULLS").over(w)
-    change = F.abs(F.try_divide(F.col("vwap"), F.col("prev_vwap")) - 1)
-    zero_base = (F.col("prev_vwap") == 0) & (F.col("vwap") != 0)
-    flagged = F.col("vwap").isNotNull() & F.coalesce(zero_base | (change > F.lit(cfg.corp_event_thresh)),
-                                                     F.lit(False))
-    hours = F.transform(
-        F.slice("missing_slots", 1, cfg.i_sample_hours),
-        lambda k: timez.iso_local(timez.plus_seconds(F.col("t_first"), k * cfg.grid_seconds), cfg.tz))
-    sample = F.when(F.col("n_missing") > 0, F.concat(
-        F.date_format("et_date", "yyyy-MM-dd"), F.lit(": "),
-        F.concat(F.lit("["), F.array_join(F.transform(hours, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "),
-                 F.lit("]"))))
-    # two projections: the lag needs the day's VWAP as a column
-    d = d.select("*", vwap.alias("vwap")).select("*", prev.alias("prev_vwap"))
-    return d.select("*", flagged.alias("flagged"), sample.alias("gap_sample"))
+    k = ", ".join(f"`{c}`" for c in keys)
+    slot_ts = f"t_first + make_dt_interval(0, 0, 0, CAST(x * {int(cfg.grid_seconds)} AS DECIMAL(18, 6)))"
+    sql = f"""
+    WITH j AS (
+      SELECT * FROM {{daily}}
+      LEFT JOIN (SELECT {k}, et_date, n_dups, n_missing, missing_slots FROM {{per_day}}) USING ({k}, et_date)),
+    w AS (
+      SELECT *, CASE WHEN n_kept > 0 AND coalesce(v, 0D) > 0
+                     THEN coalesce(dv, 0D) / greatest(coalesce(v, 0D), 1D) END AS vwap FROM j),
+    l AS (
+      SELECT *, lag(vwap, 1) IGNORE NULLS OVER (PARTITION BY {k} ORDER BY et_date) AS prev_vwap FROM w)
+    SELECT *,
+      vwap IS NOT NULL AND coalesce((prev_vwap = 0 AND vwap <> 0)
+                                    OR abs(try_divide(vwap, prev_vwap) - 1) > {float(cfg.corp_event_thresh)!r},
+                                    false) AS flagged,
+      CASE WHEN n_missing > 0 THEN concat(
+        date_format(et_date, 'yyyy-MM-dd'), ': [',
+        array_join(transform(slice(missing_slots, 1, {int(cfg.i_sample_hours)}),
+                             x -> concat("'", {_iso_local_sql(slot_ts, cfg.tz)}, "'")), ', '),
+        ']') END AS gap_sample
+    FROM l"""
+    return daily.sparkSession.sql(sql, daily=daily, per_day=per_day)
 
 
 def key_table(day: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
@@ -276,20 +288,24 @@ def key_table(day: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> Dat
     Lists are bounded: corp-event dates by the key's calendar days, gap samples
     by ``i_sample_days``.
     """
+    keys = _k(cfg)
+    k = ", ".join(f"`{c}`" for c in keys)
     names = ["n_rows", "n_null_ts", "n_close", "n_bad_ohlc", "n_neg_volume", "n_zero_volume",
              "n_bad_high", "n_bad_low", "n_bad_high_low", "n_kept"]
-    gappy = F.col("n_missing") > 0
-    return day.groupBy(*_k(cfg)).agg(
-        *[F.sum(x).cast("bigint").alias(x) for x in names],
-        F.coalesce(F.sum("n_dups"), F.lit(0)).cast("bigint").alias("n_dups"),
-        F.coalesce(F.sum("n_missing"), F.lit(0)).cast("bigint").alias("n_missing_bars"),
-        F.count_if(gappy).cast("bigint").alias("n_days_gappy"),
-        F.count("vwap").cast("bigint").alias("n_vwap_days"),
-        F.count_if("flagged").cast("bigint").alias("n_corp_event_days"),
-        F.array_sort(F.collect_list(F.when(F.col("flagged"), F.date_format("et_date", "yyyy-MM-dd"))))
-        .alias("corp_event_dates"),
-        F.transform(F.slice(F.array_sort(F.collect_list(F.when(gappy, F.struct("et_date", "gap_sample")))),
-                            1, cfg.i_sample_days), lambda x: x["gap_sample"]).alias("sample_gaps"))
+    sums = ", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in names)
+    sql = f"""
+    SELECT {k}, {sums},
+      CAST(coalesce(sum(n_dups), 0) AS BIGINT) AS n_dups,
+      CAST(coalesce(sum(n_missing), 0) AS BIGINT) AS n_missing_bars,
+      CAST(count_if(n_missing > 0) AS BIGINT) AS n_days_gappy,
+      CAST(count(vwap) AS BIGINT) AS n_vwap_days,
+      CAST(count_if(flagged) AS BIGINT) AS n_corp_event_days,
+      array_sort(collect_list(CASE WHEN flagged THEN date_format(et_date, 'yyyy-MM-dd') END)) AS corp_event_dates,
+      transform(slice(array_sort(collect_list(
+                  CASE WHEN n_missing > 0 THEN named_struct('et_date', et_date, 'gap_sample', gap_sample) END)),
+                1, {int(cfg.i_sample_days)}), x -> x.gap_sample) AS sample_gaps
+    FROM {{day}} GROUP BY {k}"""
+    return day.sparkSession.sql(sql, day=day)
 
 
 def duplicate_copies(norm: DataFrame, cfg: ValidationConfig = ValidationConfig(),
