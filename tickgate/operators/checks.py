@@ -215,29 +215,34 @@ def gaps_and_duplicates(norm: DataFrame | None, daily: DataFrame,
 
     The grid of a day starts at its first in-session bar and steps by
     ``grid_seconds`` up to the last one; a slot is filled only by a bar stamped
-    exactly on it.
+    exactly on it. ``per_ts`` (in-session rows counted per timestamp) is joined
+    with the day's anchors (one row per key and day: AQE broadcasts it when the
+    measured table is small and splits skewed partitions otherwise); the day's
+    filled slots are a set of at most 25 numbers.
     """
     keys = _k(cfg)
-    grid_us = cfg.grid_seconds * 1_000_000
     if per_ts is None:
         per_ts = (norm.where(F.col("in_session"))
                   .groupBy(*keys, "et_date", "ts_event").agg(F.count(F.lit(1)).alias("cnt")))
-    # one row per (key, day): AQE turns this join into a broadcast at run time
-    # when the measured table is small, and splits skewed partitions otherwise
-    anchors = daily.where(F.col("n_kept") > 0).select(*keys, "et_date", "t_first", "t_last")
-    off = timez.micros_between(F.col("t_first"), F.col("ts_event"))
-    slotted = (per_ts.join(anchors, keys + ["et_date"], "inner")
-               .withColumn("slot", F.when(off % grid_us == 0, (off / grid_us).cast("int"))))
-    per_day = slotted.groupBy(*keys, "et_date").agg(
-        F.sum(F.col("cnt") - 1).cast("bigint").alias("n_dups"),
-        F.collect_set("slot").alias("filled"),
-        F.first("t_first").alias("t_first"),
-        F.first("t_last").alias("t_last"))
-    span = (timez.micros_between(F.col("t_first"), F.col("t_last")) / grid_us).cast("int")
-    missing = F.array_except(F.sequence(F.lit(0), span), F.col("filled"))
-    return (per_day.withColumn("missing_slots", F.array_sort(missing))
-            .withColumn("n_missing", F.size("missing_slots").cast("bigint"))
-            .drop("filled"))
+    k = ", ".join(f"`{c}`" for c in keys)
+    grid_us = int(cfg.grid_seconds) * 1_000_000
+    off = "timestampdiff(MICROSECOND, t_first, ts_event)"
+    sql = f"""
+    WITH a AS (SELECT {k}, et_date, t_first, t_last FROM {{daily}} WHERE n_kept > 0),
+    d AS (
+      SELECT {k}, et_date,
+             CAST(sum(cnt - 1) AS BIGINT) AS n_dups,
+             collect_set(CASE WHEN {off} % {grid_us} = 0 THEN CAST({off} DIV {grid_us} AS INT) END) AS filled,
+             first(t_first) AS t_first, first(t_last) AS t_last
+      FROM {{per_ts}} JOIN a USING ({k}, et_date)
+      GROUP BY {k}, et_date)
+    SELECT {k}, et_date, n_dups, t_first, t_last,
+           array_sort(array_except(sequence(0, CAST(timestampdiff(MICROSECOND, t_first, t_last) DIV {grid_us} AS INT)),
+                                   filled)) AS missing_slots,
+           CAST(size(array_except(sequence(0, CAST(timestampdiff(MICROSECOND, t_first, t_last) DIV {grid_us} AS INT)),
+                                  filled)) AS BIGINT) AS n_missing
+    FROM d"""
+    return daily.sparkSession.sql(sql, daily=daily, per_ts=per_ts)
 
 
 def _iso_local_sql(utc: str, tz: str) -> str:
