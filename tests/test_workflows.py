@@ -237,3 +237,20 @@ def test_hive_partition_values_stay_strings(spark, tmp_path):
         assert dict(back.dtypes)["symbol"] == "string"
     finally:
         spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+
+
+def test_command_line_round_trip(spark, landing, tmp_path, capsys):
+    from tickgate.__main__ import main
+    land = str(tmp_path / "landing")
+    landing.write.parquet(land)
+    tick = tmp_path / "tickers.txt"
+    tick.write_text("\n".join(["click", "signup", "view", "error", "purchase"]))
+    cache, rep, tgt = str(tmp_path / "cache"), str(tmp_path / "rep"), str(tmp_path / "tgt")
+    main(["download", "--mode", "ohlcv", "--tickers", str(tick), "--cache", cache, "--landing", land,
+          "--start", "2024-01-01", "--end", "2024-01-31"])
+    main(["validate", "--mode", "ohlcv", "--cache", cache, "--reports", rep])
+    main(["upload", "--mode", "ohlcv", "--cache", cache, "--reports", rep, "--target", tgt, "--no-warehouse"])
+    out = capsys.readouterr().out
+    assert "quarantined" in out and "uploaded" in out
+    got = files.list_files(spark, tgt).count()
+    assert got == validate(landing).report.where("NOT quarantine").count() * 3
