@@ -248,6 +248,13 @@ def test_command_line_round_trip(spark, landing, tmp_path, capsys):
     cache, rep, tgt = str(tmp_path / "cache"), str(tmp_path / "rep"), str(tmp_path / "tgt")
     main(["download", "--mode", "ohlcv", "--tickers", str(tick), "--cache", cache, "--landing", land,
           "--start", "2024-01-01", "--end", "2024-01-31"])
+    capsys.readouterr()
+    main(["download", "--mode", "ohlcv", "--tickers", str(tick), "--cache", cache, "--landing", land,
+          "--start", "2024-01-01", "--end", "2024-01-31"])
+    again = capsys.readouterr().out.splitlines()
+    head = next(i for i, line in enumerate(again) if line.startswith("|total|downloaded"))
+    vals = [x.strip() for x in again[head + 2].strip("|").split("|")]
+    assert vals[:4] == ["75", "0", "75", "0"]   # second run: every chunk cached, empty ones included
     main(["validate", "--mode", "ohlcv", "--cache", cache, "--reports", rep])
     main(["upload", "--mode", "ohlcv", "--cache", cache, "--reports", rep, "--target", tgt, "--no-warehouse"])
     out = capsys.readouterr().out

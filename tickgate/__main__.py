@@ -35,12 +35,14 @@ def cmd_download(spark, args) -> None:
     universe = I.check_universe(dims.read_universe(spark, args.tickers))
     landing = spark.read.parquet(args.landing) if args.landing else None
     for schema, venues in I.resolve_mode(args.mode):
+        ledger_root = f"{args.cache.rstrip('/')}/_ledger/{schema}"
+        prior = (spark.read.parquet(ledger_root) if _exists(spark, ledger_root) else
+                 spark.createDataFrame([], "schema string, symbol string, venue string, year_month string, "
+                                           "success boolean, rows bigint"))
         landed = None if args.force else P.landed_with_empties(
             files.chunk_probe(spark, args.cache, schema) if _exists(spark, f"{args.cache}/{schema}") else
             spark.createDataFrame([], "schema string, symbol string, venue string, year_month string, "
-                                      "rows bigint, state string"),
-            spark.createDataFrame([], "schema string, symbol string, venue string, year_month string, "
-                                      "success boolean, rows bigint"))
+                                      "rows bigint, state string"), prior)
         if args.dry_run or landing is None:
             plan, status = I.plan_ingest(universe, schema, venues, args.start, args.end, landed)
             P.plan_estimate(status).show(truncate=False)
@@ -48,7 +50,10 @@ def cmd_download(spark, args) -> None:
         res = I.ingest(landing.where(F.col("schema") == schema) if "schema" in landing.columns else landing,
                        universe, schema, args.cache, venues, args.start, args.end, landed,
                        force=args.force, layout="chunk")
-        P.ingest_summary(res.ledger).show(truncate=False)
+        ledger = res.ledger.checkpoint(eager=True)
+        # K2: the ledger keeps the empty-chunk markers (no file exists for them)
+        ledger.write.mode("append").parquet(ledger_root)
+        P.ingest_summary(ledger).show(truncate=False)
 
 
 def cmd_validate(spark, args) -> None:
