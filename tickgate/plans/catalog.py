@@ -113,10 +113,16 @@ def _grade(abort: F.Column, warn: F.Column | None = None) -> F.Column:
     return st.otherwise(F.lit("PASS"))
 
 
+def _base(spark, sf_dir, wide=False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(daily, per_ts, hist) from one scan of the bars (grouping-sets aggregate, written once)."""
+    base = cut_lineage(C.base_aggregates(_norm(spark, sf_dir, wide), CFG))
+    return C.split_base(base, CFG)
+
+
 def q_price_scale_guard(spark, sf_dir):
-    norm = _norm(spark, sf_dir)
-    med = C.median_close(norm, CFG)
-    keys = norm.select("symbol").distinct()
+    daily, _, hist = _base(spark, sf_dir)
+    med = C.median_close(None, CFG, hist=hist)
+    keys = daily.select("symbol").distinct()
     m = F.col("median_close")
     return keys.join(med, "symbol", "left").select(
         "symbol", _grade(m > CFG.price_median_max).alias("status"), F.round(m, 4).alias("median_close"))
@@ -147,9 +153,8 @@ def q_ohlc_sanity(spark, sf_dir):
 
 
 def _per_day(spark, sf_dir, wide=False) -> tuple[DataFrame, DataFrame]:
-    norm = _norm(spark, sf_dir, wide)
-    daily = C.daily_table(norm, CFG)
-    return C.gaps_and_duplicates(norm, daily, CFG), norm.select("symbol").distinct()
+    daily, per_ts, _ = _base(spark, sf_dir, wide)
+    return C.gaps_and_duplicates(None, daily, CFG, per_ts=per_ts), daily.select("symbol").distinct()
 
 
 def q_duplicate_bars(spark, sf_dir):
