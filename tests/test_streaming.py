@@ -48,3 +48,21 @@ def test_row_checks_stream(spark, tmp_path):
     v = validate(bars).wide
     want = {r["symbol"]: (r["n_rows"], r["n_bad_ohlc"]) for r in v.collect()}
     assert by == want
+
+
+def test_revalidate_on_hive_landing_prunes(spark, tmp_path):
+    from pyspark.sql import functions as F
+    bars = B.bars_from_events(spark.read.parquet(f"{SF}/events.parquet")).withColumn("volume", F.col("volume").cast("double"))
+    root, rep, ck = str(tmp_path / "hive"), str(tmp_path / "rep"), str(tmp_path / "ck")
+    W.write_chunks(bars.withColumn("schema", F.lit(OHLCV_SCHEMA)), root)
+    land = f"{root}/schema={OHLCV_SCHEMA}"
+    S.revalidate_on_arrival(spark, land, rep, ck, layout="hive").awaitTermination(300)
+    got = reports.read_reports(spark, rep).select("symbol", "quarantine", "n_rows_in")
+    want = validate(bars).report.select("symbol", "quarantine", "n_rows_in")
+    assert sorted(got.collect()) == sorted(want.collect())
+    # the history read keeps only the touched symbols' rows
+    schema = ("ts_event timestamp_ntz, open double, high double, low double, close double, volume double, "
+              + S.HIVE_PARTITIONS)
+    touched = F.broadcast(spark.createDataFrame([("click",)], "symbol string"))
+    kept = S._history(spark, land, schema, "hive").join(touched, ["symbol"], "left_semi")
+    assert kept.count() == bars.where("symbol = 'click'").count()

@@ -27,23 +27,37 @@ BAR_STREAM_SCHEMA = ("symbol string, venue string, ts_event timestamp_ntz, open
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, schema: str = BAR_STREAM_SCHEMA,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    r = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-         .option("pathGlobFilter", "*.parquet"))
+                   max_files_per_trigger: int | None = None, layout: str = "flat") -> DataFrame:
+    r = spark.readStream.schema(schema)
+    if layout != "hive":
+        r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.parquet(landing_dir)
 
 
-def _revalidate(landing_dir: str, reports_root: str, cfg: ValidationConfig, schema: str):
+HIVE_PARTITIONS = "symbol string, venue_safe string, year_month string"
+
+
+def _history(spark: SparkSession, landing_dir: str, schema: str, layout: str) -> DataFrame:
+    if layout == "hive":
+        # partition discovery: symbol/venue_safe/year_month come from the paths
+        return spark.read.schema(schema).parquet(landing_dir)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.parquet").parquet(landing_dir)
+
+
+def _revalidate(landing_dir: str, reports_root: str, cfg: ValidationConfig, schema: str, layout: str = "flat"):
     keys = list(cfg.keys)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        touched = batch.select(*keys).distinct()
-        history = spark.read.schema(schema).option("recursiveFileLookup", "true") \
-            .option("pathGlobFilter", "*.parquet").parquet(landing_dir)
+        touched = F.broadcast(batch.select(*keys).distinct())
+        history = _history(spark, landing_dir, schema, layout)
+        # semi-join with the (broadcast) touched keys: a map-side filter, no shuffle
         rows = history.join(touched, keys, "left_semi")
+        if layout == "hive":
+            rows = rows.drop("venue_safe")
         v = validate(rows, cfg)
         W.write_reports(v.report.withColumn("epoch", F.lit(epoch_id)), reports_root)
     return run
@@ -51,10 +65,20 @@ def _revalidate(landing_dir: str, reports_root: str, cfg: ValidationConfig, sche
 
 def revalidate_on_arrival(spark: SparkSession, landing_dir: str, reports_root: str, checkpoint: str,
                           cfg: ValidationConfig = ValidationConfig(), schema: str = BAR_STREAM_SCHEMA,
-                          available_now: bool = True) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what has landed and stops."""
-    w = (landing_stream(spark, landing_dir, schema).writeStream
-         .foreachBatch(_revalidate(landing_dir, reports_root, cfg, schema))
+                          available_now: bool = True, layout: str = "flat") -> StreamingQuery:
+    """Start the stream; with ``available_now`` it processes what has landed and stops.
+
+    ``layout='hive'``: ``landing_dir`` is one schema's Hive tree
+    (``symbol=/venue_safe=/year_month=``, as written by ``sinks.writers.write_chunks``);
+    the partition columns are read from the paths.
+    """
+    if layout == "hive":
+        names = {f.split()[0] for f in schema.split(",")}
+        if "symbol" in names:
+            schema = ", ".join(f for f in schema.split(",") if f.split()[0] not in ("symbol", "venue"))
+        schema = schema + ", " + HIVE_PARTITIONS
+    w = (landing_stream(spark, landing_dir, schema, layout=layout).writeStream
+         .foreachBatch(_revalidate(landing_dir, reports_root, cfg, schema, layout))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
