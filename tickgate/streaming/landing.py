@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickgate.config import ValidationConfig
 from tickgate.operators.normalize import normalize_bars
 from tickgate.plans.validate import validate
+from tickgate.session import broadcast_if_small
 from tickgate.sinks import writers as W
 
 BAR_STREAM_SCHEMA = ("symbol string, venue string, ts_event timestamp_ntz, open double, high double, "
@@ -52,9 +53,11 @@ def _revalidate(landing_dir: str, reports_root: str, cfg: ValidationConfig, sche
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        touched = F.broadcast(batch.select(*keys).distinct())
+        # broadcast behind a size check: a batch touching an unusually large
+        # key set falls back to a shuffled semi-join
+        touched = broadcast_if_small(batch.select(*keys).distinct())
         history = _history(spark, landing_dir, schema, layout)
-        # semi-join with the (broadcast) touched keys: a map-side filter, no shuffle
+        # semi-join with the touched keys (map-side when broadcast)
         rows = history.join(touched, keys, "left_semi")
         if layout == "hive":
             rows = rows.drop("venue_safe")
