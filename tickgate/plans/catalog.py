@@ -473,6 +473,13 @@ def q_validate_landed(spark, sf_dir):
                            "n_rows_in", "n_rows_out")
 
 
+def q_check_results_by_venue(spark, sf_dir):
+    """All nine checks at the (symbol, venue) grain: no cross-venue duplicates, per-venue VWAP and gaps."""
+    v = validate(_bars(spark, sf_dir), ValidationConfig(keys=("symbol", "venue")))
+    return v.check_results.select("symbol", "venue", "check",
+                                  F.col("severity_rank").cast("bigint").alias("severity_rank"), "status", "detail")
+
+
 def q_quarantine_preview(spark, sf_dir):
     """The first 20 quarantined symbols in symbol order, with the count of the rest."""
     v = _validation(spark, sf_dir)
@@ -531,6 +538,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_paths": q_chunk_paths,
     "month_bounds": q_month_bounds,
     "validate_landed": q_validate_landed,
+    "check_results_by_venue": q_check_results_by_venue,
     "quarantine_preview": q_quarantine_preview,
     "stream_row_checks": q_stream_row_checks,
 }

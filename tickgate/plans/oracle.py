@@ -10,7 +10,7 @@ SESSION = (34200, 57600)  # 09:30:00 and 16:00:00 as seconds of day
 VENUE_LIST = "['XNAS.ITCH', 'ARCX.PILLAR', 'BATS.PITCH']"
 
 
-def bars_cte(wide: bool = False, defects: bool = True) -> str:
+def bars_cte(wide: bool = False, defects: bool = True, by_venue: bool = False) -> str:
     sym = "'U' || CAST(user_id AS VARCHAR)" if wide else "event_type"
     if defects:
         proj = """
@@ -33,7 +33,8 @@ raw_bars AS (
 bars AS (
   SELECT symbol, venue, ts_event, {proj} volume FROM raw_bars),
 nb1 AS (
-  SELECT *, (ts_event AT TIME ZONE 'UTC') AT TIME ZONE '{ET}' AS et FROM bars),
+  SELECT * {"REPLACE (symbol || '@' || venue AS symbol)" if by_venue else ""},
+         (ts_event AT TIME ZONE 'UTC') AT TIME ZONE '{ET}' AS et FROM bars),
 nb AS (
   SELECT *, CAST(et AS DATE) AS et_date,
          (hour(et) * 3600 + minute(et) * 60 + second(et)) >= {SESSION[0]}
@@ -154,8 +155,8 @@ report AS (
   FROM checks c JOIN w USING (symbol) GROUP BY c.symbol)"""
 
 
-def with_bars(*ctes: str, wide: bool = False) -> str:
-    return "WITH " + ",".join([bars_cte(wide)] + list(ctes))
+def with_bars(*ctes: str, wide: bool = False, by_venue: bool = False) -> str:
+    return "WITH " + ",".join([bars_cte(wide, by_venue=by_venue)] + list(ctes))
 
 
 VALIDATION = (BAR_VD_SRC, VWAP_CTES, GAP_CTES, SYM_CTE)
@@ -460,3 +461,9 @@ SELECT symbol, et_date, count(*) AS n_rows,
        count_if(high < low) AS n_bad_high_low,
        count_if(in_session) AS n_kept
 FROM nb GROUP BY symbol, et_date"""
+
+
+# venue grain: the same CTEs over a composite key, split back at the end
+ORACLE["check_results_by_venue"] = with_bars(*VALIDATION, by_venue=True) + """
+SELECT split_part(symbol, '@', 1) AS symbol, split_part(symbol, '@', 2) AS venue,
+       "check", severity_rank, status, detail FROM checks"""
