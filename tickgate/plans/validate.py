@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +31,21 @@ class Validation:
     per_day: DataFrame
     vwap_days: DataFrame
     wide: DataFrame
-    check_results: DataFrame
-    report: DataFrame
-    clean: DataFrame
+
+    # derived frames are built on first use (each costs a plan analysis)
+    @cached_property
+    def check_results(self) -> DataFrame:
+        return V.checks_long(self.wide, list(self.cfg.keys))
+
+    @cached_property
+    def report(self) -> DataFrame:
+        return V.report(self.wide, list(self.cfg.keys), self.cfg.schema)
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        keys = list(self.cfg.keys)
+        ok_keys = self.report.where(~F.col("quarantine")).select(*keys)
+        return self.norm.df.where(F.col("in_session")).join(ok_keys, keys, "left_semi")
 
 
 def _fmt_num(x: float) -> str:
@@ -94,11 +107,7 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
                            ("n_kept" if has_axis else "n_rows") + " AS n_rows_out",
                            "array(" + ", ".join(checks) + ") AS checks")
 
-    check_results = V.checks_long(wide, keys)
-    rep = V.report(wide, keys, cfg.schema)
-    ok_keys = rep.where(~F.col("quarantine")).select(*keys)
-    clean = norm.df.where(F.col("in_session")).join(ok_keys, keys, "left_semi")
-    return Validation(cfg, norm, daily, per_day, vwap_days, wide, check_results, rep, clean)
+    return Validation(cfg, norm, daily, per_day, vwap_days, wide)
 
 
 def _q(text: str) -> str:
