@@ -313,3 +313,19 @@ def test_quarantine_preview_first_20_and_remainder(spark):
     assert {(r["n_quarantined"], r["n_more"]) for r in p} == {(25, 5)}
     s = V.validation_summary(rep).first()
     assert (s["total"], s["quarantined"], s["passed"] + s["warned"]) == (26, 25, 1)
+
+
+def test_approx_median_is_close_to_exact(spark):
+    import random
+
+    from tickgate.operators import checks as C
+    from tickgate.operators.normalize import normalize_bars
+    rnd = random.Random(3)
+    rows = [bar(f"2024-01-03 15:{i % 60:02d}:00", c=round(rnd.uniform(10, 20), 2), symbol="X") for i in range(2001)]
+    norm = normalize_bars(bars(spark, rows)).df
+    exact = C.median_close(norm).first()["median_close"]
+    approx = C.median_close_approx(norm, accuracy=10_000).first()["median_close"]
+    closes = sorted(r[6] for r in rows)
+    rank = sum(1 for c in closes if c <= approx)
+    assert abs(rank - 1001) <= 2001 / 10_000 * 2 + 1
+    assert abs(approx - exact) < 0.05
