@@ -196,6 +196,8 @@ def test_flat_layout_workflow(spark, landing, tmp_path):
         pdf = landing.where(F.col("symbol") == sym).drop("symbol").orderBy("ts_event").toPandas()
         pdf.to_parquet(flat / f"{sym}.parquet", index=False, coerce_timestamps="us")
     (flat / "click_validation.json").write_text("{}")
+    import shutil
+    shutil.copy(flat / "click.parquet", flat / "click_validation.parquet")   # a report-named parquet: skipped
     from tickgate.plans.validate import validate_layout
     v = validate_layout(spark, str(flat), layout="flat", reports_root=str(tmp_path / "r"),
                         quarantine_root=str(tmp_path / "q"))

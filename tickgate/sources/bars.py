@@ -29,14 +29,17 @@ def read_flat(spark: SparkSession, data_dir: str, symbol: str | None = None,
               file_order: bool = True) -> DataFrame:
     """Flat per-symbol files ``{SYMBOL}.parquet``; the symbol comes from the file name.
 
-    Report files (``*_validation*``) are excluded by the glob on ``.parquet``.
+    Report files are excluded: non-Parquet files by the glob, and files whose
+    name ends in ``_validation`` by a filter on the file name (F3); paths with
+    a ``quarantine`` part are skipped (F2).
     """
     glob = f"{symbol}.parquet" if symbol else "*.parquet"
     # Columns are unioned across files (a column absent from one file is NULL there)
     df = spark.read.option("pathGlobFilter", glob).option("mergeSchema", "true").parquet(data_dir)
     df = with_file_order(df) if file_order else df.withColumn("file_path", F.col("_metadata.file_path"))
     name = F.regexp_extract(F.col("file_path"), r"([^/]+)\.parquet$", 1)
-    out = df.withColumn("symbol", name)
+    keep = ~name.endswith("_validation") & ~F.array_contains(F.split(F.col("file_path"), "/"), QUARANTINE_PART)
+    out = df.withColumn("symbol", name).where(keep)
     return out if file_order else out.drop("file_path")
 
 
