@@ -9,6 +9,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from tickgate.plans.catalog import QUERIES
+from tickgate.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -52,7 +54,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle_or_is_file_level():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"storage_report", "file_digest", "digest_compare"}
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +98,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python tasks wherever the driver was started.
+
+    Zips the package's sources and adds the file to the session once; executors fetch it
+    from the driver, so neither PYTHONPATH nor an installed copy is needed there.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tickgate_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tickgate-src-"), "tickgate.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, dirs, names in os.walk(top):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("tickgate", os.path.relpath(full, top)))
+    sc.addPyFile(path)
+    sc._tickgate_shipped = True
+
+
 def arrow_uri(path: str) -> str:
     """A path as pyarrow's filesystem layer wants it ('file:/x' and '/x' -> 'file:///x')."""
     if path.startswith("file:"):
