@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickgate.llm import bpe, exact_dedup, mixing
+from tickgate.llm import bpe, exact_dedup, mixing, near_dedup, quality, url_filter, warc
 from tickgate.llm.common import read
 
 
@@ -12,10 +12,29 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record_map = warc.write(read(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    r = warc.read_all(record_map, payloads=False)
+    return r.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                    F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(read(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.group(read(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = mixing.plan(read(spark, sf_dir, "documents"))
     return p.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -23,11 +42,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
+    "op4_url_filter": op4_url_filter,
+    "op5_warc": op5_warc,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_near_dedup": op9_near_dedup,
     "op10_mixing": op10_mixing,
 }
 
 ORACLE = {
+    # the digest: each 5 hex digits of the SHA-1 are 4 letters of base32
+    "op5_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+f AS (
+  SELECT page_id, octet_length(encode(h)) AS payload_bytes, min(page_id) OVER (PARTITION BY h) AS first_id,
+         [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(x, (k // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - k % 4 * 5)::INT) & 31)::INT + 1, 1)
+           FOR k IN range(0, 32)] AS letters
+  FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, array_to_string(letters, '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f
+""",
     "op7_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept,

@@ -31,3 +31,29 @@ def written(df: DataFrame) -> DataFrame:
 def ready(spark: SparkSession) -> None:
     """Executors must be able to import this package before Python tasks start."""
     ship_package(spark)
+
+
+FILTER_BITS = 27     # a filter of ids has 2 ** FILTER_BITS bits at most, in words of 64: 32 MiB as broadcast rows
+
+
+def narrowed(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str = "id", anti: bool = False) -> DataFrame:
+    """Semi-join (or anti-join) of wide ``rows`` with the distinct ids ``wanted``, shuffling few of them.
+
+    A filter of the hashes of the wanted ids, whose size has a fixed bound, is broadcast; rows that miss
+    it are no matches and pass (or go) where they are. Only rows that hit meet the ids in a join. The
+    filter's size changes how many rows shuffle, never the result.
+    """
+    bits = max(12, min(FILTER_BITS, (wanted.count() * 16).bit_length()))
+    place = lambda c: F.shiftrightunsigned(F.xxhash64(c), 64 - bits)
+    bit = lambda p: F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)).cast("int"))
+    word = lambda p: F.shiftright(p, 6).cast("int")
+    at = place(F.col(wanted_key))
+    words = written(wanted.select(word(at).alias("__word"), bit(at).alias("__bit"))
+                    .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
+    here = place(F.col(key))
+    tested = rows.withColumn("__word", word(here)).join(F.broadcast(words), "__word", "left").withColumn(
+        "__hit", F.coalesce(F.col("__bits").bitwiseAND(bit(here)) != 0, F.lit(False)))
+    hits = tested.where("__hit").select(*rows.columns)
+    ids = wanted.select(F.col(wanted_key).alias("__wanted"))
+    found = hits.join(ids, hits[key].eqNullSafe(ids["__wanted"]), "left_anti" if anti else "left_semi")
+    return tested.where("NOT __hit").select(*rows.columns).unionByName(found) if anti else found
