@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickgate.llm import bpe, exact_dedup, mixing, near_dedup, quality, url_filter, warc
+from tickgate.llm import bpe, exact_dedup, mixing, near_dedup, pii, quality, url_filter, warc
 from tickgate.llm.common import read
 
 
@@ -31,6 +31,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(read(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.group(read(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_warc": op5_warc,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_pii": op8_pii,
     "op9_near_dedup": op9_near_dedup,
     "op10_mixing": op10_mixing,
 }
