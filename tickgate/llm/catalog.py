@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickgate.llm import bpe, exact_dedup, mixing, near_dedup, pii, quality, url_filter, warc
+from tickgate.llm import ann, bpe, exact_dedup, mixing, near_dedup, pii, quality, suffix_dedup, url_filter, warc
 from tickgate.llm.common import read
 
 
@@ -16,6 +16,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(read(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
 
@@ -27,6 +31,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(read(spark, sf_dir, "documents"))
 
@@ -47,8 +55,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_warc": op5_warc,
+    "op6_ann": op6_ann,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_pii": op8_pii,
     "op9_near_dedup": op9_near_dedup,
