@@ -297,7 +297,7 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sigs = written(signatures(docs, id_col, text_col))
     same = written(classes(sigs))
     known = written(sigs.select("id", "n", "set_hi", "set_lo").join(same, ["set_hi", "set_lo"], "left")
-                    .select("id", "n", F.coalesce("rep", "id").alias("rep")))
+                    .select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")))
     others = written(known.where("id <> rep").select("id").distinct())
     reps = narrowed(sigs.where("n > 0 AND id IS NOT NULL"), "id", others, anti=True)
     comp = connected(links(docs, reps, id_col, text_col, threshold))

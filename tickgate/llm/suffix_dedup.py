@@ -275,14 +275,14 @@ def _deal(rows: DataFrame, bits: int, wide: bool, choose) -> DataFrame:
 
 
 def _places(value, firsts: bool = True):
-    """All positions in a list of packed ones, in order, with or without the firsts of ranks; none for null."""
+    """The distinct positions in a list of packed ones, in order, with or without the firsts of ranks; none for null."""
     import numpy as np
     if not value.is_valid or not len(value.values):
         return np.empty(0, np.int64)
     p = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in value.values])
     if not firsts:
         p = p[p < 1 << 31]
-    return np.sort(p & np.uint32(0x7FFFFFFF)).astype(np.int64)
+    return np.unique(p & np.uint32(0x7FFFFFFF)).astype(np.int64)
 
 
 def _marked(size: int, starts, before: int, after: int):
