@@ -1,6 +1,8 @@
 """Chunk-key and path scalars (P2-P6, P16). All are Column expressions."""
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,11 +65,15 @@ def parse_chunk_relpath(rel: Column) -> Column:
 
 
 def relpath_under(path: Column, root: str) -> Column:
-    """Strip a root prefix (with or without the 'file:' scheme) from a listed path."""
-    root = root.rstrip("/")
-    bare = root.replace("file:", "", 1) if root.startswith("file:") else root
-    p = F.regexp_replace(path, r"^file:", "")
-    return F.when(p.startswith(bare + "/"), F.substring(p, len(bare) + 2, 1 << 30))
+    """A listed path relative to ``root``, a qualified path (``session.qualified``).
+
+    Local paths are listed with one or three slashes after ``file:``; both are compared with one.
+    A path that is not under the root is an error: dropping it would lose its rows silently.
+    """
+    base = re.sub("^file:/+", "file:/", root.rstrip("/")) + "/"
+    p = F.regexp_replace(path, "^file:/+", "file:/")
+    return F.when(p.startswith(base), F.substring(p, len(base) + 1, 1 << 30)).when(
+        p.isNotNull(), F.raise_error(F.concat(p, F.lit(f" is not under {base}"))).cast("string"))
 
 
 def month_start(year_month: Column) -> Column:

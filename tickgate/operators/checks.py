@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tickgate.config import ValidationConfig
 from tickgate.functions import timez
+from tickgate.operators.nulls import on_same
 
 
 def _k(cfg: ValidationConfig) -> list[str]:
@@ -142,6 +143,7 @@ def median_close(norm: DataFrame | None, cfg: ValidationConfig = ValidationConfi
         hist = (norm.where(F.col(value).isNotNull())
                 .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt")))
     k = ", ".join(f"`{c}`" for c in keys)
+    k_of = lambda t: ", ".join(f"{t}.`{c}`" for c in keys)
     nb = int(buckets)
     covers = "({c} - {n} < {r} AND {c} >= {r})"
     lo_b, hi_b = covers.format(c="bcum", n="bcnt", r="lo_rank"), covers.format(c="bcum", n="bcnt", r="hi_rank")
@@ -149,20 +151,20 @@ def median_close(norm: DataFrame | None, cfg: ValidationConfig = ValidationConfi
     sql = f"""
     WITH h AS (SELECT {k}, `{value}` AS v, cnt FROM {{hist}}),
     s AS (SELECT {k}, sum(cnt) AS n, min(v) AS lo, max(v) AS hi FROM h GROUP BY {k}),
-    hb AS (SELECT {k}, v, cnt,
+    hb AS (SELECT {k_of('h')}, v, cnt,
                   CAST(CASE WHEN hi > lo THEN least(floor((v - lo) / (hi - lo) * {nb}), {nb - 1}) ELSE 0 END AS INT)
                     AS bucket
-           FROM h JOIN s USING ({k})),
+           FROM h JOIN s ON {on_same('h', 's', keys)}),
     pb AS (SELECT {k}, bucket, sum(cnt) AS bcnt FROM hb GROUP BY {k}, bucket),
     cb AS (SELECT pb.*, floor((s.n - 1) / 2) + 1 AS lo_rank, floor(s.n / 2) + 1 AS hi_rank,
                   sum(bcnt) OVER (PARTITION BY {', '.join(f'pb.`{c}`' for c in keys)} ORDER BY bucket
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bcum
-           FROM pb JOIN s USING ({k})),
+           FROM pb JOIN s ON {on_same('pb', 's', keys)}),
     tg AS (SELECT {k}, bucket, bcum - bcnt AS before, lo_rank, hi_rank FROM cb WHERE {lo_b} OR {hi_b}),
-    rk AS (SELECT {k}, bucket, v, cnt, lo_rank, hi_rank,
-                  before + sum(cnt) OVER (PARTITION BY {k}, bucket ORDER BY v
+    rk AS (SELECT {k_of('hb')}, hb.bucket, v, cnt, lo_rank, hi_rank,
+                  before + sum(cnt) OVER (PARTITION BY {k_of('hb')}, hb.bucket ORDER BY v
                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
-           FROM hb JOIN tg USING ({k}, bucket))
+           FROM hb JOIN tg ON {on_same('hb', 'tg', keys)} AND hb.bucket = tg.bucket)
     SELECT {k}, (max(CASE WHEN {lo_v} THEN v END) + max(CASE WHEN {hi_v} THEN v END)) / 2 AS median_close
     FROM rk WHERE {lo_v} OR {hi_v} GROUP BY {k}"""
     return hist.sparkSession.sql(sql, hist=hist)
@@ -225,17 +227,18 @@ def gaps_and_duplicates(norm: DataFrame | None, daily: DataFrame,
         per_ts = (norm.where(F.col("in_session"))
                   .groupBy(*keys, "et_date", "ts_event").agg(F.count(F.lit(1)).alias("cnt")))
     k = ", ".join(f"`{c}`" for c in keys)
+    k_of = ", ".join(f"p.`{c}`" for c in keys)
     grid_us = int(cfg.grid_seconds) * 1_000_000
     off = "timestampdiff(MICROSECOND, t_first, ts_event)"
     sql = f"""
     WITH a AS (SELECT {k}, et_date, t_first, t_last FROM {{daily}} WHERE n_kept > 0),
     d AS (
-      SELECT {k}, et_date,
+      SELECT {k_of}, p.et_date,
              CAST(sum(cnt - 1) AS BIGINT) AS n_dups,
              collect_set(CASE WHEN {off} % {grid_us} = 0 THEN CAST({off} DIV {grid_us} AS INT) END) AS filled,
              first(t_first) AS t_first, first(t_last) AS t_last
-      FROM {{per_ts}} JOIN a USING ({k}, et_date)
-      GROUP BY {k}, et_date)
+      FROM {{per_ts}} p JOIN a ON {on_same('p', 'a', [*keys, 'et_date'])}
+      GROUP BY {k_of}, p.et_date)
     SELECT {k}, et_date, n_dups, t_first, t_last,
            array_sort(array_except(sequence(0, CAST(timestampdiff(MICROSECOND, t_first, t_last) DIV {grid_us} AS INT)),
                                    filled)) AS missing_slots,
@@ -267,8 +270,9 @@ def day_table(daily: DataFrame, per_day: DataFrame, cfg: ValidationConfig = Vali
     slot_ts = f"t_first + make_dt_interval(0, 0, 0, CAST(x * {int(cfg.grid_seconds)} AS DECIMAL(18, 6)))"
     sql = f"""
     WITH j AS (
-      SELECT * FROM {{daily}}
-      LEFT JOIN (SELECT {k}, et_date, n_dups, n_missing, missing_slots FROM {{per_day}}) USING ({k}, et_date)),
+      SELECT d.*, n_dups, n_missing, missing_slots FROM {{daily}} d
+      LEFT JOIN (SELECT {k}, et_date, n_dups, n_missing, missing_slots FROM {{per_day}}) p
+             ON {on_same('d', 'p', [*keys, 'et_date'])}),
     w AS (
       SELECT *, CASE WHEN n_kept > 0 AND coalesce(v, 0D) > 0
                      THEN coalesce(dv, 0D) / greatest(coalesce(v, 0D), 1D) END AS vwap FROM j),
@@ -393,19 +397,14 @@ def frame_missing_columns(df: DataFrame, required: tuple[str, ...], keys: list[s
 
 def file_missing_columns(file_columns: DataFrame, required: tuple[str, ...],
                          keys: list[str]) -> DataFrame:
-    """Per key, the required columns found in none of the key's files.
+    """Per key, the required columns that any of the key's files lacks.
 
-    ``file_columns`` is (keys..., file_path, column) from the Parquet footers.
+    ``file_columns`` is (keys..., path, column) from the Parquet footers. Each file is judged by
+    itself, so a column present in one file does not hide its absence from another.
     """
-    have = file_columns.select(*keys, "column").distinct()
-    key_rows = file_columns.select(*keys).distinct()
-    # each key x each required column (the required list is a fixed, small literal)
-    expected = key_rows.withColumn("req", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos")) for i, c in enumerate(required)])))
-    expected = expected.select(*keys, "req.column", "req.pos")
-    miss = expected.join(have, keys + ["column"], "left_anti")
-    return (key_rows.join(
-        miss.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "column"))).alias("_m")),
-        keys, "left")
-        .select(*keys, F.coalesce(F.transform("_m", lambda s: s["column"]),
-                                  F.array().cast("array<string>")).alias("missing")))
+    per_file = file_columns.groupBy(*keys, "path").agg(F.collect_set("column").alias("have"))
+    req = F.array(*[F.lit(c) for c in required]).cast("array<string>")
+    lacking = per_file.select(*keys, F.array_except(req, "have").alias("lacks"))
+    # at most one entry per required column and file set; kept in catalogue order
+    per_key = lacking.groupBy(*keys).agg(F.array_distinct(F.flatten(F.collect_set("lacks"))).alias("lacks"))
+    return per_key.select(*keys, F.filter(req, lambda c: F.array_contains("lacks", c)).alias("missing"))

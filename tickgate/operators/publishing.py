@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickgate.functions import keys as K
 from tickgate.functions.fmt import status_word
+from tickgate.operators.nulls import join_same
 from tickgate.operators.planning import CHUNK_KEY
 
 
@@ -16,14 +17,14 @@ def quarantine_split(rows: DataFrame, report: DataFrame, keys=("symbol",)) -> tu
     """K5: rows of non-quarantined keys, and rows of quarantined keys (source untouched)."""
     k = list(keys)
     q = report.where(F.col("quarantine")).select(*k)
-    return rows.join(q, k, "left_anti"), rows.join(q, k, "left_semi")
+    return join_same(rows, q, k, "left_anti"), join_same(rows, q, k, "left_semi")
 
 
 def route(rows: DataFrame, report: DataFrame, keys=("symbol",)) -> DataFrame:
     """K5 as one frame with a ``route`` column (clean / quarantine / unvalidated)."""
     k = list(keys)
     r = report.select(*k, F.col("quarantine").alias("_q"))
-    j = rows.join(r, k, "left")
+    j = join_same(rows, r, k, "left")
     rt = F.when(F.col("_q"), "quarantine").when(F.col("_q").isNull(), "unvalidated").otherwise("clean")
     return j.withColumn("route", rt).drop("_q")
 
@@ -38,7 +39,7 @@ def publish_gate(chunks: DataFrame, report: DataFrame, keys=("schema", "symbol")
     """
     k = list(keys)
     r = report.select(*k, F.col("quarantine").alias("_q"), F.col("warnings").alias("_w"))
-    j = chunks.join(r, k, "left")
+    j = join_same(chunks, r, k, "left")
     no_report = F.col("_q").isNull()
     decision = (F.when(F.col("_q"), "reject")
                 .when(no_report & F.lit(require_report), "reject")

@@ -1,51 +1,10 @@
 """Check structs, verdict roll-up and the validation summaries (V, G7, G10, G11, J12, O5)."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickgate.config import ABORT, CHECK_ORDER, PASS, WARNING
-
-CHECK_STRUCT = ("struct<check:string,severity_rank:int,status:string,detail:string,"
-                "metrics:map<string,double>,samples:array<string>>")
-
-
-def _empty_metrics() -> Column:
-    return F.create_map().cast("map<string,double>")
-
-
-def _empty_samples() -> Column:
-    return F.array().cast("array<string>")
-
-
-def metrics_map(**cols: Column) -> Column:
-    if not cols:
-        return _empty_metrics()
-    items = []
-    for k, c in cols.items():
-        items += [F.lit(k), c.cast("double")]
-    return F.create_map(*items)
-
-
-def check_struct(name: str, status: Column, detail: Column, metrics: Column | None = None,
-                 samples: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(name).alias("check"),
-        F.lit(CHECK_ORDER.index(name)).alias("severity_rank"),
-        status.alias("status"),
-        detail.alias("detail"),
-        (metrics if metrics is not None else _empty_metrics()).alias("metrics"),
-        (samples if samples is not None else _empty_samples()).alias("samples"),
-    )
-
-
-def branch(*cases: tuple[Column, Column], otherwise: Column) -> Column:
-    """when/otherwise chain over (condition, struct) pairs."""
-    expr = None
-    for cond, val in cases:
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr.otherwise(otherwise) if expr is not None else otherwise
-
+from tickgate.config import ABORT, ERROR, WARNING
 
 def checks_long(wide: DataFrame, keys: list[str]) -> DataFrame:
     """Wide per-key row with a ``checks`` array -> one row per (key, check)."""
@@ -53,12 +12,12 @@ def checks_long(wide: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def report(wide: DataFrame, keys: list[str], schema: str) -> DataFrame:
-    """Per-key report: quarantine on any ABORT, warnings in check order, check map."""
+    """Per-key report: quarantine on any ABORT or ERROR, warnings in check order, check map."""
     sch = schema.replace("'", "\\'")
     return wide.selectExpr(
         *[f"`{k}`" for k in keys],
         f"'{sch}' AS schema",
-        "exists(checks, c -> c.status = 'ABORT') AS quarantine",
+        "exists(checks, c -> c.status IN ('ABORT', 'ERROR')) AS quarantine",
         "transform(filter(checks, c -> c.status = 'WARNING'), c -> c.check) AS warnings",
         "n_rows_in", "n_rows_out",
         "map_from_arrays(transform(checks, c -> c.check), "
@@ -67,13 +26,6 @@ def report(wide: DataFrame, keys: list[str], schema: str) -> DataFrame:
     )
 
 
-def verdict_class(report_df: DataFrame) -> Column:
-    """Three disjoint classes: quarantined, warned (not quarantined), passed."""
-    return (F.when(F.col("quarantine"), F.lit("quarantined"))
-            .when(F.size("warnings") > 0, F.lit("warned"))
-            .otherwise(F.lit("passed")))
-
-
 def validation_summary(report_df: DataFrame) -> DataFrame:
     q = F.col("quarantine")
     w = F.size("warnings") > 0
@@ -93,7 +45,7 @@ def corp_event_keys(check_long: DataFrame, keys: list[str]) -> DataFrame:
 
 def abort_reasons(check_long: DataFrame, keys: list[str]) -> DataFrame:
     """Per quarantined key, the aborted checks in check order (at most five)."""
-    return (check_long.where(F.col("status") == ABORT)
+    return (check_long.where(F.col("status").isin(ABORT, ERROR))
             .groupBy(*keys)
             .agg(F.array_sort(F.collect_list(F.struct("severity_rank", "check"))).alias("_a"))
             .select(*keys, F.transform("_a", lambda s: s["check"]).alias("aborted_checks")))
@@ -110,10 +62,3 @@ def quarantine_preview(report_df: DataFrame, keys: list[str], n: int = 20) -> Da
     return (top.withColumn("rank", F.row_number().over(Window.orderBy(*keys)))
             .withColumn("n_quarantined", n_q)
             .withColumn("n_more", F.greatest(F.col("n_quarantined") - n, F.lit(0))))
-
-
-__all__ = [
-    "CHECK_STRUCT", "check_struct", "metrics_map", "branch", "checks_long", "report",
-    "validation_summary", "corp_event_keys", "abort_reasons", "quarantine_preview",
-    "verdict_class", "PASS",
-]

@@ -266,9 +266,6 @@ def q_abort_reasons(spark, sf_dir):
 # Step 7: plan, status, estimate, requeue, ingest ledger
 # ---------------------------------------------------------------------------
 
-STATUS_RANGE = ("2023-12-01", "2024-02-29")   # the months around the data's month
-
-
 def _universe(spark, sf_dir) -> DataFrame:
     return dims.universe_from(_t(spark, sf_dir, "events"), "event_type")
 
@@ -281,9 +278,8 @@ def q_chunk_plan(spark, sf_dir):
     return P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA)
 
 
-def _status(spark, sf_dir, full=False):
-    rng = {} if full else dict(start_date=STATUS_RANGE[0], end_date=STATUS_RANGE[1])
-    plan = P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA, **rng)
+def _status(spark, sf_dir):
+    plan = P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA)
     return P.chunk_status(plan, _landed(spark, sf_dir))
 
 
@@ -292,7 +288,7 @@ def q_chunk_status(spark, sf_dir):
 
 
 def q_plan_estimate(spark, sf_dir):
-    e = P.plan_estimate(_status(spark, sf_dir, full=True))
+    e = P.plan_estimate(_status(spark, sf_dir))
     return e.select(*[F.round(c, 6).alias(c) if c in ("est_gb", "est_usd", "est_hours", "cached_pct")
                       else F.col(c) for c in e.columns])
 
@@ -311,8 +307,7 @@ def _cached_before(spark, sf_dir):
 
 
 def _ingest_ledger(spark, sf_dir):
-    rng = dict(start_date=STATUS_RANGE[0], end_date=STATUS_RANGE[1])
-    plan = P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA, **rng)
+    plan = P.chunk_plan(_universe(spark, sf_dir), OHLCV_SCHEMA)
     status = P.chunk_status(plan, _cached_before(spark, sf_dir))
     return P.ingest_ledger(status, _landed(spark, sf_dir))
 

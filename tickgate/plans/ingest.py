@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tickgate import config as cfg
 from tickgate.functions import keys as K
 from tickgate.operators import planning as P
+from tickgate.session import write_table
 from tickgate.sinks import writers as W
 from tickgate.sources import dims, files
 
@@ -38,6 +39,8 @@ def plan_ingest(universe: DataFrame, schema: str, venues=None, start_date: str =
 
 def landing_rows(landing: DataFrame, chunks: DataFrame, schema: str, ts: str = "ts_event") -> DataFrame:
     """The landing rows belonging to ``chunks`` (S11 for many chunks at once)."""
+    if "schema" in landing.columns:   # a landing table of several schemas
+        landing = landing.where(F.col("schema") == schema)
     rows = landing.withColumn("schema", F.lit(schema)).withColumn("year_month", K.year_month_of(F.col(ts)))
     return rows.join(chunks.select(*P.CHUNK_KEY), P.CHUNK_KEY, "left_semi")
 
@@ -52,12 +55,14 @@ def ingest(landing: DataFrame, universe: DataFrame, schema: str, cache_root: str
     ``layout``: 'hive' (Spark partitioned writer) or 'chunk' (one file per chunk).
     """
     plan, status = plan_ingest(universe, schema, venues, start_date, end_date, landed)
+    status = write_table(status)   # fixed before this run's own output exists
     todo = P.to_fetch(status, force)
     rows = landing_rows(landing, todo, schema, ts)
     counts = rows.groupBy(*P.CHUNK_KEY).agg(F.count(F.lit(1)).alias("rows"))
     if not dry_run and cache_root:
         if layout == "chunk":
-            W.write_chunk_files(rows, cache_root, ts).count()
+            # the rows of each chunk as its writer counted them
+            counts = write_table(W.write_chunk_files(rows, cache_root, ts)).select(*P.CHUNK_KEY, "rows")
         else:
             W.write_chunks(rows, cache_root, ts=ts)
     ledger = P.ingest_ledger(status, counts, force)

@@ -339,7 +339,7 @@ gated AS (
            || '.parquet' AS blob_name
   FROM landed l LEFT JOIN report r USING (schema, symbol))"""
 
-INGEST_CTES = (plan_cte(start="2023-12-01", end="2024-02-29") + "," + LANDED_CTE + """,
+INGEST_CTES = (plan_cte() + "," + LANDED_CTE + """,
 cached_before AS (SELECT * FROM landed WHERE venue = 'XNAS.ITCH'),""" + STATUS_SQL.format(
     plan="plan", landed="cached_before") + """,
 ledger AS (
@@ -353,7 +353,7 @@ ledger AS (
 ORACLE.update({
     "chunk_plan": "WITH " + plan_cte()[1:] + "\nSELECT * FROM plan",
 
-    "chunk_status": with_bars(plan_cte(start="2023-12-01", end="2024-02-29"), LANDED_CTE,
+    "chunk_status": with_bars(plan_cte(), LANDED_CTE,
                               STATUS_SQL.format(plan="plan", landed="landed")) + """
 SELECT schema, symbol, venue, year_month, state, rows, cached FROM status""",
 

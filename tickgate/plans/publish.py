@@ -7,6 +7,7 @@ with the local ones.
 """
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import pandas as pd
@@ -14,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickgate.config import PUBLISH_PREFIX
+from tickgate.functions import keys as K
 from tickgate.operators import publishing as PB
-from tickgate.session import arrow_uri, cut_lineage
+from tickgate.session import arrow_uri, cut_lineage, qualified, ship_package, write_table
 from tickgate.sinks import writers as W
-from tickgate.sources import files
+from tickgate.sources import files, reports
 
 
 @dataclass
@@ -37,8 +39,9 @@ def _copier(target_root: str):
                 sfs, sp = pafs.FileSystem.from_uri(arrow_uri(src))
                 dfs, dp = pafs.FileSystem.from_uri(arrow_uri(target_root.rstrip("/") + "/" + blob))
                 dfs.create_dir(dp.rsplit("/", 1)[0], recursive=True)
-                pafs.copy_files(sp, dp + ".tmp", source_filesystem=sfs, destination_filesystem=dfs)
-                dfs.move(dp + ".tmp", dp)
+                tmp = f"{dp}.{uuid.uuid4().hex}.tmp"    # of this attempt alone
+                pafs.copy_files(sp, tmp, source_filesystem=sfs, destination_filesystem=dfs)
+                dfs.move(tmp, dp)
                 out.append(blob)
             yield pd.DataFrame({"blob_name": out})
     return copy
@@ -48,6 +51,12 @@ def _target_uri(target_root: str, blob: F.Column) -> F.Column:
     return F.concat(F.lit(target_root.rstrip("/") + "/"), blob)
 
 
+def _present(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its own file system (metadata only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def existing_objects(spark: SparkSession, target_root: str, digests: bool = False,
                      only: DataFrame | None = None) -> DataFrame:
     """(blob_name, size_bytes, md5) of objects already under the target.
@@ -55,14 +64,10 @@ def existing_objects(spark: SparkSession, target_root: str, digests: bool = Fals
     A listing reads no bytes; ``digests=True`` also hashes the objects, and
     ``only`` (a frame with ``blob_name``) limits that to the objects of interest.
     """
-    import os
-    local = target_root.replace("file://", "")
-    if "://" not in target_root and not os.path.isdir(local):
+    if not _present(spark, target_root):
         return spark.createDataFrame([], "blob_name string, size_bytes bigint, md5 string")
-    root = local.rstrip("/") + "/"
     listing = files.list_files(spark, target_root)
-    rel = F.regexp_replace(F.regexp_replace("path", r"^file:(//)?", ""), "^" + root, "")
-    objs = listing.select("path", rel.alias("blob_name"), "size_bytes")
+    objs = listing.select("path", K.relpath_under(F.col("path"), qualified(spark, target_root)).alias("blob_name"), "size_bytes")
     if only is not None:
         objs = objs.join(only.select("blob_name").distinct(), "blob_name", "left_semi")
     if not digests:
@@ -71,18 +76,102 @@ def existing_objects(spark: SparkSession, target_root: str, digests: bool = Fals
     return objs.join(d.select("path", "md5"), "path", "left").select("blob_name", "size_bytes", "md5")
 
 
+def _rows_of(paths: DataFrame, schema) -> DataFrame:
+    """The rows of the listed Parquet files, conformed to ``schema``; no other file is opened."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    spark = paths.sparkSession
+    ship_package(spark)
+    want = to_arrow_schema(schema)
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        for batch in batches:
+            for p in batch.column(0):
+                fs, rel = pafs.FileSystem.from_uri(arrow_uri(p.as_py()))
+                with fs.open_input_file(rel) as fh:
+                    for rows in pq.ParquetFile(fh).iter_batches():
+                        have = {n: rows.column(n) for n in rows.schema.names}
+                        yield pa.RecordBatch.from_arrays(
+                            [have[f.name].cast(f.type) if f.name in have else pa.nulls(len(rows), f.type) for f in want],
+                            schema=want)
+
+    return paths.select("path").repartition(files.io_tasks(spark), "path").mapInArrow(read, schema)
+
+
+LOADS = "blob_name string, md5 string, run_id string, state string, at timestamp"
+
+
+def loads_done(spark: SparkSession, ledger_root: str, table_path: str) -> DataFrame:
+    """(blob_name, md5) already in the warehouse.
+
+    A run writes its loads as ``started``, appends the rows (one Spark job, committed as a whole, marked
+    with the run id) and writes them as ``done``. A run that died in between counts if its rows are there.
+    """
+    if not _present(spark, ledger_root):
+        return spark.createDataFrame([], "blob_name string, md5 string")
+    led = spark.read.schema(LOADS).parquet(ledger_root)
+    done = led.where("state = 'done'").select("blob_name", "md5")
+    if _present(spark, table_path):
+        arrived = spark.read.parquet(table_path).select(F.col("load_run").alias("run_id")).distinct()
+        done = done.unionByName(led.where("state = 'started'").join(arrived, "run_id", "left_semi").select("blob_name", "md5"))
+    return done.distinct()
+
+
+def _warehouse(spark: SparkSession, ok: DataFrame, cache_root: str, schema: str, warehouse_root: str,
+               ledger_root: str, given: DataFrame | None) -> DataFrame:
+    """Append the rows of chunks not yet loaded, and store what was loaded."""
+    table = f"{warehouse_root.rstrip('/')}/{schema.replace('-', '_')}"
+    before = loads_done(spark, ledger_root, table)
+    if given is not None:
+        before = before.unionByName(given.select("blob_name", "md5")).distinct()
+    new, _ = PB.load_ledger(ok.select("blob_name", "md5"), before)
+    new = write_table(new.join(ok.select("blob_name", "md5", "path"), ["blob_name", "md5"]))
+    if new.isEmpty():
+        return new.select("blob_name", "md5")
+    run = uuid.uuid4().hex
+    entry = lambda state: new.select("blob_name", "md5", F.lit(run).alias("run_id"), F.lit(state).alias("state"),
+                                     F.current_timestamp().alias("at"))
+    entry("started").write.mode("append").parquet(ledger_root)
+    # column types from all footers of the schema's cache; rows from the new files only
+    shape = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet") \
+        .option("mergeSchema", "true").parquet(f"{cache_root.rstrip('/')}/{schema}").schema
+    W.write_warehouse(_rows_of(new, shape).withColumn("load_run", F.lit(run)), warehouse_root, schema)
+    entry("done").write.mode("append").parquet(ledger_root)
+    return new.select("blob_name", "md5")
+
+
+def _manifests(spark: SparkSession, entries: DataFrame, manifest_root: str) -> DataFrame:
+    """The new entries put into the stored manifests (by object name), stored and returned."""
+    if _present(spark, manifest_root):
+        old = reports.manifest_entries(reports.read_manifests(spark, manifest_root))
+        old = old.join(entries.select("schema", "symbol").distinct(), ["schema", "symbol"], "left_semi")
+        entries = PB.manifest_upsert(old, entries)
+    manifest = write_table(PB.manifest_build(entries))
+    W.write_manifests(manifest, manifest_root)
+    return manifest
+
+
 def publish(spark: SparkSession, cache_root: str, schema: str, chunks: DataFrame, report: DataFrame,
             target_root: str,
             warehouse_root: str | None = None, load_ledger: DataFrame | None = None,
             overwrite: bool = False, require_report: bool = False, verify_existing: bool = False,
-            prefix: str = PUBLISH_PREFIX) -> PublishResult:
+            prefix: str = PUBLISH_PREFIX, manifest_root: str | None = None,
+            ledger_root: str | None = None) -> PublishResult:
     """C5 for one schema. ``chunks``: its chunk probe (key, path, rows, size_bytes).
 
     Only the chunks being published are hashed; the target is listed (no bytes
     read) to find existing objects, and only the objects copied in this run are
     re-read to verify them. ``verify_existing`` also hashes the existing
     objects that would be skipped (D-09); otherwise their ``digest_match`` is NULL.
+
+    An object counts as uploaded only if it is at the target with the local digest. Manifests are
+    kept under ``manifest_root`` (default ``{target}/_manifests``) and upserted; warehouse loads are
+    kept under ``ledger_root`` (default ``{warehouse}/_loads/{schema}``), so a rerun appends nothing twice.
     """
+    ship_package(spark)
+    target_root = qualified(spark, target_root)
     gated = PB.with_blob_name(PB.publish_gate(chunks.drop("md5"), report, require_report=require_report), prefix)
     local = files.digests_of(gated.where(F.col("decision") == "publish").select("path"))
     gated = gated.join(local.select("path", "md5"), "path", "left")
@@ -97,23 +186,18 @@ def publish(spark: SparkSession, cache_root: str, schema: str, chunks: DataFrame
     copied = files.digests_of(to_copy.select(_target_uri(target_root, F.col("blob_name")).alias("path")))
     after = (to_copy.select("blob_name", _target_uri(target_root, F.col("blob_name")).alias("path"))
              .join(copied.select("path", F.col("md5").alias("_remote")), "path", "left").drop("path"))
-    verified = (ledger.join(after, "blob_name", "left")
-                .withColumn("digest_match", F.when(F.col("success") & ~F.col("skipped"), F.col("md5") == F.col("_remote"))
-                            .otherwise(F.col("digest_match")))
-                .withColumn("success", F.col("success") & F.coalesce(F.col("digest_match"), F.lit(True)))
-                .drop("_remote"))
-    manifest = PB.manifest_build(PB.manifest_entries(verified))
+    copying = F.col("success") & ~F.col("skipped")
+    verified = write_table(
+        ledger.join(after, "blob_name", "left")
+        .withColumn("digest_match", F.when(copying, F.col("md5").eqNullSafe(F.col("_remote")) & F.col("md5").isNotNull())
+                    .otherwise(F.col("digest_match")))
+        .withColumn("message", F.when(copying & ~F.col("digest_match"), F.lit("target object is absent or differs"))
+                    .otherwise(F.col("message")))
+        .withColumn("success", F.col("success") & F.coalesce(F.col("digest_match"), F.lit(True)))
+        .drop("_remote"))
+    manifest = _manifests(spark, PB.manifest_entries(verified), manifest_root or f"{target_root.rstrip('/')}/_manifests")
     loaded = spark.createDataFrame([], "blob_name string, md5 string")
     if warehouse_root:
-        ok = verified.where("success").select("blob_name", "md5", "path", "schema")
-        ledger0 = load_ledger if load_ledger is not None else spark.createDataFrame([], "blob_name string, md5 string")
-        new, _ = PB.load_ledger(ok.select("blob_name", "md5"), ledger0)
-        new_paths = ok.join(new, ["blob_name", "md5"], "left_semi").select("path")
-        rows = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-                .parquet(f"{cache_root.rstrip('/')}/{schema}")
-                .select("*", F.col("_metadata.file_path").alias("path")))
-        # the rows of newly published files only (semi-join on the file path)
-        rows = rows.join(new_paths, "path", "left_semi").drop("path")
-        W.write_warehouse(rows, warehouse_root, schema)
-        loaded = new
+        loaded = _warehouse(spark, verified.where("success"), cache_root, schema, warehouse_root,
+                            ledger_root or f"{warehouse_root.rstrip('/')}/_loads/{schema}", load_ledger)
     return PublishResult(verified, manifest, loaded, PB.publish_summary(verified, loaded))

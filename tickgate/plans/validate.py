@@ -16,11 +16,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickgate.config import ABORT, CHECK_ORDER, PASS, WARNING, ValidationConfig
+from tickgate.config import ABORT, CHECK_ORDER, ERROR, PASS, WARNING, ValidationConfig
 from tickgate.operators import checks as C
 from tickgate.operators import verdict as V
+from tickgate.operators.nulls import join_same
 from tickgate.operators.normalize import Normalized, normalize_bars
-from tickgate.session import cut_lineage
+from tickgate.session import cut_lineage, write_table
 
 
 @dataclass
@@ -45,7 +46,7 @@ class Validation:
     def clean(self) -> DataFrame:
         keys = list(self.cfg.keys)
         ok_keys = self.report.where(~F.col("quarantine")).select(*keys)
-        return self.norm.df.where(F.col("in_session")).join(ok_keys, keys, "left_semi")
+        return join_same(self.norm.df.where(F.col("in_session")), ok_keys, keys, "left_semi")
 
 
 def _fmt_num(x: float) -> str:
@@ -58,12 +59,13 @@ def _lit_str_array(items: list[str]) -> Column:
 
 
 def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
-             missing_by_key: DataFrame | None = None,
+             missing_by_key: DataFrame | None = None, unreadable: DataFrame | None = None,
              expected_keys: DataFrame | None = None, materialize: bool = True) -> Validation:
     """Run the checks on ``df`` (raw bars; see ``normalize_bars`` for accepted shapes).
 
     ``missing_by_key``: (keys..., missing array<string>) from the files' footers
     (layout reads); when absent, D compares the frame's own columns.
+    ``unreadable``: (keys..., n_unreadable) files of the key that could not be read: D is ERROR.
     ``expected_keys``: keys to report even when they have no rows (empty frame).
     """
     norm = normalize_bars(df, cfg)
@@ -81,14 +83,14 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     day = C.day_table(daily, per_day, cfg)
     wide = C.key_table(day, cfg)
     if expected_keys is not None:
-        wide = expected_keys.select(*keys).distinct().join(wide, keys, "left").na.fill(0)
+        wide = join_same(expected_keys.select(*keys).distinct(), wide, keys, "left").na.fill(0)
     med = C.median_close(None, cfg, hist=hist)
-    wide = wide.join(med, keys, "left")
+    wide = join_same(wide, med, keys, "left")
     vwap_days = day.where(F.col("vwap").isNotNull()).select(
         *keys, "et_date", F.coalesce("dv", F.lit(0.0)).alias("dv"), F.coalesce("v", F.lit(0.0)).alias("v"), "vwap")
     if cfg.c_order == "file" and norm.has_file_order:
         viol = C.order_violations(norm.df, keys, block_rows=cfg.c_block_rows)
-        wide = wide.join(viol, keys, "left")
+        wide = join_same(wide, viol, keys, "left")
     else:
         wide = wide.withColumn("n_violations", F.lit(0).cast("bigint"))
 
@@ -96,12 +98,16 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     if not has_axis:
         missing_static = missing_static + ["ts_event"]
     if missing_by_key is not None:
-        wide = wide.join(missing_by_key.select(*keys, F.col("missing").alias("_missing")), keys, "left")
+        wide = join_same(wide, missing_by_key.select(*keys, F.col("missing").alias("_missing")), keys, "left")
         missing = F.coalesce(F.col("_missing"), _lit_str_array(missing_static))
     else:
         missing = _lit_str_array(missing_static)
 
     wide = wide.withColumn("missing", missing)
+    if unreadable is not None:
+        wide = join_same(wide, unreadable, keys, "left")
+    else:
+        wide = wide.withColumn("n_unreadable", F.lit(None).cast("bigint"))
     checks = _check_structs(cfg, present, has_axis)
     wide = wide.selectExpr("*", "n_rows AS n_rows_in",
                            ("n_kept" if has_axis else "n_rows") + " AS n_rows_out",
@@ -151,9 +157,9 @@ def _check_structs(cfg: ValidationConfig, present: set[str], has_axis: bool) ->
             (empty, st("A", PASS, _q("no close column or empty df"))),
             ("median_close IS NULL", st("A", PASS, _q("median close = nan"))),
             (f"median_close > {cfg.price_median_max!r}",
-             st("A", ABORT, f"format_string({_q(f'median close = %,.0f > {lim} (fixed-point not converted)')}, median_close)",
+             st("A", ABORT, f"format_string({_q(f'median close = %,.0f > {lim} (fixed-point not converted)')}, bround(median_close, 0))",
                 {"median_close": "median_close"})),
-            otherwise=st("A", PASS, "format_string('median close = %.4f', median_close)",
+            otherwise=st("A", PASS, "format_string('median close = %.4f', bround(median_close, 4))",
                          {"median_close": "median_close"}))
     # B
     b = _case(
@@ -178,6 +184,8 @@ def _check_structs(cfg: ValidationConfig, present: set[str], has_axis: bool) ->
     # D
     req = cfg.required()
     d = _case(
+        ("n_unreadable > 0", st("D", ERROR, "format_string('%d unreadable files', n_unreadable)",
+                                {"n_unreadable": "n_unreadable"})),
         ("size(missing) > 0",
          st("D", ABORT, "concat('missing columns: [', array_join(transform(missing, x -> concat('\\'', x, '\\'')), ', '), ']')",
             {"n_missing": "size(missing)"}, "missing")),
@@ -240,8 +248,9 @@ def validate_layout(spark, root: str, cfg: ValidationConfig = ValidationConfig()
                     quarantine_root: str | None = None) -> Validation:
     """VS / VA: scan a layout with file order, validate per key, persist verdicts, route quarantine.
 
+    D is judged on the columns of each file (footers).
+
     * ``layout='chunk'``: ``{root}/{schema}/{symbol}/{venue_safe}/{YYYY-MM}.parquet``;
-      D is judged on each key's file columns (footers).
     * ``layout='flat'``: ``{root}/{SYMBOL}.parquet``.
     * ``layout='hive'``: the partitioned layout written by ``sinks.writers.write_chunks``.
 
@@ -249,24 +258,25 @@ def validate_layout(spark, root: str, cfg: ValidationConfig = ValidationConfig()
     quarantined keys are copied there, partitioned by key (K5); the source is
     left untouched (a move would lose data if the job failed half-way).
     """
-    from tickgate.operators import checks as C_
     from tickgate.sinks import writers as W
     from tickgate.sources import bars as B
     from tickgate.sources import files
 
     keys = list(cfg.keys)
-    missing = None
+    # footers first: they name the columns of every file, and the files that cannot be read, which
+    # the scan then leaves out; a key with such a file is an ERROR, other keys are not held up
+    probe = write_table(files.layout_probe(spark, root, cfg.schema, layout))
+    if symbol:
+        probe = probe.where(F.col("symbol") == symbol)
+    fc = files.file_columns(spark, root, cfg.schema, layout, probe=probe)
+    missing = C.file_missing_columns(fc, cfg.required(), keys)
+    bad = probe.where("state = 'corrupt'").groupBy(*keys).agg(F.count("*").alias("n_unreadable"))
     if layout == "flat":
-        df = B.read_flat(spark, root, symbol)
+        df = B.read_flat(spark, root, symbol, skip_unreadable=True)
     else:
-        df = B.read_chunks(spark, root, cfg.schema, symbol=symbol, layout=layout)
-        if layout == "chunk":
-            fc = files.file_columns(spark, root, cfg.schema)
-            if symbol:
-                fc = fc.where(F.col("symbol") == symbol)
-            missing = C_.file_missing_columns(fc, cfg.required(), keys)
+        df = B.read_chunks(spark, root, cfg.schema, symbol=symbol, layout=layout, skip_unreadable=True)
     drop = [c for c in ("schema", "year_month") if c in df.columns and c not in keys]
-    v = validate(df.drop(*drop), cfg, missing_by_key=missing)
+    v = validate(df.drop(*drop), cfg, missing_by_key=missing, unreadable=bad, expected_keys=probe.select(*keys))
     if reports_root:
         W.write_reports(v.report, reports_root)
     if quarantine_root:

@@ -1,4 +1,4 @@
-"""Session helpers: a local session for tests, checkpoint folder, guarded broadcast."""
+"""Session helpers: a local session for tests, checkpoint folder, written tables, qualified paths."""
 from __future__ import annotations
 
 import os
@@ -7,11 +7,6 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Default upper bound for anything we broadcast after counting it.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tickgate") -> SparkSession:
@@ -87,15 +82,16 @@ def write_table(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave the
-    join to the planner (sort-merge, with AQE skew splitting).
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority that Spark resolves it to (metadata only).
 
-    The count runs a job, so callers should pass a small, already-aggregated
-    frame (a dimension or a per-key table), never raw data.
+    A scheme-less path belongs to the session's default file system, which on a cluster
+    need not be the local one; a relative path is completed.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString()
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -7,15 +7,15 @@ read would delete it first).
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickgate.config import PARQUET_COMPRESSION, PARQUET_ROW_GROUP
 from tickgate.functions import keys as K
-from tickgate.session import arrow_uri
+from tickgate.session import arrow_uri, qualified, ship_package
 
 LEDGER_SCHEMA = "schema string, symbol string, venue string, year_month string, path string, rows bigint, size_bytes bigint"
 
@@ -43,44 +43,64 @@ def write_chunks(df: DataFrame, root: str, mode: str = "overwrite", ts: str = "t
     _parquet(w).parquet(root)
 
 
+KEY = ["schema", "symbol", "venue", "year_month"]
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"    # folder of a NULL key part, as Spark's own partitioned writer names it
+
+
 def _chunk_file_writer(root: str, row_group: int):
     uri = arrow_uri(root)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
         fs, base = pafs.FileSystem.from_uri(uri)
-        cur_key, writer, tmp, final, n = None, None, None, None, 0
-        done = []
-
-        def close():
+        cur, writer, held, n, done = None, None, [], 0, []
+
+        def flush(all_rows: bool) -> None:
+            nonlocal held
+            table = pa.Table.from_batches(held)
+            cut = len(table) if all_rows else len(table) - len(table) % row_group
+            if cut:
+                writer.write_table(table.slice(0, cut), row_group_size=row_group)
+            held = table.slice(cut).to_batches()
+
+        def close() -> None:
+            nonlocal writer
             if writer is None:
                 return
+            if held:
+                flush(True)
             writer.close()
             fs.move(tmp, final)
-            done.append((*cur_key, final, n, fs.get_file_info(final).size))
-
-        for pdf in batches:
-            for key, part in pdf.groupby(["schema", "symbol", "venue", "year_month"], sort=False):
-                if key != cur_key:
+            done.append((*cur, final, n, fs.get_file_info(final).size))
+            writer = None
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in KEY)))
+            body = batch.drop_columns(["schema", "year_month"])
+            cuts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]] + [len(keys)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if writer is None or keys[lo] != cur:
                     close()
-                    cur_key = key
-                    d = "/".join([base.rstrip("/"), key[0], key[1], key[2].replace(".", "_")])
+                    cur, held, n = keys[lo], [], 0
+                    part = [NO_KEY if x is None else x for x in cur]
+                    d = "/".join([base.rstrip("/"), part[0], part[1], part[2].replace(".", "_")])
                     fs.create_dir(d, recursive=True)
-                    final = f"{d}/{key[3]}.parquet"
-                    tmp = final + ".tmp"
-                    body = part.drop(columns=["schema", "year_month"])
-                    writer = pq.ParquetWriter(tmp, pa.Schema.from_pandas(body, preserve_index=False),
-                                              filesystem=fs, compression=PARQUET_COMPRESSION,
-                                              coerce_timestamps="us", allow_truncated_timestamps=True)
-                    n = 0
-                body = part.drop(columns=["schema", "year_month"])
-                writer.write_table(pa.Table.from_pandas(body, preserve_index=False), row_group_size=row_group)
-                n += len(body)
+                    final = f"{d}/{part[3]}.parquet"
+                    tmp = f"{d}/.{part[3]}.{uuid.uuid4().hex}.tmp"    # of this attempt alone
+                    # the frame's own types, so that all chunks of a run agree whatever their values
+                    writer = pq.ParquetWriter(tmp, body.schema, filesystem=fs, compression=PARQUET_COMPRESSION)
+                held.append(body.slice(lo, hi - lo))
+                n += hi - lo
+                if sum(map(len, held)) >= row_group:
+                    flush(False)
         close()
-        yield pd.DataFrame(done, columns=["schema", "symbol", "venue", "year_month", "path", "rows", "size_bytes"])
+        cols = list(zip(*done)) if done else [[]] * 7
+        types = [pa.string()] * 5 + [pa.int64()] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                         names=[*KEY, "path", "rows", "size_bytes"])
     return write
 
 
@@ -89,15 +109,21 @@ def write_chunk_files(df: DataFrame, root: str, ts: str = "ts_event",
     """K1/K3 in the exact per-chunk layout ``{root}/{schema}/{symbol}/{venue_safe}/{YYYY-MM}.parquet``.
 
     Each chunk is hashed to one task, sorted by time and streamed to its own
-    file (``.tmp`` then rename). Returns the lazy ledger (chunk key, path,
-    rows, size_bytes); the files are written when it is evaluated. One file
-    per chunk means one writer per chunk; for very large chunks prefer
-    ``write_chunks`` (Hive layout), which splits them.
+    file in row groups of ``row_group`` rows; the file is written under a name of
+    the task attempt, then renamed. Column types are those of ``df``, with
+    ``volume`` always double, so chunks with and without NULLs can be read
+    together. NULL key parts get the folder of NULL partitions.
+
+    Returns the ledger (chunk key, path, rows, size_bytes), lazily: the files are
+    written when it is evaluated. One file per chunk means one writer per chunk;
+    for very large chunks prefer ``write_chunks`` (Hive layout), which splits them.
     """
+    ship_package(df.sparkSession)
     out = df if "year_month" in df.columns else df.withColumn("year_month", K.year_month_of(F.col(ts)))
-    key = ["schema", "symbol", "venue", "year_month"]
-    out = out.repartition(*key).sortWithinPartitions(*key, ts)
-    return out.mapInPandas(_chunk_file_writer(root, row_group), LEDGER_SCHEMA)
+    if "volume" in out.columns:
+        out = out.withColumn("volume", F.col("volume").cast("double"))
+    out = out.repartition(*KEY).sortWithinPartitions(*KEY, ts)
+    return out.mapInArrow(_chunk_file_writer(qualified(df.sparkSession, root), row_group), LEDGER_SCHEMA)
 
 
 def write_reports(report: DataFrame, root: str) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tickgate.config import LIT_VENUES, OHLCV_SCHEMA, QUARANTINE_PART
 from tickgate.functions import keys as K
+from tickgate.session import qualified
 
 HIVE_PARTS = ("schema", "symbol", "venue_safe", "year_month")
 
@@ -25,8 +26,14 @@ def with_file_order(df: DataFrame) -> DataFrame:
                      F.col("_metadata.row_index").alias("row_index"))
 
 
+def _reader(spark: SparkSession, skip_unreadable: bool):
+    """Columns are unioned across files (U1). Only callers that have probed the files, and so can
+    name the unreadable ones, may skip them."""
+    return spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", str(skip_unreadable).lower())
+
+
 def read_flat(spark: SparkSession, data_dir: str, symbol: str | None = None,
-              file_order: bool = True) -> DataFrame:
+              file_order: bool = True, skip_unreadable: bool = False) -> DataFrame:
     """Flat per-symbol files ``{SYMBOL}.parquet``; the symbol comes from the file name.
 
     Report files are excluded: non-Parquet files by the glob, and files whose
@@ -34,8 +41,7 @@ def read_flat(spark: SparkSession, data_dir: str, symbol: str | None = None,
     a ``quarantine`` part are skipped (F2).
     """
     glob = f"{symbol}.parquet" if symbol else "*.parquet"
-    # Columns are unioned across files (a column absent from one file is NULL there)
-    df = spark.read.option("pathGlobFilter", glob).option("mergeSchema", "true").parquet(data_dir)
+    df = _reader(spark, skip_unreadable).option("pathGlobFilter", glob).parquet(data_dir)
     df = with_file_order(df) if file_order else df.withColumn("file_path", F.col("_metadata.file_path"))
     name = F.regexp_extract(F.col("file_path"), r"([^/]+)\.parquet$", 1)
     keep = ~name.endswith("_validation") & ~F.array_contains(F.split(F.col("file_path"), "/"), QUARANTINE_PART)
@@ -45,7 +51,7 @@ def read_flat(spark: SparkSession, data_dir: str, symbol: str | None = None,
 
 def read_chunks(spark: SparkSession, root: str, schema: str = OHLCV_SCHEMA,
                 symbol: str | None = None, file_order: bool = True,
-                layout: str = "chunk") -> DataFrame:
+                layout: str = "chunk", skip_unreadable: bool = False) -> DataFrame:
     """A recursive read of the chunk layout ``{root}/{schema}/{symbol}/{venue_safe}/{YYYY-MM}.parquet``.
 
     The key columns (schema, symbol, venue, year_month) are rebuilt from the path
@@ -61,19 +67,20 @@ def read_chunks(spark: SparkSession, root: str, schema: str = OHLCV_SCHEMA,
         # data columns from the footers (no partition discovery), then the
         # partition columns typed as strings: with type inference a symbol such
         # as '00' would come back as the integer 0
-        data = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(base).schema
+        data = _reader(spark, skip_unreadable).option("recursiveFileLookup", "true").parquet(base).schema
         full = T.StructType([f for f in data.fields if f.name not in HIVE_PARTS]
                             + [T.StructField(c, T.StringType()) for c in HIVE_PARTS])
-        df = spark.read.schema(full).option("basePath", root).parquet(base)
+        df = spark.read.option("ignoreCorruptFiles", str(skip_unreadable).lower()).schema(full) \
+            .option("basePath", root).parquet(base)
         df = with_file_order(df) if file_order else df
         df = df.withColumn("venue", K.venue_unsafe(F.col("venue_safe"))).drop("venue_safe")
         return df.where(F.col("symbol") == symbol) if symbol else df
     base = f"{root.rstrip('/')}/{schema}"
     pattern = f"{base}/{symbol}" if symbol else base
-    df = (spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    df = (_reader(spark, skip_unreadable).option("recursiveFileLookup", "true")
           .option("pathGlobFilter", "*.parquet").parquet(pattern))
     df = with_file_order(df) if file_order else df.withColumn("file_path", F.col("_metadata.file_path"))
-    rel = K.relpath_under(F.col("file_path"), root)
+    rel = K.relpath_under(F.col("file_path"), qualified(spark, root))
     key = K.parse_chunk_relpath(rel)
     parts = F.split(rel, "/")
     no_quarantine = ~F.array_contains(parts, QUARANTINE_PART)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tickgate.config import QUARANTINE_PART
 from tickgate.functions import keys as K
-from tickgate.session import arrow_uri
+from tickgate.session import arrow_uri, qualified, ship_package
 
 FOOTER_SCHEMA = ("path string, ok boolean, reason string, num_rows bigint, "
                  "columns array<string>")
@@ -58,6 +58,7 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def parquet_footers(files: DataFrame) -> DataFrame:
     """(path, ok, reason, num_rows, columns) for each listed path."""
+    ship_package(files.sparkSession)
     return files.select("path").repartition(io_tasks(files.sparkSession), "path") \
         .mapInPandas(_read_footers, FOOTER_SCHEMA)
 
@@ -76,7 +77,7 @@ def file_probe(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataF
 def chunk_probe(spark: SparkSession, cache_root: str, schema: str) -> DataFrame:
     """S6 on the chunk layout: probe rows keyed by (schema, symbol, venue, year_month)."""
     probe = file_probe(spark, f"{cache_root.rstrip('/')}/{schema}")
-    key = K.parse_chunk_relpath(K.relpath_under(F.col("path"), cache_root))
+    key = K.parse_chunk_relpath(K.relpath_under(F.col("path"), qualified(spark, cache_root)))
     return (probe.where(not_quarantined(F.col("path"))).withColumn("_k", key).where(F.col("_k").isNotNull())
             .select("_k.*", "rows", "size_bytes", "path", "state", "columns"))
 
@@ -108,6 +109,7 @@ def _md5_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def digests_of(paths: DataFrame) -> DataFrame:
     """(path, size_bytes, md5) for the listed ``path`` values only (missing files give NULLs)."""
+    ship_package(paths.sparkSession)
     return (paths.select("path").distinct().repartition(io_tasks(paths.sparkSession), "path")
             .mapInPandas(_md5_files, "path string, size_bytes bigint, md5 string"))
 
@@ -150,8 +152,35 @@ def storage_report(spark: SparkSession, root: str, glob: str = "*.parquet") -> D
                      (F.coalesce(F.sum("size_bytes"), F.lit(0)) / F.lit(float(1024 ** 3))).alias("total_gib"))
 
 
-def file_columns(spark: SparkSession, cache_root: str, schema: str) -> DataFrame:
-    """(schema, symbol, venue, year_month, path, column): exploded footer columns for check D per file."""
-    cp = chunk_probe(spark, cache_root, schema)
+HIVE_COLUMNS = ("schema", "symbol", "venue_safe", "year_month")
+
+
+def layout_probe(spark: SparkSession, root: str, schema: str, layout: str) -> DataFrame:
+    """S6 on any layout: (schema, symbol, venue, year_month, path, state, columns) per file; flat files have no venue."""
+    if layout == "chunk":
+        return chunk_probe(spark, root, schema)
+    path = F.col("path")
+    if layout == "hive":
+        part = lambda k: F.regexp_extract(path, rf"/{k}=([^/]+)/", 1)
+        probe = file_probe(spark, f"{root.rstrip('/')}/schema={schema}")
+        return probe.select(F.lit(schema).alias("schema"), part("symbol").alias("symbol"),
+                            K.venue_unsafe(part("venue_safe")).alias("venue"), part("year_month").alias("year_month"),
+                            "rows", "size_bytes", "path", "state", "columns")
+    name = F.regexp_extract(path, r"([^/]+)\.parquet$", 1)
+    none = F.lit(None).cast("string")
+    return file_probe(spark, root).where(not_quarantined(path) & ~name.endswith("_validation")).select(
+        F.lit(schema).alias("schema"), name.alias("symbol"), none.alias("venue"), none.alias("year_month"),
+        "rows", "size_bytes", "path", "state", "columns")
+
+
+def file_columns(spark: SparkSession, cache_root: str, schema: str, layout: str = "chunk",
+                 probe: DataFrame | None = None) -> DataFrame:
+    """(schema, symbol, venue, year_month, path, column): exploded footer columns for check D per file.
+
+    A file's columns include what its layout puts into the path.
+    """
+    cp = probe if probe is not None else layout_probe(spark, cache_root, schema, layout)
+    from_path = {"chunk": (), "hive": ("symbol", "venue"), "flat": ("symbol",)}[layout]
+    cols = F.concat("columns", F.array(*[F.lit(c) for c in from_path]).cast("array<string>"))
     return cp.where(F.col("columns").isNotNull()).select(
-        "schema", "symbol", "venue", "year_month", "path", F.explode("columns").alias("column"))
+        "schema", "symbol", "venue", "year_month", "path", F.explode(cols).alias("column"))

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickgate.config import ValidationConfig
 from tickgate.operators.normalize import normalize_bars
 from tickgate.plans.validate import validate
-from tickgate.session import broadcast_if_small
+from tickgate.operators.nulls import join_same
 from tickgate.sinks import writers as W
 
 BAR_STREAM_SCHEMA = ("symbol string, venue string, ts_event timestamp_ntz, open double, high double, "
@@ -53,12 +53,9 @@ def _revalidate(landing_dir: str, reports_root: str, cfg: ValidationConfig, sche
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        # broadcast behind a size check: a batch touching an unusually large
-        # key set falls back to a shuffled semi-join
-        touched = broadcast_if_small(batch.select(*keys).distinct())
+        touched = batch.select(*keys).distinct()
         history = _history(spark, landing_dir, schema, layout)
-        # semi-join with the touched keys (map-side when broadcast)
-        rows = history.join(touched, keys, "left_semi")
+        rows = join_same(history, touched, keys, "left_semi")
         if layout == "hive":
             rows = rows.drop("venue_safe")
         v = validate(rows, cfg)
@@ -105,7 +102,9 @@ def start_row_checks(spark: SparkSession, landing_dir: str, out_dir: str, checkp
                      cfg: ValidationConfig = ValidationConfig(), available_now: bool = True) -> StreamingQuery:
     """Per-batch tallies appended to ``out_dir`` (Parquet, one batch per epoch)."""
     def append(batch: DataFrame, epoch_id: int) -> None:
-        row_checks(batch, cfg).withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(out_dir)
+        # a replayed epoch replaces its own partition
+        (row_checks(batch, cfg).withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out_dir))
 
     w = landing_stream(spark, landing_dir).writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
