@@ -7,6 +7,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Path part that stands for a NULL key part. (Names with a leading underscore are hidden from scans.)
+NO_KEY = "~null"
+
+
 def venue_safe(venue: Column) -> Column:
     """'XNAS.ITCH' -> 'XNAS_ITCH' (every dot)."""
     return F.translate(venue, ".", "_")
@@ -53,13 +57,14 @@ def parse_chunk_relpath(rel: Column) -> Column:
     parts = F.split(rel, "/")
     n = F.size(parts)
     fname = F.element_at(parts, 4)
+    key = lambda part, name: F.nullif(part, F.lit(NO_KEY)).alias(name)
     return F.when(
         n >= 4,
         F.struct(
-            F.element_at(parts, 1).alias("schema"),
-            F.element_at(parts, 2).alias("symbol"),
-            venue_unsafe(F.element_at(parts, 3)).alias("venue"),
-            F.regexp_replace(fname, r"\.parquet$", "").alias("year_month"),
+            key(F.element_at(parts, 1), "schema"),
+            key(F.element_at(parts, 2), "symbol"),
+            key(venue_unsafe(F.element_at(parts, 3)), "venue"),
+            key(F.regexp_replace(fname, r"\.parquet$", ""), "year_month"),
         ),
     )
 

@@ -402,22 +402,46 @@ def q_file_probe(spark, sf_dir):
     return p.select(name.alias("table_name"), "state", "rows")
 
 
+FILE_BUCKETS = 64
+
+
+def _text_files(spark, sf_dir, altered: int | None = None) -> str:
+    """A folder of text files whose bytes follow from ``events``: one per bucket of users, a line per event.
+
+    With ``altered``, that bucket's lines differ. Returns the folder.
+    """
+    import uuid
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    bucket = F.col("user_id") % FILE_BUCKETS
+    line = F.concat(F.col("event_id").cast("string"), F.lit(" "), F.col("event_type"))
+    if altered is not None:
+        line = F.when(bucket == altered, F.concat(line, F.lit("!"))).otherwise(line)
+    (_t(spark, sf_dir, "events").select(bucket.alias("bucket"), "event_id", line.alias("value"))
+     .repartition("bucket").sortWithinPartitions("bucket", "event_id").select("bucket", "value")
+     .write.partitionBy("bucket").text(root))
+    return root
+
+
+def _bucket() -> F.Column:
+    return F.regexp_extract("path", r"/bucket=([0-9]+)/", 1).cast("bigint")
+
+
 def q_storage_report(spark, sf_dir):
-    return files.storage_report(spark, sf_dir)
+    return files.storage_report(spark, _text_files(spark, sf_dir), "*.txt")
 
 
 def q_file_digest(spark, sf_dir):
-    d = files.file_digests(spark, sf_dir)
-    return d.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "size_bytes", "md5")
+    d = files.file_digests(spark, _text_files(spark, sf_dir), "*.txt")
+    return d.select(_bucket().alias("bucket"), "size_bytes", "md5")
 
 
 def q_digest_compare(spark, sf_dir):
-    """Local hex digests against the same digests as an object store reports them (base64)."""
-    d = files.file_digests(spark, sf_dir)
-    remote = d.select("path", files.hex_to_b64(F.col("md5")).alias("md5_b64"))
-    j = d.join(remote, "path").withColumn("md5_remote", files.b64_to_hex(F.col("md5_b64")))
-    return j.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                    (F.col("md5") == F.col("md5_remote")).alias("digest_match"))
+    """Local digests against those an object store reports (base64) for a copy with one altered file."""
+    local = files.file_digests(spark, _text_files(spark, sf_dir), "*.txt").select(_bucket().alias("bucket"), "md5")
+    remote = files.file_digests(spark, _text_files(spark, sf_dir, altered=7), "*.txt").select(
+        _bucket().alias("bucket"), files.hex_to_b64(F.col("md5")).alias("md5_b64"))
+    j = local.join(remote, "bucket")
+    return j.select("bucket", F.col("md5").eqNullSafe(files.b64_to_hex(F.col("md5_b64"))).alias("digest_match"))
 
 
 # ---------------------------------------------------------------------------

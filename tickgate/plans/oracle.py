@@ -467,3 +467,20 @@ FROM nb GROUP BY symbol, et_date"""
 ORACLE["check_results_by_venue"] = with_bars(*VALIDATION, by_venue=True) + """
 SELECT split_part(symbol, '@', 1) AS symbol, split_part(symbol, '@', 2) AS venue,
        "check", severity_rank, status, detail FROM checks"""
+
+# The bytes of the text files that the file queries write: a line per event, in order of the event.
+FILES_CTE = """
+f AS (
+  SELECT user_id % 64 AS bucket,
+         string_agg(event_id || ' ' || event_type, chr(10) ORDER BY event_id) || chr(10) AS body
+  FROM events GROUP BY 1)"""
+
+ORACLE.update({
+    "file_digest": "WITH" + FILES_CTE + """
+SELECT bucket, octet_length(encode(body))::BIGINT AS size_bytes, md5(body) AS md5 FROM f""",
+    "storage_report": "WITH" + FILES_CTE + """
+SELECT count(*) AS n_files, sum(octet_length(encode(body)))::BIGINT AS total_bytes,
+       sum(octet_length(encode(body))) / 1073741824.0::DOUBLE AS total_gib FROM f""",
+    "digest_compare": "WITH" + FILES_CTE + """
+SELECT bucket, bucket <> 7 AS digest_match FROM f""",
+})

@@ -44,7 +44,6 @@ def write_chunks(df: DataFrame, root: str, mode: str = "overwrite", ts: str = "t
 
 
 KEY = ["schema", "symbol", "venue", "year_month"]
-NO_KEY = "__HIVE_DEFAULT_PARTITION__"    # folder of a NULL key part, as Spark's own partitioned writer names it
 
 
 def _chunk_file_writer(root: str, row_group: int):
@@ -85,7 +84,7 @@ def _chunk_file_writer(root: str, row_group: int):
                 if writer is None or keys[lo] != cur:
                     close()
                     cur, held, n = keys[lo], [], 0
-                    part = [NO_KEY if x is None else x for x in cur]
+                    part = [K.NO_KEY if x is None else x for x in cur]
                     d = "/".join([base.rstrip("/"), part[0], part[1], part[2].replace(".", "_")])
                     fs.create_dir(d, recursive=True)
                     final = f"{d}/{part[3]}.parquet"
@@ -112,7 +111,7 @@ def write_chunk_files(df: DataFrame, root: str, ts: str = "ts_event",
     file in row groups of ``row_group`` rows; the file is written under a name of
     the task attempt, then renamed. Column types are those of ``df``, with
     ``volume`` always double, so chunks with and without NULLs can be read
-    together. NULL key parts get the folder of NULL partitions.
+    together. NULL key parts get a folder name of their own (``keys.NO_KEY``).
 
     Returns the ledger (chunk key, path, rows, size_bytes), lazily: the files are
     written when it is evaluated. One file per chunk means one writer per chunk;
