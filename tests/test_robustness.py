@@ -180,3 +180,13 @@ def test_median_text_rounds_ties_to_even(spark):
     rows = [bar(t, symbol="HI", o=1e4, h=2e4, lo=1.0, c=10000.5) for t in DAY] + [bar(t, symbol="LO", o=.02, h=1.0, lo=.01, c=0.03125) for t in DAY]
     got = {r.symbol: r.detail for r in validate(bars(spark, rows), ValidationConfig()).check_results.where("check = 'A'").collect()}
     assert got == {"HI": "median close = 10,000 > 10000 (fixed-point not converted)", "LO": "median close = 0.0312"}
+
+
+def test_median_with_one_extreme_value(spark):
+    """The extreme value leaves the others spread over many buckets, and the median exact."""
+    import statistics
+    from tickgate.operators.checks import median_close
+    vals = [30 + i / 1000 for i in range(5000)] + [1e9]
+    df = spark.createDataFrame([("S", v) for v in vals] + [(None, 1.0), (None, 4.0)], "symbol string, close double")
+    got = {r.symbol: r.median_close for r in median_close(df).collect()}
+    assert got == {"S": statistics.median(vals), None: 2.5}

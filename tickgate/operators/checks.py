@@ -9,8 +9,8 @@ large share of all rows never lands whole in one task:
   (key, close) histogram; B, J, E and H's sums are partial (map-side)
   aggregates there, and the per-key numbers roll up from the small daily table.
 * A's exact median first collapses the rows to a (key, close) histogram,
-  shuffled on (key, close), then walks cumulative counts of fixed value
-  buckets and, inside the one or two buckets holding the middle, the values.
+  shuffled on (key, close), then walks cumulative counts of value buckets of
+  equal distinct count and, inside the one or two buckets holding the middle, the values.
 * F and I group by (key, date, ts) first (spreads a hot key over its
   timestamps), then by (key, date) with bounded state: check I only keeps the
   set of filled grid slots, at most 25 per ET day.
@@ -126,16 +126,18 @@ def key_counts(daily: DataFrame, cfg: ValidationConfig = ValidationConfig()) ->
 # ---------------------------------------------------------------------------
 
 def median_close(norm: DataFrame | None, cfg: ValidationConfig = ValidationConfig(),
-                 value: str = "close", buckets: int = 1024, hist: DataFrame | None = None) -> DataFrame:
+                 value: str = "close", buckets: int = 64, hist: DataFrame | None = None) -> DataFrame:
     """Exact median per key (pandas semantics: NULL skipped, mean of the two middle values).
 
     1. rows collapse to a (key, value) -> count histogram, shuffled on (key, value);
-    2. each key's value range is cut into ``buckets`` equal-width buckets and
-       the bucket counts are accumulated (``buckets`` rows per key at most);
+    2. each key's distinct values are cut into ``buckets`` buckets of about equal
+       count at approximate percentiles (so an extreme value cannot crowd the
+       others into one bucket), and the bucket counts are accumulated;
     3. only the one or two buckets holding the middle ranks are walked value by
        value, partitioned by (key, bucket).
 
-    No step puts all rows, or all distinct values, of one key into one task.
+    No step puts all rows of one key, or more than about a ``buckets``-th of its
+    distinct values, into one task.
     Written as one SQL statement over the histogram (one analysis of the plan).
     """
     keys = _k(cfg)
@@ -145,15 +147,15 @@ def median_close(norm: DataFrame | None, cfg: ValidationConfig = ValidationConfi
     k = ", ".join(f"`{c}`" for c in keys)
     k_of = lambda t: ", ".join(f"{t}.`{c}`" for c in keys)
     nb = int(buckets)
+    cuts = "array(" + ", ".join(f"{(i + 1) / nb!r}D" for i in range(max(1, nb - 1))) + ")"
     covers = "({c} - {n} < {r} AND {c} >= {r})"
     lo_b, hi_b = covers.format(c="bcum", n="bcnt", r="lo_rank"), covers.format(c="bcum", n="bcnt", r="hi_rank")
     lo_v, hi_v = covers.format(c="cum", n="cnt", r="lo_rank"), covers.format(c="cum", n="cnt", r="hi_rank")
     sql = f"""
     WITH h AS (SELECT {k}, `{value}` AS v, cnt FROM {{hist}}),
-    s AS (SELECT {k}, sum(cnt) AS n, min(v) AS lo, max(v) AS hi FROM h GROUP BY {k}),
+    s AS (SELECT {k}, sum(cnt) AS n, percentile_approx(v, {cuts}, {20 * nb}) AS bounds FROM h GROUP BY {k}),
     hb AS (SELECT {k_of('h')}, v, cnt,
-                  CAST(CASE WHEN hi > lo THEN least(floor((v - lo) / (hi - lo) * {nb}), {nb - 1}) ELSE 0 END AS INT)
-                    AS bucket
+                  size(filter(bounds, b -> b < v)) AS bucket
            FROM h JOIN s ON {on_same('h', 's', keys)}),
     pb AS (SELECT {k}, bucket, sum(cnt) AS bcnt FROM hb GROUP BY {k}, bucket),
     cb AS (SELECT pb.*, floor((s.n - 1) / 2) + 1 AS lo_rank, floor(s.n / 2) + 1 AS hi_rank,

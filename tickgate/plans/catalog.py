@@ -20,7 +20,7 @@ from tickgate.operators import publishing as PB
 from tickgate.operators import verdict as V
 from tickgate.operators.normalize import normalize_bars
 from tickgate.plans.validate import validate
-from tickgate.session import cut_lineage, ensure_checkpoint_dir
+from tickgate.session import cut_lineage, ensure_checkpoint_dir, write_table
 from tickgate.sinks import writers as W
 from tickgate.sources import bars as B
 from tickgate.sources import dims, files
@@ -39,7 +39,7 @@ def _bars(spark, sf_dir, wide=False) -> DataFrame:
 def _bars_table(spark, sf_dir, wide=False) -> DataFrame:
     """The derived bars, written once to the shared checkpoint folder, for
     queries that both validate and route/publish them (two consumers)."""
-    return cut_lineage(_bars(spark, sf_dir, wide))
+    return write_table(_bars(spark, sf_dir, wide))
 
 
 def _validation(spark, sf_dir, wide=False, bars: DataFrame | None = None):
@@ -115,7 +115,7 @@ def _grade(abort: F.Column, warn: F.Column | None = None) -> F.Column:
 
 def _base(spark, sf_dir, wide=False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(daily, per_ts, hist) from one scan of the bars (grouping-sets aggregate, written once)."""
-    base = cut_lineage(C.base_aggregates(_norm(spark, sf_dir, wide), CFG))
+    base = write_table(C.base_aggregates(_norm(spark, sf_dir, wide), CFG), ("level",))
     return C.split_base(base, CFG)
 
 

@@ -21,7 +21,7 @@ from tickgate.operators import checks as C
 from tickgate.operators import verdict as V
 from tickgate.operators.nulls import join_same
 from tickgate.operators.normalize import Normalized, normalize_bars
-from tickgate.session import cut_lineage, write_table
+from tickgate.session import write_table
 
 
 @dataclass
@@ -77,7 +77,7 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     # the price histogram; written once to the shared checkpoint folder
     base = C.base_aggregates(norm.df, cfg)
     if materialize:
-        base = cut_lineage(base)
+        base = write_table(base, ("level",))
     daily, per_ts, hist = C.split_base(base, cfg)
     per_day = C.gaps_and_duplicates(None, daily, cfg, per_ts=per_ts)
     day = C.day_table(daily, per_day, cfg)
@@ -277,6 +277,7 @@ def validate_layout(spark, root: str, cfg: ValidationConfig = ValidationConfig()
         df = B.read_chunks(spark, root, cfg.schema, symbol=symbol, layout=layout, skip_unreadable=True)
     drop = [c for c in ("schema", "year_month") if c in df.columns and c not in keys]
     v = validate(df.drop(*drop), cfg, missing_by_key=missing, unreadable=bad, expected_keys=probe.select(*keys))
+    v.wide = write_table(v.wide)   # one row per key, read by every summary below and by the caller's
     if reports_root:
         W.write_reports(v.report, reports_root)
     if quarantine_root:

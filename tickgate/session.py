@@ -74,12 +74,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_table(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once as Parquet in the shared checkpoint folder and read it back."""
+def write_table(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Materialise ``df`` once as Parquet in the shared checkpoint folder and read it back.
+
+    Later reads take only the columns and, with ``partition_by``, the partitions that they need.
+    """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path) if partition_by else spark.read.parquet(path)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
