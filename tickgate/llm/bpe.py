@@ -25,7 +25,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from tickgate.llm.common import ready
 
 NONE = 1 << 62
-MEMO = 300_000       # pieces kept per process
+MEMO = 150_000       # pieces kept per process
 MEMO_CHARS = 48      # longer pieces are not kept
 OUT_ROWS = 1024      # rows per outgoing batch
 
@@ -174,24 +174,28 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path, pattern = _defaults(path, pattern)
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
-        codec = Codec.of(path, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, OUT_ROWS):
-                part = batch.slice(at, OUT_ROWS)
-                ids = [codec.encode(t.as_py()) for t in part.column(1)]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                values = np.concatenate(ids) if ids else np.empty(0, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))],
-                    names=["id", "token_ids"])
+        for ids, tokens in _encoded(Codec.of(path, pattern), batches):
+            yield pa.RecordBatch.from_arrays([ids, tokens], names=["id", "token_ids"])
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return src.mapInArrow(run, StructType([
         StructField("id", src.schema["id"].dataType), *_ids_field()])).withColumnRenamed("id", id_col)
 
 
+def _encoded(codec: Codec, batches: Iterator) -> Iterator:
+    """(ids, lists of token ids) of each small part of the batches of (id, text)."""
+    import numpy as np
+    import pyarrow as pa
+    for batch in batches:
+        for at in range(0, batch.num_rows, OUT_ROWS):
+            part = batch.slice(at, OUT_ROWS)
+            found = [codec.encode(t.as_py()) for t in part.column(1)]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            values = np.concatenate([np.empty(0, np.int32), *found])
+            yield part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+
+
 def _ids_field() -> StructType:
     return StructType.fromDDL("token_ids array<int>")
 
@@ -218,10 +222,28 @@ def decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "token_ids"
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``decode(encode(docs))`` in one Python pass: id, ``token_ids``, ``decoded``."""
+    ready(docs.sparkSession)
+    path, pattern = _defaults(path, pattern)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        codec = Codec.of(path, pattern)
+        for ids, tokens in _encoded(codec, batches):
+            yield pa.RecordBatch.from_arrays([ids, tokens, codec.decode(tokens).cast(pa.binary())],
+                                             names=["id", "token_ids", "decoded"])
+
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    schema = StructType([src.schema["id"], *_ids_field(), StructField("decoded", BinaryType())])
+    return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Encode, decode, and reduce both to digests: id, n_tokens, ids_sha256, decoded_sha256."""
-    d = decode(encode(docs, id_col, text_col, path, pattern), id_col, "token_ids", path, pattern)
+    d = round_trip(docs, id_col, text_col, path, pattern)
     return d.select(
         id_col, F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
