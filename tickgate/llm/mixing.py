@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tickgate.llm.common import WORD, written
 
-ID_BLOCK = 65536      # ids per ranking block
+ID_BLOCK = 4096       # ids per ranking block
 WEIGHTS = (3, 1, 2)   # of the sources in code-point order, repeating
 SHARE = 1.5           # of all words
 CAP = 2.0             # times a source's size
