@@ -27,8 +27,8 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     record_map = warc.write(read(spark, sf_dir, "pages"), warc.archive_folder(spark))
     r = warc.read_all(record_map, payloads=False)
-    return r.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-                    F.col("refers_to").cast("long").alias("refers_to"))
+    return r.select(F.col("record_id").try_cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                    F.col("refers_to").try_cast("long").alias("refers_to"))
 
 
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
