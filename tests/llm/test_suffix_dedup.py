@@ -93,7 +93,8 @@ def test_dealer_and_bucket_combine_equal_entries():
     a = d.rows()
     d.add(3, one[2:], one[2:], np.array([7]))
     d.add(3, np.array([77], np.uint64), np.array([77], np.uint64), np.array([8]))
-    t = S.repeated_in_bucket(pa.Table.from_batches([a, d.rows()]))
+    t = S._repeated_in_bucket(8)(pa.Table.from_batches([a, d.rows()]))
+    t = S.gathered(t)
     got = {(r["ref"], int(p) & 0x7FFFFFFF): bool(int(p) >> 31) for r in t.to_pylist() for p in np.frombuffer(r["places"], np.uint32)}
     assert got == {(1, 0): True, (1, 10): False, (2, 3): False, (1, 20): True, (3, 7): False}
 

@@ -17,7 +17,8 @@ document or at another place of the same one.
 
 Suffixes are compared to ``length`` bytes only, so any total order that puts equal strings side by side will
 do, and the order of fingerprints is taken; characters are not compared. The first fingerprint may collide
-without harm (48 bits and the bucket); those that decide have 96 bits and the bucket.
+without harm (40 bits and the bucket); those that decide have 64 bits and, of a second one, the bucket, so that
+they grow with the input.
 
 The number of buckets grows with the input, so a bucket's size does not. A bucket holds positions, not texts;
 documents travel only if they hold a sample of equal rank, once. Entries with one fingerprint are combined before the
@@ -44,8 +45,11 @@ BUCKET = 2_000_000      # positions that a bucket should hold
 FLUSH = 1_000_000       # positions held by a task before it deals them out
 PART = 1 << 18          # bytes hashed at a time
 
-PACK = "bucket int, keys binary, more binary, refs binary, counts binary, places binary"
+# Entries of one bucket: their keys; the documents in turn, with the number of entries of each; places; flags.
+PACK = "bucket int, keys binary, refs binary, counts binary, places binary, flags binary"
 FOUND = "ref long, places binary"
+FIRST = 1 << 31         # in a place of FOUND: the first of its rank
+SHORT = 5               # bytes of a key that need not decide
 
 
 # ---------------------------------------------------------------- difference cover
@@ -123,6 +127,36 @@ def samples(n: int, length: int):
 
 # ---------------------------------------------------------------- buckets
 
+def _pack(number: int, at, doc, refs, key_bytes, place, flags) -> tuple:
+    """A row of PACK of the entries ``at``, whose documents stand in turn. Places take two bytes where they can."""
+    import numpy as np
+    docs, counts = np.unique(doc[at], return_counts=True)
+    p = place[at]
+    p = p.astype(np.uint16 if not len(p) or p.max() < 1 << 16 else np.uint32)
+    return (number, key_bytes, refs[docs].tobytes(), counts.astype(np.uint32).tobytes(), p.tobytes(), np.packbits(flags[at]).tobytes())
+
+
+def _batch(rows: list[tuple]):
+    import pyarrow as pa
+    out = list(zip(*rows)) or [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]],
+                                      names=[c.split()[0] for c in PACK.split(", ")])
+
+
+def _unpack(table):
+    """(refs, places, flags, raw key bytes) of all entries in rows of PACK."""
+    import numpy as np
+    view = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
+    counts = view("counts", np.uint32)
+    sizes = [int(c.sum()) for c in counts]
+    refs = [np.repeat(r, c) for r, c in zip(view("refs", np.int64), counts)]
+    places = [x.view(np.uint16 if len(x) == 2 * n else np.uint32).astype(np.uint32)
+              for x, n in zip(view("places", np.uint8), sizes)]
+    flags = [np.unpackbits(x, count=n).astype(bool) for x, n in zip(view("flags", np.uint8), sizes)]
+    join = lambda parts, kind: np.concatenate([np.empty(0, kind), *parts])
+    return join(refs, np.int64), join(places, np.uint32), join(flags, bool), join(view("keys", np.uint8), np.uint8)
+
+
 class Dealer:
     """Holds (fingerprint, document, place) and gives them out as one packed row per bucket."""
 
@@ -145,43 +179,35 @@ class Dealer:
     def rows(self):
         """A record batch of PACK: a row per bucket, and one (without keys) of the entries that are answered here.
 
-        The highest bit of a place says that the entry stands for others of its fingerprint.
+        A flag says that the entry stands for others of its fingerprint.
         """
         import numpy as np
-        import pyarrow as pa
         key, place = np.concatenate(self.keys), np.concatenate(self.places).astype(np.uint32)
         refs, doc = np.array(self.refs, np.int64), np.repeat(np.arange(len(self.refs)), self.sizes)
-        more = (np.concatenate(self.more) >> np.uint64(32)).astype(np.uint32) if self.wide else np.zeros(len(key), np.uint32)
-        hit, after, before = _ranks(key, more, refs[doc], place)
-        place[hit[before & ~after]] |= np.uint32(1 << 31)
+        spread = np.concatenate(self.more) if self.wide else key
+        bucket = (spread >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(key), np.int64)
+        hit, after, before = _ranks(key, bucket, refs[doc], place)
+        stands = np.zeros(len(key), bool)
+        stands[hit[before & ~after]] = True
         rest = np.sort(hit[after])
         dealt = np.ones(len(key), bool)
         dealt[rest] = False
         dealt = np.flatnonzero(dealt)
-        bucket = (key[dealt] >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(dealt), np.int64)
-        order = np.argsort(bucket, kind="stable")   # documents stay in turn inside a bucket
-        ends = np.searchsorted(bucket[order], np.arange((1 << self.bits) + 1))
-        dealt, out = dealt[order], [[] for _ in range(6)]
-
-        def put(number: int, at, keys: bytes, wide: bytes) -> None:
-            docs, counts = np.unique(doc[at], return_counts=True)
-            for col, x in zip(out, (number, keys, wide, refs[docs].tobytes(), counts.astype(np.uint32).tobytes(),
-                                    place[at].tobytes())):
-                col.append(x)
-
+        dealt = dealt[np.argsort(bucket[dealt], kind="stable")]   # documents stay in turn inside a bucket
+        ends = np.searchsorted(bucket[dealt], np.arange((1 << self.bits) + 1))
+        out = []
         for b in range(1 << self.bits):
             at = dealt[ends[b]:ends[b + 1]]
             if len(at):
-                low = key[at] if self.wide else np.ascontiguousarray(key[at].view(np.uint8).reshape(-1, 8)[:, :6])
-                put(b, at, low.tobytes(), more[at].tobytes() if self.wide else b"")
+                low = key[at] if self.wide else np.ascontiguousarray(key[at].view(np.uint8).reshape(-1, 8)[:, :SHORT])
+                out.append(_pack(b, at, doc, refs, low.tobytes(), place, stands))
         if len(rest):
-            put(int(key[rest[0]] & np.uint64((1 << self.bits) - 1)), rest, b"", b"")
+            out.append(_pack(int(bucket[rest[0]]), rest, doc, refs, b"", place, stands))
         self.clear()
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]],
-                                          names=[c.split()[0] for c in PACK.split(", ")])
+        return _batch(out)
 
 
-def _ranks(key, more, refs, places):
+def _ranks(key, bucket, refs, places):
     """Entries with an equal neighbour, by fingerprint and place; whether each follows, or is followed by, an equal one."""
     import numpy as np
     order = np.argsort(key)
@@ -190,57 +216,70 @@ def _ranks(key, more, refs, places):
     hit[1:] |= same
     hit[:-1] |= same
     hit = order[hit]
-    hit = hit[np.lexsort((places[hit], refs[hit], more[hit], key[hit]))]
+    hit = hit[np.lexsort((places[hit], refs[hit], bucket[hit], key[hit]))]
     after, before = np.zeros(len(hit), bool), np.zeros(len(hit), bool)
-    after[1:] = before[:-1] = (key[hit[1:]] == key[hit[:-1]]) & (more[hit[1:]] == more[hit[:-1]])
+    after[1:] = before[:-1] = (key[hit[1:]] == key[hit[:-1]]) & (bucket[hit[1:]] == bucket[hit[:-1]])
     return hit, after, before
 
 
-def _joined(table, name: str, kind):
-    import numpy as np
-    return np.concatenate([np.empty(0, kind), *[np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]])
-
+def _repeated_in_bucket(lanes: int):
+    def run(table):
+        """Sort one bucket and give the entries that have an equal one, here or where they came from, by lane of documents.
 
-def repeated_in_bucket(table):
-    """Sort one bucket and give the places of all entries that have an equal one, here or where they came from.
-
-    The highest bit of a place marks the first of its rank.
-    """
+        A flag marks the first of its rank.
+        """
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        empty = pc.equal(pc.binary_length(table.column("keys")), 0)
+        refs, places, stands, raw = _unpack(table.filter(pc.invert(empty)))
+        if len(raw) == 8 * len(places):
+            keys = raw.view(np.uint64)
+        else:
+            keys = np.zeros((len(places), 8), np.uint8)
+            keys[:, :SHORT] = raw.reshape(-1, SHORT)
+            keys = keys.view(np.uint64).ravel()
+        hit, after, before = _ranks(keys, np.zeros(len(keys), np.int8), refs, places)
+        first = np.ones(len(places), bool)
+        first[hit[after]] = False
+        found = stands
+        found[hit[after | before]] = True
+        found = np.flatnonzero(found)
+        other_refs, other_places, _, _ = _unpack(table.filter(empty))
+        r, p = np.concatenate([refs[found], other_refs]), np.concatenate([places[found], other_places])
+        f = np.concatenate([first[found], np.zeros(len(other_refs), bool)])
+        back = np.lexsort((p, r, r % lanes))
+        r, p, f = r[back], p[back], f[back]
+        turn = np.zeros(len(r), np.int64)     # number of the document, in the order of lanes
+        turn[1:] = np.cumsum(r[1:] != r[:-1])
+        order = r[np.concatenate([[0], np.flatnonzero(np.diff(turn)) + 1]).astype(np.int64)] if len(r) else r
+        ends = np.searchsorted(r % lanes, np.arange(lanes + 1))
+        return pa.Table.from_batches([_batch([
+            _pack(k, np.arange(ends[k], ends[k + 1]), turn, order, b"", p, f) for k in range(lanes) if ends[k] < ends[k + 1]])])
+    return run
+
+
+def gathered(table):
+    """All found places of the documents of one lane: (ref, places), a row per document."""
     import numpy as np
     import pyarrow as pa
-    import pyarrow.compute as pc
-    flag, empty = np.uint32(1 << 31), pc.equal(pc.binary_length(table.column("keys")), 0)
-    here, answered = table.filter(pc.invert(empty)), table.filter(empty)
-    entry = lambda t: np.repeat(_joined(t, "refs", np.int64), _joined(t, "counts", np.uint32))
-    refs, places, raw = entry(here), _joined(here, "places", np.uint32), _joined(here, "keys", np.uint8)
-    stands, places = places >= flag, places & ~flag
-    if len(raw) == 8 * len(places):
-        keys, more = raw.view(np.uint64), _joined(here, "more", np.uint32)
-    else:
-        keys, more = np.zeros((len(places), 8), np.uint8), np.zeros(len(places), np.uint32)
-        keys[:, :6] = raw.reshape(-1, 6)
-        keys = keys.view(np.uint64).ravel()
-    hit, after, before = _ranks(keys, more, refs, places)
-    later = np.zeros(len(places), bool)      # not the first of its rank
-    later[hit[after]] = True
-    found = stands.copy()
-    found[hit[after | before]] = True
-    found = np.flatnonzero(found)
-    r = np.concatenate([refs[found], entry(answered)])
-    p = np.concatenate([places[found] | np.where(later[found], np.uint32(0), flag), _joined(answered, "places", np.uint32)])
-    back = np.lexsort((p & ~flag, r))
-    r, p = r[back], p[back]
-    cuts = np.flatnonzero(np.diff(r)) + 1
-    starts = np.concatenate([[0], cuts]).astype(np.int64) if len(r) else np.empty(0, np.int64)
+    r, p, f, _ = _unpack(table)
+    order = np.lexsort((~f, p, r))
+    r, p, f = r[order], p[order], f[order]
+    once = np.ones(len(r), bool)      # a place found twice counts as a first if it was one
+    once[1:] = (r[1:] != r[:-1]) | (p[1:] != p[:-1])
+    r, p = r[once], p[once] | np.where(f[once], np.uint32(FIRST), np.uint32(0))
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(r)) + 1]).astype(np.int64) if len(r) else np.empty(0, np.int64)
     offsets = np.append(starts, len(r)).astype(np.int32) * 4
     packed = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(p))])
     return pa.table({"ref": pa.array(r[starts], pa.int64()), "places": packed})
 
 
-def _repeated(dealt: DataFrame) -> DataFrame:
-    """(ref, places): all repeated places of a document, in one row. A row is no longer than its document asks for."""
-    found = dealt.groupBy("bucket").applyInArrow(repeated_in_bucket, FOUND)
-    return found.groupBy("ref").agg(F.collect_list("places").alias("places"))
+def _repeated(dealt: DataFrame, bits: int) -> DataFrame:
+    """(ref, places): all repeated places of a document, in one row."""
+    lanes = 1 << max(3, bits - 3)
+    found = dealt.groupBy("bucket").applyInArrow(_repeated_in_bucket(lanes), PACK)
+    return found.withColumnRenamed("bucket", "lane").groupBy("lane").applyInArrow(gathered, FOUND)
 
 
 def _bits(positions: float) -> int:
@@ -275,14 +314,14 @@ def _deal(rows: DataFrame, bits: int, wide: bool, choose) -> DataFrame:
 
 
 def _places(value, firsts: bool = True):
-    """The distinct positions in a list of packed ones, in order, with or without the firsts of ranks; none for null."""
+    """The positions in ``places`` of FOUND, in order, with or without the firsts of ranks; none for null."""
     import numpy as np
-    if not value.is_valid or not len(value.values):
+    if not value.is_valid:
         return np.empty(0, np.int64)
-    p = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in value.values])
+    p = np.frombuffer(value.as_buffer(), np.uint32)
     if not firsts:
-        p = p[p < 1 << 31]
-    return np.unique(p & np.uint32(0x7FFFFFFF)).astype(np.int64)
+        p = p[p < FIRST]
+    return (p & np.uint32(FIRST - 1)).astype(np.int64)
 
 
 def _marked(size: int, starts, before: int, after: int):
@@ -368,13 +407,16 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     # any row but the further copies
     texts = narrowed(hashed.where(F.octet_length("bytes") >= length).select("ref", "bytes"), "ref", others, "ref", anti=True)
-    ranked = written(_repeated(_deal(texts, _bits(total * len(cover) / v), False, _choose_samples(length))))
+    bits = _bits(total * len(cover) / v)
+    ranked = written(_repeated(_deal(texts, bits, False, _choose_samples(length)), bits))
     held = narrowed(texts, "ref", ranked.select("ref"), "ref").dropDuplicates(["ref"])
     held = written(held.join(ranked, "ref").select("ref", "bytes", F.col("places").alias("ranked")))
     size = held.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    settled = written(_repeated(_deal(held, _bits(size * len(cover) / v), True, _choose_long(length))))
+    bits = _bits(size * len(cover) / v)
+    settled = written(_repeated(_deal(held, bits, True, _choose_long(length)), bits))
     held = held.join(settled.withColumnRenamed("places", "settled"), "ref", "left")
-    last = written(_repeated(_deal(held, _bits(size), True, _choose_rest(length))))
+    bits = _bits(size)
+    last = written(_repeated(_deal(held, bits, True, _choose_rest(length)), bits))
     marked = held.join(last.withColumnRenamed("places", "repeated"), "ref", "left") \
         .where("settled IS NOT NULL OR repeated IS NOT NULL").select("ref", "bytes", "settled", "repeated")
     cut = _cut(marked, length)
