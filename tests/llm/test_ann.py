@@ -78,6 +78,7 @@ def test_synchronous_ascent(spark):
     counts = spark.createDataFrame([(1, 0, [50, 20, 4, 1, 1]), (1, 1, [50, 10, 3, 2, 1])], "id long, tree int, counts array<long>")
     level = lambda most, prefix=0: {r.tree: r.level for r in ann.levels(counts, prefix, most).collect()}
     assert level(2) == {0: 4, 1: 4}            # 1 + 1 entries at full length
-    assert level(7) == {0: 2, 1: 3}            # 1, 2 | 1, 3 | 6, then 7 after the first tree of the next level
+    assert level(6) == {0: 2, 1: 3}            # 1, 2 | 2, 3 | 6: enough after the first tree of this level
+    assert level(7) == {0: 2, 1: 2}
     assert level(10 ** 6) == {0: 0, 1: 0}
     assert level(10 ** 6, 1) == {0: 1, 1: 1}
