@@ -75,15 +75,17 @@ def with_statistics(docs: DataFrame, text_col: str = "text", out: str = "stats",
     """``docs`` (or its columns ``keep``) with the array of statistics of every whole text."""
     ready(docs.sparkSession)
     keep = docs.columns if keep is None else keep
-    src = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    # a text that is kept anyway travels once
+    sent = list(dict.fromkeys([*keep, text_col]))
+    src, at = docs.select(*sent), sent.index(text_col)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         table = _byte_classes()
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).cast(pa.large_binary())
-            stats = pa.array([[float(v) for v in statistics(t.as_py(), table)] for t in texts], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], stats], names=[*keep, out])
+            found = [statistics(b"" if t.as_py() is None else t.as_py().encode(), table) for t in batch.column(at)]
+            stats = pa.array([[float(v) for v in row] for row in found], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], stats], names=[*keep, out])
 
     schema = StructType([*[src.schema[c] for c in keep], StructField(out, ArrayType(DoubleType()))])
     return src.mapInArrow(run, schema)
@@ -212,8 +214,10 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     import numpy as np
     y = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("double").alias("__y")) \
         .where("__y IS NOT NULL").where(~held_out(F.col("__id")))
-    rows = stats.select(F.col(id_col).alias("__id"), "stats").join(y, "__id") \
-        .orderBy(F.xxhash64("__id"), "__id", "__y").limit(max_train).select("stats", "__y").collect()
+    share = min(1.0, max_train / max(1, y.count()))   # of the labelled ids; so tasks send few rows between them
+    spread = F.shiftrightunsigned(F.xxhash64("__id"), 11) / F.lit(float(1 << 53))
+    rows = stats.select(F.col(id_col).alias("__id"), "stats").join(y.where(spread < share), "__id") \
+        .orderBy(spread, "__id", "__y").limit(max_train).select("stats", "__y").collect()
     return fit_arrays(np.array([r[0] for r in rows]).reshape(len(rows), len(STATS)), np.array([r[1] for r in rows], float))
 
 
@@ -228,10 +232,9 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "quality", max_train: int = MAX_TRAIN) -> DataFrame:
-    """``docs`` with all its columns and ``__score``. Only labelled documents are read for the fit."""
-    y = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("__label_id")).distinct()
-    known = docs.join(y, docs[id_col] == y["__label_id"], "left_semi")
-    model = fit(written(with_statistics(known, text_col, "stats", [id_col])), labels, id_col, label_col, max_train)
+    """``docs`` with all its columns and ``__score``. No text is shuffled: the fit reads a narrow table of statistics."""
+    stats = written(with_statistics(docs, text_col, "stats", [id_col]))
+    model = fit(stats, labels, id_col, label_col, max_train)
     rows = with_statistics(docs, text_col, "__stats")
     return rows.withColumn("__score", model.column(F.col("__stats"))).drop("__stats")
 
