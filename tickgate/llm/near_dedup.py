@@ -10,8 +10,9 @@
    Pairs that are left are verified on their full shingle sets, so every link is exact.
 4. Links are joined to components. A bucket whose members are not yet in one component is searched in
    full: members outside its largest component are compared with all other members of other
-   components, in blocks of bounded size. Members of one component need no further link, so nothing
-   is lost that the band keys offer.
+   components, in blocks of bounded size that hold their sets: pruned by their minima and verified there,
+   so that only links leave, one for each member and component. Members of one component need no further
+   link, so nothing is lost that the band keys offer.
 
 A pair at the threshold shares no band with probability (1 - t**4) ** 32, 5e-6 at t = 0.75; above it
 the chance falls steeply. Nothing else is approximate.
@@ -44,7 +45,7 @@ HASHES = BANDS * ROWS
 THRESHOLD = (75, 100)      # intersection / union, as a fraction
 MISS = 1e-5
 BATCH = 32
-BLOCK = 2048               # members of a block in the full search of a bucket
+BLOCK = 1024               # members of a block in the full search of a bucket
 
 
 # ---------------------------------------------------------------- shingles and minima
@@ -185,10 +186,8 @@ def _take(rows):
     return pa.array(rows, pa.int64())
 
 
-def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the threshold. Sets are made only of documents in pairs."""
-    pairs = written(pairs)
-    wanted = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+def shingle_sets(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, words): the packed shingle set of every document in ``wanted`` (id); other texts stay where they are."""
     texts = narrowed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", wanted)
 
     def sets(batches: Iterator) -> Iterator:
@@ -197,7 +196,14 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, thresh
             packed = [shingles(t.as_py()).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "words"])
 
-    full = written(texts.mapInArrow(sets, _schema(texts, "id", "words binary")))
+    return texts.mapInArrow(sets, _schema(texts, "id", "words binary"))
+
+
+def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets reach the threshold. Sets are made only of documents in pairs."""
+    pairs = written(pairs)
+    wanted = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    full = written(shingle_sets(wanted, docs, id_col, text_col))
     joined = pairs.join(full.withColumnsRenamed({"id": "b", "words": "set_b"}), "b") \
         .join(full.withColumnsRenamed({"id": "a", "words": "set_a"}), "a").select("a", "b", "set_a", "set_b")
     num, den = threshold
@@ -227,29 +233,12 @@ def _sizes_fit(n_a, n_b, threshold: tuple[int, int]):
     return F.least(n_a, n_b) * den >= F.greatest(n_a, n_b) * num
 
 
-def cross_pairs(members: DataFrame, reps: DataFrame, comp: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pruned pairs between members of one bucket that are in different components.
+def _cross_search(threshold: tuple[int, int]):
+    """Links between a block of probes and a block of targets of one bucket, verified on their full sets.
 
-    Probes are the members outside their bucket's largest component, targets are all its members. Both
-    are dealt into blocks by a hash of the id, and each pair of blocks is one bounded group.
+    One link from a probe into a component is enough, so the links found are no more than probes times
+    components, whatever the number of pairs.
     """
-    m = members.join(comp, "id", "left").select(
-        "key", "id", "hub", F.coalesce("component", "id").alias("component"))
-    open_ = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")) \
-        .where("lo <> hi")
-    main = m.groupBy("key", "component").agg(F.count("*").alias("c")) \
-        .groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.max("c").alias("most"))
-    open_ = written(open_.join(main, "key").select(
-        "key", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("targets"),
-        F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("probes")))
-    rows = m.join(open_, "key").join(reps.select("id", "n", "sig"), "id")
-    block = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
-    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    cols = ["key", "t", "p", "probe", "id", "component", "n", "sig"]
-    targets = rows.withColumn("t", block("targets")).withColumn("p", every("probes")).withColumn("probe", F.lit(False))
-    probes = rows.where("component <> main").withColumn("p", block("probes")).withColumn("t", every("targets")) \
-        .withColumn("probe", F.lit(True))
-    dealt = targets.select(cols).unionByName(probes.select(cols))
     num, den = threshold
 
     def search(table):
@@ -258,18 +247,59 @@ def cross_pairs(members: DataFrame, reps: DataFrame, comp: DataFrame, threshold:
         probe = np.asarray(table.column("probe").combine_chunks().to_numpy(zero_copy_only=False), bool)
         ids = table.column("id").to_numpy()
         comps, n, sig = table.column("component").to_numpy(), table.column("n").to_numpy(), _matrix(table.column("sig"))
+        words = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("words")]
+        sizes = np.array([len(w) for w in words])
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        vocabulary, numbers = np.unique(np.concatenate(words), return_inverse=True)
+        marked = np.zeros(len(vocabulary), bool)
         t, left, right = np.flatnonzero(~probe), [], []
         for i in np.flatnonzero(probe):
             j = t[(comps[t] != comps[i]) & (np.minimum(n[t], n[i]) * den >= np.maximum(n[t], n[i]) * num)]
             j = j[survivors(np.broadcast_to(sig[i], (len(j), HASHES)), sig[j], num / den)]
-            left.append(np.minimum(ids[i], ids[j]))
-            right.append(np.maximum(ids[i], ids[j]))
-        return pa.table({"a": np.concatenate(left) if left else ids[:0], "b": np.concatenate(right) if right else ids[:0]})
-
+            if not len(j):
+                continue
+            own = numbers[starts[i]:starts[i + 1]]
+            marked[own] = True
+            hits = marked[np.concatenate([numbers[starts[k]:starts[k + 1]] for k in j])]
+            both = np.add.reduceat(hits, np.cumsum(sizes[j]) - sizes[j], dtype=np.int64)
+            marked[own] = False
+            j = j[den * both >= num * (sizes[j] + sizes[i] - both)]
+            _, one = np.unique(comps[j], return_index=True)
+            left.append(np.minimum(ids[i], ids[j[one]]))
+            right.append(np.maximum(ids[i], ids[j[one]]))
+        return pa.table({"a": np.concatenate([ids[:0], *left]), "b": np.concatenate([ids[:0], *right])})
+    return search
+
+
+def cross_links(members: DataFrame, reps: DataFrame, comp: DataFrame, docs: DataFrame, id_col: str, text_col: str,
+                threshold: tuple[int, int]) -> DataFrame:
+    """Verified links (a, b) between members of one bucket that are in different components.
+
+    Probes are the members outside their bucket's largest component, targets are all but the hub. Both
+    are dealt into blocks by a hash of the id, and each pair of blocks is one bounded group, with the
+    sets of its members; no pair leaves it but links.
+    """
+    # every member has been compared with the hub
+    m = members.where("id <> hub").join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    open_ = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c")) \
+        .where("lo <> hi")
+    main = m.groupBy("key", "component").agg(F.count("*").alias("c")) \
+        .groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.max("c").alias("most"))
+    open_ = written(open_.join(main, "key").select(
+        "key", "main", F.ceil(F.col("c") / BLOCK).cast("int").alias("targets"),
+        F.ceil((F.col("c") - F.col("most")) / BLOCK).cast("int").alias("probes")))
+    rows = written(m.join(open_, "key"))
+    wanted = written(rows.select("id").distinct())
+    known = written(shingle_sets(wanted, docs, id_col, text_col).join(reps.select("id", "n", "sig"), "id"))
+    block = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    cols = ["key", "t", "p", "probe", "id", "component"]
+    targets = rows.withColumn("t", block("targets")).withColumn("p", every("probes")).withColumn("probe", F.lit(False))
+    probes = rows.where("component <> main").withColumn("p", block("probes")).withColumn("t", every("targets")) \
+        .withColumn("probe", F.lit(True))
+    dealt = targets.select(cols).unionByName(probes.select(cols)).join(known, "id")
     kind = reps.schema["id"].dataType.simpleString()
-    found = dealt.groupBy("key", "t", "p").applyInArrow(search, f"a {kind}, b {kind}").distinct()
-    tried = members.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    return found.join(tried, ["a", "b"], "left_anti")
+    return dealt.groupBy("key", "t", "p").applyInArrow(_cross_search(threshold), f"a {kind}, b {kind}").distinct()
 
 
 def links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, threshold: tuple[int, int]) -> DataFrame:
@@ -281,8 +311,7 @@ def links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, threshol
     pairs = members.where("hub <> id").where(_sizes_fit(F.col("n"), F.col("hub_n"), threshold)) \
         .select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     first = written(verify(prune(pairs, reps, threshold), docs, id_col, text_col, threshold))
-    more = cross_pairs(members, reps, connected(first), threshold)
-    return first.unionByName(verify(more, docs, id_col, text_col, threshold))
+    return first.unionByName(cross_links(members, reps, connected(first), docs, id_col, text_col, threshold))
 
 
 def classes(sigs: DataFrame) -> DataFrame:
