@@ -409,8 +409,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     texts = narrowed(hashed.where(F.octet_length("bytes") >= length).select("ref", "bytes"), "ref", others, "ref", anti=True)
     bits = _bits(total * len(cover) / v)
     ranked = written(_repeated(_deal(texts, bits, False, _choose_samples(length)), bits))
-    held = narrowed(texts, "ref", ranked.select("ref"), "ref").dropDuplicates(["ref"])
-    held = written(held.join(ranked, "ref").select("ref", "bytes", F.col("places").alias("ranked")))
+    held = narrowed(texts, "ref", ranked.select("ref"), "ref", exact=False)
+    held = written(held.join(ranked, "ref").dropDuplicates(["ref"]).select("ref", "bytes", F.col("places").alias("ranked")))
     size = held.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     bits = _bits(size * len(cover) / v)
     settled = written(_repeated(_deal(held, bits, True, _choose_long(length)), bits))
