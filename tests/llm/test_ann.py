@@ -82,3 +82,17 @@ def test_synchronous_ascent(spark):
     assert level(7) == {0: 2, 1: 2}
     assert level(10 ** 6) == {0: 0, 1: 0}
     assert level(10 ** 6, 1) == {0: 1, 1: 1}
+
+
+def test_stopping_point_grows_with_the_table(spark):
+    """A number of entries that is too small for the table is raised until the sampled queries reach their neighbours."""
+    x = _vectors(4000, 32, seed=3)
+    rows = [(i, [float(v) for v in row], "c") for i, row in enumerate(x)]
+    want = brute(rows, lambda i: i % 50 == 0)
+    df = spark.createDataFrame(rows, SCHEMA)
+    hits = []
+    for rule in ({}, {"recall": 0.0}):
+        got = ann.search(df, F.col("vec_id") % 50 == 0, trees=32, candidates=300, **rule).collect()
+        hits.append(sum(len({r.vec_id for r in got if r.query_id == q} & {v for _, v in near}) for q, near in want.items())
+                    / sum(map(len, want.values())))
+    assert hits[0] > 0.9 and hits[1] < 0.6

@@ -5,14 +5,17 @@ its sign, of the centred vector in a random rotation cut to ``AXES`` axes, so ne
 prefixes. A tree is the sorted array of its strings; the rows below a node are a range of that array.
 
 A query descends every tree to its longest prefix match. Ascending synchronously, all trees go up one
-symbol at a time, and at each level trees are visited in turn, until the ranges hold ``CANDIDATES`` entries;
-the last level may so be taken in some trees only. Candidates are then measured exactly, in double precision.
+symbol at a time, and at each level trees are visited in turn, until the ranges hold enough entries; the last
+level may so be taken in some trees only. Candidates are then measured exactly, in double precision.
+
+Enough is what the data ask for: the true neighbours of ``SAMPLE`` queries are found by measuring all vectors,
+and the stopping point is the least at which ``RECALL`` of them are reached, ``CANDIDATES`` entries at least. On
+vectors without structure that is a share of the table, so the work of a query grows with the table.
 
 Distribution: the strings of all trees are dealt by (tree, prefix); prefixes are as long as the number of
 vectors asks for, and a prefix that holds more than ``PIECE`` strings is split into pieces by a hash of the
 id. Counts add up over pieces, so splitting changes no result. Candidates meet vectors in blocks by a hash
 of the id. Equal vectors are indexed once; of each only the ids that can be among the nearest are kept.
-The work of a query does not depend on the number of vectors.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, and vectors whose length
 is not the most common one, take no part, neither as queries nor as candidates; null ids take no part; rows
@@ -23,6 +26,7 @@ empty result.
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +37,9 @@ TREES = 160
 DEPTH = 4             # symbols of a string
 AXES = 16             # a symbol is one of 2 * AXES
 BITS = 5              # of a symbol
-CANDIDATES = 14_000   # entries, over all trees, at which a query stops ascending
+CANDIDATES = 14_000   # entries, over all trees, that a query takes before it stops ascending, at least
+RECALL = 0.95         # share of the sampled queries' true neighbours that the stopping point must reach
+SAMPLE = 64           # queries measured against all vectors
 PIECE = 32_768        # strings of a tree in one task
 BLOCK = 4096          # vectors measured in one task
 SEED = 7
@@ -150,16 +156,80 @@ def levels(counts: DataFrame, prefix: int, most: int) -> DataFrame:
     A level is taken in all trees while the entries are fewer than ``most``; on the last one, trees are visited in
     turn until they are not. Ascending ends at the dealt prefix.
     """
-    per = counts.select("id", "tree", F.posexplode("counts").alias("d", "n")).where(F.col("d") >= prefix) \
+    return _ascended(_shared(counts, prefix), most)
+
+
+def _shared(counts: DataFrame, prefix: int) -> DataFrame:
+    """(id, tree, d, n): entries that share at least d symbols, summed over pieces."""
+    return counts.select("id", "tree", F.posexplode("counts").alias("d", "n")).where(F.col("d") >= prefix) \
         .groupBy("id", "tree", "d").agg(F.sum("n").alias("n"))
+
+
+def _held(per: DataFrame) -> DataFrame:
+    """Adds ``held``: entries held before a tree is visited on a level."""
     deeper = Window.partitionBy("id", "tree").orderBy(F.desc("d"))
     per = per.withColumn("gain", F.col("n") - F.coalesce(F.lag("n").over(deeper), F.lit(0)))
-    # entries held before a tree is visited on a level
     visits = Window.partitionBy("id").orderBy(F.desc("d"), "tree").rowsBetween(Window.unboundedPreceding, -1)
-    taken = per.withColumn("held", F.coalesce(F.sum("gain").over(visits), F.lit(0))).where(F.col("held") < most)
+    return per.withColumn("held", F.coalesce(F.sum("gain").over(visits), F.lit(0)))
+
+
+def _ascended(per: DataFrame, most: int) -> DataFrame:
+    taken = _held(per).where(F.col("held") < most)
     return taken.groupBy("id", "tree").agg(F.min("d").cast("int").alias("level"))
 
 
+def _true_neighbours(reps: DataFrame, asked: list[tuple[int, list[float]]], k: int) -> DataFrame:
+    """(query, id): the k nearest of each asked vector, by measuring all."""
+    ready(reps.sparkSession)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        names, q = np.array([i for i, _ in asked]), np.array([v for _, v in asked], np.float64)
+        best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in asked]
+        for batch in batches:
+            own, v = batch.column(0).to_numpy(), batch.column(1)
+            x = np.asarray(v.flatten(), np.float64).reshape(len(v), -1)
+            for i, name in enumerate(names):
+                score = measure(x, q[i])
+                near = np.argpartition(score, k)[:k + 1] if len(score) > k + 1 else np.arange(len(score))
+                near = near[own[near] != name]
+                ids, score = np.concatenate([best[i][0], own[near]]), np.concatenate([best[i][1], score[near]])
+                order = np.lexsort((ids, score))[:k]
+                best[i] = ids[order], score[order]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.repeat(names, [len(b[0]) for b in best])), pa.array(np.concatenate([b[0] for b in best])),
+            pa.array(np.concatenate([b[1] for b in best]))], names=["query", "id", "score"])
+
+    near = reps.select("id", "v").mapInArrow(run, "query long, id long, score double")
+    order = Window.partitionBy("query").orderBy("score", "id")
+    return near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).select("query", "id")
+
+
+def stopping_point(reps: DataFrame, hashed: DataFrame, per: DataFrame, k: int, recall: float, sample: int) -> int:
+    """The least number of entries to stop at with which ``recall`` of the sampled queries' true neighbours are reached.
+
+    A neighbour is reached when some tree is visited on the level of the symbols that the two share, that is, when
+    fewer entries than the stopping point are held before that visit.
+    """
+    asked = [(r.id, list(r.v)) for r in
+             reps.where("asks").orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "v").collect()]
+    if not asked:
+        return 0
+    names = [i for i, _ in asked]
+    pairs = written(_true_neighbours(reps, asked, k))
+    own = hashed.where(F.col("id").isin(names)).select(F.col("id").alias("query"), F.col("strings").alias("a"))
+    met = pairs.join(hashed.select("id", F.col("strings").alias("b")), "id").join(own, "query")
+    met = met.select("query", "id", F.posexplode(F.arrays_zip("a", "b")).alias("tree", "s"))
+    agree = [(F.shiftright("s.a", BITS * (DEPTH - d)) == F.shiftright("s.b", BITS * (DEPTH - d))).cast("int") for d in range(1, DEPTH + 1)]
+    met = met.select("query", "id", "tree", functools.reduce(lambda a, b: a + b, agree).alias("d"))
+    held = _held(per.where(F.col("id").isin(names))).select(F.col("id").alias("query"), "tree", "d", "held")
+    # neighbours that no tree reaches stay out of the list and count as missed
+    needs = sorted(r.held for r in met.join(held, ["query", "tree", "d"]).groupBy("query", "id").agg(F.min("held").alias("held")).collect())
+    wanted = math.ceil(recall * pairs.count())
+    return int(needs[min(wanted, len(needs)) - 1]) + 1 if wanted and needs else 0
+
+
 def _blocks(found: DataFrame, blocks: int) -> DataFrame:
     """(block, query, ids): each query's distinct candidates by the block that holds their vectors."""
     one = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("all"))
@@ -198,7 +268,8 @@ def _nearest(k: int):
 
 
 def search(rows: DataFrame, asks: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
-           trees: int = TREES, candidates: int = CANDIDATES, seed: int = SEED, piece: int = PIECE) -> DataFrame:
+           trees: int = TREES, candidates: int = CANDIDATES, seed: int = SEED, piece: int = PIECE,
+           recall: float = RECALL, sample: int = SAMPLE) -> DataFrame:
     """The k nearest found of every row for which ``asks`` holds: query_id, rank, vec_id, score."""
     v = rows.select(F.col(id_col).cast("long").alias("id"), F.coalesce(asks, F.lit(False)).alias("asks"),
                     F.col(vec_col).cast("array<double>").alias("v")).where(usable(F.col("v")) & F.col("id").isNotNull())
@@ -228,7 +299,9 @@ def search(rows: DataFrame, asks: Column, k: int = 10, id_col: str = "vec_id", v
     nodes = ["tree", "node", "piece"]
     counts = entries.groupBy(nodes).cogroup(queries.groupBy(nodes)).applyInArrow(
         _counts, "id long, tree int, counts array<long>")
-    level = written(levels(counts, prefix, candidates))
+    per = written(_shared(counts, prefix))
+    most = max(candidates, stopping_point(reps, hashed, per, k, recall, sample))
+    level = written(_ascended(per, most))
     found = entries.groupBy(nodes).cogroup(queries.join(level, ["id", "tree"]).groupBy(nodes)).applyInArrow(
         _collect, "id long, found array<long>")
     blocks = max(1, -(-n // BLOCK))
