@@ -96,3 +96,23 @@ def test_stopping_point_grows_with_the_table(spark):
         hits.append(sum(len({r.vec_id for r in got if r.query_id == q} & {v for _, v in near}) for q, near in want.items())
                     / sum(map(len, want.values())))
     assert hits[0] > 0.9 and hits[1] < 0.6
+
+
+def test_outliers_ascend_above_the_dealt_prefix(spark):
+    """Beside tight groups an outlier is alone in its nodes at a long prefix, and still gets all its rows."""
+    rng = np.random.default_rng(8)
+    centres = 5 * rng.normal(size=(3, 16))
+    x = centres[rng.integers(0, 3, 600)] + 0.01 * rng.normal(size=(600, 16))
+    x[::60] = 5 * rng.normal(size=(10, 16))
+    rows = [(i, [float(v) for v in row], "c") for i, row in enumerate(x.astype(np.float32))]
+    want = brute(rows, lambda i: i % 60 == 0)
+    # pieces of 1 make the longest prefix, of 12 a shorter one and pieces of nodes below the level
+    for piece in (1, 12):
+        got = ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 60 == 0, trees=4, candidates=1, piece=piece).collect()
+        by = {}
+        for r in got:
+            by.setdefault(r.query_id, []).append(r["rank"])
+        assert set(by) == set(want) and all(sorted(r) == list(range(1, 11)) for r in by.values())
+    # enough entries for the whole table: exact
+    got = ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 60 == 0, trees=2, candidates=1200, piece=12).collect()
+    _check(got, want)

@@ -14,7 +14,8 @@ vectors without structure that is a share of the table, so the work of a query g
 
 Distribution: the strings of all trees are dealt by (tree, prefix); prefixes are as long as the number of
 vectors asks for, and a prefix that holds more than ``PIECE`` strings is split into pieces by a hash of the
-id. Counts add up over pieces, so splitting changes no result. Candidates meet vectors in blocks by a hash
+id. Counts add up over pieces, so splitting changes no result. A query that must ascend above the dealt prefix
+counts by sums over nodes and then asks all nodes below; so every query ends with k candidates, or all. Candidates meet vectors in blocks by a hash
 of the id. Equal vectors are indexed once; of each only the ids that can be among the nearest are kept.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, and vectors whose length
@@ -101,19 +102,48 @@ def _ranges(found, keys, depth: int):
     return np.searchsorted(short, keys >> cut, "left"), np.searchsorted(short, keys >> cut, "right")
 
 
-def _dealt(rows: DataFrame, prefix: int, piece: int) -> tuple[DataFrame, DataFrame]:
-    """(entries, queries): one row per string, with tree, node (its first symbols) and piece."""
+def _dealt(rows: DataFrame, prefix: int, piece: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entries, queries, sizes): one row per string, with tree, node (its first symbols) and piece; entries per node."""
     flat = rows.select("id", "asks", F.posexplode("strings").alias("tree", "string")).withColumn(
         "node", F.shiftright("string", BITS * (DEPTH - prefix)))
+    sizes = written(flat.groupBy("tree", "node").agg(F.count("*").alias("n")))
     # only crowded nodes are listed, a handful next to the rows
-    crowded = written(flat.groupBy("tree", "node").agg(F.count("*").alias("n")).where(F.col("n") > piece)
-                      .select("tree", "node", F.ceil(F.col("n") / piece).cast("int").alias("pieces")))
+    crowded = sizes.where(F.col("n") > piece).select("tree", "node", F.ceil(F.col("n") / piece).cast("int").alias("pieces"))
     flat = flat.join(crowded, ["tree", "node"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
     entries = flat.withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
     queries = flat.where("asks").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     cols = ["tree", "node", "piece", "string", "id"]
     # own column names' identities on either side, so that the two can be grouped together
-    return entries.select(cols), queries.select([F.col(c).alias(c) for c in cols])
+    return entries.select(cols), queries.select([F.col(c).alias(c) for c in cols]), sizes
+
+
+def _above(rows: DataFrame, prefix: int) -> DataFrame:
+    """One row per row and level d above the prefix, with ``top``: the first d symbols of its node."""
+    return rows.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(prefix - 1)))).withColumn(
+        "top", F.expr(f"shiftright(node, {BITS} * ({prefix} - d))"))
+
+
+def _shared_above(hashed: DataFrame, sizes: DataFrame, prefix: int) -> DataFrame:
+    """(id, tree, d, n) as ``_shared`` has it, for the levels above the dealt prefix."""
+    n = _above(sizes, prefix).groupBy("tree", "d", "top").agg(F.sum("n").alias("n"))
+    asked = hashed.where("asks").select("id", F.posexplode("strings").alias("tree", "string"))
+    asked = _above(asked.withColumn("node", F.shiftright("string", BITS * (DEPTH - prefix))), prefix)
+    return asked.join(n, ["tree", "d", "top"]).select("id", "tree", "d", "n")
+
+
+def _targets(queries: DataFrame, level: DataFrame, sizes: DataFrame, prefix: int, piece: int) -> DataFrame:
+    """The pieces that each query asks: those of its own node or, above the dealt prefix, of all nodes below its level."""
+    asked = queries.join(level, ["id", "tree"])
+    cols = ["tree", "node", "piece", "string", "id", "level"]
+    near = asked.where(F.col("level") >= prefix).select(cols)
+    if not prefix:
+        return near
+    # a query has a row for each piece of its own node; one is enough
+    far = asked.where((F.col("level") < prefix) & (F.col("piece") == 0)).select("tree", "node", "string", "id", "level")
+    far = far.withColumn("top", F.expr(f"shiftright(node, {BITS} * ({prefix} - level))")).drop("node")
+    below = _above(sizes, prefix).withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / piece).cast("int") - 1)))
+    below = below.select("tree", F.col("d").alias("level"), "top", "node", "piece")
+    return near.unionByName(far.join(below, ["tree", "level", "top"]).select(cols))
 
 
 def _counts(key, entries, queries):
@@ -295,14 +325,16 @@ def search(rows: DataFrame, asks: Column, k: int = 10, id_col: str = "vec_id", v
     means = [F.avg(F.get("v", F.lit(i))).alias(f"m{i}") for i in range(dim)]
     centre = [float(m or 0.0) for m in reps.agg(*means).first()]
     hashed = written(_hashed(reps, centre, trees, seed))
-    entries, queries = _dealt(hashed, prefix, piece)
+    entries, queries, sizes = _dealt(hashed, prefix, piece)
     nodes = ["tree", "node", "piece"]
     counts = entries.groupBy(nodes).cogroup(queries.groupBy(nodes)).applyInArrow(
         _counts, "id long, tree int, counts array<long>")
-    per = written(_shared(counts, prefix))
-    most = max(candidates, stopping_point(reps, hashed, per, k, recall, sample))
+    per = _shared(counts, prefix)
+    per = written(per.unionByName(_shared_above(hashed, sizes, prefix)) if prefix else per)
+    # a tree holds an id once, so that many entries are k others at least
+    most = max(candidates, trees * (k + 1), stopping_point(reps, hashed, per, k, recall, sample))
     level = written(_ascended(per, most))
-    found = entries.groupBy(nodes).cogroup(queries.join(level, ["id", "tree"]).groupBy(nodes)).applyInArrow(
+    found = entries.groupBy(nodes).cogroup(_targets(queries, level, sizes, prefix, piece).groupBy(nodes)).applyInArrow(
         _collect, "id long, found array<long>")
     blocks = max(1, -(-n // BLOCK))
     asked = _blocks(found, blocks).join(reps.select(F.col("id").alias("query"), F.col("v").alias("v")), "query")
