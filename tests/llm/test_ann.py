@@ -116,3 +116,21 @@ def test_outliers_ascend_above_the_dealt_prefix(spark):
     # enough entries for the whole table: exact
     got = ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 60 == 0, trees=2, candidates=1200, piece=12).collect()
     _check(got, want)
+
+
+def test_found_ids_travel_in_chunks(spark, monkeypatch):
+    """A dense group that shares whole strings comes in bounded rows; slots and parts change no result."""
+    import pyarrow as pa
+    entries = pa.table({"string": np.full(10_000, 77, np.int32), "id": np.arange(10_000)})
+    queries = pa.table({"string": np.array([77, 5], np.int32), "id": np.array([3, 4]), "level": np.array([4, 4], np.int32)})
+    got = ann._collect((0, 0, 0), entries, queries)
+    lengths = [len(x) for x in got.column("found")]
+    assert sum(lengths) == 10_000 and max(lengths) <= 4096 and set(got.column("id").to_pylist()) == {3}
+    assert sorted(i for x in got.column("found").to_pylist() for i in x) == list(range(10_000))
+    rng = np.random.default_rng(4)
+    x = np.concatenate([np.ones((100, 8)) + 1e-3 * rng.normal(size=(100, 8)), rng.normal(size=(200, 8))]).astype(np.float32)
+    rows = [(i, [float(v) for v in row], "c") for i, row in enumerate(x)]
+    for name, value in (("CHUNK", 7), ("ASKED", 3), ("PART", 4)):
+        monkeypatch.setattr(ann, name, value)
+    got = ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, trees=8, piece=64).collect()
+    _check(got, brute(rows, lambda i: i % 10 == 0))

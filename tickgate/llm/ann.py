@@ -16,7 +16,8 @@ Distribution: the strings of all trees are dealt by (tree, prefix); prefixes are
 vectors asks for, and a prefix that holds more than ``PIECE`` strings is split into pieces by a hash of the
 id. Counts add up over pieces, so splitting changes no result. A query that must ascend above the dealt prefix
 counts by sums over nodes and then asks all nodes below; so every query ends with k candidates, or all. Candidates meet vectors in blocks by a hash
-of the id. Equal vectors are indexed once; of each only the ids that can be among the nearest are kept.
+of the id. No row or task holds all candidates of a query: found ids travel in lists of ``CHUNK``, and a piece or
+block that many queries ask is handled for ``ASKED`` or ``PART`` of them at a time. Equal vectors are indexed once; of each only the ids that can be among the nearest are kept.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, and vectors whose length
 is not the most common one, take no part, neither as queries nor as candidates; null ids take no part; rows
@@ -43,6 +44,9 @@ RECALL = 0.95         # share of the sampled queries' true neighbours that the s
 SAMPLE = 64           # queries measured against all vectors
 PIECE = 32_768        # strings of a tree in one task
 BLOCK = 4096          # vectors measured in one task
+CHUNK = 4096          # found ids in one row
+ASKED = 256           # queries that collect from a piece in one task, about
+PART = 4096           # queries measured against a block in one task, about
 SEED = 7
 
 
@@ -162,7 +166,7 @@ def _counts(key, entries, queries):
 
 
 def _collect(key, entries, queries):
-    """The ids of the entries that share at least a query's ``level`` symbols."""
+    """The ids of the entries that share at least a query's ``level`` symbols, ``CHUNK`` in a row at most."""
     import numpy as np
     import pyarrow as pa
     strings_, ids = entries.column("string").to_numpy(), entries.column("id").to_numpy()
@@ -174,12 +178,23 @@ def _collect(key, entries, queries):
         at = level == d
         if at.any():
             lo[at], hi[at] = _ranges(strings_, asked[at], d)
-    parts = [ids[a:b] for a, b in zip(lo, hi)]
-    offsets = np.concatenate([[0], np.cumsum(hi - lo)]).astype(np.int32)
-    return pa.table({"id": queries.column("id").combine_chunks(),
+    cuts = [(i, a, min(a + CHUNK, b)) for i, b in enumerate(hi) for a in range(lo[i], b, CHUNK)]
+    parts = [ids[a:b] for _, a, b in cuts]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+    return pa.table({"id": queries.column("id").to_numpy()[[i for i, _, _ in cuts]] if cuts else ids[:0],
                      "found": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else ids[:0]))})
 
 
+def _slotted(entries: DataFrame, targets: DataFrame, nodes: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Adds ``slot``: queries of a piece that more than ``ASKED`` ask are dealt to slots, and its entries go to each."""
+    busy = written(targets.groupBy(nodes).agg(F.count("*").alias("n")).where(F.col("n") > ASKED)
+                   .select(*nodes, F.ceil(F.col("n") / ASKED).cast("int").alias("slots")))
+    many = lambda rows: rows.join(busy, nodes, "left").withColumn("slots", F.coalesce("slots", F.lit(1)))
+    dealt = many(targets).withColumn("slot", F.pmod(F.xxhash64("id"), F.col("slots")).cast("int")).drop("slots")
+    held = many(entries).withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).drop("slots")
+    return held.select([F.col(c).alias(c) for c in held.columns]), dealt.select([F.col(c).alias(c) for c in dealt.columns])
+
+
 def levels(counts: DataFrame, prefix: int, most: int) -> DataFrame:
     """(id, tree, level): how far each tree is ascended. ``counts``: id, tree, counts by symbols shared.
 
@@ -262,10 +277,9 @@ def stopping_point(reps: DataFrame, hashed: DataFrame, per: DataFrame, k: int, r
 
 def _blocks(found: DataFrame, blocks: int) -> DataFrame:
     """(block, query, ids): each query's distinct candidates by the block that holds their vectors."""
-    one = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("all"))
-    return one.select(F.col("id").alias("query"), F.explode("all").alias("id")).where("id <> query") \
+    return found.select(F.col("id").alias("query"), F.explode("found").alias("id")).where("id <> query") \
         .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")) \
-        .groupBy("block", "query").agg(F.collect_list("id").alias("ids"))
+        .groupBy("block", "query").agg(F.collect_set("id").alias("ids"))
 
 
 def measure(x, y):
@@ -334,13 +348,17 @@ def search(rows: DataFrame, asks: Column, k: int = 10, id_col: str = "vec_id", v
     # a tree holds an id once, so that many entries are k others at least
     most = max(candidates, trees * (k + 1), stopping_point(reps, hashed, per, k, recall, sample))
     level = written(_ascended(per, most))
-    found = entries.groupBy(nodes).cogroup(_targets(queries, level, sizes, prefix, piece).groupBy(nodes)).applyInArrow(
+    held, targets = _slotted(entries, written(_targets(queries, level, sizes, prefix, piece)), nodes)
+    found = held.groupBy(*nodes, "slot").cogroup(targets.groupBy(*nodes, "slot")).applyInArrow(
         _collect, "id long, found array<long>")
     blocks = max(1, -(-n // BLOCK))
     asked = _blocks(found, blocks).join(reps.select(F.col("id").alias("query"), F.col("v").alias("v")), "query")
+    parts = max(1, -(-reps.where("asks").count() // PART))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int"))
     asked = asked.select([F.col(c).alias(c) for c in asked.columns])
-    held = reps.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
-    near = asked.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(_nearest(k), "query long, id long, score double")
+    held = reps.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"),
+                       F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    near = asked.groupBy("block", "part").cogroup(held.groupBy("block", "part")).applyInArrow(_nearest(k), "query long, id long, score double")
     order = Window.partitionBy("query").orderBy("score", "id")
     best = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).select(
         F.col("query").alias("rep"), F.col("id").alias("near"), "score")
