@@ -3,8 +3,10 @@
 Pass 1 reads each text once and keeps a narrow row (id, SHA-256). From it a blocked
 Bloom filter of *possibly repeated* hashes is built: every hash picks one 64-bit block
 and sets ``BITS`` bits in it; (block, bits) pairs that occur twice are OR-ed per block.
+Counting the pairs shuffles one narrow row (block, bits, count) per distinct pair and task,
+so nearly one per document where most texts are unique.
 Pass 2 tests each row against the filter. Rows that miss are unique and pass straight
-through; only rows that hit shuffle on their full hash, so a false hit costs a shuffled
+through; in this pass only rows that hit shuffle, on their full hash, so a false hit costs a shuffled
 narrow row and never a wrong answer.
 
 The filter has at most ``2 ** max_block_bits`` blocks of 16 bytes whatever the input
