@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickgate.llm import ann, bpe, exact_dedup, mixing, near_dedup, pii, quality, suffix_dedup, url_filter, warc
+from tickgate.llm import ann, bpe, centroids, exact_dedup, mixing, near_dedup, pii, quality, suffix_dedup, url_filter, warc
 from tickgate.llm.common import read
 
 
@@ -52,6 +52,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -63,8 +67,42 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_near_dedup": op9_near_dedup,
     "op10_mixing": op10_mixing,
+    "op11_centroids": op11_centroids,
 }
 
+
+
+def _centroid_sql(k: int = 40, rounds: int = 5) -> str:
+    """Each round: nearest centroid per vector, then the floor of the means."""
+    steps = ""
+    for r in range(rounds + 1):
+        steps += f"""
+a{r} AS MATERIALIZED (
+  SELECT v.rid, min({{'d': list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'j': c.j}}) AS n
+  FROM v, c{r} c GROUP BY v.rid),"""
+        if r < rounds:
+            steps += f"""
+m{r} AS (
+  SELECT j, list(CASE WHEN s % n < 0 THEN s // n - 1 ELSE s // n END ORDER BY i)::BIGINT[] AS q FROM (
+    SELECT j, i, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM (
+      SELECT a.n.j AS j, generate_subscripts(v.q, 1) AS i, unnest(v.q) AS x FROM a{r} a JOIN v USING (rid))
+    GROUP BY j, i) GROUP BY j),
+c{r + 1} AS MATERIALIZED (SELECT c.j, coalesce(m.q, c.q) AS q FROM c{r} c LEFT JOIN m{r} m USING (j)),"""
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x) AND abs(x) < 524288)) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, q) - 1 AS j, q FROM (
+    SELECT q, sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h FROM v ORDER BY h, q LIMIT {k})),{steps}
+t AS (SELECT n.j AS j, sum(n.d)::BIGINT AS s FROM a{rounds} GROUP BY n.j)
+SELECT v.vec_id, a.n.j::INT AS cluster, a.n.d AS distance, t.s AS cluster_inertia,
+       (SELECT sum(s)::BIGINT FROM t) AS inertia, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (rid) JOIN t ON t.j = a.n.j JOIN c{rounds} c ON c.j = a.n.j
+"""
+
+
 ORACLE = {
     # the digest: each 5 hex digits of the SHA-1 are 4 letters of base32
     "op5_warc": """
@@ -115,4 +153,5 @@ c AS (
   SELECT *, least(floor(e * (k + 1) + u) - floor(e * k + u), ceil(e))::BIGINT AS copies FROM e)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
 """,
+    "op11_centroids": _centroid_sql(),
 }
