@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickgate.llm import ann, bpe, centroids, exact_dedup, mixing, near_dedup, pii, quality, suffix_dedup, url_filter, warc
+from tickgate.llm import (ann, bpe, centroids, exact_dedup, line_dedup, mixing, near_dedup, pii, quality, suffix_dedup,
+                          url_filter, warc)
 from tickgate.llm.common import read
 
 
@@ -56,6 +57,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(read(spark, sf_dir, "embeddings"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -68,6 +73,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_mixing": op10_mixing,
     "op11_centroids": op11_centroids,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 
@@ -154,4 +160,18 @@ c AS (
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
 """,
     "op11_centroids": _centroid_sql(),
+    "op12_line_dedup": """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+g AS (
+  SELECT key, max(doc_id) AS keep FROM (SELECT DISTINCT key, doc_id FROM k WHERE length(key) >= 40)
+  GROUP BY key HAVING count(*) >= 5),
+j AS (SELECT k.*, g.key IS NOT NULL AND k.doc_id IS DISTINCT FROM g.keep AS gone FROM k LEFT JOIN g USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY rid, doc_id
+""",
 }
