@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickgate.llm import (ann, bpe, centroids, exact_dedup, line_dedup, mixing, near_dedup, pii, quality, suffix_dedup,
-                          url_filter, warc)
+from tickgate.llm import (ann, bpe, centroids, exact_dedup, line_dedup, merkle, mixing, near_dedup, pii, quality,
+                          suffix_dedup, url_filter, warc)
 from tickgate.llm.common import read
 
 
@@ -61,6 +61,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(read(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -74,6 +78,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_centroids": op11_centroids,
     "op12_line_dedup": op12_line_dedup,
+    "op13_merkle": op13_merkle,
 }
 
 
@@ -109,6 +114,51 @@ FROM a{rounds} a JOIN v USING (rid) JOIN t ON t.j = a.n.j JOIN c{rounds} c ON c.
 """
 
 
+def _merkle_sql() -> str:
+    """Trees grow level by level; leaves fold through the runs they stand in."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join([field(c) for c in ("doc_id", "source", "lang", "n_chars")] + [field(text)]) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = """xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda c, b:
+      list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                  lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(c, b)), 4294967295), 4294967295)"""
+
+    def grown(name: str, start: str) -> str:
+        return f"""
+{name}(tree, level, i, n, h) AS (
+  SELECT tree, 0, i, n, h FROM {start}
+  UNION ALL
+  SELECT tree, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM {name}
+  WHERE n > 1 GROUP BY tree, level, n, i // 8),
+{name}_run AS (SELECT tree, level, i // 8 AS r, list(h ORDER BY i) AS hs FROM {name} WHERE n > 1 GROUP BY ALL)"""
+
+    def folded(name: str, start: str, runs: str) -> str:
+        return f"""
+{name}(rid, tree, level, i, h, way) AS (
+  SELECT rid, tree, 0, i, h, way FROM {start}
+  UNION ALL
+  SELECT f.rid, f.tree, f.level + 1, f.i // 8,
+         sha256(array_to_string(list_transform(r.hs, lambda x, k: CASE WHEN k - 1 = f.i % 8 THEN f.h ELSE x END), '')),
+         f.way || array_to_string(list_filter(r.hs, lambda x, k: k - 1 <> f.i % 8), '')
+  FROM {name} f JOIN {runs} r ON r.tree = f.tree AND r.level = f.level AND r.r = f.i // 8),
+{name}_end AS (SELECT rid, h, way FROM {name} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY level DESC) = 1)"""
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS tree, {leaf("text")} AS h,
+         CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} END AS other
+  FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+             count(*) OVER (PARTITION BY tree) AS n FROM d),{grown("node", "l")},
+s AS (SELECT 'root' AS tree, tree AS name, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n
+      FROM node WHERE n = 1),{grown("top", "s")},
+low AS (SELECT rid, tree, i, coalesce(other, h) AS h, '' AS way FROM l),{folded("f", "low", "node_run")},
+high AS (SELECT f.rid, 'root' AS tree, s.i, f.h, f.way FROM f_end f JOIN l USING (rid) JOIN s ON s.name = l.tree),{folded("g", "high", "top_run")}
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, t.h AS root, sha256(g.way) AS proof_sha256, g.h AS folded_root,
+       g.h = t.h AS verified
+FROM l JOIN s ON s.name = l.tree JOIN g_end g USING (rid) CROSS JOIN (SELECT h FROM top WHERE n = 1) t
+"""
+
+
 ORACLE = {
     # the digest: each 5 hex digits of the SHA-1 are 4 letters of base32
     "op5_warc": """
@@ -160,6 +210,7 @@ c AS (
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
 """,
     "op11_centroids": _centroid_sql(),
+    "op13_merkle": _merkle_sql(),
     "op12_line_dedup": """
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT rid, doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM d),

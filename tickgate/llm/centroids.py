@@ -21,20 +21,18 @@ from __future__ import annotations
 
 import hashlib
 import math
-import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickgate.llm.blocks import written_blocks
 from tickgate.llm.common import ready, written
-from tickgate.session import ensure_checkpoint_dir
 
 SCALE = 256
 LIMIT = float(1 << 19)
 BLOCK = 256
 AXES, BITS = 16, 4        # the curve: 16 components, 4 bits each
 EXACT = 1 << 22           # below, dot products of 64 components are exact in double precision
-ROW_GROUP = 16 << 20      # bytes of a Parquet row group of blocks: what a reader holds at once
 
 
 def _usable(vec: str, dim: int) -> Column:
@@ -141,7 +139,6 @@ def _blocked(dim: int, id_type):
 def zone_map(vectors: DataFrame, dim: int) -> DataFrame:
     """The written table of blocks (ids, lo, hi, vecs) of ``vectors`` (id, vec), in Hilbert order; None if empty."""
     from pyspark.sql.pandas.types import to_arrow_type
-    spark = vectors.sparkSession
     spread = _spread(vectors, dim)
     if not spread:
         return None
@@ -151,9 +148,7 @@ def zone_map(vectors: DataFrame, dim: int) -> DataFrame:
     mix = F.xxhash64("id")
     blocks = keyed.repartitionByRange("key", mix).sortWithinPartitions("key", mix).mapInArrow(
         _blocked(dim, to_arrow_type(kind)), f"ids array<{name}>, lo array<int>, hi array<int>, vecs binary")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    blocks.write.option("parquet.block.size", str(ROW_GROUP)).parquet(path)
-    return spark.read.parquet(path)
+    return written_blocks(blocks)
 
 
 def candidates(lo, hi, centres):
