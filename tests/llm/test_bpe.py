@@ -33,6 +33,24 @@ def test_ids_equal_the_library(library):
         assert codec.encode(t).tolist() == library.encode_ordinary(t), repr(t[:60])
 
 
+def test_trees_of_many_pieces_equal_single_ones():
+    ranks = bpe.load_ranks(PATH)
+    pairs = bpe.Pairs(ranks)
+    rng = random.Random(9)
+    pieces = [bytes(rng.choice([rng.randrange(256), 97, 101, 32]) for _ in range(rng.choice([1, 2, 3, 7, 8, 9, 16, 17, 60])))
+              for _ in range(1500)] + [b"", b"a" * 64, b"ab" * 31, b"the", b"x" * 3000]
+    assert bpe.merge_pieces(pieces, ranks, pairs) == [bpe.packed(bpe.merge_piece(p, ranks)) for p in pieces]
+
+
+def test_full_memo_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 7)
+    codec = bpe.Codec(PATH, P.PATTERN)
+    texts = _texts()
+    for part in (texts[:40], texts[20:60], texts[:40]):
+        assert [x.tolist() for x in codec.encode_all(part)] == [library.encode_ordinary(t) for t in part]
+    assert len(codec.young) <= 7 and len(codec.old) <= 7
+
+
 def test_ties_take_the_leftmost_pair():
     ranks = {b"a": 0, b"aa": 1, b"aaaa": 2}
     assert bpe.merge_piece(b"aaa", ranks) == [1, 0]
