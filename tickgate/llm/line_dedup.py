@@ -44,10 +44,15 @@ def line_keys(text: Column, min_chars: int = MIN_CHARS) -> Column:
     return F.array_distinct(F.filter(F.transform(F.split(text, "\n"), key), lambda k: F.char_length(k) >= min_chars))
 
 
+def _lines(text: Column) -> Column:
+    return (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
+
+
 def _word_bits(docs: DataFrame, text: Column, min_chars: int) -> int:
-    """log2 of the number of filter words, from the most keys that texts of this length can hold."""
-    chars = docs.agg(F.sum(F.char_length(text) + 1)).first()[0] or 0
-    return max(CHUNK, min(MAX_WORDS, math.ceil(math.log2(chars / (min_chars + 1) * BITS_A_KEY / 64 + 1))))
+    """log2 of the number of filter words, from the most keys that texts of this length and as many lines can hold."""
+    most = F.least(_lines(text), F.floor((F.char_length(text) + 1) / (min_chars + 1)))
+    keys = docs.agg(F.sum(most)).first()[0] or 0
+    return max(CHUNK, min(MAX_WORDS, math.ceil(math.log2(keys * BITS_A_KEY / 64 + 1))))
 
 
 def _probes(h, bits: int):
@@ -168,9 +173,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_c
     lost = drops(docs, id_col, text_col, min_chars, min_docs) if lost is None else lost
     ids = lost.select("id")
     text = text_or_empty(text_col)
-    lines = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     whole = narrowed(docs, id_col, ids, anti=True).withColumns(
-        {"__n_lines": lines.cast("long"), "__n_dropped": F.lit(0).cast("long"), text_col: text})
+        {"__n_lines": _lines(text), "__n_dropped": F.lit(0).cast("long"), text_col: text})
     hits = narrowed(docs, id_col, ids, exact=False)
     given = lost.select(F.col("id").alias("__lost"), F.col("shas").alias("__shas"))
     hits = hits.join(given, hits[id_col].eqNullSafe(given["__lost"])).drop("__lost")
