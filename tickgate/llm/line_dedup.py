@@ -177,7 +177,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_c
         {"__n_lines": _lines(text), "__n_dropped": F.lit(0).cast("long"), text_col: text})
     hits = narrowed(docs, id_col, ids, exact=False)
     given = lost.select(F.col("id").alias("__lost"), F.col("shas").alias("__shas"))
-    hits = hits.join(given, hits[id_col].eqNullSafe(given["__lost"])).drop("__lost")
+    # the lists of dropped keys grow with the input, so they are never broadcast
+    hits = hits.join(given.hint("merge"), hits[id_col].eqNullSafe(given["__lost"])).drop("__lost")
     out = whole.schema
     cut = hits.mapInArrow(_kept_lines(text_col, out.names), out)
     return whole.unionByName(cut)
