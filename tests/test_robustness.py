@@ -10,6 +10,7 @@ from conftest import bar, bars
 from tickgate.config import OHLCV_SCHEMA, ValidationConfig
 from tickgate.operators import publishing as PB
 from tickgate.plans import publish as PU
+from tickgate.sinks.snapshots import ConflictingLoad, SnapshotTable
 from tickgate.plans.ingest import ingest, probe_landed
 from tickgate.plans.validate import validate, validate_layout
 from tickgate.sinks import writers as W
@@ -140,14 +141,93 @@ def test_publishing_twice_loads_once(spark, tmp_path):
     assert kept.count() == 2 and kept.where("md5 IS NULL").count() == 0
 
 
-def test_a_run_that_died_after_the_append_is_not_repeated(spark, tmp_path):
+def _warehouse_rows(spark, root):
+    rows = PU.warehouse_table(spark, str(root), OHLCV_SCHEMA).read()
+    return [] if rows is None else sorted((r.symbol, r.ts_event, r.close) for r in rows.collect())
+
+
+def test_a_killed_load_gives_the_same_table_when_rerun(spark, tmp_path, monkeypatch):
+    class Killed(Exception):
+        pass
+
+    def kill(*a, **k):
+        raise Killed
+
+    def partly(self, rows, loads, run):
+        loads.write.parquet(f"{self.log}/loads/load_run={run}")
+        rows.limit(3).write.partitionBy("dt").parquet(f"{self.path}/load_run={run}")
+        raise Killed
+
+    led = W.write_chunk_files(_landing(spark), str(tmp_path / "cache")).collect()
+    ok = spark.createDataFrame([(f"b/{r.symbol}", f"m{r.symbol}", r.path, r.rows) for r in led],
+                               "blob_name string, md5 string, path string, row_count bigint")
+    for at in ("before", "during", "after", "marker"):
+        root = tmp_path / at
+        load = lambda: PU.load_chunks(spark, ok, OHLCV_SCHEMA, str(root)).count()  # noqa: E731, B023
+        with monkeypatch.context() as m:
+            if at == "marker":          # the whole run but the rename that commits it
+                whole = SnapshotTable.commit
+
+                def unrenamed(self, run, rows, seen):
+                    m.setattr(SnapshotTable, "loads", kill)  # noqa: B023
+                    return whole(self, run, rows, seen)  # noqa: B023
+                m.setattr(SnapshotTable, "commit", unrenamed)
+            else:
+                m.setattr(SnapshotTable, {"before": "append", "during": "stage", "after": "commit"}[at],
+                          partly if at == "during" else kill)
+            with pytest.raises(Killed):
+                load()
+        assert _warehouse_rows(spark, root) == []
+        assert load() == 2
+        rows = _warehouse_rows(spark, root)
+        assert len(rows) == len(set(rows)) == 10
+        assert load() == 0 and _warehouse_rows(spark, root) == rows
+
+
+def test_two_runs_do_not_load_the_same_chunks(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    rows = lambda s: spark.createDataFrame([(s, "V", "2024-01-02")], "symbol string, venue string, dt string")
+    loads = lambda b: spark.createDataFrame([(b, "m", 1)], "blob_name string, md5 string, rows bigint")
+    assert table.append(rows("A"), loads("a")) == 1
+    late, other = ("r1", rows("B"), loads("b")), ("r2", rows("C"), loads("c"))
+    for run, r, ld in (late, other):
+        table.stage(r, ld, run)
+    assert table.append(rows("B"), loads("b")) == 2        # committed while r1 and r2 are under way
+    with pytest.raises(ConflictingLoad):
+        table.commit("r1", 1, seen=1)
+    assert table.commit("r2", 1, seen=1) == 3
+    assert sorted(r.symbol for r in table.read().collect()) == ["A", "B", "C"]
+    assert sorted(r.blob_name for r in table.loads().collect()) == ["a", "b", "c"]
+    with pytest.raises(RuntimeError):                      # fewer rows than the chunk holds
+        table.append(rows("D"), spark.createDataFrame([("d", "m", 2)], "blob_name string, md5 string, rows bigint"))
+    assert table.read().count() == 3
+
+
+def test_chunks_that_the_warehouse_cannot_take_are_left_out(spark, tmp_path):
+    root = str(tmp_path / "cache")
+    good = _landing(spark)
+    bad = _landing(spark, symbols=("CCC",)).withColumn("ts_event", F.expr("IF(close > 0, NULL, ts_event)"))
+    W.write_chunk_files(good.unionByName(bad).withColumn("year_month", F.lit("2024-01")), root).count()
+    s = _publish(spark, tmp_path).summary.first()
+    assert (s.uploaded, s.table_loaded) == (3, 2)
+    assert {r[0] for r in _warehouse_rows(spark, tmp_path / "wh")} == {"AAA", "BBB"}
+    f = W.warehouse_frame(spark.createDataFrame([("A", "V", "2024-01-02 10:00:00", "x"), ("A", "V", "2024-01-02 10:00:00", "1.5"),
+                                                 (None, "V", "2024-01-02 10:00:00", "1")],
+                                                "symbol string, venue string, ts_recv string, price string"))
+    assert [r._unfit for r in f.collect()] == [True, False, True] and dict(f.dtypes)["price"] == "double"
+
+
+def test_publishing_lists_only_prefixes_that_no_manifest_covers(spark, tmp_path):
     _publish(spark, tmp_path)
-    root = str(tmp_path / "wh" / "_loads" / OHLCV_SCHEMA)
-    started = spark.read.schema(PU.LOADS).parquet(root).where("state = 'started'").collect()
-    spark.createDataFrame(started, PU.LOADS).write.parquet(str(tmp_path / "only_started"))
-    done = PU.loads_done(spark, str(tmp_path / "only_started"), str(tmp_path / "wh" / "ohlcv_1h"))
-    assert done.count() == 2
-    assert PU.loads_done(spark, str(tmp_path / "only_started"), str(tmp_path / "nowhere")).count() == 0
+    target, manifests = str(tmp_path / "t"), str(tmp_path / "t" / "_manifests")
+    known = reports.manifest_entries(reports.read_manifests(spark, manifests))
+    wanted = known.select("blob_name", "schema", "symbol").unionByName(spark.createDataFrame(
+        [("raw/ohlcv-1h/AAA/XNAS_ITCH/2030-01.parquet", OHLCV_SCHEMA, "AAA")], "blob_name string, schema string, symbol string"))
+    assert [r.prefix for r in PU.prefixes_to_list(wanted, known).collect()] == ["raw/ohlcv-1h/AAA/XNAS_ITCH"]
+    state = {r.blob_name: r.md5 for r in PU.target_state(spark, target, wanted, manifests).collect()}
+    assert state == {r.blob_name: r.md5 for r in known.collect()}
+    fresh = {r.blob_name: r.md5 for r in PU.target_state(spark, target, wanted, None).collect()}
+    assert set(fresh) == set(state) and set(fresh.values()) == {None}
 
 
 def test_an_object_that_did_not_arrive_fails(spark, tmp_path, monkeypatch):

@@ -70,6 +70,13 @@ REQUIRED_COLUMNS = {
     "ohlcv-1h": ("open", "high", "low", "close", "volume"),
 }
 
+# Warehouse fields with a declared type; a row needs symbol, venue and a time (ts_recv, else ts_event).
+WAREHOUSE_FIELDS = {
+    "ts_recv": "timestamp", "ts_event": "timestamp", "symbol": "string", "venue": "string",
+    "price": "double", "size": "bigint", "bid_px_00": "double", "ask_px_00": "double",
+    "bid_sz_00": "bigint", "ask_sz_00": "bigint",
+}
+
 # Plan range.
 START_DATE = "2022-01-01"
 END_DATE = "2025-12-31"

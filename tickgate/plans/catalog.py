@@ -7,6 +7,7 @@ name as in the DuckDB oracle (``plans.oracle``).
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,12 @@ from tickgate.operators import planning as P
 from tickgate.operators import publishing as PB
 from tickgate.operators import verdict as V
 from tickgate.operators.normalize import normalize_bars
+from tickgate.plans.publish import existing_objects, load_chunks, publish, warehouse_table
 from tickgate.plans.validate import validate
 from tickgate.session import cut_lineage, ensure_checkpoint_dir, write_table
 from tickgate.sinks import writers as W
 from tickgate.sources import bars as B
-from tickgate.sources import dims, files
+from tickgate.sources import dims, files, reports
 
 CFG = ValidationConfig()
 
@@ -392,6 +394,49 @@ def q_load_ledger(spark, sf_dir):
     return s1.unionByName(s2).select("run", "total", "uploaded", "skipped", "failed", "table_loaded")
 
 
+def _written_chunks(spark, sf_dir) -> tuple[DataFrame, str, DataFrame]:
+    """The bars, the root of their per-chunk files, and the chunk probe of these."""
+    b = _bars_table(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cache/{uuid.uuid4().hex}"
+    W.write_chunk_files(b.withColumn("schema", F.lit(OHLCV_SCHEMA)), root).count()
+    return b, root, files.chunk_probe(spark, root, OHLCV_SCHEMA)
+
+
+def q_publish_roundtrip(spark, sf_dir):
+    """C5 end to end: chunk files gated, copied, verified, put into manifests and loaded; all read back."""
+    b, root, chunks = _written_chunks(spark, sf_dir)
+    res = publish(spark, root, OHLCV_SCHEMA, write_table(chunks), _validation(spark, sf_dir, bars=b).report,
+                  f"{root}_target", f"{root}_warehouse")
+    kept = reports.manifest_entries(reports.read_manifests(spark, f"{root}_target/_manifests"))
+    there = existing_objects(spark, f"{root}_target", digests=True).select(
+        "blob_name", F.col("size_bytes").alias("_there"), F.col("md5").alias("_md5"))
+    rows = warehouse_table(spark, f"{root}_warehouse", OHLCV_SCHEMA).read()
+    loaded = rows.groupBy("symbol", "venue", K.year_month_of(F.col("ts_event")).alias("year_month")).agg(
+        F.count(F.lit(1)).alias("table_rows"))
+    out = (res.ledger.select(*P.CHUNK_KEY, "blob_name", "success", "row_count")
+           .join(kept.select("blob_name", "size_bytes", "md5"), "blob_name", "left").join(there, "blob_name", "left")
+           .join(loaded, ["symbol", "venue", "year_month"], "left"))
+    return out.select(*P.CHUNK_KEY, "success", "row_count", F.coalesce("table_rows", F.lit(0)).alias("table_rows"),
+                      F.coalesce((F.col("md5") == F.col("_md5")) & (F.col("size_bytes") == F.col("_there"))
+                                 & (F.col("_there") > 0), F.lit(False)).alias("arrived"))
+
+
+def q_warehouse_rerun(spark, sf_dir):
+    """K8: a load killed while appending, one killed before its commit, one that ends, and one more: each row once."""
+    _, root, chunks = _written_chunks(spark, sf_dir)
+    chunks = write_table(PB.with_blob_name(chunks, PUBLISH_PREFIX).select(
+        "blob_name", F.col("path").alias("md5"), "path", F.col("rows").alias("row_count")))
+    table = warehouse_table(spark, f"{root}_warehouse", OHLCV_SCHEMA)
+    rows = W.warehouse_frame(B.read_chunks(spark, root, OHLCV_SCHEMA, file_order=False)).drop("_unfit")
+    loads = chunks.select("blob_name", "md5", F.col("row_count").alias("rows"))
+    table.stage(rows.where("close > 0").where(F.col("venue") == B.ADAPTER_VENUES[0]), loads, "killed-while-appending")
+    table.stage(rows, loads, "killed-before-the-commit")
+    for _ in range(2):
+        load_chunks(spark, chunks, OHLCV_SCHEMA, f"{root}_warehouse")
+    return table.read().groupBy("symbol", "venue").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                        F.count_distinct("load_run").alias("n_loads"))
+
+
 # ---------------------------------------------------------------------------
 # Step 9: files
 # ---------------------------------------------------------------------------
@@ -549,6 +594,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "manifest_upsert": q_manifest_upsert,
     "publish_summary": q_publish_summary,
     "load_ledger": q_load_ledger,
+    "publish_roundtrip": q_publish_roundtrip,
+    "warehouse_rerun": q_warehouse_rerun,
     "file_probe": q_file_probe,
     "storage_report": q_storage_report,
     "file_digest": q_file_digest,

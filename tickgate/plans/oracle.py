@@ -416,6 +416,13 @@ SELECT 1 AS run, count(*) AS total, count_if(decision = 'publish') AS uploaded,
 UNION ALL
 SELECT 2, count(*), 0, count_if(decision = 'publish'), count_if(decision = 'reject'), 0 FROM gated""",
 
+    "publish_roundtrip": with_bars(*VALIDATION, LANDED_CTE, GATE_CTE) + """
+SELECT schema, symbol, venue, year_month, decision = 'publish' AS success, rows AS row_count,
+       CASE WHEN decision = 'publish' THEN rows ELSE 0 END AS table_rows, decision = 'publish' AS arrived FROM gated""",
+
+    "warehouse_rerun": with_bars() + """
+SELECT symbol, venue, count(*) AS n_rows, 1 AS n_loads FROM bars GROUP BY ALL""",
+
     "file_probe": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, CASE WHEN count(*) > 0 THEN 'ok' ELSE 'empty' END AS state, "
         f"count(*) AS rows FROM {t}"

@@ -19,6 +19,7 @@ from tickgate.functions import keys as K
 from tickgate.operators import publishing as PB
 from tickgate.session import arrow_uri, cut_lineage, qualified, ship_package, write_table
 from tickgate.sinks import writers as W
+from tickgate.sinks.snapshots import SnapshotTable
 from tickgate.sources import files, reports
 
 
@@ -76,70 +77,81 @@ def existing_objects(spark: SparkSession, target_root: str, digests: bool = Fals
     return objs.join(d.select("path", "md5"), "path", "left").select("blob_name", "size_bytes", "md5")
 
 
-def _rows_of(paths: DataFrame, schema) -> DataFrame:
-    """The rows of the listed Parquet files, conformed to ``schema``; no other file is opened."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    spark = paths.sparkSession
+def _list_prefixes(target_root: str):
+    """(blob_name, size_bytes) of the objects directly below each prefix; a prefix that is absent has none."""
+    def run(batches):
+        import pyarrow.fs as pafs
+        for pdf in batches:
+            out = []
+            for prefix in pdf["prefix"]:
+                fs, p = pafs.FileSystem.from_uri(arrow_uri(f"{target_root.rstrip('/')}/{prefix}"))
+                for f in fs.get_file_info(pafs.FileSelector(p, allow_not_found=True)):
+                    if f.type == pafs.FileType.File:
+                        out.append((f"{prefix}/{f.base_name}", f.size))
+            yield pd.DataFrame(out, columns=["blob_name", "size_bytes"])
+    return run
+
+
+def prefixes_to_list(wanted: DataFrame, known: DataFrame) -> DataFrame:
+    """The distinct prefixes (folders) of the wanted objects that ``known`` (blob_name, ...) does not cover."""
+    open_ = wanted.select("blob_name").join(known.select("blob_name"), "blob_name", "left_anti")
+    return open_.select(F.regexp_replace("blob_name", r"/[^/]*$", "").alias("prefix")).distinct()
+
+
+def target_state(spark: SparkSession, target_root: str, wanted: DataFrame, manifest_root: str | None = None) -> DataFrame:
+    """(blob_name, size_bytes, md5) of the wanted objects that exist at the target.
+
+    Objects in the stored manifests are known from there; only the prefixes of the others are listed, a task per
+    group of prefixes, so publishing one chunk lists one prefix, however large the target is.
+    """
     ship_package(spark)
-    want = to_arrow_schema(schema)
+    names = wanted.select("blob_name", "schema", "symbol").distinct()
+    known = spark.createDataFrame([], "blob_name string, size_bytes bigint, md5 string")
+    if manifest_root and _present(spark, manifest_root):
+        kept = reports.manifest_entries(reports.read_manifests(spark, manifest_root))
+        known = write_table(kept.join(names, ["schema", "symbol", "blob_name"], "left_semi")
+                            .select("blob_name", "size_bytes", "md5"))
+    listed = prefixes_to_list(names, known).repartition(files.io_tasks(spark), "prefix").mapInPandas(
+        _list_prefixes(target_root), "blob_name string, size_bytes bigint")
+    found = listed.join(names, "blob_name", "left_semi").join(known.select("blob_name"), "blob_name", "left_anti")
+    return known.unionByName(found.withColumn("md5", F.lit(None).cast("string")))
 
-    def read(batches):
-        import pyarrow as pa
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-        for batch in batches:
-            for p in batch.column(0):
-                fs, rel = pafs.FileSystem.from_uri(arrow_uri(p.as_py()))
-                with fs.open_input_file(rel) as fh:
-                    for rows in pq.ParquetFile(fh).iter_batches():
-                        have = {n: rows.column(n) for n in rows.schema.names}
-                        yield pa.RecordBatch.from_arrays(
-                            [have[f.name].cast(f.type) if f.name in have else pa.nulls(len(rows), f.type) for f in want],
-                            schema=want)
 
-    return paths.select("path").repartition(files.io_tasks(spark), "path").mapInArrow(read, schema)
+def _rows_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The rows of the listed chunk files with ``_file``; Spark's own scan, which opens no other file."""
+    read = spark.read.option("mergeSchema", "true").parquet(*paths)
+    return read.select("*", F.col("_metadata.file_path").alias("_file"))
 
 
-LOADS = "blob_name string, md5 string, run_id string, state string, at timestamp"
+def warehouse_table(spark: SparkSession, warehouse_root: str, schema: str) -> SnapshotTable:
+    """The table of a schema, partitioned by day, rows clustered by symbol and venue."""
+    return SnapshotTable(spark, f"{warehouse_root.rstrip('/')}/{schema.replace('-', '_')}")
 
 
-def loads_done(spark: SparkSession, ledger_root: str, table_path: str) -> DataFrame:
-    """(blob_name, md5) already in the warehouse.
+def load_chunks(spark: SparkSession, ok: DataFrame, schema: str, warehouse_root: str,
+                given: DataFrame | None = None) -> DataFrame:
+    """K7/K8: append the rows of chunks not yet loaded, as one commit; returns the chunks loaded.
 
-    A run writes its loads as ``started``, appends the rows (one Spark job, committed as a whole, marked
-    with the run id) and writes them as ``done``. A run that died in between counts if its rows are there.
+    A chunk with a row that the table cannot take is left out, as its load would fail.
     """
-    if not _present(spark, ledger_root):
-        return spark.createDataFrame([], "blob_name string, md5 string")
-    led = spark.read.schema(LOADS).parquet(ledger_root)
-    done = led.where("state = 'done'").select("blob_name", "md5")
-    if _present(spark, table_path):
-        arrived = spark.read.parquet(table_path).select(F.col("load_run").alias("run_id")).distinct()
-        done = done.unionByName(led.where("state = 'started'").join(arrived, "run_id", "left_semi").select("blob_name", "md5"))
-    return done.distinct()
-
-
-def _warehouse(spark: SparkSession, ok: DataFrame, cache_root: str, schema: str, warehouse_root: str,
-               ledger_root: str, given: DataFrame | None) -> DataFrame:
-    """Append the rows of chunks not yet loaded, and store what was loaded."""
-    table = f"{warehouse_root.rstrip('/')}/{schema.replace('-', '_')}"
-    before = loads_done(spark, ledger_root, table)
+    table = warehouse_table(spark, warehouse_root, schema)
+    before = table.loads().select("blob_name", "md5")
     if given is not None:
-        before = before.unionByName(given.select("blob_name", "md5")).distinct()
-    new, _ = PB.load_ledger(ok.select("blob_name", "md5"), before)
-    new = write_table(new.join(ok.select("blob_name", "md5", "path"), ["blob_name", "md5"]))
-    if new.isEmpty():
+        before = before.unionByName(given.select("blob_name", "md5"))
+    new, _ = PB.load_ledger(ok.select("blob_name", "md5"), before.distinct())
+    new = write_table(new.join(ok.select("blob_name", "md5", "path", F.col("row_count").alias("rows")), ["blob_name", "md5"]))
+    # the paths are what Spark's file index keeps on the driver for any scan of these files
+    paths = [r["path"] for r in new.where("rows > 0").select("path").collect()]
+    if not paths:
         return new.select("blob_name", "md5")
-    run = uuid.uuid4().hex
-    entry = lambda state: new.select("blob_name", "md5", F.lit(run).alias("run_id"), F.lit(state).alias("state"),
-                                     F.current_timestamp().alias("at"))
-    entry("started").write.mode("append").parquet(ledger_root)
-    # column types from all footers of the schema's cache; rows from the new files only
-    shape = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet") \
-        .option("mergeSchema", "true").parquet(f"{cache_root.rstrip('/')}/{schema}").schema
-    W.write_warehouse(_rows_of(new, shape).withColumn("load_run", F.lit(run)), warehouse_root, schema)
-    entry("done").write.mode("append").parquet(ledger_root)
-    return new.select("blob_name", "md5")
+    plain = lambda c: F.regexp_replace(F.url_decode(c), "^[a-z0-9]+:/+", "/")
+    fitness = W.warehouse_frame(_rows_of(spark, paths)).groupBy(plain(F.col("_file")).alias("_file")).agg(
+        F.count_if("_unfit").alias("n_unfit")).where("n_unfit > 0")
+    fit = write_table(new.join(fitness, plain(F.col("path")) == F.col("_file"), "left_anti"))
+    good = [r["path"] for r in fit.where("rows > 0").select("path").collect()]
+    if good:
+        table.append(W.warehouse_frame(_rows_of(spark, good)).drop("_unfit", "_file"), fit.select("blob_name", "md5", "rows"))
+    return fit.select("blob_name", "md5")
 
 
 def _manifests(spark: SparkSession, entries: DataFrame, manifest_root: str) -> DataFrame:
@@ -157,25 +169,26 @@ def publish(spark: SparkSession, cache_root: str, schema: str, chunks: DataFrame
             target_root: str,
             warehouse_root: str | None = None, load_ledger: DataFrame | None = None,
             overwrite: bool = False, require_report: bool = False, verify_existing: bool = False,
-            prefix: str = PUBLISH_PREFIX, manifest_root: str | None = None,
-            ledger_root: str | None = None) -> PublishResult:
+            prefix: str = PUBLISH_PREFIX, manifest_root: str | None = None) -> PublishResult:
     """C5 for one schema. ``chunks``: its chunk probe (key, path, rows, size_bytes).
 
-    Only the chunks being published are hashed; the target is listed (no bytes
-    read) to find existing objects, and only the objects copied in this run are
-    re-read to verify them. ``verify_existing`` also hashes the existing
-    objects that would be skipped (D-09); otherwise their ``digest_match`` is NULL.
+    Only the chunks being published are hashed. Existing objects are known from the stored manifests, and
+    only prefixes that these do not cover are listed; only the objects copied in this run are
+    re-read to verify them. ``verify_existing`` lists the target and hashes the existing
+    objects that would be skipped (D-09); otherwise those that no manifest knows have a NULL ``digest_match``.
 
     An object counts as uploaded only if it is at the target with the local digest. Manifests are
-    kept under ``manifest_root`` (default ``{target}/_manifests``) and upserted; warehouse loads are
-    kept under ``ledger_root`` (default ``{warehouse}/_loads/{schema}``), so a rerun appends nothing twice.
+    kept under ``manifest_root`` (default ``{target}/_manifests``) and upserted; the warehouse table's own
+    log holds the chunks loaded, so a rerun, also of a run that died at any point, appends nothing twice.
     """
     ship_package(spark)
     target_root = qualified(spark, target_root)
     gated = PB.with_blob_name(PB.publish_gate(chunks.drop("md5"), report, require_report=require_report), prefix)
     local = files.digests_of(gated.where(F.col("decision") == "publish").select("path"))
     gated = gated.join(local.select("path", "md5"), "path", "left")
-    existing = existing_objects(spark, target_root, digests=verify_existing, only=gated)
+    manifest_root = manifest_root or f"{target_root.rstrip('/')}/_manifests"
+    existing = (existing_objects(spark, target_root, digests=True, only=gated) if verify_existing
+                else target_state(spark, target_root, gated, manifest_root))
     ledger = PB.publish_ledger(gated, existing, target_root, overwrite)
     ledger = ledger.join(gated.select("blob_name", "path"), "blob_name", "left")
     # reliable checkpoint: the outcome is fixed before any object is written
@@ -195,9 +208,8 @@ def publish(spark: SparkSession, cache_root: str, schema: str, chunks: DataFrame
                     .otherwise(F.col("message")))
         .withColumn("success", F.col("success") & F.coalesce(F.col("digest_match"), F.lit(True)))
         .drop("_remote"))
-    manifest = _manifests(spark, PB.manifest_entries(verified), manifest_root or f"{target_root.rstrip('/')}/_manifests")
+    manifest = _manifests(spark, PB.manifest_entries(verified), manifest_root)
     loaded = spark.createDataFrame([], "blob_name string, md5 string")
     if warehouse_root:
-        loaded = _warehouse(spark, verified.where("success"), cache_root, schema, warehouse_root,
-                            ledger_root or f"{warehouse_root.rstrip('/')}/_loads/{schema}", load_ledger)
+        loaded = load_chunks(spark, verified.where("success"), schema, warehouse_root, load_ledger)
     return PublishResult(verified, manifest, loaded, PB.publish_summary(verified, loaded))

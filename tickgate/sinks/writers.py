@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickgate.config import PARQUET_COMPRESSION, PARQUET_ROW_GROUP
+from tickgate.config import PARQUET_COMPRESSION, PARQUET_ROW_GROUP, WAREHOUSE_FIELDS
 from tickgate.functions import keys as K
 from tickgate.session import arrow_uri, qualified, ship_package
 
@@ -142,20 +142,23 @@ def write_manifests(manifest: DataFrame, root: str) -> None:
 
 
 def warehouse_frame(df: DataFrame) -> DataFrame:
-    """K7: the warehouse row shape: day partition ``dt`` (UTC date of ts_recv, else ts_event)."""
-    t = F.col("ts_recv") if "ts_recv" in df.columns else F.col("ts_event")
-    return df.withColumn("dt", F.to_date(t))
-
-
-def write_warehouse(df: DataFrame, root: str, schema: str) -> str:
-    """K7/K8: append to the day-partitioned table ``{root}/{schema with '-' -> '_'}``,
-    rows clustered by (symbol, venue) inside each day. Callers pass only rows
-    not yet in the load ledger (``operators.publishing.load_ledger``)."""
-    path = f"{root.rstrip('/')}/{schema.replace('-', '_')}"
-    # rebalance: clustered by day, but a heavy day is split over several tasks
-    out = warehouse_frame(df).hint("rebalance", "dt").sortWithinPartitions("dt", "symbol", "venue")
-    _parquet(out.write.mode("append").partitionBy("dt")).parquet(path)
-    return path
+    """K7: the warehouse row shape, and which rows cannot be loaded.
+
+    Fields with a declared type (``config.WAREHOUSE_FIELDS``) take it, time zones aside; ``dt`` is the UTC date of
+    ts_recv, else ts_event. ``_unfit`` marks rows without symbol, venue or time, or with a value that does not fit
+    its declared type.
+    """
+    kinds = {n: t for n, t in WAREHOUSE_FIELDS.items() if n in df.columns and not (
+        t == "timestamp" and df.schema[n].dataType.typeName().startswith("timestamp"))}
+    fitted = {n: F.col(n).try_cast(t) for n, t in kinds.items()}
+    unfit = F.lit(False)
+    for n in kinds:
+        unfit = unfit | (F.col(n).isNotNull() & fitted[n].isNull())
+    axis = [fitted.get(n, F.col(n)) for n in ("ts_recv", "ts_event") if n in df.columns]
+    time = F.coalesce(*axis) if axis else F.lit(None).cast("timestamp")
+    for n in ("symbol", "venue"):
+        unfit = unfit | (F.col(n).isNull() if n in df.columns else F.lit(True))
+    return df.withColumns({**fitted, "dt": F.to_date(time), "_unfit": unfit | time.isNull()})
 
 
 def append_run_log(log: DataFrame, root: str) -> None:
