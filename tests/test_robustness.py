@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import bar, bars
 from tickgate.config import OHLCV_SCHEMA, ValidationConfig
+from tickgate.operators import planning as PL
 from tickgate.operators import publishing as PB
 from tickgate.plans import publish as PU
 from tickgate.sinks.snapshots import ConflictingLoad, SnapshotTable
@@ -270,3 +271,64 @@ def test_median_with_one_extreme_value(spark):
     df = spark.createDataFrame([("S", v) for v in vals] + [(None, 1.0), (None, 4.0)], "symbol string, close double")
     got = {r.symbol: r.median_close for r in median_close(df).collect()}
     assert got == {"S": statistics.median(vals), None: 2.5}
+
+
+def test_a_chunk_that_fails_holds_up_no_other(spark, tmp_path):
+    """One folder that cannot be made, one file that does not hold its rows; messages are cut."""
+    import pyarrow.parquet as pq
+    root = tmp_path / "cache"
+    (root / OHLCV_SCHEMA).mkdir(parents=True)
+    (root / OHLCV_SCHEMA / "AAA").write_text("no folder")
+    landing = _landing(spark, symbols=("AAA", "BBB", "CCC"))
+    universe = spark.createDataFrame([("AAA",), ("BBB",), ("CCC",), ("DDD",)], "symbol string")
+    res = ingest(landing, universe, OHLCV_SCHEMA, str(root), venues=["XNAS.ITCH"], start_date="2024-01-01",
+                 end_date="2024-01-31", layout="chunk")
+    led = {r.symbol: r for r in res.ledger.collect()}
+    assert {s: (r.success, r.rows) for s, r in led.items()} == {
+        "AAA": (False, 0), "BBB": (True, 5), "CCC": (True, 5), "DDD": (True, 0)}
+    assert 0 < len(led["AAA"].message) <= 200 and led["AAA"].elapsed > 0 and led["DDD"].elapsed == 0
+    assert PL.ingest_summary(res.ledger).first().failed == 1
+    assert [r.symbol for r in PL.failures(res.ledger).collect()] == ["AAA"]
+    assert not [p for p in root.rglob("*.tmp")] and not [p for p in root.rglob(".*.tmp")]
+
+    import pyarrow as pa
+    import pyarrow.fs as pafs
+    fs = pafs.LocalFileSystem()
+    rows = pa.RecordBatch.from_pydict({"x": [1, 2, 3]})
+    ok, short = (W._ChunkFile(fs, str(tmp_path / "w"), ("s", n, "v", "2024-01"), rows.schema, 2) for n in ("ok", "short"))
+    ok.add(rows)
+    short.add(rows)
+    short.n += 1
+    assert ok.outcome()[5:9] == (3, os.path.getsize(tmp_path / "w/s/ok/v/2024-01.parquet"), True, "3 rows")
+    assert short.outcome()[4:9] == (None, 0, None, False, "corrupt: 3 rows of 4 in the file")
+    assert pq.read_metadata(tmp_path / "w/s/ok/v/2024-01.parquet").num_row_groups == 2
+    assert os.listdir(tmp_path / "w/s/short/v") == []
+
+
+def test_hive_ingest_scans_landing_once(spark, tmp_path):
+    """Counts come from the written files' footers, checked against what the write job observed."""
+    land = str(tmp_path / "landing")
+    _landing(spark).write.parquet(land)
+    scans = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            scans.add(b.num_rows)
+            yield b
+    landing = spark.read.parquet(land)
+    counted = landing.mapInArrow(seen, landing.schema)
+    universe = spark.createDataFrame([("AAA",), ("BBB",), ("DDD",)], "symbol string")
+    res = ingest(counted, universe, OHLCV_SCHEMA, str(tmp_path / "cache"), venues=["XNAS.ITCH"],
+                 start_date="2024-01-01", end_date="2024-01-31", layout="hive")
+    got = {r.symbol: (r.success, r.rows, r.message) for r in res.ledger.collect()}
+    assert got == {"AAA": (True, 5, "5 rows"), "BBB": (True, 5, "5 rows"), "DDD": (True, 0, "0 rows (symbol absent at venue)")}
+    assert scans.value == 10
+
+
+def test_totals_over_schemas(spark):
+    cols = "schema string, symbol string, venue string, year_month string, success boolean, message string, rows bigint, cached boolean"
+    led = spark.createDataFrame([("a", "S", "V", "2024-01", True, "", 5, False), ("a", "S", "V", "2024-02", False, "x", 0, False),
+                                 ("b", "S", "V", "2024-01", True, "", 7, True)], cols)
+    got = {r.schema: tuple(r)[1:] for r in PL.ingest_totals(led).collect()}
+    assert got == {"a": (2, 1, 0, 1, 5), "b": (1, 0, 1, 0, 7), "all": (3, 1, 1, 1, 12)}
+    assert PL.ingest_totals(led.limit(0)).collect() in ([], [("all", 0, 0, 0, 0, 0)])

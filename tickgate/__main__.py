@@ -7,16 +7,19 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import reduce
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tickgate import config as cfg
 from tickgate.operators import planning as P
+from tickgate.operators import publishing as PB
 from tickgate.operators import verdict as V
 from tickgate.plans import ingest as I
 from tickgate.plans.publish import publish
 from tickgate.plans.validate import validate_layout
+from tickgate.sinks import writers as W
 from tickgate.sources import dims, files, reports
 
 
@@ -30,8 +33,20 @@ def _session(args) -> SparkSession:
     return spark
 
 
+def _all(frames: list):
+    """The result rows of all schemas as one frame; None without any."""
+    return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
+
+
+def _told(spark, args, logger: str, messages) -> None:
+    """K9: one run-log row per message, appended to the day's folder."""
+    if args.log:
+        W.append_run_log(W.log_rows(spark, "INFO", logger, msgs=messages), args.log)
+
+
 def cmd_download(spark, args) -> None:
     """Plan the chunks of each schema of the mode and ingest what is not cached from a landing table."""
+    ledgers = []
     universe = I.check_universe(dims.read_universe(spark, args.tickers))
     landing = spark.read.parquet(args.landing) if args.landing else None
     for schema, venues in I.resolve_mode(args.mode):
@@ -53,17 +68,24 @@ def cmd_download(spark, args) -> None:
         ledger = res.ledger.checkpoint(eager=True)
         # K2: the ledger keeps the empty-chunk markers (no file exists for them)
         ledger.write.mode("append").parquet(ledger_root)
-        P.ingest_summary(ledger).show(truncate=False)
+        ledgers.append(ledger)
+    if (done := _all(ledgers)) is not None:
+        P.ingest_summary(done).show(truncate=False)
+        P.ingest_totals(done).orderBy("schema").show(truncate=False)
+        P.failures(done).show(1000, truncate=False)
+        word = F.when(~F.col("success"), "FAILED").when(F.col("cached"), "CACHED").otherwise("DOWNLOADED")
+        _told(spark, args, "download", done.select(F.concat_ws(" ", word, *P.CHUNK_KEY, F.lit("-"), "message").alias("msg")))
 
 
 def cmd_validate(spark, args) -> None:
+    seen = []
     for schema in dims.mode_schemas(args.mode):
         if not _exists(spark, f"{args.cache}/{schema}"):
             continue
         v = validate_layout(spark, args.cache, cfg.ValidationConfig(schema=schema), symbol=args.symbol,
                             reports_root=f"{args.reports}/{schema}" if args.reports else None,
                             quarantine_root=f"{args.quarantine}/{schema}" if args.quarantine else None)
-        V.validation_summary(v.report).show(truncate=False)
+        seen.append(v.report)
         V.corp_event_keys(v.check_results, ["symbol"]).orderBy("symbol").show(truncate=False)
         V.quarantine_preview(v.report, ["symbol"]).join(
             V.abort_reasons(v.check_results, ["symbol"]), "symbol", "left").orderBy("rank").show(truncate=False)
@@ -72,9 +94,15 @@ def cmd_validate(spark, args) -> None:
             req = P.requeue(files.chunk_probe(spark, args.cache, schema), q)
             led = I.reingest(spark.read.parquet(args.landing), req, schema, args.cache)
             P.ingest_summary(led).show(truncate=False)
+    if (done := _all(seen)) is not None:
+        V.validation_totals(done).orderBy("schema").show(truncate=False)
+        _told(spark, args, "validate", done.select(F.concat_ws(
+            " ", F.when(F.col("quarantine"), "QUARANTINED").otherwise("CLEAN"), "schema", "symbol",
+            F.array_join("warnings", ",")).alias("msg")))
 
 
 def cmd_upload(spark, args) -> None:
+    ledgers, loads = [], []
     for schema in dims.mode_schemas(args.mode):
         if not _exists(spark, f"{args.cache}/{schema}"):
             continue
@@ -84,8 +112,12 @@ def cmd_upload(spark, args) -> None:
         chunks = files.chunk_probe(spark, args.cache, schema)
         res = publish(spark, args.cache, schema, chunks, report, args.target,
                       warehouse_root=None if args.no_warehouse else args.warehouse, overwrite=args.overwrite)
-        res.summary.show(truncate=False)
+        ledgers.append(res.ledger)
+        loads.append(res.loaded)
         files.storage_report(spark, f"{args.cache}/{schema}").show(truncate=False)
+    if (done := _all(ledgers)) is not None:
+        PB.publish_totals(done, _all(loads)).orderBy("schema").show(truncate=False)
+        _told(spark, args, "upload", done.select(F.concat_ws(" ", *P.CHUNK_KEY, F.lit("-"), "message").alias("msg")))
 
 
 def _exists(spark, path: str) -> bool:
@@ -101,6 +133,7 @@ def _exists(spark, path: str) -> bool:
 def build_parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="tickgate")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--log", default=None, help="folder of the run log (JSON lines, a folder per day)")
     ap.add_argument("--checkpoint-dir", default=None, help="shared folder for lineage cuts")
     sub = ap.add_subparsers(dest="command", required=True)
     modes = list(cfg.MODE_SCHEMAS)

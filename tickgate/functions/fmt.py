@@ -1,30 +1,12 @@
-"""Message formatting (P18, P20, P21, P24) and unit helpers."""
+"""Message formatting."""
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-GIB = float(1024 ** 3)
-
-
 def truncate(msg: Column, n: int = 200) -> Column:
     return F.substring(msg, 1, n)
 
 
-def thousands(x: Column) -> Column:
-    """Integer with thousands separators, like Python's '{:,}'."""
-    return F.format_number(x.cast("double"), 0)
-
-
-def bytes_to_gib(x: Column) -> Column:
-    return x / F.lit(GIB)
-
-
-def quoted_list(arr: Column) -> Column:
-    """array<string> -> "['a', 'b']" (Python list repr of strings)."""
-    return F.concat(F.lit("["), F.array_join(F.transform(arr, lambda s: F.concat(F.lit("'"), s, F.lit("'"))), ", "),
-                    F.lit("]"))
-
-
 def status_word(skipped: Column) -> Column:
     return F.when(skipped, F.lit("SKIPPED")).otherwise(F.lit("UPLOADED"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickgate import config as cfg
 from tickgate.functions import keys as K
+from tickgate.functions.fmt import truncate
 from tickgate.sources import dims
 
 CHUNK_KEY = ["schema", "symbol", "venue", "year_month"]
@@ -123,29 +124,52 @@ def requeue(chunks: DataFrame, quarantined: DataFrame, keys=("symbol",)) -> Data
 
 
 def ingest_ledger(status: DataFrame, landing_counts: DataFrame, force: bool = False) -> DataFrame:
-    """C1/C2 result rows: cached chunks are reported as such; the rest take their rows from landing.
+    """C1/C2 result rows: cached chunks are reported as such; the rest take their outcome from the writer.
 
-    ``landing_counts``: (chunk key..., rows) of the landing zone. A chunk absent
-    from landing is an empty chunk (symbol not traded there that month), which
+    ``landing_counts``: (chunk key..., rows) of the landing zone or, from a writer, with ``success``, ``message``
+    and ``elapsed`` too. A chunk absent from it is an empty chunk (symbol not traded there that month), which
     is a success with 0 rows.
     """
     cached = F.col("cached") & F.lit(not force)
-    lc = landing_counts.select(*CHUNK_KEY, F.col("rows").alias("_lrows"))
+    told = {c: F.col(c) if c in landing_counts.columns else F.lit(None).cast(t)
+            for c, t in (("success", "boolean"), ("message", "string"), ("elapsed", "double"))}
+    lc = landing_counts.select(*CHUNK_KEY, F.col("rows").alias("_lrows"), *[c.alias(f"_{n}") for n, c in told.items()])
     j = status.join(lc, CHUNK_KEY, "left")
     rows = F.when(cached, F.col("rows")).otherwise(F.coalesce(F.col("_lrows"), F.lit(0))).cast("bigint")
+    success = cached | F.coalesce(F.col("_success"), F.lit(True))
     msg = (F.when(cached, F.format_string("cached (%,d rows)", F.col("rows")))
+           .when(~success, truncate(F.col("_message")))
            .when(rows > 0, F.format_string("%,d rows", rows))
            .otherwise(F.lit("0 rows (symbol absent at venue)")))
-    return j.select(*CHUNK_KEY, F.lit(True).alias("success"), msg.alias("message"), rows.alias("rows"),
-                    F.lit(0.0).alias("elapsed"), cached.alias("cached"))
+    return j.select(*CHUNK_KEY, success.alias("success"), msg.alias("message"), rows.alias("rows"),
+                    F.when(cached, 0.0).otherwise(F.coalesce("_elapsed", F.lit(0.0))).alias("elapsed"), cached.alias("cached"))
+
+
+def _ingest_totals() -> list:
+    ok, c = F.col("success"), F.col("cached")
+    return [F.count(F.lit(1)).alias("total"),
+            F.count_if(ok & ~c).alias("downloaded"),
+            F.count_if(c).alias("cached"),
+            F.count_if(~ok).alias("failed"),
+            F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("total_rows")]
 
 
 def ingest_summary(ledger: DataFrame) -> DataFrame:
     """Totals of an ingest ledger."""
-    ok, c = F.col("success"), F.col("cached")
-    return ledger.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(ok & ~c).alias("downloaded"),
-        F.count_if(c).alias("cached"),
-        F.count_if(~ok).alias("failed"),
-        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("total_rows"))
+    return ledger.agg(*_ingest_totals())
+
+
+def by_schema(rows: DataFrame, totals: list) -> DataFrame:
+    """The totals of every schema and, as ``all``, of the whole run, in one pass over the rows."""
+    r = rows.rollup("schema").agg(F.grouping("schema").alias("_all"), *totals)
+    return r.withColumn("schema", F.when(F.col("_all") == 1, "all").otherwise(F.col("schema"))).drop("_all")
+
+
+def ingest_totals(ledger: DataFrame) -> DataFrame:
+    """G9 over the ledgers of all schemas of a run."""
+    return by_schema(ledger, _ingest_totals())
+
+
+def failures(ledger: DataFrame) -> DataFrame:
+    """The failed chunks with their messages, in key order."""
+    return ledger.where(~F.col("success")).select(*CHUNK_KEY, "message").orderBy(*CHUNK_KEY)

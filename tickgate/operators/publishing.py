@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickgate.functions import keys as K
 from tickgate.functions.fmt import status_word
 from tickgate.operators.nulls import join_same
-from tickgate.operators.planning import CHUNK_KEY
+from tickgate.operators.planning import CHUNK_KEY, by_schema
 
 
 def quarantine_split(rows: DataFrame, report: DataFrame, keys=("symbol",)) -> tuple[DataFrame, DataFrame]:
@@ -126,18 +126,30 @@ def load_ledger(to_load: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataF
     return new, grown
 
 
+def _publish_totals(loaded: Column) -> list:
+    ok, sk = F.col("success"), F.col("skipped")
+    return [F.count(F.lit(1)).alias("total"),
+            F.count_if(ok & ~sk).alias("uploaded"),
+            F.count_if(sk).alias("skipped"),
+            F.count_if(~ok).alias("failed"),
+            F.count_if(loaded).alias("table_loaded"),
+            F.coalesce(F.sum(F.when(ok, F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("bytes")]
+
+
+def _with_loads(ledger: DataFrame, loaded: DataFrame | None) -> tuple[DataFrame, Column]:
+    if loaded is None:
+        return ledger, F.lit(False)
+    marks = loaded.select("blob_name").distinct().withColumn("_l", F.lit(True))
+    return ledger.join(marks, "blob_name", "left"), F.coalesce(F.col("_l"), F.lit(False))
+
+
 def publish_summary(ledger: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
     """Totals of a publish ledger; ``table_loaded`` counts chunks appended to the warehouse."""
-    ok, sk = F.col("success"), F.col("skipped")
-    base = ledger
-    if loaded is not None:
-        base = ledger.join(loaded.select("blob_name").distinct().withColumn("_l", F.lit(True)),
-                           "blob_name", "left")
-    tl = F.coalesce(F.col("_l"), F.lit(False)) if loaded is not None else F.lit(False)
-    return base.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(ok & ~sk).alias("uploaded"),
-        F.count_if(sk).alias("skipped"),
-        F.count_if(~ok).alias("failed"),
-        F.count_if(tl).alias("table_loaded"),
-        F.coalesce(F.sum(F.when(ok, F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("bytes"))
+    rows, mark = _with_loads(ledger, loaded)
+    return rows.agg(*_publish_totals(mark))
+
+
+def publish_totals(ledger: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
+    """G12 over the publish ledgers of all schemas of a run: a row per schema and one for all."""
+    rows, mark = _with_loads(ledger, loaded)
+    return by_schema(rows, _publish_totals(mark))

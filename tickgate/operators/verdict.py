@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickgate.operators.planning import by_schema
 from tickgate.config import ABORT, ERROR, WARNING
 
 def checks_long(wide: DataFrame, keys: list[str]) -> DataFrame:
@@ -26,15 +27,22 @@ def report(wide: DataFrame, keys: list[str], schema: str) -> DataFrame:
     )
 
 
-def validation_summary(report_df: DataFrame) -> DataFrame:
+def _validation_totals() -> list:
     q = F.col("quarantine")
     w = F.size("warnings") > 0
-    return report_df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(~q & ~w).alias("passed"),
-        F.count_if(~q & w).alias("warned"),
-        F.count_if(q).alias("quarantined"),
-    )
+    return [F.count(F.lit(1)).alias("total"),
+            F.count_if(~q & ~w).alias("passed"),
+            F.count_if(~q & w).alias("warned"),
+            F.count_if(q).alias("quarantined")]
+
+
+def validation_summary(report_df: DataFrame) -> DataFrame:
+    return report_df.agg(*_validation_totals())
+
+
+def validation_totals(report_df: DataFrame) -> DataFrame:
+    """G10 over the reports of all schemas of a run: a row per schema and one for all."""
+    return by_schema(report_df, _validation_totals())
 
 
 def corp_event_keys(check_long: DataFrame, keys: list[str]) -> DataFrame:

@@ -20,6 +20,7 @@ from tickgate.operators import planning as P
 from tickgate.operators import publishing as PB
 from tickgate.operators import verdict as V
 from tickgate.operators.normalize import normalize_bars
+from tickgate.plans.ingest import ingest
 from tickgate.plans.publish import existing_objects, load_chunks, publish, warehouse_table
 from tickgate.plans.validate import validate
 from tickgate.session import cut_lineage, ensure_checkpoint_dir, write_table
@@ -322,6 +323,44 @@ def q_ingest_summary(spark, sf_dir):
     return P.ingest_summary(_ingest_ledger(spark, sf_dir))
 
 
+BLOCKED = ("click", "view")      # symbols whose first venue's folder cannot be made
+
+
+def q_ingest_outcomes(spark, sf_dir):
+    """Chunks fetched into a cache where two cannot be written and one holds a damaged file."""
+    bars = _bars_table(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cache/{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    for name in [f"{s}/{B.ADAPTER_VENUES[0].replace('.', '_')}" for s in BLOCKED] + [
+            f"signup/{B.ADAPTER_VENUES[0].replace('.', '_')}/2024-01.parquet"]:
+        p = jvm.org.apache.hadoop.fs.Path(f"{root}/{OHLCV_SCHEMA}/{name}")
+        out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p)
+        out.write(b"no folder, and no Parquet file")
+        out.close()
+    res = ingest(bars, _universe(spark, sf_dir), OHLCV_SCHEMA, root, layout="chunk",
+                 landed=files.chunk_probe(spark, root, OHLCV_SCHEMA).select(*P.CHUNK_KEY, "rows", "state"))
+    return write_table(res.ledger).select(
+        *P.CHUNK_KEY, "success", F.when(F.col("success"), F.col("message")).alias("message"),
+        F.when(~F.col("success"), F.char_length("message") <= 200).alias("cut"), "rows", "cached",
+        ((F.col("elapsed") > 0) == (~F.col("success") | (F.col("rows") > 0))).alias("timed"))
+
+
+def q_run_totals(spark, sf_dir):
+    """A run's totals per schema and over all, each in one pass over the rows of all schemas."""
+    failed = F.when((F.col("symbol") == "error") & (F.col("venue") == B.ADAPTER_VENUES[2]), F.lit(False)).otherwise(F.lit(True))
+    ats = P.ingest_ledger(P.chunk_status(P.chunk_plan(_universe(spark, sf_dir), ATS_SCHEMA), _landed(spark, sf_dir)),
+                          _landed(spark, sf_dir))
+    chunks = _ingest_ledger(spark, sf_dir).unionByName(ats).withColumn("success", failed)
+    report = _validation(spark, sf_dir).report
+    reports_ = report.unionByName(report.where("quarantine").withColumn("schema", F.lit(ATS_SCHEMA)))
+    a = P.ingest_totals(chunks).select(F.lit("download").alias("step"), "schema", "total", "downloaded", "cached", "failed",
+                                       "total_rows", *[F.lit(None).cast("bigint").alias(c) for c in ("passed", "warned", "quarantined")])
+    b = V.validation_totals(reports_).select(F.lit("validate").alias("step"), "schema", "total",
+                                             *[F.lit(None).cast("bigint").alias(c) for c in ("downloaded", "cached", "failed", "total_rows")],
+                                             "passed", "warned", "quarantined")
+    return a.unionByName(b)
+
+
 # ---------------------------------------------------------------------------
 # Step 8: routing and publishing
 # ---------------------------------------------------------------------------
@@ -588,6 +627,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "requeue": q_requeue,
     "ingest_ledger": q_ingest_ledger,
     "ingest_summary": q_ingest_summary,
+    "ingest_outcomes": q_ingest_outcomes,
+    "run_totals": q_run_totals,
     "quarantine_split": q_quarantine_split,
     "publish_gate": q_publish_gate,
     "manifest_build": q_manifest_build,

@@ -6,9 +6,10 @@ semi-join of the landing rows with the chunks to fetch.
 """
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickgate import config as cfg
@@ -58,17 +59,36 @@ def ingest(landing: DataFrame, universe: DataFrame, schema: str, cache_root: str
     status = write_table(status)   # fixed before this run's own output exists
     todo = P.to_fetch(status, force)
     rows = landing_rows(landing, todo, schema, ts)
-    counts = rows.groupBy(*P.CHUNK_KEY).agg(F.count(F.lit(1)).alias("rows"))
-    if not dry_run and cache_root:
-        if layout == "chunk":
-            # the rows of each chunk as its writer counted them
-            counts = write_table(W.write_chunk_files(rows, cache_root, ts)).select(*P.CHUNK_KEY, "rows")
-        else:
-            W.write_chunks(rows, cache_root, ts=ts)
+    if dry_run or not cache_root:
+        counts = rows.groupBy(*P.CHUNK_KEY).agg(F.count(F.lit(1)).alias("rows"))
+    else:
+        counts = _fetched(rows, todo, schema, cache_root, layout, ts)
     ledger = P.ingest_ledger(status, counts, force)
     return IngestResult(plan, status, ledger, P.plan_estimate(status))
 
 
+def _fetched(rows: DataFrame, todo: DataFrame, schema: str, cache_root: str, layout: str, ts: str) -> DataFrame:
+    """Writes the rows of the chunks ``todo`` and tells what became of each; the landing zone is scanned once."""
+    if layout == "chunk":
+        # the outcome of each chunk as its writer saw it
+        return write_table(W.write_chunk_files(rows, cache_root, ts))
+    counted, start = Observation(), time.monotonic()
+    W.write_chunks(rows.observe(counted, F.count(F.lit(1)).alias("n")), cache_root, ts=ts)
+    took, n = time.monotonic() - start, counted.get["n"]
+    if not n:
+        return rows.sparkSession.createDataFrame([], W.LEDGER_SCHEMA)
+    # the rows of each chunk from the footers of its new files; chunks without rows have no folder
+    there = probe_landed(rows.sparkSession, cache_root, schema, "hive")
+    there = write_table(there.join(todo.select(*P.CHUNK_KEY), P.CHUNK_KEY, "left_semi"))
+    got = there.agg(F.sum("rows")).first()[0] or 0
+    good = F.col("state") != "corrupt"
+    message = F.when(good, F.format_string("%,d rows", "rows")).otherwise(F.lit("corrupt: a file cannot be read"))
+    if got != n and there.where(~good).isEmpty():
+        raise RuntimeError(f"{got} rows landed of {n}")
+    return there.select(*P.CHUNK_KEY, F.when(good, F.col("rows")).otherwise(F.lit(0)).alias("rows"), good.alias("success"),
+                        message.alias("message"), F.lit(took).alias("elapsed"))   # one job writes them all
+
+
 def probe_landed(spark, cache_root: str, schema: str, layout: str = "chunk") -> DataFrame:
     """Landed chunks with state and rows, from the files' footers."""
     if layout == "chunk":
@@ -107,10 +127,6 @@ def reingest(landing: DataFrame, requeued: DataFrame, schema: str, cache_root: s
     Returns the ingest ledger of those chunks (rows per chunk; 0 when landing has none).
     """
     rows = landing_rows(landing, requeued, schema, ts)
-    if layout == "chunk":
-        W.write_chunk_files(rows, cache_root, ts).count()
-    else:
-        W.write_chunks(rows, cache_root, ts=ts)
-    counts = rows.groupBy(*P.CHUNK_KEY).agg(F.count(F.lit(1)).alias("rows"))
+    counts = _fetched(rows, requeued, schema, cache_root, layout, ts)
     st = requeued.select(*P.CHUNK_KEY).withColumn("cached", F.lit(False)).withColumn("rows", F.lit(0).cast("bigint"))
     return P.ingest_ledger(st, counts, force=True)

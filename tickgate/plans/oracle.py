@@ -381,6 +381,36 @@ FROM landed l WHERE l.symbol IN (SELECT symbol FROM report WHERE quarantine)""",
 SELECT count(*) AS total, count_if(success AND NOT cached) AS downloaded, count_if(cached) AS cached,
        count_if(NOT success) AS failed, CAST(sum(rows) AS BIGINT) AS total_rows FROM ledger""",
 
+    "ingest_outcomes": with_bars(plan_cte(), LANDED_CTE) + """,
+r AS (
+  SELECT p.schema, p.symbol, p.venue, p.year_month, coalesce(l.rows, 0) AS n,
+         NOT (p.symbol IN ('click', 'view') AND p.venue = 'XNAS.ITCH' AND coalesce(l.rows, 0) > 0) AS success
+  FROM plan p LEFT JOIN landed l USING (schema, symbol, venue, year_month))
+SELECT schema, symbol, venue, year_month, success,
+       CASE WHEN NOT success THEN NULL WHEN n > 0 THEN format('{:,}', n) || ' rows' ELSE '0 rows (symbol absent at venue)' END AS message,
+       CASE WHEN NOT success THEN true END AS cut, CASE WHEN success THEN n ELSE 0 END AS rows, false AS cached, true AS timed
+FROM r""",
+
+    "run_totals": with_bars(*VALIDATION, INGEST_CTES.lstrip(",")) + """,
+chunk_rows AS (
+  SELECT schema, NOT (symbol = 'error' AND venue = 'BATS.PITCH') AS success, cached, rows FROM ledger
+  UNION ALL
+  SELECT 'trades', true, false, 0 FROM (SELECT DISTINCT symbol FROM bars), range(4), range(48)),
+per_schema AS (
+  SELECT coalesce(schema, 'all') AS schema, count(*) AS total, count_if(success AND NOT cached) AS downloaded,
+         count_if(cached) AS cached, count_if(NOT success) AS failed, CAST(sum(rows) AS BIGINT) AS total_rows
+  FROM chunk_rows GROUP BY ROLLUP (schema)),
+report_rows AS (
+  SELECT schema, quarantine, warnings FROM report UNION ALL
+  SELECT 'trades', quarantine, warnings FROM report WHERE quarantine),
+verdicts AS (
+  SELECT coalesce(schema, 'all') AS schema, count(*) AS total, count_if(NOT quarantine AND warnings = '') AS passed,
+         count_if(NOT quarantine AND warnings <> '') AS warned, count_if(quarantine) AS quarantined
+  FROM report_rows GROUP BY ROLLUP (schema))
+SELECT 'download' AS step, schema, total, downloaded, cached, failed, total_rows, NULL::BIGINT AS passed,
+       NULL::BIGINT AS warned, NULL::BIGINT AS quarantined FROM per_schema
+UNION ALL SELECT 'validate', schema, total, NULL, NULL, NULL, NULL, passed, warned, quarantined FROM verdicts""",
+
     "quarantine_split": with_bars(*VALIDATION) + """
 SELECT b.symbol, b.venue,
        CASE WHEN r.quarantine THEN 'quarantine' WHEN r.quarantine IS NULL THEN 'unvalidated' ELSE 'clean' END
