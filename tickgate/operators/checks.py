@@ -12,19 +12,22 @@ large share of all rows never lands whole in one task:
   shuffled on (key, close), then walks cumulative counts of value buckets of
   equal distinct count and, inside the one or two buckets holding the middle, the values.
 * F and I group by (key, date, ts) first (spreads a hot key over its
-  timestamps), then by (key, date) with bounded state: check I only keeps the
-  set of filled grid slots, at most 25 per ET day.
-* C is a lag inside fixed-size row blocks of each file plus one comparison per
-  block boundary, so no window partition exceeds ``c_block_rows`` rows.
+  timestamps); days are sums and extremes of that, and only timestamps on a
+  day's grid go on, into bitmaps of its filled slots.
+* C folds each file's rows to one state per key and split as the scan yields
+  them, and merges the states in file order; no raw row is shuffled or sorted.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StructField, StructType, TimestampNTZType,
+                               TimestampType)
 
 from tickgate.config import ValidationConfig
 from tickgate.functions import timez
 from tickgate.operators.nulls import on_same
+from tickgate.session import ship_package, write_table
 
 
 def _k(cfg: ValidationConfig) -> list[str]:
@@ -183,11 +186,105 @@ def median_close_approx(norm: DataFrame, cfg: ValidationConfig = ValidationConfi
 # C: ordering inside each file, by row index, in blocks.
 # ---------------------------------------------------------------------------
 
+RUNS = 100_000       # run states that a task holds at most
+
+
+def _run_states(part: list[str]):
+    """Folds rows, as the scan yields them, to one state per (key, file) and split."""
+    def fold(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def out(states: dict):
+            cols = list(zip(*((*k, *s) for k, s in states.items())))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+        states, kinds, names = {}, None, [*part, "first_idx", "last_idx", "first_ts", "last_ts", "steps"]
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ts = b.column("_ts")
+            kinds = [b.column(c).type for c in part] + [pa.int64()] * 2 + [ts.type] * 2 + [pa.int64()]
+            code = np.zeros(b.num_rows, np.int64)
+            for c in part:
+                enc = b.column(c).dictionary_encode()
+                place = enc.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+                code = np.unique(code * (len(enc.dictionary) + 1) + place, return_inverse=True)[1]
+            idx = b.column("_idx").to_numpy()
+            order = np.lexsort((idx, code))
+            code, idx = code[order], idx[order]
+            given = ts.is_valid().to_numpy(zero_copy_only=False)[order]
+            number = ts.cast(pa.int32()).cast(pa.int64()) if pa.types.is_date32(ts.type) else (
+                ts if pa.types.is_floating(ts.type) else ts.cast(pa.int64()))
+            t = number.fill_null(0).to_numpy(zero_copy_only=False)[order]
+            same = code[1:] == code[:-1]
+            back = np.concatenate([[0], same & given[1:] & given[:-1] & (t[1:] < t[:-1])])
+            first = np.flatnonzero(np.concatenate([[True], ~same]))
+            last = np.concatenate([first[1:], [len(code)]]) - 1
+            steps = np.add.reduceat(back, first)
+            ends = ts.take(pa.array(order[np.concatenate([first, last])])).to_pylist()
+            for k, (lo, hi, n) in enumerate(zip(first, last, steps)):
+                key = tuple(b.column(c)[int(order[lo])].as_py() for c in part)
+                run = [int(idx[lo]), int(idx[hi]), ends[k], ends[len(first) + k], int(n)]
+                have = states.get(key)
+                if have is None:
+                    states[key] = run
+                elif have[1] < run[0]:          # goes on behind what is held
+                    stepped = have[3] is not None and run[2] is not None and run[2] < have[3]
+                    states[key] = [have[0], run[1], have[2], run[3], have[4] + run[4] + stepped]
+                else:
+                    yield out({key: have})
+                    states[key] = run
+            if len(states) > RUNS:
+                yield out(states)
+                states = {}
+        if states:
+            yield out(states)
+    return fold
+
+
+def order_runs(df: DataFrame, keys: list[str], ts: str = "ts_event", file_col: str = "file_path",
+               idx_col: str = "row_index") -> DataFrame:
+    """The order of each (key, file) as mergeable states: first and last row and time, and steps back in between.
+
+    A scan yields a file's rows in order, so each task folds its splits as it reads them: no row is shuffled or
+    sorted beyond its batch, and a task's result is one row per key and file. Files are told apart by two hashes of the path.
+    """
+    ship_package(df.sparkSession)
+    src = df.select(*keys, F.xxhash64(file_col).alias("_fa"), F.hash(file_col).alias("_fb"),
+                    F.col(idx_col).cast("bigint").alias("_idx"), F.col(ts).alias("_ts"))
+    part = [*keys, "_fa", "_fb"]
+    kind = src.schema["_ts"].dataType
+    shape = StructType([src.schema[c] for c in part] + [StructField(n, t) for n, t in (
+        ("first_idx", LongType()), ("last_idx", LongType()), ("first_ts", kind), ("last_ts", kind), ("steps", LongType()))])
+    return src.where("_idx IS NOT NULL").mapInArrow(_run_states(part), shape)
+
+
 def order_violations(df: DataFrame, keys: list[str], ts: str = "ts_event",
                      file_col: str = "file_path", idx_col: str = "row_index",
                      block_rows: int = 1 << 20) -> DataFrame:
     """Count steps back in time between consecutive rows of a key inside a file.
 
+    The states of ``order_runs`` are merged in the order of their rows; a step between two states counts like one
+    inside. A NULL on either side of a step is not a violation (same as a difference with a missing value). Rows that
+    do not arrive in file order (states that overlap), or times that are no numbers, are compared by ``order_violations_blocked``.
+    """
+    numeric = (DateType, TimestampType, TimestampNTZType, LongType, IntegerType, DoubleType)
+    if not isinstance(df.schema[ts].dataType, numeric):
+        return order_violations_blocked(df, keys, ts, file_col, idx_col, block_rows)
+    runs = write_table(order_runs(df, keys, ts, file_col, idx_col))
+    w = Window.partitionBy(*keys, "_fa", "_fb").orderBy("first_idx", "last_idx")
+    merged = runs.withColumns({"_before": F.lag("last_idx").over(w), "_prev": F.lag("last_ts").over(w)})
+    if not merged.where("_before >= first_idx").isEmpty():
+        return order_violations_blocked(df, keys, ts, file_col, idx_col, block_rows)
+    return merged.groupBy(*keys).agg(
+        (F.sum("steps") + F.count_if(F.col("first_ts") < F.col("_prev"))).cast("bigint").alias("n_violations"))
+
+
+def order_violations_blocked(df: DataFrame, keys: list[str], ts: str = "ts_event",
+                     file_col: str = "file_path", idx_col: str = "row_index",
+                     block_rows: int = 1 << 20) -> DataFrame:
+    """The same count for rows in any physical order, by sorting them.
+
     Rows of one (key, file) are cut into blocks of ``block_rows`` row indexes;
     a lag runs inside each block, and the first row of each block is compared
     with the last row of the previous non-empty block. A NULL on either side of
@@ -213,40 +310,54 @@ def order_violations(df: DataFrame, keys: list[str], ts: str = "ts_event",
 # F + I: duplicates and hourly gaps on the session-filtered rows.
 # ---------------------------------------------------------------------------
 
+SLOTS = 32768       # slots of one bitmap
+
+
 def gaps_and_duplicates(norm: DataFrame | None, daily: DataFrame,
                         cfg: ValidationConfig = ValidationConfig(), per_ts: DataFrame | None = None) -> DataFrame:
     """Per (key, ET date): extra copies of a timestamp (F) and missing grid slots (I).
 
     The grid of a day starts at its first in-session bar and steps by
     ``grid_seconds`` up to the last one; a slot is filled only by a bar stamped
-    exactly on it. ``per_ts`` (in-session rows counted per timestamp) is joined
-    with the day's anchors (one row per key and day: AQE broadcasts it when the
-    measured table is small and splits skewed partitions otherwise); the day's
-    filled slots are a set of at most 25 numbers.
+    exactly on it. Copies and the day's ends are sums and extremes of ``per_ts`` (in-session rows counted per
+    timestamp), aggregated before any (key, day) meets. Timestamps off the grid differ from the day's first one in their
+    remainder by the grid step, so ``per_ts`` meets the days on (key, day, remainder): the ticks of a busy day spread
+    over their remainders, and one remainder has no more timestamps than the day has slots. The slots that are left
+    fill bitmaps, which tasks build and merge; they hold a day's slots for any ``grid_seconds``.
     """
     keys = _k(cfg)
     if per_ts is None:
         per_ts = (norm.where(F.col("in_session"))
                   .groupBy(*keys, "et_date", "ts_event").agg(F.count(F.lit(1)).alias("cnt")))
     k = ", ".join(f"`{c}`" for c in keys)
-    k_of = ", ".join(f"p.`{c}`" for c in keys)
+    k_of = lambda t: ", ".join(f"{t}.`{c}`" for c in keys)
     grid_us = int(cfg.grid_seconds) * 1_000_000
-    off = "timestampdiff(MICROSECOND, t_first, ts_event)"
+    micros = lambda c: f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST({c} AS TIMESTAMP_NTZ))"
+    slots = f"CAST(timestampdiff(MICROSECOND, t_first, t_last) DIV {grid_us} AS INT) + 1"
+    byte = f"CAST(conv(hex(substring(filled[CAST(s DIV {SLOTS} AS INT)], CAST(s % {SLOTS} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
     sql = f"""
-    WITH a AS (SELECT {k}, et_date, t_first, t_last FROM {{daily}} WHERE n_kept > 0),
+    WITH p AS (SELECT {k}, et_date, ts_event, cnt, {micros('ts_event')} AS us FROM {{per_ts}}),
     d AS (
-      SELECT {k_of}, p.et_date,
-             CAST(sum(cnt - 1) AS BIGINT) AS n_dups,
-             collect_set(CASE WHEN {off} % {grid_us} = 0 THEN CAST({off} DIV {grid_us} AS INT) END) AS filled,
-             first(t_first) AS t_first, first(t_last) AS t_last
-      FROM {{per_ts}} p JOIN a ON {on_same('p', 'a', [*keys, 'et_date'])}
-      GROUP BY {k_of}, p.et_date)
+      SELECT {k}, et_date, CAST(sum(cnt - 1) AS BIGINT) AS n_dups, min(ts_event) AS t_first, max(ts_event) AS t_last,
+             min(us) AS us_first, pmod(min(us), {grid_us}) AS phase
+      FROM p GROUP BY {k}, et_date),
+    q AS (SELECT *, pmod(us, {grid_us}) AS phase FROM p),
+    b AS (
+      SELECT {k_of('q')}, q.et_date, CAST((us - us_first) DIV {grid_us * SLOTS} AS INT) AS piece,
+             bitmap_construct_agg((us - us_first) DIV {grid_us} % {SLOTS}) AS bits
+      FROM q JOIN d ON {on_same('q', 'd', [*keys, 'et_date'])} AND q.phase = d.phase
+      GROUP BY {k_of('q')}, q.et_date, CAST((us - us_first) DIV {grid_us * SLOTS} AS INT)),
+    f AS (SELECT {k}, et_date, sum(bitmap_count(bits)) AS n_filled,
+                 map_from_entries(collect_list(named_struct('piece', piece, 'bits', bits))) AS filled
+          FROM b GROUP BY {k}, et_date),
+    m AS (SELECT {k_of('d')}, d.et_date, n_dups, t_first, t_last, filled, {slots} AS n_slots,
+                 CAST({slots} - n_filled AS BIGINT) AS n_missing
+          FROM d JOIN f ON {on_same('d', 'f', [*keys, 'et_date'])})
     SELECT {k}, et_date, n_dups, t_first, t_last,
-           array_sort(array_except(sequence(0, CAST(timestampdiff(MICROSECOND, t_first, t_last) DIV {grid_us} AS INT)),
-                                   filled)) AS missing_slots,
-           CAST(size(array_except(sequence(0, CAST(timestampdiff(MICROSECOND, t_first, t_last) DIV {grid_us} AS INT)),
-                                  filled)) AS BIGINT) AS n_missing
-    FROM d"""
+           CASE WHEN n_missing = 0 THEN CAST(array() AS ARRAY<INT>)
+                ELSE filter(sequence(0, n_slots - 1), s -> coalesce({byte} & shiftleft(1, CAST(s % 8 AS INT)), 0) = 0) END AS missing_slots,
+           n_missing
+    FROM m"""
     return daily.sparkSession.sql(sql, daily=daily, per_ts=per_ts)
 
 

@@ -182,9 +182,9 @@ def q_order_violations(spark, sf_dir):
 
 
 def q_order_violations_blocked(spark, sf_dir):
-    """Same count with tiny blocks: exercises the block-boundary step."""
+    """Same count by sorting tiny blocks: exercises the block-boundary step."""
     o = B.with_file_order(_t(spark, sf_dir, "orders"))
-    return C.order_violations(o, ["o_orderpriority"], ts="o_orderdate", block_rows=97)
+    return C.order_violations_blocked(o, ["o_orderpriority"], ts="o_orderdate", block_rows=97)
 
 
 def _gaps(spark, sf_dir, wide=False) -> DataFrame:
