@@ -20,6 +20,7 @@ from tickgate.operators import planning as P
 from tickgate.operators import publishing as PB
 from tickgate.operators import verdict as V
 from tickgate.operators.normalize import normalize_bars
+from tickgate.plans.incremental import validate_incremental
 from tickgate.plans.ingest import ingest
 from tickgate.plans.publish import existing_objects, load_chunks, publish, warehouse_table
 from tickgate.plans.validate import validate
@@ -576,6 +577,20 @@ def q_validate_landed(spark, sf_dir):
                            "n_rows_in", "n_rows_out")
 
 
+def q_validate_incremental(spark, sf_dir):
+    """V over stored partial aggregates: a first venue, then the others, then a run that finds nothing new."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    bars = _bars_table(spark, sf_dir).withColumn("schema", F.lit(OHLCV_SCHEMA))
+    first = F.col("venue") == B.ADAPTER_VENUES[0]
+    for part in (bars.where(first), bars.where(~first)):
+        W.write_chunk_files(part, root).count()
+        validate_incremental(spark, root, f"{root}_state", CFG)
+    last = validate_incremental(spark, root, f"{root}_state", CFG)
+    return last.validation.report.select(
+        "symbol", "schema", "quarantine", F.array_join("warnings", ",").alias("warnings"), "n_rows_in", "n_rows_out",
+        F.lit(last.scanned).alias("scanned"), F.lit(last.reused).alias("reused"))
+
+
 def q_check_results_by_venue(spark, sf_dir):
     """All nine checks at the (symbol, venue) grain: no cross-venue duplicates, per-venue VWAP and gaps."""
     v = validate(_bars(spark, sf_dir), ValidationConfig(keys=("symbol", "venue")))
@@ -645,6 +660,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_paths": q_chunk_paths,
     "month_bounds": q_month_bounds,
     "validate_landed": q_validate_landed,
+    "validate_incremental": q_validate_incremental,
     "check_results_by_venue": q_check_results_by_venue,
     "quarantine_preview": q_quarantine_preview,
     "stream_row_checks": q_stream_row_checks,

@@ -479,6 +479,9 @@ FROM landed""",
 SELECT DISTINCT year_month, start, "end" FROM plan""",
 
     "validate_landed": ORACLE["validation_report"],
+
+    "validate_incremental": with_bars(*VALIDATION, LANDED_CTE) + """
+SELECT r.*, 0 AS scanned, (SELECT count(*) FROM landed) AS reused FROM report r""",
 })
 
 

@@ -27,7 +27,7 @@ from tickgate.session import write_table
 @dataclass
 class Validation:
     cfg: ValidationConfig
-    norm: Normalized
+    norm: Normalized | None      # None when only partial aggregates were read
     daily: DataFrame
     per_day: DataFrame
     vwap_days: DataFrame
@@ -44,6 +44,8 @@ class Validation:
 
     @cached_property
     def clean(self) -> DataFrame:
+        if self.norm is None:
+            raise ValueError("verdicts from stored aggregates come without rows; read the layout for clean rows")
         keys = list(self.cfg.keys)
         ok_keys = self.report.where(~F.col("quarantine")).select(*keys)
         return join_same(self.norm.df.where(F.col("in_session")), ok_keys, keys, "left_semi")
@@ -70,14 +72,24 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     """
     norm = normalize_bars(df, cfg)
     keys = list(cfg.keys)
-    present = set(norm.present_columns)
-    has_axis = norm.time_axis is not None
-
     # one scan + one shuffle for the daily table, the per-timestamp counts and
     # the price histogram; written once to the shared checkpoint folder
     base = C.base_aggregates(norm.df, cfg)
     if materialize:
         base = write_table(base, ("level",))
+    viol = None
+    if cfg.c_order == "file" and norm.has_file_order:
+        viol = C.order_violations(norm.df, keys, block_rows=cfg.c_block_rows)
+    return judge(base, viol, cfg, norm.present_columns, norm.time_axis is not None, norm=norm,
+                 missing_by_key=missing_by_key, unreadable=unreadable, expected_keys=expected_keys)
+
+
+def judge(base: DataFrame, viol: DataFrame | None, cfg: ValidationConfig, present_columns, has_axis: bool, *,
+          norm: Normalized | None = None, missing_by_key: DataFrame | None = None, unreadable: DataFrame | None = None,
+          expected_keys: DataFrame | None = None) -> Validation:
+    """The verdicts that follow from the base aggregates and, per key, ``n_violations`` of the file order."""
+    keys = list(cfg.keys)
+    present = set(present_columns)
     daily, per_ts, hist = C.split_base(base, cfg)
     per_day = C.gaps_and_duplicates(None, daily, cfg, per_ts=per_ts)
     day = C.day_table(daily, per_day, cfg)
@@ -88,13 +100,12 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     wide = join_same(wide, med, keys, "left")
     vwap_days = day.where(F.col("vwap").isNotNull()).select(
         *keys, "et_date", F.coalesce("dv", F.lit(0.0)).alias("dv"), F.coalesce("v", F.lit(0.0)).alias("v"), "vwap")
-    if cfg.c_order == "file" and norm.has_file_order:
-        viol = C.order_violations(norm.df, keys, block_rows=cfg.c_block_rows)
+    if viol is not None:
         wide = join_same(wide, viol, keys, "left")
     else:
         wide = wide.withColumn("n_violations", F.lit(0).cast("bigint"))
 
-    missing_static = C.missing_columns(norm.present_columns, cfg.required())
+    missing_static = C.missing_columns(tuple(present_columns), cfg.required())
     if not has_axis:
         missing_static = missing_static + ["ts_event"]
     if missing_by_key is not None:

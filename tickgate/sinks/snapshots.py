@@ -69,13 +69,14 @@ class SnapshotTable:
 
     # ---- writing
 
-    def stage(self, rows: DataFrame, loads: DataFrame, run: str) -> int:
-        """Writes the run's rows, partitioned by ``dt``, and its list of chunks; returns the rows written."""
+    def stage(self, rows: DataFrame, loads: DataFrame, run: str, partition: str = "dt",
+              cluster: tuple[str, ...] = ("symbol", "venue")) -> int:
+        """Writes the run's rows, partitioned by ``partition``, and its list of chunks; returns the rows written."""
         counted = Observation()
         loads.select("blob_name", "md5", F.col("rows").cast("bigint")).write.parquet(f"{self.log}/loads/load_run={run}")
         # rebalance: clustered by day, but a heavy day is split over several tasks
-        out = rows.hint("rebalance", "dt").sortWithinPartitions("dt", "symbol", "venue")
-        (out.observe(counted, F.count(F.lit(1)).alias("n")).write.partitionBy("dt")
+        out = rows.hint("rebalance", partition).sortWithinPartitions(partition, *cluster)
+        (out.observe(counted, F.count(F.lit(1)).alias("n")).write.partitionBy(partition)
          .option("compression", PARQUET_COMPRESSION).option("parquet.block.row.count.limit", str(PARQUET_ROW_GROUP))
          .parquet(f"{self.path}/load_run={run}"))
         return counted.get["n"]
@@ -103,16 +104,18 @@ class SnapshotTable:
                 if "FileAlreadyExistsException" not in str(e):
                     raise
 
-    def append(self, rows: DataFrame, loads: DataFrame) -> int:
+    def append(self, rows: DataFrame, loads: DataFrame, partition: str = "dt",
+               cluster: tuple[str, ...] = ("symbol", "venue")) -> int:
         """Loads ``rows``, which are the chunks ``loads`` (blob_name, md5, rows), as one commit.
 
-        A load whose written rows differ from what its chunks hold is not committed.
+        A load whose written rows differ from what its chunks hold is not committed; chunks whose ``rows`` are all
+        NULL are not counted.
         """
         done = self.committed()
         seen = done[-1]["version"] if done else 0
         run = uuid.uuid4().hex
-        n = self.stage(rows, loads, run)
-        want = loads.agg(F.sum("rows")).first()[0] or 0
-        if n != want:
+        n = self.stage(rows, loads, run, partition, cluster)
+        want = loads.agg(F.sum("rows")).first()[0]
+        if want is not None and n != want:
             raise RuntimeError(f"wrote {n} rows of {want}; run {run} is not committed")
         return self.commit(run, n, seen)
