@@ -99,3 +99,29 @@ def test_gaps_and_duplicates_on_any_grid(spark, grid):
     got = {(r.symbol, r.et_date): (r.n_dups, r.n_missing, r.missing_slots)
            for r in C.gaps_and_duplicates(norm, C.daily_table(norm, cfg), cfg).collect()}
     assert got == _brute_gaps(rows, grid)
+
+
+def test_bracketed_median_is_exact(spark):
+    """A hot key of distinct prices, ties, two rows, infinities and a bracket that misses the middle."""
+    import statistics
+    rng = random.Random(4)
+    vals = {"HOT": [rng.lognormvariate(3, 2) for _ in range(20_000)], "TIES": [1.0] * 500 + [2.0] * 501, "TWO": [1.0, 4.0],
+            "INF": [float("inf")] * 3 + [1.0] * 3, None: [5.0, -1.0, 7.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in vals.items() for v in vs] + [("NONE", None)], "symbol string, close double")
+    want = {k: statistics.median(v) for k, v in vals.items()}
+    for how in ({}, {"sketch": 8, "margin": 0.0001}):
+        assert {r.symbol: r.median_close for r in C.median_close_bracketed(df, **how).collect()} == want
+
+
+def test_validation_with_a_bracketed_median(spark):
+    from tickgate.plans.validate import validate
+    df = B.bars_from_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    key = lambda v: sorted((r["symbol"], r["check"], r["status"], r["detail"]) for r in v.check_results.collect())
+    assert key(validate(df, ValidationConfig(a_method="bracket"))) == key(validate(df))
+
+
+def test_universe_of_an_absent_file_is_empty(spark, tmp_path):
+    from tickgate.sources import dims
+    assert dims.read_universe(spark, str(tmp_path / "none.txt")).count() == 0
+    with pytest.raises(Exception):
+        dims.read_universe(spark, "nosuchscheme://x/y")

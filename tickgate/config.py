@@ -142,6 +142,9 @@ class ValidationConfig:
     c_order: str = "file"
     # rows per block of the blocked order check; bounds per-task window state
     c_block_rows: int = 1 << 20
+    # check A: "histogram" counts every price in the base aggregate; "bracket" only prices near the
+    # middle, with a second pass (for ticks, whose prices hardly repeat)
+    a_method: str = "histogram"
     # how many gappy days / missing hours check I lists
     i_sample_days: int = 5
     i_sample_hours: int = 3

@@ -26,7 +26,7 @@ from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, Stru
 
 from tickgate.config import ValidationConfig
 from tickgate.functions import timez
-from tickgate.operators.nulls import on_same
+from tickgate.operators.nulls import join_same, on_same
 from tickgate.session import ship_package, write_table
 
 
@@ -60,7 +60,7 @@ def daily_table(norm: DataFrame, cfg: ValidationConfig = ValidationConfig()) ->
     )
 
 
-def base_aggregates(norm: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
+def base_aggregates(norm: DataFrame, cfg: ValidationConfig = ValidationConfig(), histogram: bool = True) -> DataFrame:
     """One scan, one shuffle: the three row-level aggregates every check starts from.
 
     ``GROUPING SETS ((key, day), (key, day, ts), (key, close))`` computes, in a
@@ -71,13 +71,14 @@ def base_aggregates(norm: DataFrame, cfg: ValidationConfig = ValidationConfig())
     * ``level = 'px'``:  rows per close value (A's histogram).
 
     Each row is expanded three times before the map-side partial aggregation,
-    which trades cheap in-memory work for two fewer scans of the input.
+    which trades cheap in-memory work for two fewer scans of the input. Without ``histogram`` there is no
+    ``px`` level, for prices that hardly repeat (``median_close_bracketed``).
     """
     keys = _k(cfg)
     o, h, lo, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
     s = F.col("in_session")
-    g = norm.groupingSets([[*keys, "et_date"], [*keys, "et_date", "ts_event"], [*keys, "close"]],
-                          *keys, "et_date", "ts_event", "close")
+    sets = [[*keys, "et_date"], [*keys, "et_date", "ts_event"]] + ([[*keys, "close"]] if histogram else [])
+    g = norm.groupingSets(sets, *keys, "et_date", "ts_event", *(["close"] if histogram else []))
     agg = g.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("ts_event").isNull()).alias("n_null_ts"),
@@ -95,8 +96,10 @@ def base_aggregates(norm: DataFrame, cfg: ValidationConfig = ValidationConfig())
         F.min(F.when(s, F.col("ts_event"))).alias("t_first"),
         F.max(F.when(s, F.col("ts_event"))).alias("t_last"),
         F.grouping("ts_event").alias("_g_ts"),
-        F.grouping("close").alias("_g_px"),
+        (F.grouping("close") if histogram else F.lit(1)).alias("_g_px"),
     )
+    if not histogram:
+        agg = agg.withColumn("close", F.lit(None).cast("double"))
     level = (F.when(F.col("_g_ts") == 0, F.lit("ts")).when(F.col("_g_px") == 0, F.lit("px"))
              .otherwise(F.lit("day")))
     return agg.withColumn("level", level).drop("_g_ts", "_g_px")
@@ -175,6 +178,38 @@ def median_close(norm: DataFrame | None, cfg: ValidationConfig = ValidationConfi
     return hist.sparkSession.sql(sql, hist=hist)
 
 
+SKETCH = 1024        # size of a quantile sketch; its rank error is well below MARGIN
+MARGIN = 0.02        # share of a key's rows on either side of the middle that the bracket holds
+BRACKETS = 1 << 20   # keys whose brackets are broadcast
+
+
+def median_close_bracketed(norm: DataFrame, cfg: ValidationConfig = ValidationConfig(), value: str = "close",
+                           sketch: int = SKETCH, margin: float = MARGIN) -> DataFrame:
+    """``median_close`` for values that hardly repeat (ticks): exact, with a shuffle bounded by a bracket.
+
+    1. One mergeable quantile sketch per key, partially aggregated, brackets the middle ranks.
+    2. Rows below and above the bracket collapse to one count each, before any shuffle; only values
+       inside it keep an entry, and ``median_close`` walks that histogram.
+    3. A key whose middle is outside its bracket (the sketch erred, or values are infinite) is done over all its values.
+    """
+    keys = _k(cfg)
+    rows = norm.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias(value))
+    sk = rows.groupBy(*keys).agg(F.kll_sketch_agg_double(value, F.lit(sketch)).alias("_sk"))
+    at = lambda q: F.kll_sketch_get_quantile_double("_sk", F.lit(q))
+    bracket = write_table(sk.select(*keys, at(0.5 - margin).alias("_lo"), at(0.5 + margin).alias("_hi")))
+    small = bracket.count() <= BRACKETS
+    met = join_same(rows, F.broadcast(bracket) if small else bracket, keys, "left")
+    inf = float("inf")
+    clipped = F.when(F.col(value) < F.col("_lo"), -inf).when(F.col(value) > F.col("_hi"), inf).otherwise(F.col(value))
+    hist = write_table(met.groupBy(*keys, clipped.alias(value)).agg(F.count(F.lit(1)).alias("cnt")))
+    med = write_table(median_close(None, cfg, value, hist=hist))
+    outside = med.where(F.col("median_close").isNull() | F.isnan("median_close") | (F.abs("median_close") == inf)).select(*keys)
+    if outside.isEmpty():
+        return med
+    again = median_close(join_same(rows, outside, keys, "left_semi"), cfg, value)
+    return join_same(med, outside, keys, "left_anti").unionByName(again)
+
+
 def median_close_approx(norm: DataFrame, cfg: ValidationConfig = ValidationConfig(),
                         accuracy: int = 100_000) -> DataFrame:
     """Opt-in sketch for tick-scale data (bounded memory, rank error n/accuracy)."""

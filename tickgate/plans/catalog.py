@@ -140,6 +140,15 @@ def q_price_scale_guard_orders(spark, sf_dir):
                       _grade(F.col("median_close") > cfg.price_median_max).alias("status"))
 
 
+def q_price_scale_guard_bracket(spark, sf_dir):
+    """A on prices that hardly repeat, a third of them under one key: sketch, bracket, exact count inside it."""
+    li = _t(spark, sf_dir, "lineitem")
+    cfg = ValidationConfig(keys=("l_returnflag", "l_linenumber"))
+    med = C.median_close_bracketed(li.withColumnRenamed("l_extendedprice", "close"), cfg)
+    return med.select("l_returnflag", "l_linenumber", F.round("median_close", 4).alias("median_price"),
+                      _grade(F.col("median_close") > cfg.price_median_max).alias("status"))
+
+
 def _counts(spark, sf_dir) -> DataFrame:
     return C.key_counts(C.daily_table(_norm(spark, sf_dir), CFG), CFG)
 
@@ -591,6 +600,22 @@ def q_validate_incremental(spark, sf_dir):
         F.lit(last.scanned).alias("scanned"), F.lit(last.reused).alias("reused"))
 
 
+def q_range_read(spark, sf_dir):
+    """One chunk's rows from the landing frame, start inclusive, end exclusive, for each chunk of one symbol."""
+    bars = _bars(spark, sf_dir)
+    parts = [B.read_range(bars, "click", v, "2024-01-10", "2024-01-20") for v in B.ADAPTER_VENUES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("symbol", "venue", "ts_event", "close")
+
+
+def q_consumer_read(spark, sf_dir):
+    """A published symbol as a consumer reads it, in time order, all venues and months."""
+    _, root, chunks = _written_chunks(spark, sf_dir)
+    none = spark.createDataFrame([], reports.REPORT_SCHEMA)
+    publish(spark, root, OHLCV_SCHEMA, chunks, none, f"{root}_target", prefix="raw")
+    got = B.read_published(spark, f"{root}_target/raw", "click")
+    return got.select("symbol", "venue", "year_month", "ts_event", "close", "volume")
+
+
 def q_check_results_by_venue(spark, sf_dir):
     """All nine checks at the (symbol, venue) grain: no cross-venue duplicates, per-venue VWAP and gaps."""
     v = validate(_bars(spark, sf_dir), ValidationConfig(keys=("symbol", "venue")))
@@ -621,6 +646,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vwap_shift_lineitem": q_vwap_shift_lineitem,
     "price_scale_guard": q_price_scale_guard,
     "price_scale_guard_orders": q_price_scale_guard_orders,
+    "price_scale_guard_bracket": q_price_scale_guard_bracket,
     "nonpositive_prices": q_nonpositive_prices,
     "ohlc_sanity": q_ohlc_sanity,
     "duplicate_bars": q_duplicate_bars,
@@ -661,6 +687,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_bounds": q_month_bounds,
     "validate_landed": q_validate_landed,
     "validate_incremental": q_validate_incremental,
+    "range_read": q_range_read,
+    "consumer_read": q_consumer_read,
     "check_results_by_venue": q_check_results_by_venue,
     "quarantine_preview": q_quarantine_preview,
     "stream_row_checks": q_stream_row_checks,

@@ -195,6 +195,11 @@ SELECT o_orderpriority, round(median(o_totalprice), 4) AS median_price,
        CASE WHEN median(o_totalprice) > 10000 THEN 'ABORT' ELSE 'PASS' END AS status
 FROM orders GROUP BY o_orderpriority""",
 
+    "price_scale_guard_bracket": """
+SELECT l_returnflag, l_linenumber, round(median(l_extendedprice), 4) AS median_price,
+       CASE WHEN median(l_extendedprice) > 10000 THEN 'ABORT' ELSE 'PASS' END AS status
+FROM lineitem GROUP BY ALL""",
+
     "nonpositive_prices": with_bars() + """
 SELECT symbol,
        count_if(open <= 0) + count_if(high <= 0) + count_if(low <= 0) + count_if(close <= 0) AS n_bad_ohlc,
@@ -480,6 +485,14 @@ SELECT DISTINCT year_month, start, "end" FROM plan""",
 
     "validate_landed": ORACLE["validation_report"],
 
+    "range_read": with_bars() + """
+SELECT symbol, venue, ts_event, close FROM bars
+WHERE symbol = 'click' AND ts_event >= TIMESTAMP '2024-01-10' AND ts_event < TIMESTAMP '2024-01-20'""",
+
+    "consumer_read": with_bars() + """
+SELECT symbol, venue, strftime(ts_event, '%Y-%m') AS year_month, ts_event, close, CAST(volume AS DOUBLE) AS volume
+FROM bars WHERE symbol = 'click'""",
+
     "validate_incremental": with_bars(*VALIDATION, LANDED_CTE) + """
 SELECT r.*, 0 AS scanned, (SELECT count(*) FROM landed) AS reused FROM report r""",
 })

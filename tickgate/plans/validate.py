@@ -74,18 +74,19 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     keys = list(cfg.keys)
     # one scan + one shuffle for the daily table, the per-timestamp counts and
     # the price histogram; written once to the shared checkpoint folder
-    base = C.base_aggregates(norm.df, cfg)
+    base = C.base_aggregates(norm.df, cfg, histogram=cfg.a_method == "histogram")
     if materialize:
         base = write_table(base, ("level",))
     viol = None
     if cfg.c_order == "file" and norm.has_file_order:
         viol = C.order_violations(norm.df, keys, block_rows=cfg.c_block_rows)
-    return judge(base, viol, cfg, norm.present_columns, norm.time_axis is not None, norm=norm,
+    med = C.median_close_bracketed(norm.df, cfg) if cfg.a_method == "bracket" else None
+    return judge(base, viol, cfg, norm.present_columns, norm.time_axis is not None, norm=norm, med=med,
                  missing_by_key=missing_by_key, unreadable=unreadable, expected_keys=expected_keys)
 
 
 def judge(base: DataFrame, viol: DataFrame | None, cfg: ValidationConfig, present_columns, has_axis: bool, *,
-          norm: Normalized | None = None, missing_by_key: DataFrame | None = None, unreadable: DataFrame | None = None,
+          norm: Normalized | None = None, med: DataFrame | None = None, missing_by_key: DataFrame | None = None, unreadable: DataFrame | None = None,
           expected_keys: DataFrame | None = None) -> Validation:
     """The verdicts that follow from the base aggregates and, per key, ``n_violations`` of the file order."""
     keys = list(cfg.keys)
@@ -96,7 +97,7 @@ def judge(base: DataFrame, viol: DataFrame | None, cfg: ValidationConfig, presen
     wide = C.key_table(day, cfg)
     if expected_keys is not None:
         wide = join_same(expected_keys.select(*keys).distinct(), wide, keys, "left").na.fill(0)
-    med = C.median_close(None, cfg, hist=hist)
+    med = C.median_close(None, cfg, hist=hist) if med is None else med
     wide = join_same(wide, med, keys, "left")
     vwap_days = day.where(F.col("vwap").isNotNull()).select(
         *keys, "et_date", F.coalesce("dv", F.lit(0.0)).alias("dv"), F.coalesce("v", F.lit(0.0)).alias("v"), "vwap")

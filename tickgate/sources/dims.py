@@ -6,6 +6,7 @@ inlined as literal arrays.
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +14,12 @@ from tickgate import config as cfg
 
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
-    """One symbol per non-blank trimmed line; an absent file gives an empty universe."""
+    """One symbol per non-blank trimmed line; an absent file gives an empty universe, any other error is raised."""
     try:
         lines = spark.read.text(path)
-    except Exception:  # noqa: BLE001 - a missing file is an empty universe
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "symbol string")
     return lines.select(F.trim("value").alias("symbol")).where(F.col("symbol") != "")
 
