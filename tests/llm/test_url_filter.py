@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 import pytest
 
@@ -46,19 +47,36 @@ def test_unseen_hosts(spark):
     assert [r.verdict for r in got] == ["block"] * len(bad) + ["allow"] * len(good)
 
 
-def test_held_out_names(spark):
-    """Names left out of the fit are told apart."""
-    table = U.labelled_urls()
-    name = lambda u: u.split("://")[1].split(".example")[0].split(".")[-1]
-    names = sorted({name(u) for u, _ in table})
-    out = set(names[::5])
-    model = U.fit(spark, [r for r in table if name(r[0]) not in out])
-    df = spark.createDataFrame([r for r in table if name(r[0]) in out], "url string, label int")
+def _errors(spark, out):
+    """(share of held-out unwanted names blocked, of ordinary ones blocked); ``out`` says which names the fit does not see."""
     from pyspark.sql import functions as F
-    s = df.select("label", U.score(U.host_of(F.col("url")), U.path_of(F.col("url")), model).alias("s")).collect()
-    pos, neg = [r.s for r in s if r.label], [r.s for r in s if not r.label]
-    auc = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
-    assert auc > 0.85
+    names = U.labelled_names()
+    held = {n for n, _ in names if out(n)}
+    model = U.fit(spark, U.labelled_urls([x for x in names if x[0] not in held]))
+    df = spark.createDataFrame(U.labelled_urls([x for x in names if x[0] in held]), "url string, label int")
+    s = df.select("label", (U.score(U.host_of(F.col("url")), U.path_of(F.col("url")), model) > U.LIMIT).alias("b"))
+    got = {r.label: r.share for r in s.groupBy("label").agg(F.avg(F.col("b").cast("int")).alias("share")).collect()}
+    return got[1], got[0]
+
+
+def test_held_out_names(spark):
+    """Whole names that the fit has not seen; their words may stand in other names."""
+    blocked, wrongly = _errors(spark, lambda n: zlib.crc32(n.encode()) % 5 == 0)
+    assert blocked >= 0.7 and wrongly <= 0.05, (blocked, wrongly)
+
+
+def test_names_outside_the_table(spark):
+    """Hosts written down without looking at the word lists' compounds."""
+    bad = ("bestcasinobonus luckypokerroom megaslotswin pornhubble sexcamlive nakedescorts buyviagracheap pillsdirect24 "
+           "freebitcoinmoney quickpaydayloans torrentcracks warezkeygens phishingkit adtrackerpro popupbanners fakewatchreplica "
+           "lotterywinner spamlinkfarm hotxxxvideos clickfraudtraffic").split()
+    good = ("cityofbergen oxfordpress riversidebakery schoolofmusic mountainhikers gardenersworld stadtbibliothek lemonde "
+            "physicsforum nationalmuseum harborview chesscomposer trainspotting weatherstation poetryjournal villagepharmacist "
+            "stjohnschurch openstreetatlas woodworkers kinderhaus").split()
+    rows = [(i, f"https://www.{h}.net/a/{i}") for i, h in enumerate(bad + good)]
+    got = [r.verdict for r in U.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=()).orderBy("page_id").collect()]
+    assert got[:len(bad)].count("block") >= 0.7 * len(bad), [h for h, v in zip(bad, got) if v != "block"]
+    assert got[len(bad):].count("block") <= 2, [h for h, v in zip(good, got[len(bad):]) if v == "block"]
 
 
 def test_bounds_and_empty(spark):

@@ -23,37 +23,58 @@ LIMIT = 0.6          # scores above block: a page is kept unless it is clearly u
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
-# Words of unwanted and of ordinary host names for the labelled table.
-UNWANTED = ("casino poker slots jackpot bets betting gamble lottery roulette win-big prize-win cheap-pills pharma viagra pills "
-            "diet-pills adult adult-x porn xxx sex escort cams spam spam-farm link-farm ads adserver ads-track tracker "
-            "click-track popup banner free-bets free-prize free-money payday-loan quick-loan malware phish warez crack "
-            "torrent keygen casino-win cheap-meds cheap-watches replica xxx-tube hot-xxx xxx-cams").split()
-ORDINARY = ("news times herald library museum garden weather science physics history school college university campus "
-            "kitchen recipes travel hotel trains music concert orchestra theatre cinema books reader journal letters "
-            "council city village river mountain forest ocean harbor bridge market baker farmer doctor clinic health "
-            "sport football tennis running bicycle wiki docs manual python linux forum notes photo gallery art studio "
-            "design paper press radio family thering tionand heredon outher stander erthon verein schule haus garten "
-            "maison ecole lettres jardin casa escuela libro ciudad").split()
-
-
-SYLLABLES = "th er on an re tion ing ed es ha in or ou st".split()
-
-
-def labelled_urls() -> list[tuple[str, int]]:
-    """(url, label): 1 is unwanted. Ordinary names also come as pairs of common syllables, since most hosts are no
-    words. Every name is set in the same frames, so frames carry no signal."""
+# Fixed word lists for the labelled table: words of unwanted host names, of ordinary ones, and words that go with either.
+UNWANTED = ("casino poker slots jackpot roulette blackjack baccarat betting bets bookie wager gamble gambling lottery lotto bingo "
+            "viagra cialis pharma pills pill meds steroid tramadol xanax slimming weightloss botox "
+            "porn porno xxx xxxtube xxxcams xxxmovies xxxpics sex sexy nude nudes escort escorts erotic milf camgirl "
+            "camgirls hookup adult fetish hentai "
+            "spam spammer phish phishing malware virus trojan warez crack cracks keygen serials torrent pirated hack hacks "
+            "cheat cheats scam fake counterfeit replica knockoff "
+            "payday loan loans credit forex crypto bitcoin doubler ponzi millionaire getrich cashback prize prizes winner win "
+            "giveaway freebie coupon clickbait adserver adserv ads adtrack tracker tracking popup popunder banner banners "
+            "redirect doorway linkfarm backlinks seo traffic clicks botnet proxy cheap discount free bonus cash money").split()
+ORDINARY = ("news times herald tribune gazette library museum archive garden weather science physics chemistry biology history "
+            "geography school college university campus faculty kitchen recipes cooking bakery travel hotel trains railway airport "
+            "music concert orchestra theatre cinema film books reader journal letters poetry council city village river mountain "
+            "forest ocean harbor bridge market baker farmer doctor clinic hospital health nursing sport football tennis running "
+            "bicycle hiking wiki docs manual python linux kernel forum notes photo gallery art studio design paper press radio "
+            "family wedding pets birds horse gardenclub church parish temple mosque synagogue charity trust foundation institute "
+            "research academy society union office court justice police fire rescue energy water solar wind steel stone wood glass "
+            "cotton fashion tailor furniture house home kitchenware toys games chess bridgeclub puzzle planet space stars moon "
+            "verein schule haus garten stadt maison ecole lettres jardin ville casa escuela libro ciudad camino").split()
+EITHER = ("best top online my the go get world pro club zone hub net24 365 live now today plus max box shop store site web "
+          "portal center group team king star royal gold super mega direct express video videos forum page guide").split()
+
+
+def invented_names() -> list[str]:
+    """Pronounceable names that are no words, by rule: two or three syllables of a consonant and a vowel."""
+    parts = [c + v for c in "bdfgklmnprstvz" for v in "aeiou"]
+    return [parts[i] + parts[(i * 37 + 11) % 70] + (parts[(i * 53 + 29) % 70] if i % 2 else "") + ("n", "r", "s", "")[i % 4]
+            for i in range(70)] + [parts[(i * 31 + 7) % 70] + parts[(i * 17 + 3) % 70] + "l" for i in range(70)]
+
+
+def labelled_names() -> list[tuple[str, int]]:
+    """(host name, label): words alone, two of a kind, and with words that go with either; 1 is unwanted."""
+    out = []
+    for label, words in ((1, UNWANTED), (0, ORDINARY), (0, invented_names())):
+        n = len(words)
+        for i, w in enumerate(words):
+            other, e, f = words[(i * 7 + 3) % n], EITHER[i % len(EITHER)], EITHER[(i * 5 + 2) % len(EITHER)]
+            out += [(x, label) for x in (w, f"{e}{w}", f"{w}-{f}", f"{w}{other}", f"{other}-{w}", f"{f}-{w}-{i * 7 % 90}")]
+    return out
+
+
+def labelled_urls(names: Sequence[tuple[str, int]] | None = None) -> list[tuple[str, int]]:
+    """(url, label) of each name, set in the same frames whatever its label, so frames carry no signal."""
     subs = ("", "www.", "blog.", "m.", "shop.")
-    tlds = ("example.com", "example.net", "example.org", "com", "net", "org")
-    tails = ("/en/{}", "/fr/{}.html", "/de/{}/", "/es/{}", "/", "", "/index.html", "/a/b/{}")
-    invented = [a + b for i, a in enumerate(SYLLABLES) for b in SYLLABLES[i % 2::2]]
-    dressed = lambda names: [f.format(n) for n in names for f in ("{}", "{}", "best-{}", "{}-online", "my-{}-24")]
-    rows = []
-    for label, names, frames in ((1, dressed(UNWANTED), 4), (0, dressed(ORDINARY), 2), (0, invented, 4)):
-        for i, name in enumerate(names):
-            for k in range(frames):
-                rows.append((f"https://{subs[(i + k) % 5]}{name}.{tlds[(i + k) % 6]}"
-                             f"{tails[(i * 3 + k) % 8].format((i * 389 + k * 173) % 1000)}", label))
-    return rows
+    tlds = ("com", "net", "org", "info", "co.uk", "de", "fr", "example.com", "example.net")
+    tails = ("/", "", "/index.html", "/a/b/{}", "/page/{}", "/{}.html", "/articles/{}/", "/en/{}")
+    out = []
+    for i, (name, label) in enumerate(labelled_names() if names is None else names):
+        for k in range(2):
+            tail = tails[(i * 5 + k * 3) % 8].format((i * 389 + k * 173) % 1000)
+            out.append((f"https://{subs[(i + k * 2) % 5]}{name}.{tlds[(i * 4 + k * 5) % 9]}{tail}", label))
+    return out
 
 
 def host_of(url: Column) -> Column:
@@ -94,7 +115,7 @@ def grams(host: Column, path: Column, sizes: Sequence[int] = GRAMS, dim: int = D
     return F.concat(*parts)
 
 
-def fit(spark: SparkSession, labelled: Sequence[tuple[str, int]], l2: float = 1e-4, rounds: int = 300,
+def fit(spark: SparkSession, labelled: Sequence[tuple[str, int]], l2: float = 3e-5, rounds: int = 800,
         max_labelled: int = 20_000) -> tuple[list[float], float]:
     """Weights and bias. Full-batch gradient descent with momentum on length-scaled counts; classes weigh the same."""
     import numpy as np
@@ -104,16 +125,17 @@ def fit(spark: SparkSession, labelled: Sequence[tuple[str, int]], l2: float = 1e
         return [0.0] * DIM, 0.0
     df = spark.createDataFrame([(u, int(y)) for u, y in labelled], "url string, label int")
     rows = df.select(grams(host_of(F.col("url")), path_of(F.col("url"))).alias("g"), "label").collect()
-    x = np.zeros((len(rows), DIM))
-    for i, r in enumerate(rows):
-        np.add.at(x[i], r.g, 1.0)
-    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1.0))
+    # counts as (row, weight number, value), which is all the memory that the fit takes
+    at = np.repeat(np.arange(len(rows)), [len(r.g) for r in rows])
+    gram = np.concatenate([np.empty(0, np.int64), *[np.array(r.g, np.int64) for r in rows]]).astype(np.int64)
+    value = 1 / np.sqrt(np.maximum(np.bincount(at, minlength=len(rows)), 1.0))[at]
     y = np.array([r.label for r in rows], float)
     c = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     w, b, vw, vb = np.zeros(DIM), 0.0, np.zeros(DIM), 0.0
     for _ in range(rounds):
-        g = c * (1 / (1 + np.exp(-(x @ w + b))) - y) / len(y)
-        vw, vb = 0.9 * vw - 2.0 * (x.T @ g + l2 * w), 0.9 * vb - 2.0 * g.sum()
+        z = np.bincount(at, w[gram] * value, minlength=len(rows)) + b
+        g = c * (1 / (1 + np.exp(-z)) - y) / len(y)
+        vw, vb = 0.9 * vw - 6.0 * (np.bincount(gram, g[at] * value, minlength=DIM) + l2 * w), 0.9 * vb - 6.0 * g.sum()
         w, b = w + vw, b + vb
     return [float(v) for v in w], float(b)
 
