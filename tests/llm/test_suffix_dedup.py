@@ -84,6 +84,18 @@ def test_fingerprints_follow_content(monkeypatch):
     assert len(set(want.values())) == len(want)
 
 
+def test_thue_morse_texts_do_not_collide(spark):
+    """Such strings collide in every polynomial modulo 2 ** 64; unique texts lose nothing."""
+    word = lambda n, a, b: "".join(a if bin(i).count("1") % 2 else b for i in range(n))
+    one, two = word(1 << 12, "M", "j"), word(1 << 12, "j", "M")
+    b = np.frombuffer((one + two).encode(), np.uint8)
+    f = S.fingerprints(b, np.array([0, 1 << 12]), 1 << 12)
+    assert f[0] != f[1]
+    assert S._reduced(np.array([S.PRIME, S.PRIME - 1, (S.PRIME - 1) ** 2, 0], np.uint64)).tolist() == [0, S.PRIME - 1, 1, 0]
+    rows = [(1, one, "c"), (2, two, "c"), (3, "x" * 10 + one[:900], "c"), (4, "unique " * 3, "c")]
+    assert _got(spark, rows, 400) == brute(rows, 400)
+
+
 def test_dealer_and_bucket_combine_equal_entries():
     import pyarrow as pa
     d = S.Dealer(0, True)

@@ -17,8 +17,9 @@ document or at another place of the same one.
 
 Suffixes are compared to ``length`` bytes only, so any total order that puts equal strings side by side will
 do, and the order of fingerprints is taken; characters are not compared. The first fingerprint may collide
-without harm (40 bits and the bucket); those that decide have 64 bits and, of a second one, the bucket, so that
-they grow with the input.
+without harm (40 bits and the bucket); those that decide have 62 bits and, of a second one, the bucket, so that
+they grow with the input. Fingerprints are polynomials over a prime field whose bases are drawn anew for every run, so no
+texts can be built to collide; equality is still that of fingerprints, bytes are not compared again.
 
 The number of buckets grows with the input, so a bucket's size does not. A bucket holds positions, not texts;
 documents travel only if they hold a sample of equal rank, once. Entries with one fingerprint are combined before the
@@ -71,41 +72,66 @@ def difference_cover(length: int) -> tuple[int, tuple[int, ...]]:
 
 # ---------------------------------------------------------------- fingerprints
 
-BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+PRIME = (1 << 31) - 1
 
 
-@functools.cache
+def new_secret() -> tuple[int, ...]:
+    """Bases of four fingerprints and the seed of the byte codes, drawn anew for every run.
+
+    A polynomial over a prime field with a secret base has no texts that collide by construction: two different
+    strings of ``width`` bytes agree for at most ``width`` of the 2 ** 31 bases, and two bases decide together.
+    """
+    import secrets
+    return (*(1000 + secrets.randbelow(PRIME - 2000) for _ in range(4)), secrets.randbits(32))
+
+
+def _reduced(x):
+    """``x`` modulo PRIME, for x below 2 ** 62."""
+    import numpy as np
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+    return np.where(x >= PRIME, x - np.uint64(PRIME), x)
+
+
+@functools.lru_cache(24)
 def _powers(base: int, n: int):
     import numpy as np
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    out = np.ones(n, np.uint64)
+    have = 1
+    while have < n:            # doubling: base ** (have + i) = base ** have * base ** i
+        more = min(have, n - have)
+        out[have:have + more] = _reduced(out[:more] * np.uint64(pow(base, have, PRIME)))
+        have += more
+    return out
 
 
-@functools.cache
-def _codes(which: int):
+@functools.lru_cache(8)
+def _codes(seed: int):
     import numpy as np
-    return np.random.default_rng(99 + which).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return np.random.default_rng(seed).integers(1, PRIME, 256, dtype=np.uint64)
+
+
+SECRET = new_secret()      # of this process; a run passes its own to all its tasks
 
 
-def fingerprints(b, starts, width: int, which: int = 0):
-    """64-bit fingerprints of ``b[s:s + width]`` for increasing ``starts``: prefix sums of a polynomial modulo 2**64."""
+def fingerprints(b, starts, width: int, secret: tuple[int, ...] = SECRET, which: int = 0):
+    """64-bit fingerprints of ``b[s:s + width]`` for increasing ``starts``: two polynomials modulo PRIME by prefix sums."""
     import numpy as np
-    base = BASES[which] | 1
     size = PART + width
-    up, down = _powers(base, size + 1), _powers(pow(base, -1, 1 << 64), size + 1)
-    out = np.empty(len(starts), np.uint64)
-    done = 0
-    for at in range(0, len(b), PART):
-        end = int(np.searchsorted(starts, at + PART))
-        if end > done:
-            s = starts[done:end] - at
-            part = _codes(which)[b[at:at + size]]
-            part *= up[:len(part)]
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(part, out=sums[1:])
-            out[done:end] = (sums[s + width] - sums[s]) * down[s]
-            done = end
+    out = np.zeros(len(starts), np.uint64)
+    for base in secret[2 * which:2 * which + 2]:
+        up, down = _powers(base, size + 1), _powers(pow(base, -1, PRIME), size + 1)
+        done = 0
+        for at in range(0, len(b), PART):
+            end = int(np.searchsorted(starts, at + PART))
+            if end > done:
+                s = starts[done:end] - at
+                part = _codes(secret[4])[b[at:at + size]]
+                part = _reduced(part * up[:len(part)])
+                sums = np.zeros(len(part) + 1, np.uint64)      # below 2 ** 50
+                np.cumsum(part, out=sums[1:])
+                out[done:end] = out[done:end] << np.uint64(31) | _reduced(_reduced(sums[s + width] - sums[s]) * down[s])
+                done = end
     out ^= out >> np.uint64(32)
     out *= np.uint64(0xD6E8FEB86659FD93)
     out ^= out >> np.uint64(29)
@@ -333,27 +359,27 @@ def _marked(size: int, starts, before: int, after: int):
     return np.cumsum(steps[:-1]) > 0
 
 
-def _choose_samples(length: int):
+def _choose_samples(length: int, secret: tuple[int, ...]):
     v, _ = difference_cover(length)
 
     def choose(b):
         p = samples(len(b), length)
-        return fingerprints(b, p, length - v + 1), None, p
+        return fingerprints(b, p, length - v + 1, secret), None, p
     return choose
 
 
-def _choose_long(length: int):
+def _choose_long(length: int, secret: tuple[int, ...]):
     v, _ = difference_cover(length)
     width = length + v - 1
 
     def choose(b, ranked):
         p = _places(ranked)
         p = p[p <= len(b) - width]
-        return fingerprints(b, p, width), fingerprints(b, p, width, 1), p
+        return fingerprints(b, p, width, secret), fingerprints(b, p, width, secret, 1), p
     return choose
 
 
-def _choose_rest(length: int):
+def _choose_rest(length: int, secret: tuple[int, ...]):
     import numpy as np
     v, _ = difference_cover(length)
 
@@ -361,7 +387,7 @@ def _choose_rest(length: int):
         size = len(b) - length + 1
         open_ = _marked(size, _places(ranked), v - 1, 1) & ~_marked(size, _places(settled, firsts=False), 0, v)
         p = np.flatnonzero(open_)
-        return fingerprints(b, p, length), fingerprints(b, p, length, 1), p
+        return fingerprints(b, p, length, secret), fingerprints(b, p, length, secret, 1), p
     return choose
 
 
@@ -395,6 +421,7 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """Per row: id, n_bytes, text_sha256 (binary), spans (byte ranges that go), kept (bytes left; null if all)."""
     v, cover = difference_cover(length)
+    secret = new_secret()
     data = text_or_empty(text_col).cast("binary")
     hashed = docs.select(F.col(id_col).alias("id"), data.alias("bytes"), F.unhex(F.sha2(data, 256)).alias("sha"))
     hashed = hashed.withColumn("ref", F.xxhash64("id", "sha"))   # of a row, for the positions below
@@ -408,15 +435,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     # any row but the further copies
     texts = narrowed(hashed.where(F.octet_length("bytes") >= length).select("ref", "bytes"), "ref", others, "ref", anti=True)
     bits = _bits(total * len(cover) / v)
-    ranked = written(_repeated(_deal(texts, bits, False, _choose_samples(length)), bits))
+    ranked = written(_repeated(_deal(texts, bits, False, _choose_samples(length, secret)), bits))
     held = narrowed(texts, "ref", ranked.select("ref"), "ref", exact=False)
     held = written(held.join(ranked, "ref").dropDuplicates(["ref"]).select("ref", "bytes", F.col("places").alias("ranked")))
     size = held.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     bits = _bits(size * len(cover) / v)
-    settled = written(_repeated(_deal(held, bits, True, _choose_long(length)), bits))
+    settled = written(_repeated(_deal(held, bits, True, _choose_long(length, secret)), bits))
     held = held.join(settled.withColumnRenamed("places", "settled"), "ref", "left")
     bits = _bits(size)
-    last = written(_repeated(_deal(held, bits, True, _choose_rest(length)), bits))
+    last = written(_repeated(_deal(held, bits, True, _choose_rest(length, secret)), bits))
     marked = held.join(last.withColumnRenamed("places", "repeated"), "ref", "left") \
         .where("settled IS NOT NULL OR repeated IS NOT NULL").select("ref", "bytes", "settled", "repeated")
     cut = _cut(marked, length)
