@@ -154,7 +154,7 @@ def test_a_killed_load_gives_the_same_table_when_rerun(spark, tmp_path, monkeypa
     def kill(*a, **k):
         raise Killed
 
-    def partly(self, rows, loads, run):
+    def partly(self, rows, loads, run, *layout):
         loads.write.parquet(f"{self.log}/loads/load_run={run}")
         rows.limit(3).write.partitionBy("dt").parquet(f"{self.path}/load_run={run}")
         raise Killed
