@@ -15,6 +15,7 @@ from tickgate.sinks.snapshots import ConflictingLoad, SnapshotTable
 from tickgate.plans.ingest import ingest, probe_landed
 from tickgate.plans.validate import validate, validate_layout
 from tickgate.sinks import writers as W
+from tickgate.sinks.chunk_source import ChunkFile, ChunkWriter
 from tickgate.sources import bars as B
 from tickgate.sources import files, reports
 
@@ -295,7 +296,7 @@ def test_a_chunk_that_fails_holds_up_no_other(spark, tmp_path):
     import pyarrow.fs as pafs
     fs = pafs.LocalFileSystem()
     rows = pa.RecordBatch.from_pydict({"x": [1, 2, 3]})
-    ok, short = (W._ChunkFile(fs, str(tmp_path / "w"), ("s", n, "v", "2024-01"), rows.schema, 2) for n in ("ok", "short"))
+    ok, short = (ChunkFile(fs, str(tmp_path / "w"), ("s", n, "v", "2024-01"), rows.schema, 2) for n in ("ok", "short"))
     ok.add(rows)
     short.add(rows)
     short.n += 1
@@ -332,3 +333,56 @@ def test_totals_over_schemas(spark):
     got = {r.schema: tuple(r)[1:] for r in PL.ingest_totals(led).collect()}
     assert got == {"a": (2, 1, 0, 1, 5), "b": (1, 0, 1, 0, 7), "all": (3, 1, 1, 1, 12)}
     assert PL.ingest_totals(led.limit(0)).collect() in ([], [("all", 0, 0, 0, 0, 0)])
+
+
+def _batch(symbol, n):
+    import pyarrow as pa
+    return pa.RecordBatch.from_pydict({"schema": ["s"] * n, "symbol": [symbol] * n, "venue": ["X.Y"] * n,
+                                       "year_month": ["2024-01"] * n, "x": list(range(n))})
+
+
+def test_lost_and_speculative_attempts_leave_nothing(tmp_path):
+    """Two attempts of one task and one that dies half-way: only the chosen attempt's files are there, once."""
+    import pyarrow.parquet as pq
+    root, ledger = tmp_path / "cache", tmp_path / "ledger"
+    w = ChunkWriter({"path": f"file:{root}", "ledger": f"file:{ledger}", "run": "r1", "row_group": "2"})
+    chosen = w.write(iter([_batch("A", 3), _batch("B", 2)]))
+    w.write(iter([_batch("A", 3), _batch("B", 2)]))
+
+    def dies():
+        yield _batch("C", 5)
+        raise OSError("executor lost")
+    with pytest.raises(OSError):
+        w.write(dies())
+    nothing = w.write(iter([]))
+    assert len(list((root / "_staging-r1").iterdir())) == 3 and not (root / "s").exists()
+    w.commit([chosen, nothing, None])
+    assert sorted(str(p.relative_to(root)) for p in root.rglob("*") if p.is_file()) == [
+        "s/A/X_Y/2024-01.parquet", "s/B/X_Y/2024-01.parquet"]
+    got = {r["symbol"]: (r["rows"], r["success"], r["path"]) for r in pq.read_table(ledger).to_pylist()}
+    assert got == {"A": (3, True, f"{root}/s/A/X_Y/2024-01.parquet"), "B": (2, True, f"{root}/s/B/X_Y/2024-01.parquet")}
+
+
+def test_an_aborted_job_changes_no_chunk(spark, tmp_path):
+    root = tmp_path / "cache"
+    led = W.write_chunk_files(_landing(spark), str(root)).collect()
+    before = {r.path: open(r.path, "rb").read() for r in led}
+    broken = _landing(spark, symbols=("AAA", "BBB", "CCC"), c=99.0).withColumn(
+        "close", F.when(F.col("symbol") == "CCC", F.raise_error(F.lit("broken row")).cast("double")).otherwise(F.col("close")))
+    with pytest.raises(Exception, match="broken row"):
+        W.write_chunk_files(broken, str(root))
+    after = {str(p): p.read_bytes() for p in root.rglob("*") if p.is_file()}
+    assert after == before and [p.name for p in root.iterdir()] == [OHLCV_SCHEMA]
+    probe = files.chunk_probe(spark, str(root), OHLCV_SCHEMA)
+    assert {(r.symbol, r.rows, r.state) for r in probe.collect()} == {("AAA", 5, "ok"), ("BBB", 5, "ok")}
+    assert [r.symbol for r in files.chunk_probe(spark, str(root), OHLCV_SCHEMA, "BBB").collect()] == ["BBB"]
+
+
+def test_a_rerun_replaces_chunks_and_their_own_only(spark, tmp_path):
+    root = str(tmp_path / "cache")
+    W.write_chunk_files(_landing(spark), root)
+    led = W.write_chunk_files(_landing(spark, symbols=("AAA",), c=10.25), root)
+    assert [(r.symbol, r.rows, r.success) for r in led.collect()] == [("AAA", 5, True)]
+    got = {(r.symbol, r.close) for r in B.read_chunks(spark, root).select("symbol", "close").distinct().collect()}
+    assert got == {("AAA", 10.25), ("BBB", 10.5)}
+    assert W.write_chunk_files(_landing(spark).limit(0), root).count() == 0

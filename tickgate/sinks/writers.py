@@ -8,18 +8,14 @@ read would delete it first).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickgate.config import PARQUET_COMPRESSION, PARQUET_ROW_GROUP, WAREHOUSE_FIELDS
 from tickgate.functions import keys as K
-from tickgate.session import arrow_uri, qualified, ship_package
-
-LEDGER_SCHEMA = ("schema string, symbol string, venue string, year_month string, path string, rows bigint, size_bytes bigint, "
-                 "success boolean, message string, elapsed double")
-
+from tickgate.session import ensure_checkpoint_dir, qualified, ship_package
+from tickgate.sinks.chunk_source import KEY, LEDGER_SCHEMA, ChunkSource
 
 def _parquet(writer, row_group: int = PARQUET_ROW_GROUP):
     return (writer.option("compression", PARQUET_COMPRESSION)
@@ -44,138 +40,33 @@ def write_chunks(df: DataFrame, root: str, mode: str = "overwrite", ts: str = "t
     _parquet(w).parquet(root)
 
 
-KEY = ["schema", "symbol", "venue", "year_month"]
-
-
-MESSAGE_CHARS = 200
-
-
-class _ChunkFile:
-    """One chunk's file under way: written under a name of this attempt, checked, then renamed."""
-
-    def __init__(self, fs, base: str, key: tuple, schema, row_group: int):
-        import time
-
-        import pyarrow.parquet as pq
-        self.fs, self.key, self.row_group = fs, key, row_group
-        self.clock, self.started = time.monotonic, time.monotonic()
-        self.held, self.n, self.tmp, self.error, self.out = [], 0, None, None, None
-        part = [K.NO_KEY if x is None else x for x in key]
-        self.folder = "/".join([base.rstrip("/"), part[0], part[1], part[2].replace(".", "_")])
-        self.final = f"{self.folder}/{part[3]}.parquet"
-
-        def open_():
-            fs.create_dir(self.folder, recursive=True)
-            self.tmp = f"{self.folder}/.{part[3]}.{uuid.uuid4().hex}.tmp"
-            # the frame's own types, so that all chunks of a run agree whatever their values
-            self.out = pq.ParquetWriter(self.tmp, schema, filesystem=fs, compression=PARQUET_COMPRESSION)
-        self._try(open_)
-
-    def _try(self, step) -> None:
-        """A step that fails ends this chunk, not the task: its message is the chunk's outcome."""
-        if self.error is None:
-            try:
-                step()
-            except Exception as e:  # noqa: BLE001 - any failure of one chunk is a result
-                self.error = (str(e) or type(e).__name__)[:MESSAGE_CHARS]
-                self._discard()
-
-    def _discard(self) -> None:
-        self.held = []
-        for step in ((lambda: self.out.close()), (lambda: self.fs.delete_file(self.tmp))):
-            try:
-                step()
-            except Exception:  # noqa: BLE001, S110 - nothing was written
-                pass
-
-    def add(self, rows) -> None:
-        def put():
-            self.held.append(rows)
-            self.n += len(rows)
-            if sum(map(len, self.held)) >= self.row_group:
-                self._flush(False)
-        self._try(put)
-
-    def _flush(self, all_rows: bool) -> None:
-        import pyarrow as pa
-        table = pa.Table.from_batches(self.held)
-        cut = len(table) if all_rows else len(table) - len(table) % self.row_group
-        if cut:
-            self.out.write_table(table.slice(0, cut), row_group_size=self.row_group)
-        self.held = table.slice(cut).to_batches()
-
-    def outcome(self) -> tuple:
-        """Ends the file and tells what became of the chunk."""
-        import pyarrow.parquet as pq
-        size = None
-
-        def finish():
-            nonlocal size
-            if self.held:
-                self._flush(True)
-            self.out.close()
-            with self.fs.open_input_file(self.tmp) as fh:
-                there = pq.ParquetFile(fh).metadata.num_rows
-            if there != self.n:
-                raise OSError(f"corrupt: {there} rows of {self.n} in the file")
-            self.fs.move(self.tmp, self.final)
-            size = self.fs.get_file_info(self.final).size
-        self._try(finish)
-        took = self.clock() - self.started
-        if self.error is not None:
-            return (*self.key, None, 0, None, False, self.error, took)
-        return (*self.key, self.final, self.n, size, True, f"{self.n:,} rows", took)
-
-
-def _chunk_file_writer(root: str, row_group: int):
-    uri = arrow_uri(root)
-
-    def write(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        import pyarrow.fs as pafs
-
-        fs, base = pafs.FileSystem.from_uri(uri)
-        cur, done = None, []
-        for batch in batches:
-            keys = list(zip(*(batch.column(k).to_pylist() for k in KEY)))
-            body = batch.drop_columns(["schema", "year_month"])
-            cuts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]] + [len(keys)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if cur is None or keys[lo] != cur.key:
-                    if cur is not None:
-                        done.append(cur.outcome())
-                    cur = _ChunkFile(fs, base, keys[lo], body.schema, row_group)
-                cur.add(body.slice(lo, hi - lo))
-        if cur is not None:
-            done.append(cur.outcome())
-        cols = list(zip(*done)) if done else [[]] * 10
-        types = [pa.string()] * 5 + [pa.int64()] * 2 + [pa.bool_(), pa.string(), pa.float64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                         names=[*KEY, "path", "rows", "size_bytes", "success", "message", "elapsed"])
-    return write
-
-
 def write_chunk_files(df: DataFrame, root: str, ts: str = "ts_event",
                       row_group: int = PARQUET_ROW_GROUP) -> DataFrame:
     """K1/K3 in the exact per-chunk layout ``{root}/{schema}/{symbol}/{venue_safe}/{YYYY-MM}.parquet``.
 
     Each chunk is hashed to one task, sorted by time and streamed to its own
-    file in row groups of ``row_group`` rows; the file is written under a name of
-    the task attempt, then renamed. Column types are those of ``df``, with
+    file in row groups of ``row_group`` rows; Spark's commit puts the files of the
+    attempts that count into place (``sinks.chunk_source``). Column types are those of ``df``, with
     ``volume`` always double, so chunks with and without NULLs can be read
     together. NULL key parts get a folder name of their own (``keys.NO_KEY``).
 
-    Returns the ledger (chunk key, path, rows, size_bytes, success, message, elapsed), lazily: the files are
-    written when it is evaluated. A chunk that cannot be written (or whose file does not hold its rows) is a row
-    with its message, cut at ``MESSAGE_CHARS``; the other chunks of the task are not held up. One file per chunk means one writer per chunk;
+    Returns the ledger (chunk key, path, rows, size_bytes, success, message, elapsed) of the files written. A chunk that
+    cannot be written or put into place (or whose file does not hold its rows) is a row with its message, cut at
+    ``MESSAGE_CHARS``; the other chunks are not held up. One file per chunk means one writer per chunk;
     for very large chunks prefer ``write_chunks`` (Hive layout), which splits them.
     """
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
     out = df if "year_month" in df.columns else df.withColumn("year_month", K.year_month_of(F.col(ts)))
     if "volume" in out.columns:
         out = out.withColumn("volume", F.col("volume").cast("double"))
     out = out.repartition(*KEY).sortWithinPartitions(*KEY, ts)
-    return out.mapInArrow(_chunk_file_writer(qualified(df.sparkSession, root), row_group), LEDGER_SCHEMA)
+    run = uuid.uuid4().hex
+    ledger = qualified(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{run}")
+    spark.dataSource.register(ChunkSource)
+    (out.write.format(ChunkSource.name()).mode("append").option("run", run).option("ledger", ledger)
+     .option("row_group", row_group).option("path", qualified(spark, root)).save())
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
 
 
 def write_reports(report: DataFrame, root: str) -> None:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tickgate.config import QUARANTINE_PART
 from tickgate.functions import keys as K
 from tickgate.session import arrow_uri, qualified, ship_package
+from tickgate.sinks.chunk_source import ChunkSource
 
 FOOTER_SCHEMA = ("path string, ok boolean, reason string, num_rows bigint, "
                  "columns array<string>")
@@ -74,10 +75,17 @@ def file_probe(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataF
                     F.col("num_rows").alias("rows"), "reason", "columns")
 
 
-def chunk_probe(spark: SparkSession, cache_root: str, schema: str) -> DataFrame:
-    """S6 on the chunk layout: probe rows keyed by (schema, symbol, venue, year_month)."""
-    probe = file_probe(spark, f"{cache_root.rstrip('/')}/{schema}")
-    key = K.parse_chunk_relpath(K.relpath_under(F.col("path"), qualified(spark, cache_root)))
+def chunk_probe(spark: SparkSession, cache_root: str, schema: str, symbol: str | None = None) -> DataFrame:
+    """S6 on the chunk layout: probe rows keyed by (schema, symbol, venue, year_month).
+
+    Files are listed and probed by the tasks that the chunk source plans over the symbol folders.
+    """
+    ship_package(spark)
+    spark.dataSource.register(ChunkSource)
+    root = qualified(spark, cache_root)
+    read = spark.read.format(ChunkSource.name()).option("schema_name", schema).option("tasks", io_tasks(spark))
+    probe = (read.option("symbol", symbol) if symbol else read).load(root)
+    key = K.parse_chunk_relpath(K.relpath_under(F.col("path"), root))
     return (probe.where(not_quarantined(F.col("path"))).withColumn("_k", key).where(F.col("_k").isNotNull())
             .select("_k.*", "rows", "size_bytes", "path", "state", "columns"))
 
