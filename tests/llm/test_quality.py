@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -89,3 +90,34 @@ def test_edges(spark, data):
     none = labels.limit(0)
     assert {r.score for r in Q.score(docs.limit(3), none).collect()} == {0.5}
     assert Q.score(docs.limit(0), labels).count() == 0
+
+
+def plain_statistics(text):
+    """The statistics as their names say, letter by letter."""
+    import math
+    if not text:
+        return [0.0] * 16
+    b = text.encode()
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", b) if w]
+    lines = [x for x in b.split(b"\n") if re.search(rb"[^\x20\x09-\x0D]", x)]
+    of = lambda chars: sum(chr(x) in chars for x in b if x < 128)
+    high = sum(x >= 128 for x in b)
+    upper, lower = (sum(lo <= x <= hi for x in b) for lo, hi in ((65, 90), (97, 122)))
+    n, m = max(1, len(words)), max(1, len(lines))
+    again = sum(1 for k in range(1, len(words)) if words[k] == words[k - 1])
+    return [math.log(1 + len(b)), len(words) / m, sum(len(w) for w in words) / n, upper / max(1, upper + lower + high),
+            of("0123456789") / len(b), high / len(b), of("!") / n, of("|") / n, of("#$%&*+<=>@\\^_`~{}[]") / n, of(".?:;") / n, of(",") / n,
+            again / n, math.log(1 + len(set(words))) / math.log(1 + n), (len(lines) - len(set(lines))) / m if lines else 0.0,
+            len([w for w in words if len(w) > 24]) / n, len([w for w in words if len(w) == 1]) / n]
+
+
+def test_statistics_equal_brute_force(spark):
+    rng = random.Random(6)
+    parts = ["word", "Word", "HTML", "é", "日本", "!", "!!", "|", "a", "x" * 30, "12", "3.5", ",", "#tag", "{}", "[x]", "\\", "~", "`", "?", ";",
+             "\n", "\n\n", "\t", " ", "\r\n", "\x0b", "\x0c", "same same", "same\nsame", "\x1f", "\u00a0", "-", "(", "'", "/"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "\n"]) for _ in range(rng.randint(1, 60))) for _ in range(300)]
+    texts += ["", " ", "\n \n", None, "z" * 200_000, "line\n" * 20_000]
+    got = {r.doc_id: r.out for r in Q.with_statistics(spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], D), out="out").collect()}
+    assert len(Q.STATS) == 16
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(plain_statistics(t), rel=1e-12, abs=1e-12), (t or "")[:60]
