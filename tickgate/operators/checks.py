@@ -4,10 +4,10 @@ Every function takes a normalised bar frame (``operators.normalize``) and
 returns one row per grain key. Shapes are chosen so that a key holding a
 large share of all rows never lands whole in one task:
 
-* One ``GROUPING SETS`` aggregate (``base_aggregates``) scans the bars once and
-  yields the (key, ET date) daily table, the (key, date, ts) counts and the
-  (key, close) histogram; B, J, E and H's sums are partial (map-side)
-  aggregates there, and the per-key numbers roll up from the small daily table.
+* ``base_aggregates`` scans the bars once for counts, sums and extremes per
+  (key, date, ts), and keys and prices once for the (key, close) histogram; both
+  are partial (map-side) aggregates. Days merge from the first, and the per-key
+  numbers of B, J, E and H roll up from the small daily table.
 * A's exact median first collapses the rows to a (key, close) histogram,
   shuffled on (key, close), then walks cumulative counts of value buckets of
   equal distinct count and, inside the one or two buckets holding the middle, the values.
@@ -38,10 +38,11 @@ def _k(cfg: ValidationConfig) -> list[str]:
 # Daily table: one row per (key, ET date); feeds B, J, E, H, I and the counts.
 # ---------------------------------------------------------------------------
 
-def daily_table(norm: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
+def _row_aggregates() -> list[Column]:
+    """The mergeable aggregates of bars: counts, sums and extremes, in the order of ``DAILY_COLUMNS``."""
     o, h, lo, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
     s = F.col("in_session")
-    return norm.groupBy(*_k(cfg), "et_date").agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("ts_event").isNull()).alias("n_null_ts"),
         F.count(c).alias("n_close"),
@@ -57,66 +58,51 @@ def daily_table(norm: DataFrame, cfg: ValidationConfig = ValidationConfig()) ->
         F.sum(F.when(s, v)).alias("v"),
         F.min(F.when(s, F.col("ts_event"))).alias("t_first"),
         F.max(F.when(s, F.col("ts_event"))).alias("t_last"),
-    )
+    ]
 
 
-def base_aggregates(norm: DataFrame, cfg: ValidationConfig = ValidationConfig(), histogram: bool = True) -> DataFrame:
-    """One scan, one shuffle: the three row-level aggregates every check starts from.
+DAILY_COLUMNS = ["n_rows", "n_null_ts", "n_close", "n_bad_ohlc", "n_neg_volume", "n_zero_volume",
+                 "n_bad_high", "n_bad_low", "n_bad_high_low", "n_kept", "dv", "v", "t_first", "t_last"]
+
+
+def merged_aggregates() -> list[Column]:
+    """``_row_aggregates`` of parts merged to those of the whole."""
+    extremes = {"t_first": F.min, "t_last": F.max}
+    kinds = {"dv": "double", "v": "double"}
+    return [extremes[x](x).alias(x) if x in extremes else F.sum(x).cast(kinds.get(x, "bigint")).alias(x)
+            for x in DAILY_COLUMNS]
+
+
+def daily_table(norm: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
+    return norm.groupBy(*_k(cfg), "et_date").agg(*_row_aggregates())
+
 
-    ``GROUPING SETS ((key, day), (key, day, ts), (key, close))`` computes, in a
-    single partial + final aggregation:
+def base_aggregates(norm: DataFrame, cfg: ValidationConfig = ValidationConfig(), histogram: bool = True) -> DataFrame:
+    """The row-level aggregates every check starts from, two levels in one table:
 
-    * ``level = 'day'``: the daily table (B, J, E counts; H sums; first/last session bar);
-    * ``level = 'ts'``:  in-session rows per timestamp (F copies, I slots);
-    * ``level = 'px'``:  rows per close value (A's histogram).
+    * ``level = 'ts'``: the counts, sums and extremes per (key, day, timestamp), from one scan (F copies, I slots;
+      merged to days in ``split_base``: B, J, E counts, H sums, first and last session bar);
+    * ``level = 'px'``: rows per (key, close value), from a second scan of the keys and prices alone (A's histogram).
 
-    Each row is expanded three times before the map-side partial aggregation,
-    which trades cheap in-memory work for two fewer scans of the input. Without ``histogram`` there is no
-    ``px`` level, for prices that hardly repeat (``median_close_bracketed``).
+    No row is expanded, and both are combined in the tasks that scan before anything is shuffled. Without
+    ``histogram`` there is no ``px`` level, for prices that hardly repeat (``median_close_bracketed``).
     """
     keys = _k(cfg)
-    o, h, lo, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
-    s = F.col("in_session")
-    sets = [[*keys, "et_date"], [*keys, "et_date", "ts_event"]] + ([[*keys, "close"]] if histogram else [])
-    g = norm.groupingSets(sets, *keys, "et_date", "ts_event", *(["close"] if histogram else []))
-    agg = g.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("ts_event").isNull()).alias("n_null_ts"),
-        F.count(c).alias("n_close"),
-        (F.count_if(o <= 0) + F.count_if(h <= 0) + F.count_if(lo <= 0) + F.count_if(c <= 0))
-        .alias("n_bad_ohlc"),
-        F.count_if(v < 0).alias("n_neg_volume"),
-        F.count_if(v == 0).alias("n_zero_volume"),
-        F.count_if((h < o) | (h < c)).alias("n_bad_high"),
-        F.count_if((lo > o) | (lo > c)).alias("n_bad_low"),
-        F.count_if(h < lo).alias("n_bad_high_low"),
-        F.count_if(s).alias("n_kept"),
-        F.sum(F.when(s, c * v)).alias("dv"),
-        F.sum(F.when(s, v)).alias("v"),
-        F.min(F.when(s, F.col("ts_event"))).alias("t_first"),
-        F.max(F.when(s, F.col("ts_event"))).alias("t_last"),
-        F.grouping("ts_event").alias("_g_ts"),
-        (F.grouping("close") if histogram else F.lit(1)).alias("_g_px"),
-    )
+    ts = norm.groupBy(*keys, "et_date", "ts_event").agg(*_row_aggregates()).withColumns(
+        {"close": F.lit(None).cast("double"), "level": F.lit("ts")})
     if not histogram:
-        agg = agg.withColumn("close", F.lit(None).cast("double"))
-    level = (F.when(F.col("_g_ts") == 0, F.lit("ts")).when(F.col("_g_px") == 0, F.lit("px"))
-             .otherwise(F.lit("day")))
-    return agg.withColumn("level", level).drop("_g_ts", "_g_px")
-
-
-DAILY_COLUMNS = ["n_rows", "n_null_ts", "n_close", "n_bad_ohlc", "n_neg_volume", "n_zero_volume",
-                 "n_bad_high", "n_bad_low", "n_bad_high_low", "n_kept", "dv", "v", "t_first", "t_last"]
+        return ts
+    px = norm.where(F.col("close").isNotNull()).groupBy(*keys, "close").agg(F.count(F.lit(1)).alias("n_close"))
+    return ts.unionByName(px.withColumn("level", F.lit("px")), allowMissingColumns=True)
 
 
 def split_base(base: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(daily, per_ts, hist) from ``base_aggregates``."""
     keys = _k(cfg)
-    daily = base.where(F.col("level") == "day").select(*keys, "et_date", *DAILY_COLUMNS)
-    per_ts = (base.where((F.col("level") == "ts") & (F.col("n_kept") > 0))
-              .select(*keys, "et_date", "ts_event", F.col("n_kept").alias("cnt")))
-    hist = (base.where((F.col("level") == "px") & F.col("close").isNotNull())
-            .select(*keys, "close", F.col("n_close").alias("cnt")))
+    ts = base.where(F.col("level") == "ts")
+    daily = ts.groupBy(*keys, "et_date").agg(*merged_aggregates())
+    per_ts = ts.where(F.col("n_kept") > 0).select(*keys, "et_date", "ts_event", F.col("n_kept").alias("cnt"))
+    hist = base.where((F.col("level") == "px") & F.col("close").isNotNull()).select(*keys, "close", F.col("n_close").alias("cnt"))
     return daily, per_ts, hist
 
 

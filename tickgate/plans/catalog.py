@@ -47,8 +47,7 @@ def _bars_table(spark, sf_dir, wide=False) -> DataFrame:
 
 
 def _validation(spark, sf_dir, wide=False, bars: DataFrame | None = None):
-    # validation scans its input once (grouping-sets aggregate), so the adapter
-    # runs inside that scan; queries that also route the bars pass a table
+    # the adapter runs inside the validation's scans; queries that also route the bars pass a table
     return validate(bars if bars is not None else _bars(spark, sf_dir, wide), CFG)
 
 
@@ -118,7 +117,7 @@ def _grade(abort: F.Column, warn: F.Column | None = None) -> F.Column:
 
 
 def _base(spark, sf_dir, wide=False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(daily, per_ts, hist) from one scan of the bars (grouping-sets aggregate, written once)."""
+    """(daily, per_ts, hist) of the bars, from aggregates written once."""
     base = write_table(C.base_aggregates(_norm(spark, sf_dir, wide), CFG), ("level",))
     return C.split_base(base, CFG)
 

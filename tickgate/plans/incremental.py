@@ -48,7 +48,7 @@ def chunk_digest(path: Column, size: Column, modified: Column) -> Column:
 
 
 def partial_aggregates(rows: DataFrame, cfg: ValidationConfig) -> DataFrame:
-    """The mergeable aggregates of ``rows`` (with file order) per file: levels day, ts, px and order."""
+    """The mergeable aggregates of ``rows`` (with file order) per file: levels ts, px and order."""
     norm = normalize_bars(rows, cfg).df.withColumn("file_path", plain_path(F.col("file_path")))
     per_file = replace(cfg, keys=(*cfg.keys, "file_path"))
     viol = C.order_violations(norm, [*cfg.keys, "file_path"], block_rows=cfg.c_block_rows)
@@ -79,9 +79,7 @@ def merged(table: SnapshotTable, current: DataFrame | None, cfg: ValidationConfi
         kept = kept.join(current.select("digest").distinct(), "digest", "left_semi")
     if only is not None:
         kept = join_same(kept, only, keys, "left_semi")
-    sums = [c for c in C.DAILY_COLUMNS if c not in ("t_first", "t_last")]
-    base = kept.where(F.col("level").isin("day", "ts", "px")).groupBy(*keys, *LEVEL_KEYS).agg(
-        *[F.sum(c).alias(c) for c in sums], F.min("t_first").alias("t_first"), F.max("t_last").alias("t_last"))
+    base = kept.where(F.col("level").isin("ts", "px")).groupBy(*keys, *LEVEL_KEYS).agg(*C.merged_aggregates())
     viol = kept.where(F.col("level") == "order").groupBy(*keys).agg(F.sum("n_violations").cast("bigint").alias("n_violations"))
     return base, viol, kept.where(F.col("level") == "file")
 

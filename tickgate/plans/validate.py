@@ -72,8 +72,8 @@ def validate(df: DataFrame, cfg: ValidationConfig = ValidationConfig(), *,
     """
     norm = normalize_bars(df, cfg)
     keys = list(cfg.keys)
-    # one scan + one shuffle for the daily table, the per-timestamp counts and
-    # the price histogram; written once to the shared checkpoint folder
+    # one scan for the aggregates per timestamp, one of prices alone for the histogram; written once to the
+    # shared checkpoint folder
     base = C.base_aggregates(norm.df, cfg, histogram=cfg.a_method == "histogram")
     if materialize:
         base = write_table(base, ("level",))
