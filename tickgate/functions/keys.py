@@ -32,11 +32,6 @@ def chunk_relpath(schema: Column, symbol: Column, venue: Column, year_month: Col
                        F.concat(year_month, F.lit(".parquet")))
 
 
-def chunk_path(root: str, schema: Column, symbol: Column, venue: Column,
-               year_month: Column) -> Column:
-    return F.concat(F.lit(root.rstrip("/") + "/"), chunk_relpath(schema, symbol, venue, year_month))
-
-
 def blob_name(prefix: str, schema: Column, symbol: Column, venue: Column,
               year_month: Column) -> Column:
     return F.concat(F.lit(prefix.rstrip("/") + "/"), chunk_relpath(schema, symbol, venue, year_month))

@@ -26,12 +26,12 @@ def to_utc_ntz(col: Column, dtype: T.DataType) -> Column:
         return col
     if isinstance(dtype, T.TimestampType):
         # two-argument form: source zone = session zone, so any session works
-        return F.convert_timezone(F.lit("UTC"), col)
+        return F.convert_timezone(None, F.lit("UTC"), col)
     if isinstance(dtype, (T.StringType, T.DateType)):
         return col.cast("timestamp_ntz")
     if isinstance(dtype, (T.LongType, T.IntegerType)):
         # integer epochs are nanoseconds (vendor convention)
-        return F.convert_timezone(F.lit("UTC"), F.timestamp_micros(F.floor(col / 1000)))
+        return F.convert_timezone(None, F.lit("UTC"), F.timestamp_micros(F.floor(col / 1000)))
     return col.cast("timestamp_ntz")
 
 
@@ -39,20 +39,11 @@ def utc_to_local(utc_ntz: Column, tz: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc_ntz)
 
 
-def local_to_utc(local_ntz: Column, tz: str) -> Column:
-    return F.convert_timezone(F.lit(tz), F.lit("UTC"), local_ntz)
-
-
 def seconds_of_day(ntz: Column) -> Column:
     """Whole seconds since local midnight (fractional part dropped: session bounds are whole seconds)."""
     return F.hour(ntz) * 3600 + F.minute(ntz) * 60 + F.second(ntz)
 
 
-def micros_between(start: Column, end: Column) -> Column:
-    """end - start in microseconds, for NTZ values (absolute, as both are UTC)."""
-    return F.timestamp_diff("MICROSECOND", start, end)
-
-
 def plus_seconds(ntz: Column, seconds: Column) -> Column:
     return ntz + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 

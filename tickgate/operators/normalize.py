@@ -66,8 +66,3 @@ def normalize_bars(df: DataFrame, cfg: ValidationConfig = ValidationConfig()) ->
                      F.coalesce((sod >= cfg.session_start_s) & (sod < cfg.session_end_s),
                                 F.lit(False)).alias("in_session"))
     return Normalized(norm, tuple(cols), axis, has_order)
-
-
-def session_filter(norm: DataFrame) -> DataFrame:
-    """Check E's filtered frame: rows inside [session_start, session_end) local time."""
-    return norm.where(F.col("in_session"))

@@ -85,13 +85,6 @@ def plan_estimate(status: DataFrame) -> DataFrame:
     return estimate_from(st)
 
 
-def estimate_for(status: DataFrame, schema: str) -> DataFrame:
-    """Same as ``plan_estimate`` for one known schema (no lookup of distinct schemas)."""
-    r, m, u = dims.estimate_cols(schema)
-    return estimate_from(status.where(F.col("schema") == schema)
-                         .withColumn("_recs", r).withColumn("_mb", m).withColumn("_usd", u))
-
-
 def estimate_from(st: DataFrame) -> DataFrame:
     g = st.groupBy("schema").agg(
         F.count(F.lit(1)).alias("n_total"),

@@ -24,6 +24,7 @@ from tickgate.plans.incremental import validate_incremental
 from tickgate.plans.ingest import ingest
 from tickgate.plans.publish import existing_objects, load_chunks, publish, warehouse_table
 from tickgate.plans.validate import validate
+from tickgate.plans.workflows import WORKFLOWS
 from tickgate.session import cut_lineage, ensure_checkpoint_dir, write_table
 from tickgate.sinks import writers as W
 from tickgate.sources import bars as B
@@ -691,6 +692,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_results_by_venue": q_check_results_by_venue,
     "quarantine_preview": q_quarantine_preview,
     "stream_row_checks": q_stream_row_checks,
+    **WORKFLOWS,
 }
 
 __all__ = ["QUERIES"]

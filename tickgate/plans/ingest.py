@@ -74,7 +74,8 @@ def _fetched(rows: DataFrame, todo: DataFrame, schema: str, cache_root: str, lay
         return write_table(W.write_chunk_files(rows, cache_root, ts))
     counted, start = Observation(), time.monotonic()
     W.write_chunks(rows.observe(counted, F.count(F.lit(1)).alias("n")), cache_root, ts=ts)
-    took, n = time.monotonic() - start, counted.get["n"]
+    took, seen = time.monotonic() - start, counted._jo.getRow()
+    n = seen.getLong(0) if seen.length() else 0     # Spark observes nothing where it finds the plan empty
     if not n:
         return rows.sparkSession.createDataFrame([], W.LEDGER_SCHEMA)
     # the rows of each chunk from the footers of its new files; chunks without rows have no folder

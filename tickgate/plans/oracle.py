@@ -537,3 +537,80 @@ SELECT count(*) AS n_files, sum(octet_length(encode(body)))::BIGINT AS total_byt
     "digest_compare": "WITH" + FILES_CTE + """
 SELECT bucket, bucket <> 7 AS digest_match FROM f""",
 })
+
+
+def _mode_plan() -> str:
+    from tickgate import config as cfg
+    modes = [(m, s) for m in ("lit", "ats", "all") for s in cfg.MODE_SCHEMAS[m]]
+    ctes = ",".join(plan_cte(s, name=f"plan_{i}") for i, s in enumerate(cfg.SCHEMA_VENUES))
+    at = {s: f"plan_{i}" for i, s in enumerate(cfg.SCHEMA_VENUES)}
+    return "WITH " + ctes[1:] + "\n" + " UNION ALL ".join(
+        f"SELECT '{m}' AS mode, schema, venue, count(*) AS n_chunks, min(year_month) AS first_month FROM {at[s]} GROUP BY ALL"
+        for m, s in modes)
+
+
+CHUNK_ROWS = plan_cte() + "," + LANDED_CTE + """,
+chunk_rows AS (
+  SELECT p.schema, p.symbol, p.venue, p.year_month, coalesce(l.rows, 0) AS n,
+         CASE WHEN coalesce(l.rows, 0) > 0 THEN format('{:,}', l.rows) || ' rows'
+              ELSE '0 rows (symbol absent at venue)' END AS message
+  FROM plan p LEFT JOIN landed l USING (schema, symbol, venue, year_month))"""
+
+# Whole workflows over files (plans.workflows).
+ORACLE.update({
+    "validate_flat": ORACLE["validation_report"],
+
+    "validate_one": ORACLE["validation_report"] + " WHERE symbol = 'view'",
+
+    "validate_defects": with_bars(*VALIDATION, LANDED_CTE) + """,
+back AS (SELECT CAST(coalesce(sum(rows - 1), 0) AS BIGINT) AS n FROM landed WHERE symbol = 'click'),
+found AS (
+  SELECT symbol, 'C' AS "check",
+         CASE WHEN symbol = 'click' AND n > 0 THEN 'ABORT' ELSE 'PASS' END AS status,
+         CASE WHEN symbol = 'click' AND n > 0 THEN n || ' index ordering violations'
+              ELSE 'index monotonically non-decreasing' END AS detail FROM report, back
+  UNION ALL
+  SELECT symbol, 'D', CASE symbol WHEN 'view' THEN 'ABORT' WHEN 'purchase' THEN 'ERROR' ELSE 'PASS' END,
+         CASE symbol WHEN 'view' THEN 'missing columns: [''volume'']' WHEN 'purchase' THEN '1 unreadable files'
+                     ELSE 'all 5 expected columns present' END FROM report)
+SELECT f.*, bool_or(f.status <> 'PASS') OVER (PARTITION BY symbol) OR r.quarantine AS quarantine
+FROM found f JOIN report r USING (symbol)""",
+
+    "clean_bars": with_bars(*VALIDATION) + """
+SELECT symbol, venue, ts_event, close FROM nb JOIN report USING (symbol) WHERE in_session AND NOT quarantine""",
+
+    "universe_scan": "SELECT DISTINCT 'U' || CAST(user_id AS VARCHAR) AS symbol FROM events",
+
+    "warehouse_rows": """
+WITH r AS (
+  SELECT CASE WHEN user_id % 5 <> 0 THEN event_type END AS symbol, CASE WHEN user_id % 7 <> 0 THEN ts END AS t,
+         user_id % 11 = 0 AS bad, CASE WHEN user_id % 11 <> 0 AND user_id % 13 <> 0 THEN value END AS price,
+         user_id % 10 AS size FROM events)
+SELECT coalesce(strftime(t, '%Y-%m-%d'), '') AS dt, symbol IS NULL OR t IS NULL OR bad AS unfit, count(*) AS n_rows, count(price) AS n_prices,
+       CAST(sum(size) AS BIGINT) AS total_size
+FROM r GROUP BY ALL""",
+
+    "run_log": with_bars(CHUNK_ROWS) + """
+SELECT level, 'ingest' AS logger, message AS msg, count(*) AS n, true AS dated
+FROM chunk_rows, (VALUES ('INFO'), ('WARNING')) AS v(level) GROUP BY ALL""",
+
+    "ingest_rerun": with_bars(CHUNK_ROWS) + """
+SELECT 1 AS run, schema, symbol, venue, year_month, true AS success, message, n AS rows, false AS cached FROM chunk_rows
+UNION ALL
+SELECT 2, schema, symbol, venue, year_month, true, 'cached (' || format('{:,}', n) || ' rows)', n, true FROM chunk_rows""",
+
+    "target_state": with_bars(LANDED_CTE) + """
+SELECT 'raw/' || schema || '/' || symbol || '/' || replace(venue, '.', '_') || '/' || year_month || '.parquet' AS blob_name,
+       symbol <> 'click' AS in_manifest, symbol <> 'click' AS listed FROM landed""",
+
+    "mode_plan": _mode_plan(),
+
+    "time_axis": with_bars() + """
+SELECT axis, symbol, count_if(in_session) AS n_kept, min(et_date) AS first_day, max(ts_event) AS last_ts
+FROM nb, (VALUES ('Datetime'), ('datetime'), ('timestamp')) AS a(axis) GROUP BY ALL""",
+
+    "publish_status": with_bars(LANDED_CTE) + """
+SELECT run, 'trades' AS schema, symbol, venue, year_month,
+       CASE WHEN run = 'again' AND venue = 'XNAS.ITCH' THEN 'SKIPPED' ELSE 'UPLOADED' END AS status
+FROM landed, (VALUES ('first'), ('again'), ('overwrite')) AS v(run)""",
+})

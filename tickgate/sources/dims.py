@@ -1,4 +1,4 @@
-"""Dimensions: universe (S1), venue dimension and schema -> venues (S2), required columns (S3), estimates.
+"""Dimensions: universe (S1), schema -> venues (S2), estimates.
 
 The venue dimension and catalogues are fixed configuration (19 venues, three
 schemas): their size is bounded by the config, so they may be broadcast or
@@ -29,23 +29,6 @@ def universe_from(df: DataFrame, col: str = "symbol") -> DataFrame:
     return df.select(F.col(col).cast("string").alias("symbol")).where(F.col("symbol").isNotNull()).distinct()
 
 
-def venue_rows(schemas=None) -> list[tuple[str, str, str, str | None]]:
-    """(schema, venue, venue_class, earliest_start) for every schema -> venue pair."""
-    rows = []
-    for schema, venues in cfg.SCHEMA_VENUES.items():
-        if schemas and schema not in schemas:
-            continue
-        klass = "ats" if schema == cfg.ATS_SCHEMA else "lit"
-        rows += [(schema, v, klass, cfg.VENUE_EARLIEST_START.get(v)) for v in venues]
-    return rows
-
-
-def venue_dim(spark: SparkSession, schemas=None) -> DataFrame:
-    """S2 as a small DataFrame (broadcast it; it has at most 34 rows)."""
-    return F.broadcast(spark.createDataFrame(
-        venue_rows(schemas), "schema string, venue string, venue_class string, earliest_start string"))
-
-
 def venue_array(schema: str, venues=None) -> Column:
     """The venues of one schema as a literal array<struct<venue, earliest_start>>.
 
@@ -63,21 +46,8 @@ def mode_schemas(mode: str) -> tuple[str, ...]:
     return cfg.MODE_SCHEMAS.get(mode, cfg.MODE_SCHEMAS["all"])
 
 
-def required_columns_dim(spark: SparkSession) -> DataFrame:
-    """S3 as (schema, column, pos)."""
-    rows = [(s, c, i) for s, cols in cfg.REQUIRED_COLUMNS.items() for i, c in enumerate(cols)]
-    return spark.createDataFrame(rows, "schema string, column string, pos int")
-
-
 def estimates_dim(spark: SparkSession) -> DataFrame:
     rows = [(s, cfg.ESTIMATE_RECORDS_PER_CHUNK[s], cfg.ESTIMATE_MB_PER_CHUNK[s], cfg.ESTIMATE_USD_PER_GB[s])
             for s in cfg.ESTIMATE_RECORDS_PER_CHUNK]
     return spark.createDataFrame(rows, "schema string, records_per_chunk bigint, mb_per_chunk double, "
                                        "usd_per_gb double")
-
-
-def estimate_cols(schema: str) -> tuple[Column, Column, Column]:
-    """Per-schema estimate constants (defaults for unknown schemas)."""
-    return (F.lit(cfg.ESTIMATE_RECORDS_PER_CHUNK.get(schema, cfg.DEFAULT_RECORDS_PER_CHUNK)).cast("bigint"),
-            F.lit(cfg.ESTIMATE_MB_PER_CHUNK.get(schema, cfg.DEFAULT_MB_PER_CHUNK)).cast("double"),
-            F.lit(cfg.ESTIMATE_USD_PER_GB.get(schema, cfg.DEFAULT_USD_PER_GB)).cast("double"))
