@@ -45,14 +45,11 @@ def ready(spark: SparkSession) -> None:
 FILTER_BITS = 27     # a filter of ids has 2 ** FILTER_BITS bits at most, in words of 64: 32 MiB as broadcast rows
 
 
-def narrowed(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str = "id", anti: bool = False,
-             exact: bool = True) -> DataFrame:
-    """Semi-join (or anti-join) of wide ``rows`` with the distinct ids ``wanted``, shuffling few of them.
+def parted(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose key is none of the distinct keys ``wanted``, and those that may be; nothing shuffles.
 
-    A filter of the hashes of the wanted ids, whose size has a fixed bound, is broadcast; rows that miss
-    it are no matches and pass (or go) where they are. Only rows that hit meet the ids in a join. The
-    filter's size changes how many rows shuffle, never the result. Without ``exact`` the few rows that hit by
-    accident stay, for a caller that joins with the ids anyway.
+    A filter of the hashes of the wanted keys, whose size has a fixed bound, is broadcast; a row that misses it is no
+    match. The filter's size changes how many rows hit by accident, never that a match hits.
     """
     bits = max(12, min(FILTER_BITS, (wanted.count() * 16).bit_length()))
     place = lambda c: F.shiftrightunsigned(F.xxhash64(c), 64 - bits)
@@ -64,9 +61,19 @@ def narrowed(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str = "id
     here = place(F.col(key))
     tested = rows.withColumn("__word", word(here)).join(F.broadcast(words), "__word", "left").withColumn(
         "__hit", F.coalesce(F.col("__bits").bitwiseAND(bit(here)) != 0, F.lit(False)))
-    hits = tested.where("__hit").select(*rows.columns)
+    return tested.where("NOT __hit").select(*rows.columns), tested.where("__hit").select(*rows.columns)
+
+
+def narrowed(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str = "id", anti: bool = False,
+             exact: bool = True) -> DataFrame:
+    """Semi-join (or anti-join) of wide ``rows`` with the distinct ids ``wanted``, shuffling few of them.
+
+    Rows that miss the filter of ``parted`` pass (or go) where they are. Only rows that hit meet the ids in a join.
+    Without ``exact`` the few rows that hit by accident stay, for a caller that joins with the ids anyway.
+    """
+    missed, hits = parted(rows, key, wanted, wanted_key)
     if not exact and not anti:
         return hits
     ids = wanted.select(F.col(wanted_key).alias("__wanted"))
     found = hits.join(ids, hits[key].eqNullSafe(ids["__wanted"]), "left_anti" if anti else "left_semi")
-    return tested.where("NOT __hit").select(*rows.columns).unionByName(found) if anti else found
+    return missed.unionByName(found) if anti else found

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickgate.llm.common import ready, written
+from tickgate.llm.common import parted, ready, written
 from tickgate.session import arrow_uri, ensure_checkpoint_dir
 
 # Fixed values of the WARC 1.1 and Zstandard seekable formats.
@@ -205,12 +205,15 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
           min_bytes: int = 0, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write every row of ``pages`` as one record into bundles under ``folder``; return the record map."""
     ready(pages.sparkSession)
-    again = roles(pages, id_col, payload_col, min_bytes).withColumnsRenamed({"id": "__id", "sha": "__sha"})
+    again = written(roles(pages, id_col, payload_col, min_bytes).withColumnsRenamed({"id": "__id", "sha": "__sha"}))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
-    rows = rows.join(again, rows["id"].eqNullSafe(again["__id"]) & (rows["sha"] == again["__sha"]), "left").select(
-        F.coalesce(rows["id"].cast("string"), F.lit("null")).alias("id"), "url", "payload",
+    # only payloads that may be revisits shuffle
+    alone, hits = parted(rows, "id", again.select("__id").distinct(), "__id")
+    met = hits.join(again, hits["id"].eqNullSafe(again["__id"]) & (hits["sha"] == again["__sha"]), "left")
+    rows = alone.withColumn("refers_to", F.lit(None)).unionByName(met.select(*alone.columns, "refers_to")).select(
+        F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("id"), "url", "payload",
         F.col("refers_to").cast("string").alias("refers_to"))
 
     def run(batches: Iterator) -> Iterator:
