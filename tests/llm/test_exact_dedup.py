@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 
+import pytest
+
 from tickgate.llm import exact_dedup
 
 ROWS = [(1, "a", "x"), (2, "a", None), (3, "", "x"), (4, None, "x"), (5, "long " * 5000, "x"), (6, "long " * 5000, "y"),
@@ -36,6 +38,18 @@ def test_a_saturated_filter_changes_nothing(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
 
 
+@pytest.mark.parametrize("slices", [1, 5])
+def test_repeated_bits_are_all_found_and_travel_packed(spark, slices):
+    texts = [f"t{i}" for i in range(3000)] + [f"t{i}" for i in range(0, 300, 7)] + ["hot"] * 1500
+    rows = spark.createDataFrame([(hashlib.sha256(t.encode()).digest(),) for t in texts], "sha binary").repartition(slices)
+    words = exact_dedup.possibly_repeated(rows, "sha", exact_dedup._block_bits(len(texts), 21))
+    hit = {bytes(r["sha"]) for r in exact_dedup._route(rows, "sha", words, exact_dedup._block_bits(len(texts), 21)).where("__hit").collect()}
+    twice = {t for t in texts if texts.count(t) > 1}
+    assert {hashlib.sha256(t.encode()).digest() for t in twice} <= hit
+    if slices > 1:      # with one slice alone a part holds many bits
+        assert len(hit) < 2000
+
+
 def test_rows_that_stay(spark):
     docs = spark.createDataFrame(ROWS, SCHEMA)
     got = exact_dedup.keep_distinct(docs)

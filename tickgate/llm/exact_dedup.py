@@ -1,17 +1,17 @@
 """Exact dedup by two-pass Bloom filtering; DataFrame functions only.
 
-Pass 1 reads each text once and keeps a narrow row (id, SHA-256). From it a blocked
-Bloom filter of *possibly repeated* hashes is built: every hash picks one 64-bit block
-and sets ``BITS`` bits in it; (block, bits) pairs that occur twice are OR-ed per block.
-Counting the pairs shuffles one narrow row (block, bits, count) per distinct pair and task,
-so nearly one per document where most texts are unique.
-Pass 2 tests each row against the filter. Rows that miss are unique and pass straight
-through; in this pass only rows that hit shuffle, on their full hash, so a false hit costs a shuffled
-narrow row and never a wrong answer.
-
-The filter has at most ``2 ** max_block_bits`` blocks of 16 bytes whatever the input
-(32 MiB at the default), which is the proven bound behind its broadcast. A fuller filter
-lets more rows into the shuffle; results do not depend on its size.
+Pass 1 reads each text once and keeps a narrow row (id, SHA-256). Every hash sets one bit of a filter, and the bits
+meet as bits of the input's slices (one a task of pass 1), not as rows: a task packs, for each chunk of the filter, the
+distinct bits that its slice sets and, for each ``PARTS``-th of the chunk, how many rows set them. A bit is *possibly
+repeated* if two slices set it, or if more rows of one slice than bits fell into its part of the chunk, since then
+some bit there was set twice. So any hash that occurs twice is found, whatever the slices are, and a hash that a third
+of all rows share is one bit a slice.
+Pass 2 tests each row against the possibly repeated bits. Rows that miss are unique and pass straight through; only
+rows that hit shuffle, on their full hash, so a false hit costs a shuffled narrow row and never a wrong answer.
+
+The filter has ``BITS_A_ROW`` bits a row and at most ``2 ** max_block_bits`` words of 64 whatever the input
+(broadcast as 32 MiB of rows at the default). A fuller filter lets more rows into the shuffle; results do not depend
+on its size.
 
 Defined cases: null text counts as the empty text and equals it; of equal texts the row
 with the largest id stays, null ids lose to any other; if all ids of a group are null,
@@ -27,33 +27,52 @@ from pyspark.sql import functions as F
 
 from tickgate.llm.common import text_or_empty, written
 
-BITS = 4          # bits set per hash inside its 64-bit block
-ROWS_PER_BLOCK = 8
+BITS_A_ROW = 32
+CHUNK = 15       # a chunk has 2 ** CHUNK bits, whose numbers take two bytes each
+PARTS = 8
 
 
 def _digest(text_col: str) -> Column:
     return F.unhex(F.sha2(text_or_empty(text_col).cast("binary"), 256))
 
 
-def _slots(digest: Column, block_bits: int) -> tuple[Column, Column]:
-    """Block number and bit mask of a digest."""
-    h = F.xxhash64(digest)
-    mask = F.lit(0).cast("long")
-    for i in range(BITS):
-        bit = F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
-    return F.shiftrightunsigned(h, 64 - block_bits), mask
+def _bit(digest: Column, block_bits: int) -> Column:
+    """The filter's bit of a digest, of 64 * 2 ** block_bits."""
+    return F.shiftrightunsigned(F.xxhash64(digest), 64 - 6 - block_bits)
+
+
+def _mask(bit: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
 
 
 def _block_bits(rows: int, max_block_bits: int) -> int:
-    return max(10, min(max_block_bits, math.ceil(math.log2(max(1, rows) / ROWS_PER_BLOCK + 1))))
+    return max(CHUNK - 6, min(max_block_bits, math.ceil(math.log2(max(1, rows) * BITS_A_ROW / 64 + 1))))
+
+
+def possibly_repeated(rows: DataFrame, digest: str, block_bits: int) -> DataFrame:
+    """(__block, __bits): the words of the bits that two rows may share, written."""
+    bit = F.col("bit")
+    set_ = rows.select(F.spark_partition_id().alias("slice"), _bit(F.col(digest), block_bits).alias("bit")).select(
+        "slice", F.shiftright(bit, CHUNK).cast("int").alias("chunk"), bit.bitwiseAND(F.lit((1 << CHUNK) - 1)).cast("short").alias("bit"))
+    part = F.floor(F.col("bit") / ((1 << CHUNK) // PARTS))
+    packed = set_.withColumn("part", part).groupBy("slice", "chunk").agg(
+        *[F.collect_set(F.when(F.col("part") == i, F.col("bit"))).alias(f"s{i}") for i in range(PARTS)],
+        *[F.count_if(F.col("part") == i).alias(f"n{i}") for i in range(PARTS)])
+    twice_here = [F.when(F.col(f"n{i}") > F.size(f"s{i}"), F.col(f"s{i}")).otherwise(F.array().cast("array<smallint>")) for i in range(PARTS)]
+    met = packed.select("chunk", F.concat(*[F.col(f"s{i}") for i in range(PARTS)]).alias("once"), F.concat(*twice_here).alias("twice")) \
+        .groupBy("chunk").agg(F.sort_array(F.flatten(F.collect_list("once"))).alias("once"), F.flatten(F.collect_list("twice")).alias("twice"))
+    # a slice's bits are distinct, so an equal neighbour comes from another slice
+    among = F.filter("once", lambda x, i: (i > 0) & (F.get("once", i - 1) == x))
+    found = met.select("chunk", F.explode(F.array_distinct(F.concat(among, "twice"))).alias("bit"))
+    word = F.shiftleft(F.col("chunk"), CHUNK - 6).bitwiseOR(F.shiftright(F.col("bit").cast("int"), 6)).cast("long")
+    return written(found.groupBy(word.alias("__block")).agg(F.bit_or(_mask(F.col("bit").cast("long"))).alias("__bits")))
 
 
 def _route(rows: DataFrame, digest: str, bloom: DataFrame, block_bits: int) -> DataFrame:
     """Add ``__hit``: whether the row's hash is possibly repeated."""
-    block, mask = _slots(F.col(digest), block_bits)
+    bit = _bit(F.col(digest), block_bits)
     return (
-        rows.withColumns({"__block": block, "__mask": mask})
+        rows.withColumns({"__block": F.shiftright(bit, 6), "__mask": _mask(bit)})
         .join(F.broadcast(bloom), "__block", "left")
         .withColumn("__hit", F.coalesce(F.col("__bits").bitwiseAND(F.col("__mask")) == F.col("__mask"),
                                         F.lit(False)))
@@ -67,11 +86,7 @@ class _Plan:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, max_block_bits: int):
         self.rows = written(docs.select(F.col(id_col).alias("__id"), _digest(text_col).alias("__sha")))
         self.block_bits = _block_bits(self.rows.count(), max_block_bits)
-        block, mask = _slots(F.col("__sha"), self.block_bits)
-        self.bloom = written(
-            self.rows.groupBy(block.alias("__block"), mask.alias("__mask")).agg(F.count("*").alias("n"))
-            .where("n > 1")
-            .groupBy("__block").agg(F.bit_or("__mask").alias("__bits")))
+        self.bloom = possibly_repeated(self.rows, "__sha", self.block_bits)
         self.routed = _route(self.rows, "__sha", self.bloom, self.block_bits)
         # partial aggregation keeps a hot group to one row per task; written, so that the join
         # below reads plain shuffles, which Spark splits when one group is hot
