@@ -219,6 +219,29 @@ def test_chunks_that_the_warehouse_cannot_take_are_left_out(spark, tmp_path):
     assert [r._unfit for r in f.collect()] == [True, False, True] and dict(f.dtypes)["price"] == "double"
 
 
+def _events(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string") \
+        .write.parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+def test_roundtrip_of_chunks_that_are_all_rejected(spark, tmp_path):
+    import datetime as dt
+    from tickgate.plans.catalog import q_publish_roundtrip
+    at = dt.datetime(2024, 1, 3, 15)
+    sf = _events(spark, tmp_path, [(i, at + dt.timedelta(hours=i), 3 * i, s, -1.0 - i, None)
+                                   for s in ("AAA", "BBB") for i in range(4)])
+    got = sorted((r.symbol, r.success, r.row_count, r.table_rows, r.arrived) for r in q_publish_roundtrip(spark, sf).collect())
+    assert got == [("AAA", False, 4, 0, False), ("BBB", False, 4, 0, False)]
+
+
+def test_rerun_of_a_warehouse_load_that_takes_no_chunk(spark, tmp_path):
+    import datetime as dt
+    from tickgate.plans.catalog import q_warehouse_rerun
+    sf = _events(spark, tmp_path, [(1, dt.datetime(2024, 1, 3, 15), 3, None, 5.0, None)])   # no symbol: unfit
+    assert q_warehouse_rerun(spark, sf).collect() == []
+
+
 def test_publishing_lists_only_prefixes_that_no_manifest_covers(spark, tmp_path):
     _publish(spark, tmp_path)
     target, manifests = str(tmp_path / "t"), str(tmp_path / "t" / "_manifests")

@@ -183,7 +183,8 @@ def publish(spark: SparkSession, cache_root: str, schema: str, chunks: DataFrame
     """
     ship_package(spark)
     target_root = qualified(spark, target_root)
-    gated = PB.with_blob_name(PB.publish_gate(chunks.drop("md5"), report, require_report=require_report), prefix)
+    # written once, a row per chunk: the steps below read it several times, and each would carry the report's whole plan
+    gated = write_table(PB.with_blob_name(PB.publish_gate(chunks.drop("md5"), report, require_report=require_report), prefix))
     local = files.digests_of(gated.where(F.col("decision") == "publish").select("path"))
     gated = gated.join(local.select("path", "md5"), "path", "left")
     manifest_root = manifest_root or f"{target_root.rstrip('/')}/_manifests"

@@ -60,11 +60,11 @@ class SnapshotTable:
             return self.spark.createDataFrame([], LOADS)
         return self.spark.read.schema(LOADS).parquet(*runs)
 
-    def read(self) -> DataFrame | None:
-        """The rows of the committed runs; None before the first commit."""
+    def read(self, schema: str | None = None) -> DataFrame | None:
+        """The rows of the committed runs; while there are none, an empty frame of ``schema``, or None without it."""
         runs = [f"{self.path}/load_run={r['run']}" for r in self.committed() if r["rows"]]
         if not runs:
-            return None
+            return None if schema is None else self.spark.createDataFrame([], schema)
         return self.spark.read.option("basePath", self.path).option("mergeSchema", "true").parquet(*runs)
 
     # ---- writing
